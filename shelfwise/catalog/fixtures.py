@@ -4,7 +4,8 @@ Two sets share one vocabulary. Set E reads `events`: stores are users, items are
 types, thirty dense days of January 2024. Set L reads `lineitem`: stores are suppliers,
 items are parts, seven sparse years. Every row of the base table takes part. Sales carry
 the day of the row and stock a later day for some or all rows, so the full join meets
-sale-only, stock-only and matched days.
+sale-only, stock-only and matched days. Stores with an even key belong to tenant 43, the
+others to tenant 85.
 """
 
 from __future__ import annotations
@@ -21,13 +22,24 @@ L_DAYS = 2600  # covers every day of set L
 STATUSES = ["A", "N"]
 TODAY = "2001-06-30"
 
-_E_KEYS = "43 AS cmid, CAST(user_id AS varchar(20)) AS foreign_store_id, event_type AS foreign_item_id"
+
+def _tenant(key: str) -> str:
+    return f"CASE WHEN {key} % 2 = 0 THEN 43 ELSE 85 END AS cmid"
+
+
+_E_KEYS = f"{_tenant('user_id')}, CAST(user_id AS varchar(20)) AS foreign_store_id, event_type AS foreign_item_id"
 _L_KEYS = (
-    "43 AS cmid, CAST(l_suppkey AS varchar(20)) AS foreign_store_id, CAST(l_partkey AS varchar(20)) AS foreign_item_id"
+    f"{_tenant('l_suppkey')}, CAST(l_suppkey AS varchar(20)) AS foreign_store_id, CAST(l_partkey AS varchar(20)) AS foreign_item_id"
 )
 _L_QTY = "CAST(l_quantity AS bigint)"
 _L_DAY = "CAST(l_shipdate AS date)"
 
+_RAW_IDS = (
+    "CAST(p_partkey AS varchar(20)) AS foreign_item_id, concat('69', CAST(p_partkey AS varchar(20))) AS barcode, "
+    "concat('P', CAST(p_partkey AS varchar(20))) AS show_code"
+)
+_RAW_PRICE = "CAST(CAST(p_retailprice AS decimal(18,4)) AS varchar(30))"
+
 EVENTS = {
     "cost": f"""SELECT {_E_KEYS}, CAST(ts AS date) AS date, CAST(count(*) AS bigint) AS sale_quantity,
         CASE WHEN max(event_id % 13) = 0 THEN NULL ELSE CAST(sum(CAST(value AS decimal(12,2))) AS decimal(18,2)) END AS total_sale,
@@ -37,17 +49,17 @@ EVENTS = {
         CASE WHEN max(event_id % 11) = 0 THEN NULL ELSE CAST(sum(event_id % 17 - 4) AS bigint) END AS quantity,
         CAST(sum(CAST(value AS decimal(12,2))) AS decimal(18,2)) AS amount
         FROM {{events}} GROUP BY 1, 2, 3, 4""",
-    "goods": """SELECT 43 AS cmid, event_type AS foreign_item_id, upper(event_type) AS item_name,
+    "goods": f"""SELECT cmid, event_type AS foreign_item_id, upper(event_type) AS item_name,
         concat('69', event_type) AS barcode,
         CASE WHEN event_type = 'click' THEN NULL ELSE concat('SC-', event_type) END AS show_code,
         CASE WHEN event_type = 'signup' THEN '淘汰' WHEN event_type = 'view' THEN NULL ELSE '正常' END AS item_status,
         CASE WHEN event_type = 'view' THEN NULL ELSE substring(event_type, 1, 1) END AS foreign_category_lv1,
         CAST(length(event_type) + 0.25 AS decimal(18,4)) AS lastin_price,
         CAST(length(event_type) + 1.5 AS decimal(18,4)) AS sale_price
-        FROM (SELECT DISTINCT event_type FROM {events} WHERE event_type <> 'error') d""",
-    "stores": """SELECT 43 AS cmid, CAST(c_custkey AS varchar(20)) AS foreign_store_id, c_name AS store_name,
+        FROM (SELECT DISTINCT {_tenant('user_id')}, event_type FROM {{events}} WHERE event_type <> 'error') d""",
+    "stores": f"""SELECT {_tenant('c_custkey')}, CAST(c_custkey AS varchar(20)) AS foreign_store_id, c_name AS store_name,
         concat('S', CAST(c_custkey AS varchar(20))) AS show_code, c_nationkey % 3 AS property_id,
-        CASE WHEN c_acctbal < 0 THEN '闭店' ELSE '营业' END AS store_status FROM {customer}""",
+        CASE WHEN c_acctbal < 0 THEN '闭店' ELSE '营业' END AS store_status FROM {{customer}}""",
     "ways": f"""SELECT {_E_KEYS}, CASE WHEN min(value) < 1 THEN NULL ELSE '统配' END AS alc_way
         FROM {{events}} GROUP BY 1, 2, 3 HAVING count(*) > 10""",
     "delivery": f"""SELECT {_E_KEYS}, CAST(ts AS date) AS delivery_date, event_id % 20 AS delivery_qty,
@@ -60,17 +72,17 @@ EVENTS = {
     "aa_sku": f"SELECT {_E_KEYS} FROM {{events}} WHERE value > 150",
     "refunds": f"""SELECT {_E_KEYS}, CASE WHEN value > 200 THEN '退货' ELSE '调拨' END AS method
         FROM {{events}} WHERE value > 120""",
-    "warehouse": """SELECT 43 AS cmid, event_type AS foreign_item_id, CAST(ts AS date) AS date, event_id % 90 AS stock_qty
-        FROM {events}""",
-    "products": """SELECT 43 AS cmid, CAST(user_id AS varchar(20)) AS foreign_store_id, event_type AS foreign_item_id,
+    "warehouse": f"""SELECT {_tenant('user_id')}, event_type AS foreign_item_id, CAST(ts AS date) AS date,
+        event_id % 90 AS stock_qty FROM {{events}}""",
+    "products": f"""SELECT {_tenant('user_id')}, CAST(user_id AS varchar(20)) AS foreign_store_id, event_type AS foreign_item_id,
         concat('store ', CAST(user_id AS varchar(20))) AS foreign_store_name, upper(event_type) AS foreign_item_name
-        FROM {events} GROUP BY user_id, event_type""",
-    "packs": """SELECT 43 AS cmid, event_type AS foreign_item_id,
+        FROM {{events}} GROUP BY user_id, event_type""",
+    "packs": f"""SELECT {_tenant('user_id')}, event_type AS foreign_item_id,
         CASE WHEN event_type = 'signup' THEN NULL ELSE length(event_type) + 0.5 END AS mfu
-        FROM {events} GROUP BY event_type""",
-    "cycles": """SELECT 43 AS cmid, CAST(user_id AS varchar(20)) AS foreign_store_id,
+        FROM {{events}} GROUP BY 1, 2, 3""",
+    "cycles": f"""SELECT {_tenant('user_id')}, CAST(user_id AS varchar(20)) AS foreign_store_id,
         CASE user_id % 3 WHEN 0 THEN '单日配' WHEN 1 THEN '双日配' ELSE '三日配' END AS dly_cycle
-        FROM {events} GROUP BY user_id HAVING min(value) < 5""",
+        FROM {{events}} GROUP BY user_id HAVING min(value) < 5""",
     "documents_per_event": """SELECT event_id, user_id, event_type FROM {events}""",
 }
 
@@ -83,15 +95,16 @@ LINEITEM = {
         CAST(sum(CASE WHEN l_returnflag = 'R' THEN -{_L_QTY} ELSE {_L_QTY} END) AS bigint) AS quantity,
         CAST(sum(CAST(l_extendedprice AS decimal(12,2))) AS decimal(18,2)) AS amount
         FROM {{lineitem}} GROUP BY 1, 2, 3, 4""",
-    "goods": """SELECT 43 AS cmid, CAST(p_partkey AS varchar(20)) AS foreign_item_id, p_name AS item_name,
+    "goods": """SELECT cmid, CAST(p_partkey AS varchar(20)) AS foreign_item_id, p_name AS item_name,
         concat('69', CAST(p_partkey AS varchar(20))) AS barcode, concat('P', CAST(p_partkey AS varchar(20))) AS show_code,
         p_brand AS foreign_category_lv1,
         CASE WHEN p_type = 'PROMO' THEN '淘汰' WHEN p_type = 'ECONOMY' THEN '淘汰品' ELSE p_type END AS item_status,
         CAST(CAST(p_retailprice AS decimal(18,4)) * 0.8 AS decimal(18,4)) AS lastin_price,
-        CAST(p_retailprice AS decimal(18,4)) AS sale_price FROM {part}""",
-    "stores": """SELECT 43 AS cmid, CAST(s_suppkey AS varchar(20)) AS foreign_store_id, s_name AS store_name,
+        CAST(p_retailprice AS decimal(18,4)) AS sale_price
+        FROM (SELECT 43 AS cmid, p.* FROM {part} p UNION ALL SELECT 85, p.* FROM {part} p) t""",
+    "stores": f"""SELECT {_tenant('s_suppkey')}, CAST(s_suppkey AS varchar(20)) AS foreign_store_id, s_name AS store_name,
         concat('S', CAST(s_suppkey AS varchar(20))) AS show_code, s_nationkey % 3 AS property_id,
-        CASE WHEN s_acctbal < 0 THEN '闭店' ELSE '营业' END AS store_status FROM {supplier}""",
+        CASE WHEN s_acctbal < 0 THEN '闭店' ELSE '营业' END AS store_status FROM {{supplier}}""",
     "ways": f"""SELECT {_L_KEYS}, max(l_linestatus) AS alc_way FROM {{lineitem}} WHERE l_returnflag <> 'N' GROUP BY 1, 2, 3""",
     "delivery": f"""SELECT {_L_KEYS}, {_L_DAY} AS delivery_date, {_L_QTY} AS delivery_qty,
         CASE WHEN l_linestatus = 'F' THEN '统配出' ELSE '直配出' END AS delivery_type FROM {{lineitem}}""",
@@ -102,9 +115,9 @@ LINEITEM = {
     "aa_sku": f"SELECT {_L_KEYS} FROM {{lineitem}} WHERE l_discount > 0.05",
     "refunds": f"""SELECT {_L_KEYS}, CASE WHEN l_linestatus = 'F' THEN '退货' ELSE '调拨' END AS method
         FROM {{lineitem}} WHERE l_returnflag = 'R'""",
-    "warehouse": f"""SELECT 43 AS cmid, CAST(l_partkey AS varchar(20)) AS foreign_item_id, {_L_DAY} - 1 AS date,
+    "warehouse": f"""SELECT {_tenant('l_suppkey')}, CAST(l_partkey AS varchar(20)) AS foreign_item_id, {_L_DAY} - 1 AS date,
         {_L_QTY} AS stock_qty FROM {{lineitem}}""",
-    "detail_sheet": f"""SELECT 43 AS cmid, CAST(l_suppkey AS varchar(20)) AS "门店ID",
+    "detail_sheet": f"""SELECT {_tenant('l_suppkey')}, CAST(l_suppkey AS varchar(20)) AS "门店ID",
         concat('item ', CAST(l_partkey AS varchar(20))) AS "商品名称", CAST(l_linenumber AS double) AS "当前库存",
         concat('P', CAST(l_partkey AS varchar(20))) AS "商品show_code", l_quantity AS "今日销量",
         CASE WHEN l_tax < 0.03 THEN '低' ELSE '高' END AS "密度",
@@ -113,13 +126,13 @@ LINEITEM = {
         CASE WHEN l_partkey % 11 = 0 THEN NULL ELSE CAST(l_partkey % 12 AS double) END AS "上上次订货单",
         CASE WHEN l_orderkey % 19 = 0 THEN NULL ELSE CAST(l_orderkey % 12 AS double) END AS "上次送货单",
         CAST({_L_DAY} AS varchar(10)) AS date FROM {{lineitem}}""",
-    "summary_sheet": f"""SELECT 43 AS cmid, CAST(l_suppkey AS varchar(20)) AS "门店ID",
+    "summary_sheet": f"""SELECT {_tenant('l_suppkey')}, CAST(l_suppkey AS varchar(20)) AS "门店ID",
         concat('store ', CAST(l_suppkey AS varchar(20))) AS "门店名称",
         count(DISTINCT CASE WHEN l_returnflag <> 'N' THEN l_partkey END) / CAST(count(*) AS double) AS "门店缺货率",
         count(DISTINCT CASE WHEN l_returnflag <> 'N' THEN l_partkey END) AS "现门店已缺货 SKU 数",
         count(*) AS "门店统配商品全量 SKU 数", CAST({_L_DAY} AS varchar(10)) AS date
         FROM {{lineitem}} GROUP BY l_suppkey, {_L_DAY}""",
-    "store_info": f"""SELECT 43 AS cmid, CAST(l_suppkey AS varchar(20)) AS foreign_store_id,
+    "store_info": f"""SELECT {_tenant('l_suppkey')}, CAST(l_suppkey AS varchar(20)) AS foreign_store_id,
         concat('store ', CAST(l_suppkey AS varchar(20))) AS store_name, {_L_DAY} AS date,
         count(DISTINCT CASE WHEN l_returnflag <> 'N' THEN l_partkey END) AS lost_sku, count(*) AS all_sku
         FROM {{lineitem}} GROUP BY l_suppkey, {_L_DAY}""",
@@ -129,23 +142,18 @@ LINEITEM = {
         FROM {{lineitem}} WHERE l_returnflag <> 'N'""",
     "psd": f"""SELECT {_L_KEYS}, concat('P', CAST(l_partkey AS varchar(20))) AS item_show_code, {_L_DAY} AS date,
         max(l_extendedprice) AS psd_cost FROM {{lineitem}} WHERE l_linestatus = 'O' GROUP BY l_suppkey, l_partkey, {_L_DAY}""",
-    "trial_stores": """SELECT 43 AS cmid, CAST(s_suppkey AS varchar(20)) AS foreign_store_id, s_name AS foreign_store_name,
+    "trial_stores": f"""SELECT {_tenant('s_suppkey')}, CAST(s_suppkey AS varchar(20)) AS foreign_store_id, s_name AS foreign_store_name,
         concat('T', CAST(s_suppkey AS varchar(20))) AS show_code, DATE '2001-03-01' + CAST(s_suppkey % 60 AS int) AS date,
         DATE '2001-01-01' + CAST(s_suppkey % 30 AS int) AS start_date, DATE '2001-04-01' + CAST(s_suppkey % 150 AS int) AS end_date,
-        DATE '2001-03-15' + CAST(s_suppkey % 40 AS int) AS execute_date, s_nationkey % 3 AS deal_status FROM {supplier}""",
-    "suggestion_files": """SELECT 43 AS cmid, o_orderdate AS modification_time,
-        concat('dist/43/', CAST(o_custkey AS varchar(20)), '/', CAST(CAST(o_orderdate AS date) AS varchar(10)), '.csv.gz') AS path
-        FROM {orders}""",
-    "goods_raw": """SELECT 43 AS cmid, CAST(p_partkey AS varchar(20)) AS foreign_item_id, concat('69', CAST(p_partkey AS varchar(20))) AS barcode,
-        concat('P', CAST(p_partkey AS varchar(20))) AS show_code, p_name AS item_name,
+        DATE '2001-03-15' + CAST(s_suppkey % 40 AS int) AS execute_date, s_nationkey % 3 AS deal_status FROM {{supplier}}""",
+    "suggestion_files": f"""SELECT {_tenant('o_custkey')}, o_orderdate AS modification_time,
+        concat('dist/', CAST(o_custkey AS varchar(20)), '/', CAST(CAST(o_orderdate AS date) AS varchar(10)), '.csv.gz') AS path
+        FROM {{orders}}""",
+    "goods_raw": f"""SELECT {_tenant('p_partkey')}, {_RAW_IDS}, p_name AS item_name,
         CASE p_type WHEN 'PROMO' THEN '淘汰' WHEN 'ECONOMY' THEN '淘汰品' WHEN 'LARGE' THEN NULL ELSE p_type END AS item_status,
-        CAST(CAST(p_retailprice AS decimal(18,4)) AS varchar(30)) AS lastin_price,
-        CASE WHEN p_size = 7 THEN p_name ELSE CAST(CAST(p_retailprice AS decimal(18,4)) AS varchar(30)) END AS sale_price
-        FROM {part}
+        {_RAW_PRICE} AS lastin_price, CASE WHEN p_size = 7 THEN p_name ELSE {_RAW_PRICE} END AS sale_price FROM {{part}}
         UNION ALL
-        SELECT 43, CAST(p_partkey AS varchar(20)), concat('70', CAST(p_partkey AS varchar(20))),
-        concat('P', CAST(p_partkey AS varchar(20))), p_name, 'NEW', NULL, CAST(CAST(p_retailprice AS decimal(18,4)) AS varchar(30))
-        FROM {part}""",
+        SELECT {_tenant('p_partkey')}, {_RAW_IDS}, p_name, 'NEW', NULL, {_RAW_PRICE} FROM {{part}}""",
 }
 
 SHARED = {
@@ -169,7 +177,8 @@ SHARED = {
         'A' AS alc_way FROM {customer}""",
     "ways_b": """SELECT s_nationkey AS cmid, CAST(s_suppkey AS varchar(20)) AS foreign_store_id, s_name AS foreign_item_id,
         'B' AS alc_way FROM {supplier}""",
-    "packs_a": """SELECT 43 AS cmid, l_partkey AS gid, CAST(l_quantity AS bigint) AS qpc, l_linenumber AS isdu FROM {lineitem}""",
+    "packs_a": f"""SELECT {_tenant('l_suppkey')}, l_partkey AS gid, CAST(l_quantity AS bigint) AS qpc,
+        l_linenumber AS isdu FROM {{lineitem}}""",
 }
 
 

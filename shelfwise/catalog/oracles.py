@@ -331,7 +331,7 @@ ORACLES: dict[str, str] = {
     "scan_date_range_folder": ctes(EVENTS, "cost")
     + f"SELECT {DAY}, sale_quantity FROM cost WHERE date >= DATE '2024-01-21'",
     "scan_glob": ctes(EVENTS, "cost") + "SELECT DISTINCT cmid, date FROM cost",
-    "scan_latest_file": ctes(EVENTS, "cost") + "SELECT DISTINCT date, true AS is_gzip FROM cost",
+    "scan_latest_file": ctes(EVENTS, "cost") + "SELECT DISTINCT cmid, date, true AS is_gzip FROM cost",
     "scan_project_tenant": ctes(SHARED, "store_resources") + "SELECT cmid, showcode FROM store_resources WHERE cmid = 7",
     "scan_vendor_unified": ctes(SHARED, "tenant_config", "ways_a", "ways_b")
     + """SELECT w.*, 'A' AS vendor FROM ways_a w JOIN tenant_config t ON t.cmid = w.cmid AND t.vendor = 'A'
@@ -439,7 +439,8 @@ ORACLES: dict[str, str] = {
     "product_exception_load": ctes(LINEITEM, "detail_sheet", "stores", "psd", "suggestion_files")
     + _SHEET
     + f""", loaded AS (SELECT s.*, {_reason(_ENROLLED)} AS lost_reason, t.show_code AS store_show_code,
-      (SELECT CAST(min(modification_time) AS date) FROM suggestion_files) AS use_date FROM sheet s
+      f.use_date FROM sheet s
+      LEFT JOIN (SELECT cmid, CAST(min(modification_time) AS date) AS use_date FROM suggestion_files GROUP BY cmid) f ON f.cmid = s.cmid
       LEFT JOIN stores t ON t.cmid = s.cmid AND t.foreign_store_id = s.foreign_store_id WHERE s.foreign_store_id NOT IN ({_CLOSED}))
     SELECT {_PRODUCT_COLUMNS}, {_NO_SCORES} FROM loaded s {_PSD_JOIN}""",
     "trial_date_series": ctes(LINEITEM, "trial_stores")

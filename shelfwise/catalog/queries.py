@@ -51,12 +51,12 @@ def query(build: Callable[[Data], DataFrame]) -> Callable[[Data], DataFrame]:
 
 # --- sources ---------------------------------------------------------------------------
 
-E_SOURCE = codes.source_id_text(43)
 E_DAYS = files.days_back("2024-01-31", 31)
+TENANTS = [43, 85]
 
 
 def _write_days(df: DataFrame, layout: dict[int, tuple[str, str]], table: str, root: str) -> None:
-    """Headerless gzip files in the object layout, one folder per day."""
+    """Headerless gzip files in the object layout, one folder per day and tenant."""
     names = {position: name for position, (name, _) in layout.items()}
     cells = [
         F.col(names[i]).cast("string").alias(f"c{i}") if i in names else F.lit("x").alias(f"c{i}")
@@ -67,22 +67,27 @@ def _write_days(df: DataFrame, layout: dict[int, tuple[str, str]], table: str, r
         "y": F.date_format(day, "yyyy"),
         "m": F.date_format(day, "MM"),
         "d": F.date_format(day, "dd"),
-        "source_id": F.lit(E_SOURCE),
+        "source_id": codes.source_id(F.col("cmid")),
         "table": F.lit(table),
     }
     sinks.write_csv_days(df.select(*cells, *[c.alias(n) for n, c in parts.items()]), root, list(parts), header=False)
 
 
+def _per_source(read: Callable[[str], DataFrame]) -> DataFrame:
+    return dimensions.concat_by_name(*[read(codes.source_id_text(cmid)) for cmid in TENANTS])
+
+
 def _cost_files(data: Data) -> str:
     root = data.path("cost")
     _write_days(data.e("cost"), layouts.COST, "cost", root)
     return root
 
 
-def _inventory_files(data: Data) -> str:
+def _read_inventory(data: Data, days: list[str]) -> DataFrame:
     root = data.path("inventory")
     _write_days(data.e("inventory"), layouts.INVENTORY, "inventory", root)
-    return root
+    read = _per_source(lambda source: files.read_inventory(data.spark, root, days, source, files.HIVE_DAY_LAYOUT))
+    return _as_doubles(read, "quantity")
 
 
 def _as_doubles(df: DataFrame, *names: str) -> DataFrame:
@@ -91,36 +96,32 @@ def _as_doubles(df: DataFrame, *names: str) -> DataFrame:
 
 @query
 def scan_cost(data: Data) -> DataFrame:
-    df = files.read_cost(data.spark, _cost_files(data), E_DAYS, E_SOURCE, files.HIVE_DAY_LAYOUT)
+    root = _cost_files(data)
+    df = _per_source(lambda source: files.read_cost(data.spark, root, E_DAYS, source, files.HIVE_DAY_LAYOUT))
     return _as_doubles(df, "sale_quantity", "total_sale", "total_cost")
 
 
 @query
 def scan_inventory(data: Data) -> DataFrame:
-    df = files.read_inventory(data.spark, _inventory_files(data), E_DAYS, E_SOURCE, files.HIVE_DAY_LAYOUT)
-    return _as_doubles(df, "quantity")
+    return _read_inventory(data, E_DAYS)
 
 
 @query
 def scan_date_window(data: Data) -> DataFrame:
-    window = files.days_back(E_AS_OF)
-    df = files.read_inventory(data.spark, _inventory_files(data), window, E_SOURCE, files.HIVE_DAY_LAYOUT)
-    return _as_doubles(df, "quantity")
+    return _read_inventory(data, files.days_back(E_AS_OF))
 
 
 @query
 def scan_missing_ok(data: Data) -> DataFrame:
     """The window reaches back before the first file."""
-    days = files.days_back("2024-01-20", 60)
-    df = files.read_inventory(data.spark, _inventory_files(data), days, E_SOURCE, files.HIVE_DAY_LAYOUT)
-    return _as_doubles(df, "quantity")
+    return _read_inventory(data, files.days_back("2024-01-20", 60))
 
 
 @query
 def scan_store(data: Data) -> DataFrame:
     root = data.path("stores")
     _write_days(data.e("stores").withColumn("date", calendar.as_date(E_AS_OF)), layouts.STORES, "chain_store", root)
-    return files.read_stores(data.spark, root, E_AS_OF, E_SOURCE, files.HIVE_DAY_LAYOUT)
+    return _per_source(lambda source: files.read_stores(data.spark, root, E_AS_OF, source, files.HIVE_DAY_LAYOUT))
 
 
 @query
@@ -175,10 +176,12 @@ def scan_glob(data: Data) -> DataFrame:
 
 @query
 def scan_latest_file(data: Data) -> DataFrame:
-    """Newest object per day folder."""
-    listing = files.object_listing(data.spark, _dated_files(data), "*.csv.gz")
-    dated = listing.withColumn("date", files.path_date(F.col("path"), 2))
-    return files.newest_objects(dated, "date").select("date", F.col("path").endswith(".csv.gz").alias("is_gzip"))
+    """Newest object per tenant and day folder."""
+    path = F.col("path")
+    listing = files.object_listing(data.spark, _dated_files(data), "*.csv.gz").withColumns(
+        {"cmid": files.path_part(path, 3).cast("int"), "date": files.path_date(path, 2)}
+    )
+    return files.newest_objects(listing, "cmid", "date").select("cmid", "date", path.endswith(".csv.gz").alias("is_gzip"))
 
 
 @query

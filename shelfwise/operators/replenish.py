@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions.codes import can_order
 from shelfwise.functions.numbers import zero_if_null
-from shelfwise.keys import PAIR, STORE
+from shelfwise.keys import ITEM, PAIR, STORE
 
 
 def future_demand(series: DataFrame) -> DataFrame:
@@ -86,14 +86,14 @@ def replenish_input(
     `products` has the pair key, `foreign_store_name` and `foreign_item_name`; `packs`
     (cmid, foreign_item_id, mfu); `cycles` (cmid, foreign_store_id, period_type_num);
     `series` is one row per day key with `quantity` and `sale_quantity`. The opening
-    stock is the stock of the earliest day.
+    stock is the stock of the earliest day. The series is joined last, so its rows stay
+    spread by store item and never move by store or item alone.
     """
     first_day = Window.partitionBy(*PAIR).orderBy("date")
     opened = series.withColumn("opening_stock", F.first("quantity").over(first_day))
+    configured = products.join(packs, ITEM, "left").join(cycles, STORE, "left")
     return (
-        products.join(opened, PAIR, "left")
-        .join(packs, ["cmid", "foreign_item_id"], "left")
-        .join(cycles, STORE, "left")
+        configured.join(opened, PAIR, "left")
         .select(
             *PAIR,
             "foreign_store_name",

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.functions.numbers import zero_if_null
-from shelfwise.keys import DISCONTINUED_STATUSES
+from shelfwise.keys import DISCONTINUED_STATUSES, ITEM
 from shelfwise.sources import layouts
 
 # Object layout of the source systems; `day_layout` also accepts key=value folders.
@@ -116,8 +116,7 @@ def reject_malformed(goods: DataFrame, prices: Sequence[str] = ("lastin_price",
     is_bad = F.lit(False)
     for price in prices:
         is_bad = is_bad | (F.col(price).isNotNull() & F.col(price).try_cast("double").isNull())
-    bad_items = goods.filter(is_bad).select("foreign_item_id").distinct()
-    return goods.join(bad_items, "foreign_item_id", "left_anti")
+    return goods.join(goods.filter(is_bad).select(*ITEM).distinct(), ITEM, "left_anti")
 
 
 def clean_goods(raw: DataFrame) -> DataFrame:
