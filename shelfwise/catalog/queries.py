@@ -404,7 +404,7 @@ def latest_delivery(data: Data) -> DataFrame:
 
 @query
 def asof_suggestion(data: Data) -> DataFrame:
-    return stockout.asof_suggestion(data.l("suggestions"), data.l("delivery"))
+    return stockout.asof_suggestion(data.l("suggestions"), _reference_dates(data.l))
 
 
 @query

@@ -64,45 +64,35 @@ def latest_delivery(delivery: DataFrame) -> DataFrame:
     )
 
 
-def _newest_day(near: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of the newest day per key.
-
-    The day is a grouped maximum joined back, so the rows of a large store are never
-    gathered in one window partition.
-    """
-    return near.join(near.groupBy(*keys).agg(F.max("date").alias("date")), [*keys, "date"])
-
-
-def asof_suggestion(suggestions: DataFrame, delivery: DataFrame) -> DataFrame:
-    """Suggestion of each store's order day, or of the day before it.
+def asof_store_snapshot(snapshots: DataFrame, as_of) -> DataFrame:
+    """Store snapshot of the day, or of the day before for tenants without one.
 
-    The order day is the day before the last delivery. The fallback is taken per store for
-    the whole day, never item by item.
+    The day is a grouped maximum joined back, so a large tenant is never gathered in one
+    window partition.
     """
-    order_day = F.date_sub("delivery_date", 1)
-    near = suggestions.join(last_delivery_date(delivery), STORE).filter(
-        F.col("date").between(F.date_sub(order_day, 1), order_day)
-    )
-    return _newest_day(near, STORE).select(*PAIR, "date", "fill_qty")
-
-
-def asof_store_snapshot(snapshots: DataFrame, as_of) -> DataFrame:
-    """Store snapshot of the day, or of the day before for tenants without one."""
     end = as_date(as_of)
-    return _newest_day(snapshots.filter(F.col("date").between(F.date_sub(end, 1), end)), ["cmid"])
+    near = snapshots.filter(F.col("date").between(F.date_sub(end, 1), end))
+    return near.join(near.groupBy("cmid").agg(F.max("date").alias("date")), ["cmid", "date"])
 
 
 def reference_dates(delivery: DataFrame, suggestions: DataFrame) -> DataFrame:
-    """Delivery, order and suggestion day of each store; the suggestion day falls back by one.
+    """Delivery, order and suggestion day of each store.
+
+    The order day is the day before the last central delivery. The suggestion day is the
+    order day if the store has any suggestion on it, else the day before: the fallback is
+    taken for the whole day, never item by item.
 
-    One row per store. Summary and detail both join it to large facts, so write it as a
-    table and pass the table: its size is then known and small ones are broadcast.
+    One row per store. The report joins it to large facts, so write it as a table and
+    pass the table: its size is then known and a small one is broadcast.
     """
     dates = last_delivery_date(delivery).withColumn("require_date", F.date_sub("delivery_date", 1))
-    ordered = (
-        suggestions.select(*STORE, F.col("date").alias("require_date")).distinct().withColumn("suggested", F.lit(True))
+    suggested = (
+        suggestions.select(*STORE, F.col("date").alias("require_date"))
+        .join(dates.select(*STORE, "require_date"), [*STORE, "require_date"], "left_semi")
+        .distinct()
+        .withColumn("suggested", F.lit(True))
     )
-    return dates.join(ordered, [*STORE, "require_date"], "left").select(
+    return dates.join(suggested, [*STORE, "require_date"], "left").select(
         *STORE,
         "delivery_date",
         "require_date",
@@ -110,10 +100,29 @@ def reference_dates(delivery: DataFrame, suggestions: DataFrame) -> DataFrame:
     )
 
 
-def _on_day(table: DataFrame, dates: DataFrame, day: Column, value: str, alias: str, date: str = "date") -> DataFrame:
-    """`value` of the rows that fall on the store's own reference day."""
-    chosen = dates.select(*STORE, day.alias(date))
-    return table.join(chosen, [*STORE, date]).select(*PAIR, F.col(value).cast(MONEY).alias(alias))
+def _within(table: DataFrame, column: str, dates: DataFrame, day: Column) -> DataFrame:
+    """Rows between the earliest and the latest reference day of any store.
+
+    The bounds are scalar subqueries: they are known before the scan starts and skip the
+    other date partitions of a long history.
+    """
+    first, last = dates.select(F.min(day)).scalar(), dates.select(F.max(day)).scalar()
+    return table.filter(F.col(column).between(first, last))
+
+
+def _on_day(table: DataFrame, dates: DataFrame, day: Column, column: str = "date") -> DataFrame:
+    """Rows that fall on the store's own reference day."""
+    chosen = dates.select(*STORE, day.alias(column))
+    return _within(table, column, dates, day).join(chosen, [*STORE, column])
+
+
+def asof_suggestion(suggestions: DataFrame, dates: DataFrame) -> DataFrame:
+    """Suggestions of each store's suggestion day (S17); `dates` comes from `reference_dates`."""
+    return _on_day(suggestions, dates, F.col("suggest_date")).select(*PAIR, "date", "fill_qty")
+
+
+def _measure(rows: DataFrame, column: str, alias: str) -> DataFrame:
+    return rows.select(*PAIR, F.col(column).cast(MONEY).alias(alias))
 
 
 def _cause_sources(
@@ -127,13 +136,14 @@ def _cause_sources(
     statuses: Sequence[str],
 ) -> list[DataFrame]:
     central = delivery.filter(F.col("delivery_type") == CENTRAL_DELIVERY)
-    require_date = F.col("require_date")
     return [
         cm_sku.filter(F.col("busgate").isin(list(statuses))).select(*PAIR, F.lit(True).alias("listed")),
-        inventory.filter(F.col("date") == as_date(as_of)).select(*PAIR, F.col("quantity").cast(MONEY).alias("stock")),
-        _on_day(require_orders, dates, require_date, "order_qty", "ordered"),
-        _on_day(suggestions, dates, F.col("suggest_date"), "fill_qty", "suggested"),
-        _on_day(central, dates, F.col("delivery_date"), "delivery_qty", "delivered", date="delivery_date"),
+        _measure(inventory.filter(F.col("date") == as_date(as_of)), "quantity", "stock"),
+        _measure(_on_day(require_orders, dates, F.col("require_date")), "order_qty", "ordered"),
+        _measure(_on_day(suggestions, dates, F.col("suggest_date")), "fill_qty", "suggested"),
+        _measure(
+            _on_day(central, dates, F.col("delivery_date"), "delivery_date"), "delivery_qty", "delivered"
+        ),
     ]
 
 
@@ -144,7 +154,7 @@ def _history_sources(
     last_week = rolling(date, as_of, 7)
     return [
         aa_sku.select(*PAIR, F.lit(True).alias("aa")),
-        _on_day(inventory, dates, F.date_sub("require_date", 1), "quantity", "order_stock"),
+        _measure(_on_day(inventory, dates, F.date_sub("require_date", 1)), "quantity", "order_stock"),
         cost_60d(cost, as_of).select(
             *PAIR,
             date.alias("sale_date"),
@@ -285,7 +295,11 @@ def stockout_detail(
     ).filter(_is_empty())
     returned = refunds.groupBy(*PAIR).agg(F.max("method").alias("method"))
     named = goods.groupBy(*ITEM).agg(F.max(F.struct("show_code", "item_name")).alias("goods"))
-    held = warehouse.groupBy(*ITEM, F.col("date").alias("require_date")).agg(F.max("stock_qty").alias("warehouse"))
+    held = (
+        _within(warehouse, "date", dates, F.col("require_date"))
+        .groupBy(*ITEM, F.col("date").alias("require_date"))
+        .agg(F.max("stock_qty").alias("warehouse"))
+    )
 
     def amount(column: str) -> Column:
         return zero_if_null(column).cast("double")
