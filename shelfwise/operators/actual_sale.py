@@ -30,7 +30,8 @@ def unique_daily_series(cost: DataFrame, inventory: DataFrame, as_of, window_day
 
     The stacked facts are spread by (tenant, store, item) once; merging the two sides of
     a day and everything computed per store item afterwards reuse that spread. A store
-    item holds at most two rows per window day, so no partition can run hot.
+    item holds at most two rows per window day, so no partition can run hot. The result
+    has one row per day key whatever comes in: stray repeats are added up.
     """
     sold = in_window(cost, as_of, window_days).select(*DAY, "sale_quantity")
     held = in_window(inventory, as_of, window_days).select(*DAY, "quantity")
@@ -39,8 +40,8 @@ def unique_daily_series(cost: DataFrame, inventory: DataFrame, as_of, window_day
         .repartition(*PAIR)
         .groupBy(*DAY)
         .agg(
-            zero_if_null(F.max("quantity")).alias("quantity"),
-            zero_if_null(F.max("sale_quantity")).alias("sale_quantity"),
+            zero_if_null(F.sum("quantity")).alias("quantity"),
+            zero_if_null(F.sum("sale_quantity")).alias("sale_quantity"),
         )
     )
 
