@@ -10,6 +10,7 @@ others to tenant 85.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -184,12 +185,12 @@ SHARED = {
 
 
 def loader(spark: SparkSession, sf_dir: str, texts: dict[str, str]) -> Callable[[str], DataFrame]:
-    """Function that builds one derived table by name."""
+    """Function that builds one derived table by name; base files are opened once."""
+    base = functools.cache(lambda table: spark.read.parquet(f"{sf_dir}/{table}.parquet"))
 
     def load(name: str) -> DataFrame:
         text = texts[name].replace('"', "`")
-        used = [table for table in BASE_TABLES if f"{{{table}}}" in text]
-        return spark.sql(text, **{t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in used})
+        return spark.sql(text, **{table: base(table) for table in BASE_TABLES if f"{{{table}}}" in text})
 
     return load
 

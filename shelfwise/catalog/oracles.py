@@ -355,7 +355,7 @@ ORACLES: dict[str, str] = {
       UNION ALL SELECT {DAY}, quantity FROM inventory WHERE date = DATE '2001-06-30'""",
     "upsert_partition": ctes(LINEITEM, "cost", "inventory")
     + f""", fresh AS (SELECT {DAY}, quantity FROM inventory WHERE date >= DATE '2001-06-30')
-      SELECT {DAY}, sale_quantity FROM cost WHERE date NOT IN (SELECT date FROM fresh) UNION ALL SELECT * FROM fresh""",
+      SELECT {DAY}, sale_quantity FROM cost WHERE (cmid, date) NOT IN (SELECT cmid, date FROM fresh) UNION ALL SELECT * FROM fresh""",
     # presence, velocity, product information
     "full_sku": ctes(EVENTS, "cost", "inventory")
     + _joined("2024-01-31", 40)
