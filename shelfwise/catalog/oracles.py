@@ -401,7 +401,7 @@ ORACLES: dict[str, str] = {
     + _dates()
     + f"""SELECT s.cmid, s.foreign_store_id, s.foreign_item_id, s.date, s.fill_qty FROM suggestions s
       JOIN dates d ON d.cmid = s.cmid AND d.foreign_store_id = s.foreign_store_id AND d.suggest_date = s.date""",
-    "asof_store_snapshot": ctes(EVENTS, "inventory") + f"SELECT {DAY} FROM inventory WHERE date = DATE '2024-01-31'",
+    "asof_store_snapshot": ctes(EVENTS, "inventory") + f"SELECT {DAY} FROM inventory WHERE date = CASE WHEN cmid = 85 THEN DATE '2024-01-30' ELSE DATE '2024-01-31' END",
     "cost_60d": ctes(LINEITEM, "cost")
     + f"""SELECT {DAY}, sale_quantity FROM cost WHERE date BETWEEN DATE '{L_AS_OF}' - 29 AND DATE '{L_AS_OF}'
       UNION ALL SELECT {DAY}, sale_quantity FROM cost WHERE date >= DATE '{L_AS_OF}' - 59 AND date < DATE '{L_AS_OF}' - 29""",

@@ -409,8 +409,9 @@ def asof_suggestion(data: Data) -> DataFrame:
 
 @query
 def asof_store_snapshot(data: Data) -> DataFrame:
-    """Daily stock as the snapshot, per tenant; the wanted day is after the last one."""
-    return stockout.asof_store_snapshot(data.e("inventory").select(*DAY), "2024-02-01")
+    """Daily stock as the snapshot; tenant 85 stops one day earlier, so it falls back."""
+    last = F.col("date") < F.when(F.col("cmid") == 85, calendar.as_date("2024-01-31")).otherwise(calendar.as_date("2024-02-01"))
+    return stockout.asof_store_snapshot(data.e("inventory").select(*DAY).filter(last), "2024-01-31")
 
 
 @query
@@ -515,7 +516,7 @@ def store_info_load(data: Data) -> DataFrame:
 
 @query
 def product_exception_load(data: Data) -> DataFrame:
-    first = reports.first_suggestion_date(data.l("suggestion_files"), TODAY)
+    first = scratch.settle(reports.first_suggestion_date(data.l("suggestion_files")), "first_dates")
     return reports.product_exception_load(
         data.l("detail_sheet"), _enrolled(data), first, data.l("stores"), data.l("psd"), TODAY
     )

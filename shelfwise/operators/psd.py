@@ -78,7 +78,8 @@ def psd_inventory_driven(
     headquarters: str = HEADQUARTERS_STORE,
 ) -> DataFrame:
     """Velocity of stocked goods (C3): only days with an inventory row count, nor do sales
-    of other days. The average divides by 28 whatever the window. Ordered by velocity."""
+    of other days. The average divides by 28 whatever the window. Ordered by velocity; the
+    keys behind it keep the many items of equal velocity out of one sort partition."""
     outside = F.col("foreign_store_id") != headquarters
     activity = (
         day_level(
@@ -120,5 +121,5 @@ def psd_inventory_driven(
             (F.col("psd") * F.col("lastin_price")).alias("psd_cost"),
             as_date(as_of).alias("update_date"),
         )
-        .orderBy(F.col("psd").desc())
+        .orderBy(F.col("psd").desc(), *PAIR)
     )

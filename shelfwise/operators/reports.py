@@ -132,11 +132,11 @@ def store_info_load(sheet: DataFrame, stores: DataFrame) -> DataFrame:
     return open_stores_only(loaded, stores).select(*STORE_COLUMNS)
 
 
-def first_suggestion_date(suggestion_files: DataFrame, as_of) -> DataFrame:
+def first_suggestion_date(suggestion_files: DataFrame) -> DataFrame:
     """Date in the name of the oldest suggestion file per tenant.
 
-    `suggestion_files` is an object listing with cmid, path and modification time.
-    Tenants without a file get `as_of` where the result is joined.
+    `suggestion_files` is an object listing with cmid, path and modification time. The
+    result has one row per tenant; written as a table, it is broadcast.
     """
     name_date = F.to_date(F.regexp_extract("path", r"(\d{4}-\d{2}-\d{2})[^/]*$", 1))
     return (
@@ -157,7 +157,8 @@ def product_exception_load(
 ) -> DataFrame:
     """Detail rows of open stores with reason, velocity and go-live date.
 
-    `first_dates` has one `use_date` per tenant, see `first_suggestion_date`.
+    `first_dates` has one `use_date` per tenant, see `first_suggestion_date`; tenants
+    without one get `as_of`.
     """
     loaded = (
         load_detail(sheet, enrolled_stores)

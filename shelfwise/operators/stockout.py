@@ -67,12 +67,12 @@ def latest_delivery(delivery: DataFrame) -> DataFrame:
 def asof_store_snapshot(snapshots: DataFrame, as_of) -> DataFrame:
     """Store snapshot of the day, or of the day before for tenants without one.
 
-    The day is a grouped maximum joined back, so a large tenant is never gathered in one
-    window partition.
+    Rows of the day pass straight through; only those of the day before are checked.
     """
     end = as_date(as_of)
-    near = snapshots.filter(F.col("date").between(F.date_sub(end, 1), end))
-    return near.join(near.groupBy("cmid").agg(F.max("date").alias("date")), ["cmid", "date"])
+    today = snapshots.filter(F.col("date") == end)
+    yesterday = snapshots.filter(F.col("date") == F.date_sub(end, 1))
+    return today.unionByName(yesterday.join(today.select("cmid").distinct(), "cmid", "left_anti"))
 
 
 def reference_dates(delivery: DataFrame, suggestions: DataFrame) -> DataFrame:

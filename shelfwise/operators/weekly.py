@@ -38,7 +38,7 @@ def week_reasons(product_info: DataFrame, classes: int = 4) -> DataFrame:
             F.year("week").alias("y"),
             F.weekofyear("week").alias("wk"),
         )
-        .orderBy("date")
+        .orderBy("date", *STORE)
     )
 
 

@@ -1,7 +1,9 @@
 """The batch jobs: sources, operators and sinks put together, all tenants in one pass.
 
 `tables` holds the input frames by name (see FIXTURES.md); `out` is the root folder of the
-output tables. Every job may be run again for the same day without leaving duplicates.
+output. Daily tables are folders partitioned by tenant and date. Snapshots are catalog
+tables in `database`, replaced as a whole by a name swap. Every job may be run again for
+the same day without leaving duplicates.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ from shelfwise.operators import (
     weekly,
 )
 from shelfwise.sinks import tables as sinks
+from shelfwise.sources.scratch import settle
 
 Tables = Mapping[str, DataFrame]
 
@@ -36,19 +39,22 @@ def psd_job(tables: Tables, out: str, as_of: str, unique_days: bool = False) ->
     sinks.write_daily(result, f"{out}/psd_info", as_of)
 
 
-def product_info_job(tables: Tables, out: str, as_of: str, unique_days: bool = False) -> None:
-    """Snapshot of the product information, replaced per tenant (C4, K3)."""
+def _publish(df: DataFrame, out: str, database: str, table: str) -> None:
+    sinks.publish_swap(df, f"{database}.{table}", sinks.version_path(out, table))
+
+
+def product_info_job(
+    tables: Tables, out: str, as_of: str, unique_days: bool = False, database: str = "default"
+) -> None:
+    """Snapshot of the product information (C4, K3)."""
     names = ("cost", "inventory", "goods", "stores", "ways")
     result = product_info.product_info(*[tables[n] for n in names], as_of, unique_days=unique_days)
-    sinks.write_partitions(result, f"{out}/bd_product_info", ("cmid",))
+    _publish(result, out, database, "bd_product_info")
 
 
 def stockout_report_job(tables: Tables, out: str, as_of: str, statuses: Sequence[str]) -> None:
     """Summary and detail of the stock-out report."""
-    spark = tables["delivery"].sparkSession
-    dates_path = f"{out}/reference_dates/{as_of}"
-    stockout.reference_dates(tables["delivery"], tables["suggestions"]).write.mode("overwrite").parquet(dates_path)
-    dates = spark.read.parquet(dates_path)
+    dates = settle(stockout.reference_dates(tables["delivery"], tables["suggestions"]), "reference_dates")
     causes = [tables[n] for n in ("inventory", "cm_sku", "delivery", "suggestions", "require_orders")]
     labels = [tables[n] for n in ("aa_sku", "refunds", "warehouse", "goods", "stores")]
     day = F.lit(as_of).cast("date").alias("date")
@@ -66,24 +72,24 @@ def stockout_load_job(tables: Tables, out: str, as_of: str) -> None:
     sinks.write_daily(reports.store_info_load(summary, tables["stores"]), f"{out}/store_info", as_of)
     if detail.isEmpty():
         return
-    first = reports.first_suggestion_date(tables["suggestion_files"], as_of)
+    first = settle(reports.first_suggestion_date(tables["suggestion_files"]), "first_dates")
     loaded = reports.product_exception_load(
         detail, tables["use_cm_stores"], first, tables["stores"], tables["psd"], as_of
     )
     sinks.write_daily(loaded, f"{out}/store_product_info", as_of)
 
 
-def trial_job(tables: Tables, out: str, today: str) -> None:
+def trial_job(tables: Tables, out: str, today: str, database: str = "default") -> None:
     """Trial stores: replace the due days, then publish the new state."""
     stores = tables["trial_stores"]
     sinks.write_partitions(trial.trial_store_load(tables["summary_sheet"], stores, today), f"{out}/new_store_info")
     sinks.write_partitions(
         trial.trial_product_load(tables["detail_sheet"], stores, tables["psd"], today), f"{out}/new_store_product_info"
     )
-    trial.trial_state(stores, today).write.mode("overwrite").parquet(f"{out}/use_cm_stores/{today}")
+    _publish(trial.trial_state(stores, today), out, database, "use_cm_stores")
 
 
-def weekly_job(spark: SparkSession, tables: Tables, out: str, as_of: str) -> None:
+def weekly_job(spark: SparkSession, tables: Tables, out: str, as_of: str, database: str = "default") -> None:
     """Weekly tables from the monitoring tables under `out`."""
     store_info = spark.read.parquet(f"{out}/store_info")
     products = spark.read.parquet(f"{out}/store_product_info")
@@ -94,27 +100,30 @@ def weekly_job(spark: SparkSession, tables: Tables, out: str, as_of: str) -> Non
         "store_info_week": weekly.week_store_info_df(store_info, products, tables["stores"], as_of),
     }
     for name, df in results.items():
-        sinks.write_partitions(df, f"{out}/{name}", ("cmid",))
+        _publish(df, out, database, name)
 
 
 def assortment_job(
-    tables: Tables, out: str, as_of: str, days_delay: int = 0, ignored_categories: Sequence[str] = ()
+    tables: Tables,
+    out: str,
+    as_of: str,
+    days_delay: int = 0,
+    ignored_categories: Sequence[str] = (),
+    database: str = "default",
 ) -> None:
     """Store-item cache."""
     names = ("cost", "inventory", "goods", "stores")
     result = assortment.sku_cache(*[tables[n] for n in names], as_of, days_delay, ignored_categories)
-    sinks.write_partitions(result, f"{out}/bd_product_store", ("cmid",))
+    _publish(result, out, database, "bd_product_store")
 
 
-def supervisor_job(tables: Tables, out: str) -> None:
+def supervisor_job(tables: Tables, out: str, database: str = "default") -> None:
     """Store to supervisor map of every tenant (C20)."""
     people = supervisor.active_supervisors(tables["user_identity"], tables["identity"], tables["users"])
-    sinks.write_partitions(
-        supervisor.supervisor_map(people, tables["store_resources"]), f"{out}/store_supervisor", ("cmid",)
-    )
+    _publish(supervisor.supervisor_map(people, tables["store_resources"]), out, database, "store_supervisor")
 
 
-def replenish_job(tables: Tables, out: str, as_of: str) -> None:
+def replenish_job(tables: Tables, out: str, as_of: str, database: str = "default") -> None:
     """Replenishment history and the rows it had to leave out.
 
     Facts must hold one row per day key.
@@ -122,5 +131,5 @@ def replenish_job(tables: Tables, out: str, as_of: str) -> None:
     series = actual_sale.unique_daily_series(tables["cost"], tables["inventory"], as_of)
     cycles = tables["cycles"].select(*STORE, cycle_code(F.col("dly_cycle")).alias("period_type_num"))
     prepared = replenish.replenish_input(tables["products"], tables["packs"], cycles, series)
-    sinks.write_partitions(replenish.replenish_pipeline(prepared), f"{out}/bd_product_history", ("cmid",))
-    sinks.write_partitions(replenish.replenish_rejects(prepared), f"{out}/bd_product_history_rejects", ("cmid",))
+    _publish(replenish.replenish_pipeline(prepared), out, database, "bd_product_history")
+    _publish(replenish.replenish_rejects(prepared), out, database, "bd_product_history_rejects")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -106,8 +107,9 @@ def write_daily(df: DataFrame, path: str, day: str, retention_days: int = RETENT
 def publish_swap(df: DataFrame, table: str, path: str) -> None:
     """Write a new version beside the table, then swap names (K9).
 
-    `path` must be new for each version. Readers see the old version or the new one,
-    never a partial table.
+    `path` must be new for each version, see `version_path`. Readers see the old version
+    or the new one, never a partial table. The files of an old version stay for readers
+    that still use them, until the storage's lifecycle rule removes them.
     """
     spark = df.sparkSession
     staging, backup = f"{table}_staging", f"{table}_backup"
@@ -120,6 +122,10 @@ def publish_swap(df: DataFrame, table: str, path: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {backup}")
 
 
+def version_path(root: str, table: str) -> str:
+    return f"{root}/{table}/{uuid.uuid4().hex}"
+
+
 def mirror_tables(
     spark: SparkSession, tables: Sequence[str], publish: Callable[[DataFrame, str], None]
 ) -> None:

@@ -73,29 +73,28 @@ def inputs(spark):
     return tables
 
 
-def stored(spark, path):
-    return sorted(map(str, spark.read.parquet(path).collect()))
+def stored(df):
+    return sorted(map(str, df.collect()))
 
 
 def test_fact_jobs_can_be_repeated(spark, inputs, tmp_path):
     out = str(tmp_path)
-    jobs = {
-        "psd_info": lambda: daily.psd_job(inputs, out, "2024-01-30"),
-        "bd_product_info": lambda: daily.product_info_job(inputs, out, "2024-01-30"),
-        "stock_out_rate_detail/summary": lambda: daily.stockout_report_job(inputs, out, "2024-01-30", ["A", "N"]),
-        "stock_out_rate_detail/detail": lambda: None,
-        "bd_product_store": lambda: daily.assortment_job(inputs, out, "2024-01-30"),
-        "store_supervisor": lambda: daily.supervisor_job(inputs, out),
-        "bd_product_history": lambda: daily.replenish_job(inputs, out, "2024-01-30"),
-        "bd_product_history_rejects": lambda: None,
-    }
-    for job in jobs.values():
-        job()
-    first = {name: stored(spark, f"{out}/{name}") for name in jobs}
+    folders = ["psd_info", "stock_out_rate_detail/summary", "stock_out_rate_detail/detail"]
+    snapshots = ["bd_product_info", "bd_product_store", "store_supervisor", "bd_product_history", "bd_product_history_rejects"]
+
+    def run():
+        daily.psd_job(inputs, out, "2024-01-30")
+        daily.product_info_job(inputs, out, "2024-01-30")
+        daily.stockout_report_job(inputs, out, "2024-01-30", ["A", "N"])
+        daily.assortment_job(inputs, out, "2024-01-30")
+        daily.supervisor_job(inputs, out)
+        daily.replenish_job(inputs, out, "2024-01-30")
+        found = {name: stored(spark.read.parquet(f"{out}/{name}")) for name in folders}
+        return found | {name: stored(spark.table(name)) for name in snapshots}
+
+    first = run()
     assert all(first.values())
-    for job in jobs.values():
-        job()
-    assert {name: stored(spark, f"{out}/{name}") for name in jobs} == first
+    assert run() == first
 
 
 def test_monitoring_jobs(spark, tmp_path):
@@ -113,9 +112,9 @@ def test_monitoring_jobs(spark, tmp_path):
     assert info.count() == info.dropDuplicates(["cmid", "foreign_store_id", "date"]).count()
     daily.weekly_job(spark, tables, out, days[-1])
     for name in ("store_product_week", "new_store_product_week", "new_store_info_week", "store_info_week"):
-        assert not spark.read.parquet(f"{out}/{name}").isEmpty()
+        assert not spark.table(name).isEmpty()
     daily.trial_job(tables, out, "2001-06-30")
-    before = stored(spark, f"{out}/new_store_product_info")
+    before = stored(spark.read.parquet(f"{out}/new_store_product_info"))
     daily.trial_job(tables, out, "2001-06-30")
-    assert before and stored(spark, f"{out}/new_store_product_info") == before
-    assert spark.read.parquet(f"{out}/use_cm_stores/2001-06-30").count() == tables["trial_stores"].count()
+    assert before and stored(spark.read.parquet(f"{out}/new_store_product_info")) == before
+    assert spark.table("use_cm_stores").count() == tables["trial_stores"].count()
