@@ -427,7 +427,9 @@ ORACLES: dict[str, str] = {
     "load_summary": ctes(LINEITEM, "summary_sheet") + f"SELECT {_SUMMARY_COLUMNS} FROM summary_sheet h",
     "load_detail": ctes(LINEITEM, "detail_sheet", "stores")
     + _SHEET
-    + f"SELECT s.*, {_reason(_ENROLLED)} AS lost_reason, {_NO_SCORES} FROM sheet s",
+    + f"""SELECT s.*, {_reason(_ENROLLED)} AS lost_reason, {_NO_SCORES}, t.show_code AS store_show_code,
+      t.store_status = '闭店' AS is_closed, CASE WHEN t.property_id = 0 THEN true END AS enrolled
+      FROM sheet s LEFT JOIN stores t ON t.cmid = s.cmid AND t.foreign_store_id = s.foreign_store_id""",
     "open_stores_only": ctes(LINEITEM, "store_info", "stores")
     + f"SELECT * FROM store_info WHERE foreign_store_id NOT IN ({_CLOSED})",
     "join_psd": ctes(LINEITEM, "product_rows", "psd")

@@ -420,17 +420,17 @@ def cost_60d(data: Data) -> DataFrame:
 
 
 def _reference_dates(table: Callable[[str], DataFrame]) -> DataFrame:
-    return scratch.settle(stockout.reference_dates(table("delivery"), table("suggestions")), "reference_dates")
+    return scratch.settle(stockout.reference_dates(table("delivery"), table("suggestions"), table("stores")), "reference_dates")
 
 
 def _summary(table: Callable[[str], DataFrame], as_of: str) -> DataFrame:
-    names = ["inventory", "cm_sku", "delivery", "suggestions", "require_orders", "stores"]
+    names = ["inventory", "cm_sku", "delivery", "suggestions", "require_orders"]
     return stockout.stockout_summary(*[table(n) for n in names], _reference_dates(table), as_of, STATUSES)
 
 
 def _detail(table: Callable[[str], DataFrame], as_of: str) -> DataFrame:
     names = ["cost", "inventory", "cm_sku", "delivery", "suggestions", "require_orders", "aa_sku"]
-    names += ["refunds", "warehouse", "goods", "stores"]
+    names += ["refunds", "warehouse", "goods"]
     return stockout.stockout_detail(*[table(n) for n in names], _reference_dates(table), as_of, STATUSES)
 
 
@@ -457,13 +457,15 @@ def stockout_detail_dense(data: Data) -> DataFrame:
 # --- reasons and loads -----------------------------------------------------------------
 
 
-def _enrolled(data: Data) -> DataFrame:
-    return data.l("stores").filter(F.col("property_id") == 0)
+def _labels(data: Data) -> DataFrame:
+    """Stores with property 0 are enrolled."""
+    stores = data.l("stores")
+    return scratch.settle(reports.store_labels(stores, stores.filter(F.col("property_id") == 0)), "store_labels")
 
 
 @query
 def lost_reason(data: Data) -> DataFrame:
-    return reports.load_detail(data.l("detail_sheet"), _enrolled(data)).select(
+    return reports.load_detail(data.l("detail_sheet"), _labels(data)).select(
         *STORE, "item_show_code", "date", "cm_suggest", "store_book", "inv_delivery", "lost_reason"
     )
 
@@ -496,7 +498,7 @@ def load_summary(data: Data) -> DataFrame:
 
 @query
 def load_detail(data: Data) -> DataFrame:
-    return reports.load_detail(data.l("detail_sheet"), _enrolled(data))
+    return reports.load_detail(data.l("detail_sheet"), _labels(data)).drop("is_known")
 
 
 @query
@@ -511,15 +513,13 @@ def join_psd(data: Data) -> DataFrame:
 
 @query
 def store_info_load(data: Data) -> DataFrame:
-    return reports.store_info_load(data.l("summary_sheet"), data.l("stores"))
+    return reports.store_info_load(data.l("summary_sheet"), _labels(data))
 
 
 @query
 def product_exception_load(data: Data) -> DataFrame:
     first = scratch.settle(reports.first_suggestion_date(data.l("suggestion_files")), "first_dates")
-    return reports.product_exception_load(
-        data.l("detail_sheet"), _enrolled(data), first, data.l("stores"), data.l("psd"), TODAY
-    )
+    return reports.product_exception_load(data.l("detail_sheet"), _labels(data), first, data.l("psd"), TODAY)
 
 
 @query

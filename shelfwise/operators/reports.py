@@ -59,17 +59,38 @@ def detail_rows(sheet: DataFrame) -> DataFrame:
     )
 
 
-def load_detail(sheet: DataFrame, enrolled_stores: DataFrame) -> DataFrame:
-    """Detail sheet with reason codes; enrolled stores are judged by the suggestion."""
+def store_labels(stores: DataFrame, enrolled_stores: DataFrame) -> DataFrame:
+    """What the loads need to know about a store, one row per store.
+
+    Written as a table and passed on, it gives every load a single join by store: small
+    tables are broadcast, and beyond that size a store with very many rows can still be
+    split by adaptive execution, which a chain of joins on one key would prevent.
+    """
+    known = stores.select(
+        *STORE,
+        F.col("show_code").alias("store_show_code"),
+        F.coalesce(F.col("store_status") == CLOSED_STATUS, F.lit(False)).alias("is_closed"),
+        F.lit(True).alias("is_known"),
+    )
     enrolled = enrolled_stores.select(*STORE).distinct().withColumn("enrolled", F.lit(True))
-    judged = detail_rows(sheet).join(enrolled, STORE, "left")
-    return judged.withColumn("lost_reason", lost_reason(F.col("enrolled"))).drop("enrolled")
+    return known.join(enrolled, STORE, "full")
+
+
+def load_detail(sheet: DataFrame, labels: DataFrame) -> DataFrame:
+    """Detail sheet with reason codes; enrolled stores are judged by the suggestion."""
+    judged = detail_rows(sheet).join(labels, STORE, "left")
+    return judged.withColumn("lost_reason", lost_reason(F.col("enrolled")))
+
 
+def judge_by_date(rows: DataFrame, trial_stores: DataFrame, how: str = "left") -> DataFrame:
+    """Detail rows judged by the suggestion from the store's go-live date on.
 
-def judge_by_date(rows: DataFrame, trial_stores: DataFrame) -> DataFrame:
-    """Detail rows judged by the suggestion from the store's go-live date on."""
-    live = trial_stores.select(*STORE, F.col("date").alias("use_date"))
-    return rows.join(live, STORE, "left").withColumn("lost_reason", lost_reason(F.col("date") >= F.col("use_date")))
+    Rows of other stores are judged by the booking, or left out with `how="inner"`.
+    """
+    live = trial_stores.select(
+        *STORE, F.col("date").alias("use_date"), F.col("show_code").alias("store_show_code")
+    )
+    return rows.join(live, STORE, how).withColumn("lost_reason", lost_reason(F.col("date") >= F.col("use_date")))
 
 
 def open_stores_only(df: DataFrame, stores: DataFrame) -> DataFrame:
@@ -122,14 +143,10 @@ STORE_COLUMNS = [
 ]
 
 
-def _show_codes(stores: DataFrame) -> DataFrame:
-    return stores.select(*STORE, F.col("show_code").alias("store_show_code"))
-
-
-def store_info_load(sheet: DataFrame, stores: DataFrame) -> DataFrame:
+def store_info_load(sheet: DataFrame, labels: DataFrame) -> DataFrame:
     """Summary rows of known, open stores, ready for the store table (C11)."""
-    loaded = load_summary(sheet).join(_show_codes(stores), STORE)
-    return open_stores_only(loaded, stores).select(*STORE_COLUMNS)
+    open_stores = labels.filter(F.col("is_known") & ~F.col("is_closed"))
+    return load_summary(sheet).join(open_stores, STORE).select(*STORE_COLUMNS)
 
 
 def first_suggestion_date(suggestion_files: DataFrame) -> DataFrame:
@@ -148,22 +165,17 @@ def first_suggestion_date(suggestion_files: DataFrame) -> DataFrame:
 
 
 def product_exception_load(
-    sheet: DataFrame,
-    enrolled_stores: DataFrame,
-    first_dates: DataFrame,
-    stores: DataFrame,
-    psd: DataFrame,
-    as_of,
+    sheet: DataFrame, labels: DataFrame, first_dates: DataFrame, psd: DataFrame, as_of
 ) -> DataFrame:
-    """Detail rows of open stores with reason, velocity and go-live date.
+    """Detail rows of stores not closed, with reason, velocity and go-live date.
 
-    `first_dates` has one `use_date` per tenant, see `first_suggestion_date`; tenants
-    without one get `as_of`.
+    `labels` comes from `store_labels`. `first_dates` has one `use_date` per tenant, see
+    `first_suggestion_date`; tenants without one get `as_of`.
     """
     loaded = (
-        load_detail(sheet, enrolled_stores)
+        load_detail(sheet, labels)
+        .filter(~F.coalesce("is_closed", F.lit(False)))
         .join(first_dates.select("cmid", "use_date"), "cmid", "left")
         .withColumn("use_date", F.coalesce("use_date", as_date(as_of)))
-        .join(_show_codes(stores), STORE, "left")
     )
-    return open_stores_only(join_psd(loaded, psd), stores).select(*PRODUCT_COLUMNS)
+    return join_psd(loaded, psd).select(*PRODUCT_COLUMNS)

@@ -75,15 +75,16 @@ def asof_store_snapshot(snapshots: DataFrame, as_of) -> DataFrame:
     return today.unionByName(yesterday.join(today.select("cmid").distinct(), "cmid", "left_anti"))
 
 
-def reference_dates(delivery: DataFrame, suggestions: DataFrame) -> DataFrame:
-    """Delivery, order and suggestion day of each store.
+def reference_dates(delivery: DataFrame, suggestions: DataFrame, stores: DataFrame) -> DataFrame:
+    """Delivery, order and suggestion day of each store beside its name and property.
 
     The order day is the day before the last central delivery. The suggestion day is the
     order day if the store has any suggestion on it, else the day before: the fallback is
     taken for the whole day, never item by item.
 
-    One row per store. The report joins it to large facts, so write it as a table and
-    pass the table: its size is then known and a small one is broadcast.
+    One row per store, stores without a delivery included. The report joins it to large
+    facts, so write it as a table and pass the table: its size is then known, a small one
+    is broadcast, and with a large one a hot store can still be split.
     """
     dates = last_delivery_date(delivery).withColumn("require_date", F.date_sub("delivery_date", 1))
     suggested = (
@@ -92,11 +93,19 @@ def reference_dates(delivery: DataFrame, suggestions: DataFrame) -> DataFrame:
         .distinct()
         .withColumn("suggested", F.lit(True))
     )
-    return dates.join(suggested, [*STORE, "require_date"], "left").select(
-        *STORE,
-        "delivery_date",
-        "require_date",
-        F.when(F.col("suggested"), F.col("require_date")).otherwise(F.date_sub("require_date", 1)).alias("suggest_date"),
+    named = stores.groupBy(*STORE).agg(F.max(F.struct("store_name", "property_id")).alias("store"))
+    suggest_date = F.when(F.col("suggested"), F.col("require_date")).otherwise(F.date_sub("require_date", 1))
+    return (
+        dates.join(suggested, [*STORE, "require_date"], "left")
+        .join(named, STORE, "full")
+        .select(
+            *STORE,
+            "store.store_name",
+            "store.property_id",
+            "delivery_date",
+            "require_date",
+            suggest_date.alias("suggest_date"),
+        )
     )
 
 
@@ -195,21 +204,12 @@ def _is_empty() -> Column:
     return zero_if_null("stock_sum") == 0
 
 
-def _one_per_store(stores: DataFrame) -> DataFrame:
-    return (
-        stores.groupBy(*STORE)
-        .agg(F.max(F.struct("store_name", "property_id")).alias("store"))
-        .select(*STORE, "store.store_name", "store.property_id")
-    )
-
-
 def stockout_summary(
     inventory: DataFrame,
     cm_sku: DataFrame,
     delivery: DataFrame,
     suggestions: DataFrame,
     require_orders: DataFrame,
-    stores: DataFrame,
     dates: DataFrame,
     as_of,
     statuses: Sequence[str],
@@ -234,9 +234,7 @@ def stockout_summary(
     )
     lost_sku = F.col("lost_sku")
     return (
-        counted.join(dates, STORE, "left")
-        .join(_one_per_store(stores), STORE, "left")
-        .select(
+        counted.join(dates, STORE, "left").select(
             "cmid",
             "store_name",
             "foreign_store_id",
@@ -268,7 +266,6 @@ def stockout_detail(
     refunds: DataFrame,
     warehouse: DataFrame,
     goods: DataFrame,
-    stores: DataFrame,
     dates: DataFrame,
     as_of,
     statuses: Sequence[str],
@@ -308,7 +305,6 @@ def stockout_detail(
         _listed(items, store_ids)
         .join(returned, PAIR, "left")
         .join(dates, STORE, "left")
-        .join(_one_per_store(stores), STORE, "left")
         .join(named, ITEM, "left")
         .join(held, [*ITEM, "require_date"], "left")
         .select(

@@ -35,21 +35,18 @@ def _due_rows(rows: DataFrame, trial_stores: DataFrame, today) -> DataFrame:
     return rows.join(trial_expand(trial_stores, today).distinct(), [*STORE, "date"], "left_semi")
 
 
-def _show_codes(trial_stores: DataFrame) -> DataFrame:
-    return trial_stores.filter(is_candidate()).select(*STORE, F.col("show_code").alias("store_show_code"))
-
-
 def trial_store_load(summary_sheet: DataFrame, trial_stores: DataFrame, today) -> DataFrame:
     """Summary rows of the due store days."""
     due = _due_rows(load_summary(summary_sheet), trial_stores, today)
-    return due.join(_show_codes(trial_stores), STORE).select(*STORE_COLUMNS)
+    codes = trial_stores.filter(is_candidate()).select(*STORE, F.col("show_code").alias("store_show_code"))
+    return due.join(codes, STORE).select(*STORE_COLUMNS)
 
 
 def trial_product_load(detail_sheet: DataFrame, trial_stores: DataFrame, psd: DataFrame, today) -> DataFrame:
     """Detail rows of the due store days with reason by go-live date and velocity."""
     due = _due_rows(detail_rows(detail_sheet), trial_stores, today)
-    loaded = judge_by_date(due, trial_stores.filter(is_candidate())).join(_show_codes(trial_stores), STORE)
-    return join_psd(loaded, psd).select(*PRODUCT_COLUMNS)
+    judged = judge_by_date(due, trial_stores.filter(is_candidate()), "inner")
+    return join_psd(judged, psd).select(*PRODUCT_COLUMNS)
 
 
 def trial_state(trial_stores: DataFrame, today) -> DataFrame:

@@ -54,11 +54,13 @@ def product_info_job(
 
 def stockout_report_job(tables: Tables, out: str, as_of: str, statuses: Sequence[str]) -> None:
     """Summary and detail of the stock-out report."""
-    dates = settle(stockout.reference_dates(tables["delivery"], tables["suggestions"]), "reference_dates")
+    dates = settle(
+        stockout.reference_dates(tables["delivery"], tables["suggestions"], tables["stores"]), "reference_dates"
+    )
     causes = [tables[n] for n in ("inventory", "cm_sku", "delivery", "suggestions", "require_orders")]
-    labels = [tables[n] for n in ("aa_sku", "refunds", "warehouse", "goods", "stores")]
+    labels = [tables[n] for n in ("aa_sku", "refunds", "warehouse", "goods")]
     day = F.lit(as_of).cast("date").alias("date")
-    summary = stockout.stockout_summary(*causes, tables["stores"], dates, as_of, statuses)
+    summary = stockout.stockout_summary(*causes, dates, as_of, statuses)
     detail = stockout.stockout_detail(tables["cost"], *causes, *labels, dates, as_of, statuses)
     sinks.write_report(summary.select("*", day), detail.select("*", day), f"{out}/stock_out_rate_detail")
 
@@ -69,13 +71,12 @@ def stockout_load_job(tables: Tables, out: str, as_of: str) -> None:
     summary, detail = tables["summary_sheet"].filter(day), tables["detail_sheet"].filter(day)
     if summary.isEmpty():
         return
-    sinks.write_daily(reports.store_info_load(summary, tables["stores"]), f"{out}/store_info", as_of)
+    labels = settle(reports.store_labels(tables["stores"], tables["use_cm_stores"]), "store_labels")
+    sinks.write_daily(reports.store_info_load(summary, labels), f"{out}/store_info", as_of)
     if detail.isEmpty():
         return
     first = settle(reports.first_suggestion_date(tables["suggestion_files"]), "first_dates")
-    loaded = reports.product_exception_load(
-        detail, tables["use_cm_stores"], first, tables["stores"], tables["psd"], as_of
-    )
+    loaded = reports.product_exception_load(detail, labels, first, tables["psd"], as_of)
     sinks.write_daily(loaded, f"{out}/store_product_info", as_of)
 
 

@@ -75,29 +75,29 @@ CAUSES = ["inventory", "cm_sku", "delivery", "suggestions", "require_orders"]
 
 def test_summary(spark):
     t = report_inputs(spark)
-    dates = stockout.reference_dates(t["delivery"], t["suggestions"])
-    rows = stockout.stockout_summary(*[t[n] for n in CAUSES], t["stores"], dates, END, ["A"]).collect()
+    dates = stockout.reference_dates(t["delivery"], t["suggestions"], t["stores"])
+    rows = stockout.stockout_summary(*[t[n] for n in CAUSES], dates, END, ["A"]).collect()
     a, b = sorted(rows, key=lambda r: r.foreign_store_id)
     assert (a.lost_sku, a.all_sku, a.store_lost_rate, a.store_type) == (2, 4, 0.5, "直营")
     assert (a.un_suggest, a.un_order, a.un_deliver) == (1, 1, 1)
     assert (a.suggest_date, a.require_date, a.delivery_date) == (D(2024, 1, 26), D(2024, 1, 27), D(2024, 1, 28))
     assert (b.lost_sku, b.un_suggest_rate, b.delivery_date, b.store_type) == (1, 1.0, None, "加盟")
-    only = stockout.stockout_summary(*[t[n] for n in CAUSES], t["stores"], dates, END, ["A"], ["b"]).collect()
+    only = stockout.stockout_summary(*[t[n] for n in CAUSES], dates, END, ["A"], ["b"]).collect()
     assert [r.foreign_store_id for r in only] == ["b"]
 
 
 def test_summary_without_empty_items(spark):
     t = report_inputs(spark)
-    dates = stockout.reference_dates(t["delivery"], t["suggestions"])
+    dates = stockout.reference_dates(t["delivery"], t["suggestions"], t["stores"])
     t["cm_sku"] = t["cm_sku"].filter("foreign_item_id = 'full'")
-    [row] = stockout.stockout_summary(*[t[n] for n in CAUSES], t["stores"], dates, END, ["A"]).collect()
+    [row] = stockout.stockout_summary(*[t[n] for n in CAUSES], dates, END, ["A"]).collect()
     assert (row.lost_sku, row.store_lost_rate, row.un_order_rate) == (0, 0.0, None)
 
 
 def test_detail(spark):
     t = report_inputs(spark)
-    dates = stockout.reference_dates(t["delivery"], t["suggestions"])
-    names = ["cost", *CAUSES, "aa_sku", "refunds", "warehouse", "goods", "stores"]
+    dates = stockout.reference_dates(t["delivery"], t["suggestions"], t["stores"])
+    names = ["cost", *CAUSES, "aa_sku", "refunds", "warehouse", "goods"]
     rows = {
         (r.foreign_store_id, r.foreign_item_id): r
         for r in stockout.stockout_detail(*[t[n] for n in names], dates, END, ["A"]).collect()
@@ -121,7 +121,7 @@ def test_allowed_statuses():
 def test_exact_suggestion_day_wins(spark):
     t = report_inputs(spark)
     exact = table(spark, f"{KEY}, date date, fill_qty bigint", (43, "a", "other", D(2024, 1, 27), 1))
-    dates = stockout.reference_dates(t["delivery"], t["suggestions"].union(exact))
+    dates = stockout.reference_dates(t["delivery"], t["suggestions"].union(exact), t["stores"])
     rows = stockout.asof_suggestion(t["suggestions"].union(exact), dates).collect()
     assert [(r.foreign_item_id, r.date) for r in rows] == [("other", D(2024, 1, 27))]
 
@@ -189,8 +189,26 @@ def test_store_load_drops_unknown_and_closed_stores(spark):
         spark, "cmid int, foreign_store_id string, show_code string, store_status string",
         (43, "open", "SO", None), (43, "closed", "SC", "闭店"), (85, "unknown", "SU", "营业"),
     )
-    [row] = reports.store_info_load(sheet, stores).collect()
+    enrolled = table(spark, "cmid int, foreign_store_id string", (43, "open"), (43, "open"), (43, "unknown"))
+    labels = reports.store_labels(stores, enrolled)
+    [row] = reports.store_info_load(sheet, labels).collect()
     assert (row.foreign_store_id, row.store_show_code, row.date, row.store_score) == ("open", "SO", END, None)
+    detail = table(
+        spark, "cmid int, `门店ID` string, `商品名称` string, `当前库存` double, `商品show_code` string, `今日销量` double, `密度` string, "
+        "`原因` string, `上上次建议单` double, `上上次订货单` double, `上次送货单` double, date string",
+        *[(43, s, "n", 1.0, "P", 1.0, "低", None, 5.0, 9.0, 1.0, "2024-01-30") for s in ("open", "closed", "unknown", "nowhere")],
+    )
+    first = table(spark, "cmid int, use_date date", (85, D(2020, 1, 1)))
+    psd = table(
+        spark, "cmid int, foreign_store_id string, foreign_item_id string, item_show_code string, date date, psd_cost double",
+        (43, "open", "i", "P", END, 2.5), (43, "unknown", "i", "P", D(2024, 1, 29), 9.9),
+    )
+    rows = {r.foreign_store_id: r for r in reports.product_exception_load(detail, labels, first, psd, END).collect()}
+    assert set(rows) == {"open", "unknown", "nowhere"}
+    assert {k: (r.lost_reason, r.store_show_code, r.psd_cost) for k, r in rows.items()} == {
+        "open": (3, "SO", 2.5), "unknown": (3, None, None), "nowhere": (3, None, None),
+    }
+    assert rows["open"].use_date == END and rows["open"].strategy_type == "规则"
 
 
 def test_trial_state_and_days(spark):
