@@ -27,7 +27,10 @@ def _joined(as_of: str, days: int) -> str:
 """
 
 
-def _psd(texts, as_of, days, flag="listed", goods="SELECT * FROM goods", where="", codes="g.show_code IS NOT NULL") -> str:
+_ACTIVE = "SELECT * FROM goods WHERE item_status IS NULL OR item_status NOT IN ('淘汰', '淘汰品')"
+
+
+def _psd(texts, as_of, days, flag="listed", goods=_ACTIVE, where="", codes="g.show_code IS NOT NULL") -> str:
     return (
         ctes(texts, "cost", "inventory", "goods", "stores")
         + _joined(as_of, days)
@@ -51,7 +54,7 @@ def _product_info(texts, as_of, days, flag, keep_nulls) -> str:
         + f""", j AS (SELECT s.*, g.item_name, g.item_status, g.show_code, g.barcode, g.lastin_price, g.sale_price,
       st.store_name, st.store_status, w.alc_way
       FROM sku s
-      LEFT JOIN goods g ON g.cmid = s.cmid AND g.foreign_item_id = s.foreign_item_id
+      LEFT JOIN ({"SELECT * FROM goods" if keep_nulls else _ACTIVE}) g ON g.cmid = s.cmid AND g.foreign_item_id = s.foreign_item_id
       LEFT JOIN stores st ON st.cmid = s.cmid AND st.foreign_store_id = s.foreign_store_id
       LEFT JOIN ways w ON w.cmid = s.cmid AND w.foreign_store_id = s.foreign_store_id AND w.foreign_item_id = s.foreign_item_id
       WHERE s.foreign_store_id <> '1000000'),
@@ -363,12 +366,13 @@ ORACLES: dict[str, str] = {
       CAST(total_cost AS double) AS total_cost, listed AS exist FROM sku""",
     "psd": _psd(EVENTS, E_AS_OF, 28),
     "psd_all_days": _psd(LINEITEM, L_AS_OF, L_DAYS),
-    "psd_dup_goods": _psd(EVENTS, E_AS_OF, 28, goods="SELECT * FROM goods UNION ALL SELECT * FROM goods"),
+    "psd_dup_goods": _psd(EVENTS, E_AS_OF, 28, goods=f"{_ACTIVE} UNION ALL {_ACTIVE}"),
     "psd_sql": _psd(
         EVENTS,
         E_AS_OF,
         28,
         flag="stock_or_sale",
+        goods="SELECT * FROM goods",
         where="AND s.foreign_store_id IN (SELECT foreign_store_id FROM stores WHERE store_status = '营业')",
         codes="g.show_code IN ('SC-purchase', 'SC-view', 'SC-signup')",
     ),

@@ -296,7 +296,9 @@ def full_sku(data: Data) -> DataFrame:
 
 
 def flagship(data: Data) -> DataFrame:
-    return psd.psd(data.e("cost"), data.e("inventory"), data.e("goods"), E_AS_OF, unique_days=True)
+    return psd.psd(
+        data.e("cost"), data.e("inventory"), psd.active_goods(data.e("goods")), E_AS_OF, unique_days=True
+    )
 
 
 QUERIES["psd"] = lambda spark, sf_dir: flagship(Data(spark, sf_dir))
@@ -305,13 +307,13 @@ QUERIES["psd"] = lambda spark, sf_dir: flagship(Data(spark, sf_dir))
 @query
 def psd_all_days(data: Data) -> DataFrame:
     """Velocity of the line item set over every day it has."""
-    return psd.psd(data.l("cost"), data.l("inventory"), data.l("goods"), L_AS_OF, L_DAYS)
+    return psd.psd(data.l("cost"), data.l("inventory"), psd.active_goods(data.l("goods")), L_AS_OF, L_DAYS)
 
 
 @query
 def psd_dup_goods(data: Data) -> DataFrame:
     """Every goods row twice: totals count twice, the velocity does not change."""
-    goods = data.e("goods")
+    goods = psd.active_goods(data.e("goods"))
     return psd.psd(data.e("cost"), data.e("inventory"), goods.union(goods), E_AS_OF)
 
 
@@ -334,16 +336,22 @@ def psd_inventory_driven(data: Data) -> DataFrame:
     return psd.psd_inventory_driven(data.e("cost"), data.e("inventory"), data.e("goods"), data.e("stores"), E_AS_OF)
 
 
-def _product_info(data: Data, **rules) -> DataFrame:
+def _product_info(data: Data, goods: DataFrame, **rules) -> DataFrame:
     return product_info.product_info(
-        data.e("cost"), data.e("inventory"), data.e("goods"), data.e("stores"), data.e("ways"), E_AS_OF, **rules
+        data.e("cost"), data.e("inventory"), goods, data.e("stores"), data.e("ways"), E_AS_OF, **rules
     )
 
 
-QUERIES["product_info"] = lambda spark, sf_dir: _product_info(Data(spark, sf_dir), unique_days=True)
-QUERIES["product_info_sql"] = lambda spark, sf_dir: _product_info(
-    Data(spark, sf_dir), presence="stock_or_sale", null_keys="keep"
-)
+def _product_info_frame(data: Data) -> DataFrame:
+    return _product_info(data, psd.active_goods(data.e("goods")), unique_days=True)
+
+
+QUERIES["product_info"] = lambda spark, sf_dir: _product_info_frame(Data(spark, sf_dir))
+
+
+@query
+def product_info_sql(data: Data) -> DataFrame:
+    return _product_info(data, data.e("goods"), presence="stock_or_sale", null_keys="keep")
 
 
 @query

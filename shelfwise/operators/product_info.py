@@ -31,8 +31,9 @@ def product_info(
 
     Facts are aggregated to one row per (tenant, store, item) before any label is joined;
     each dimension is first folded to its distinct labels with a row count, so no
-    aggregate is needed afterwards. The DataFrame form (C4) is the default, the SQL form
-    (C5) is `presence="stock_or_sale", null_keys="keep"`.
+    aggregate is needed afterwards. The DataFrame form (C4) is the default, over
+    `active_goods`; the SQL form (C5) is `presence="stock_or_sale", null_keys="keep"` over
+    all goods.
     """
     outside = F.col("foreign_store_id") != headquarters
     activity = pair_activity(

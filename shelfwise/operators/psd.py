@@ -9,10 +9,15 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions.calendar import as_date
 from shelfwise.functions.numbers import per_day
-from shelfwise.keys import HEADQUARTERS_STORE, ITEM, PAIR, STORE
+from shelfwise.keys import DISCONTINUED_STATUSES, HEADQUARTERS_STORE, ITEM, PAIR, STORE
 from shelfwise.operators.presence import day_level, in_window, pair_activity
 
 
+def active_goods(goods: DataFrame) -> DataFrame:
+    """Goods that are not discontinued; a null status stays."""
+    return goods.filter(~F.coalesce("item_status", F.lit("")).isin(DISCONTINUED_STATUSES))
+
+
 def goods_variants(goods: DataFrame, *labels: str) -> DataFrame:
     """Goods per (tenant, item, labels): highest prices and how many rows fell together.
 
@@ -40,8 +45,9 @@ def psd(
 ) -> DataFrame:
     """Velocity per (tenant, store, item, show code) over `(as_of - window_days, as_of]`.
 
-    The DataFrame form (C1) is the default. The SQL form (C2) is
-    `presence="stock_or_sale"` with a table of wanted stores and a show-code list.
+    The DataFrame form (C1) is the default, over `active_goods`. The SQL form (C2) is
+    `presence="stock_or_sale"` over all goods, with a table of wanted stores and a
+    show-code list.
     `null_keys="keep"` retains items without a show code (T1).
     """
     activity = pair_activity(cost, inventory, as_of, window_days, presence, unique_days)

@@ -35,7 +35,8 @@ Tables = Mapping[str, DataFrame]
 
 def psd_job(tables: Tables, out: str, as_of: str, unique_days: bool = False) -> None:
     """Velocity of one day into `psd_info` with the usual retention."""
-    result = psd.psd(tables["cost"], tables["inventory"], tables["goods"], as_of, unique_days=unique_days)
+    goods = psd.active_goods(tables["goods"])
+    result = psd.psd(tables["cost"], tables["inventory"], goods, as_of, unique_days=unique_days)
     sinks.write_daily(result, f"{out}/psd_info", as_of)
 
 
@@ -47,8 +48,10 @@ def product_info_job(
     tables: Tables, out: str, as_of: str, unique_days: bool = False, database: str = "default"
 ) -> None:
     """Snapshot of the product information (C4, K3)."""
-    names = ("cost", "inventory", "goods", "stores", "ways")
-    result = product_info.product_info(*[tables[n] for n in names], as_of, unique_days=unique_days)
+    goods = psd.active_goods(tables["goods"])
+    result = product_info.product_info(
+        tables["cost"], tables["inventory"], goods, tables["stores"], tables["ways"], as_of, unique_days=unique_days
+    )
     _publish(result, out, database, "bd_product_info")
 
 

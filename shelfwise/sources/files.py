@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.functions.numbers import zero_if_null
-from shelfwise.keys import DISCONTINUED_STATUSES, ITEM
+from shelfwise.keys import ITEM
+from shelfwise.operators.psd import active_goods
 from shelfwise.sources import layouts
 
 # Object layout of the source systems; `day_layout` also accepts key=value folders.
@@ -121,8 +122,7 @@ def reject_malformed(goods: DataFrame, prices: Sequence[str] = ("lastin_price",
 
 def clean_goods(raw: DataFrame) -> DataFrame:
     """Well-formed goods that are not discontinued; a null status stays."""
-    kept = reject_malformed(raw).filter(~F.coalesce("item_status", F.lit("")).isin(DISCONTINUED_STATUSES))
-    return kept.select(
+    return active_goods(reject_malformed(raw)).select(
         "cmid",
         "foreign_item_id",
         "barcode",

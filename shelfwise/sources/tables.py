@@ -15,9 +15,38 @@ def project_tenant(table: DataFrame, cmid: int | None = None, *fields: str) -> D
     return table.select(*fields) if fields else table
 
 
-def read_jdbc(spark: SparkSession, url: str, query: str, **options: str) -> DataFrame:
-    """Result of a query in a remote database (S6); connection options are configuration."""
-    return spark.read.format("jdbc").options(url=url, query=query, **options).load()
+def jdbc_options(
+    url: str, query: str, partition_column: str | None = None, bounds: tuple[str, str] | None = None, partitions: int = 8
+) -> dict[str, str]:
+    """Options of a database read; with a partition column the read is split over tasks."""
+    options = {"url": url, "dbtable": f"({query}) source"}
+    if partition_column is not None:
+        low, high = bounds
+        options |= {
+            "partitionColumn": partition_column,
+            "lowerBound": low,
+            "upperBound": high,
+            "numPartitions": str(partitions),
+        }
+    return options
+
+
+def read_jdbc(
+    spark: SparkSession,
+    url: str,
+    query: str,
+    partition_column: str | None = None,
+    bounds: tuple[str, str] | None = None,
+    partitions: int = 8,
+    **options: str,
+) -> DataFrame:
+    """Result of a query in a remote database.
+
+    Connection options are configuration. Facts need a partition column (a date, say);
+    without one the whole result passes through a single task.
+    """
+    split = jdbc_options(url, query, partition_column, bounds, partitions)
+    return spark.read.format("jdbc").options(**(split | options)).load()
 
 
 def vendor_unified(tenant_config: DataFrame, by_vendor: dict[str, DataFrame]) -> DataFrame:

@@ -162,3 +162,9 @@ def test_scratch_uses_the_configured_folder(spark):
     assert folder == spark.conf.get("spark.checkpoint.dir")
     df = scratch.settle(spark.range(5), "numbers")
     assert df.count() == 5 and folder in df.inputFiles()[0]
+
+
+def test_jdbc_reads_are_split():
+    assert tables.jdbc_options("u", "select 1") == {"url": "u", "dbtable": "(select 1) source"}
+    split = tables.jdbc_options("u", "select * from cost", "date", ("2024-01-01", "2024-01-31"), 31)
+    assert (split["partitionColumn"], split["upperBound"], split["numPartitions"]) == ("date", "2024-01-31", "31")
