@@ -354,8 +354,10 @@ ORACLES: dict[str, str] = {
     "publish_swap": ctes(EVENTS, "inventory") + f"SELECT {DAY}, quantity FROM inventory",
     "mirror_table": ctes(EVENTS, "cost", "inventory") + f"SELECT {DAY} FROM cost UNION ALL SELECT {DAY} FROM inventory",
     "upsert_daily_retention": ctes(LINEITEM, "cost", "inventory")
-    + f"""SELECT {DAY}, sale_quantity FROM cost WHERE date <> DATE '2001-06-30' AND date > DATE '2001-06-30' - 84
-      UNION ALL SELECT {DAY}, quantity FROM inventory WHERE date = DATE '2001-06-30'""",
+    + f""", fresh AS (SELECT {DAY}, quantity FROM inventory WHERE date = DATE '2001-06-30')
+      SELECT {DAY}, sale_quantity FROM cost WHERE date > DATE '2001-06-30' - 84
+        AND NOT (date = DATE '2001-06-30' AND cmid IN (SELECT cmid FROM fresh))
+      UNION ALL SELECT * FROM fresh""",
     "upsert_partition": ctes(LINEITEM, "cost", "inventory")
     + f""", fresh AS (SELECT {DAY}, quantity FROM inventory WHERE date >= DATE '2001-06-30')
       SELECT {DAY}, sale_quantity FROM cost WHERE (cmid, date) NOT IN (SELECT cmid, date FROM fresh) UNION ALL SELECT * FROM fresh""",
@@ -405,7 +407,7 @@ ORACLES: dict[str, str] = {
     + _dates()
     + f"""SELECT s.cmid, s.foreign_store_id, s.foreign_item_id, s.date, s.fill_qty FROM suggestions s
       JOIN dates d ON d.cmid = s.cmid AND d.foreign_store_id = s.foreign_store_id AND d.suggest_date = s.date""",
-    "asof_store_snapshot": ctes(EVENTS, "inventory") + f"SELECT {DAY} FROM inventory WHERE date = CASE WHEN cmid = 85 THEN DATE '2024-01-30' ELSE DATE '2024-01-31' END",
+    "asof_store_snapshot": ctes(EVENTS, "inventory") + f"SELECT {DAY} FROM inventory WHERE date = DATE '2024-01-31'",
     "cost_60d": ctes(LINEITEM, "cost")
     + f"""SELECT {DAY}, sale_quantity FROM cost WHERE date BETWEEN DATE '{L_AS_OF}' - 29 AND DATE '{L_AS_OF}'
       UNION ALL SELECT {DAY}, sale_quantity FROM cost WHERE date >= DATE '{L_AS_OF}' - 59 AND date < DATE '{L_AS_OF}' - 29""",

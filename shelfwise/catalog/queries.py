@@ -417,9 +417,8 @@ def asof_suggestion(data: Data) -> DataFrame:
 
 @query
 def asof_store_snapshot(data: Data) -> DataFrame:
-    """Daily stock as the snapshot; tenant 85 stops one day earlier, so it falls back."""
-    last = F.col("date") < F.when(F.col("cmid") == 85, calendar.as_date("2024-01-31")).otherwise(calendar.as_date("2024-02-01"))
-    return stockout.asof_store_snapshot(data.e("inventory").select(*DAY).filter(last), "2024-01-31")
+    """Daily stock as the snapshot; the wanted day is the one after the last."""
+    return stockout.asof_store_snapshot(data.e("inventory").select(*DAY), "2024-02-01")
 
 
 @query

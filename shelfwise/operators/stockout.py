@@ -134,6 +134,15 @@ def _measure(rows: DataFrame, column: str, alias: str) -> DataFrame:
     return rows.select(*PAIR, F.col(column).cast(MONEY).alias(alias))
 
 
+def _advised(rows: DataFrame, column: str, alias: str) -> DataFrame:
+    """A quantity with a mark that there is one: an unknown quantity is not the same as none."""
+    return rows.select(*PAIR, F.col(column).cast(MONEY).alias(alias), F.lit(True).alias(f"has_{alias}"))
+
+
+def _advised_quantity(alias: str) -> Column:
+    return F.when(F.col(f"has_{alias}"), F.col(alias)).otherwise(0)
+
+
 def _cause_sources(
     inventory: DataFrame,
     cm_sku: DataFrame,
@@ -148,8 +157,8 @@ def _cause_sources(
     return [
         cm_sku.filter(F.col("busgate").isin(list(statuses))).select(*PAIR, F.lit(True).alias("listed")),
         _measure(inventory.filter(F.col("date") == as_date(as_of)), "quantity", "stock"),
-        _measure(_on_day(require_orders, dates, F.col("require_date")), "order_qty", "ordered"),
-        _measure(_on_day(suggestions, dates, F.col("suggest_date")), "fill_qty", "suggested"),
+        _advised(_on_day(require_orders, dates, F.col("require_date")), "order_qty", "ordered"),
+        _advised(_on_day(suggestions, dates, F.col("suggest_date")), "fill_qty", "suggested"),
         _measure(
             _on_day(central, dates, F.col("delivery_date"), "delivery_date"), "delivery_qty", "delivered"
         ),
@@ -179,8 +188,7 @@ def _causes() -> list[Column]:
         F.max("listed").alias("listed"),
         F.sum("stock").alias("stock_sum"),
         F.max("stock").alias("stock"),
-        F.max("ordered").alias("ordered"),
-        F.max("suggested").alias("suggested"),
+        *[F.max(name).alias(name) for name in ("ordered", "has_ordered", "suggested", "has_suggested")],
         F.sum("delivered").alias("delivered"),
     ]
 
@@ -217,7 +225,8 @@ def stockout_summary(
 ) -> DataFrame:
     """One row per store with assortment size, empty items and their causes.
 
-    `dates` comes from `reference_dates`. A store without empty items has NULL ratios.
+    `dates` comes from `reference_dates`. A store without empty items has NULL ratios. An
+    item with a suggestion or order of unknown quantity is not counted as left out.
     """
     sources = _cause_sources(inventory, cm_sku, delivery, suggestions, require_orders, dates, as_of, statuses)
     empty = _is_empty()
@@ -227,8 +236,8 @@ def stockout_summary(
         .agg(
             F.count_if(empty).alias("lost_sku"),
             F.count(F.lit(1)).alias("all_sku"),
-            F.count_if(empty & (zero_if_null("suggested") == 0)).alias("un_suggest"),
-            F.count_if(empty & (zero_if_null("ordered") == 0)).alias("un_order"),
+            F.count_if(empty & (_advised_quantity("suggested") == 0)).alias("un_suggest"),
+            F.count_if(empty & (_advised_quantity("ordered") == 0)).alias("un_order"),
             F.count_if(empty & (zero_if_null("delivered") == 0)).alias("un_deliver"),
         )
     )
@@ -318,8 +327,8 @@ def stockout_detail(
             amount("order_stock").alias("order_stock"),
             count_bits([F.col("sale_days_60")]).alias("sale_days_60"),
             count_bits([F.col("sale_days_28")]).alias("sale_days_28"),
-            amount("suggested").alias("cm_suggest"),
-            amount("ordered").alias("store_book"),
+            _advised_quantity("suggested").cast("double").alias("cm_suggest"),
+            _advised_quantity("ordered").cast("double").alias("store_book"),
             amount("delivered").alias("inv_delivery"),
             (amount("sale_7") / 7).alias("avg_sale_7"),
             (amount("quantity_7") / 7).alias("avg_quantity_7"),

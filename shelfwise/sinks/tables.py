@@ -55,10 +55,11 @@ def table_exists(spark: SparkSession, table: str) -> bool:
 
 
 def daily_upsert(existing: DataFrame, new: DataFrame, day, retention_days: int = RETENTION_DAYS) -> DataFrame:
-    """The table after loading `day`: its old rows and rows past retention are gone (K7)."""
+    """The table after loading `day`: old rows of the loaded tenants' day and rows past retention are gone (K7)."""
     end = as_date(day)
-    kept = existing.filter((F.col("date") != end) & (F.col("date") > F.date_sub(end, retention_days)))
-    return kept.unionByName(new)
+    recent = existing.filter(F.col("date") > F.date_sub(end, retention_days))
+    same_day = recent.filter(F.col("date") == end).join(new.select("cmid").distinct(), "cmid", "left_anti")
+    return recent.filter(F.col("date") != end).unionByName(same_day).unionByName(new)
 
 
 def replaced_partitions(existing: DataFrame, new: DataFrame, by: Sequence[str] = DAY_PARTITION) -> DataFrame:
@@ -95,12 +96,12 @@ def expire_days(spark: SparkSession, path: str, day: str, retention_days: int =
 
 
 def write_daily(df: DataFrame, path: str, day: str, retention_days: int = RETENTION_DAYS) -> None:
-    """Load one day and expire old ones (K7).
+    """Load the rows of one day and expire old days (K7).
 
-    The new day is committed before anything is deleted; a rerun after a crash repeats
+    A tenant without rows keeps what it has for the day. The new day is committed before anything is deleted; a rerun after a crash repeats
     both steps with the same outcome.
     """
-    write_partitions(df.filter(F.col("date") == as_date(day)), path)
+    write_partitions(df, path)
     expire_days(df.sparkSession, path, day, retention_days)
 
 

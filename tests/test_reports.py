@@ -86,6 +86,24 @@ def test_summary(spark):
     assert [r.foreign_store_id for r in only] == ["b"]
 
 
+def test_unknown_quantity_is_not_missing(spark):
+    t = report_inputs(spark)
+    dates = stockout.reference_dates(t["delivery"], t["suggestions"], t["stores"])
+    t["suggestions"] = table(spark, f"{KEY}, date date, fill_qty bigint", (43, "a", "empty", D(2024, 1, 26), None))
+    t["require_orders"] = table(spark, f"{KEY}, date date, order_qty bigint", (43, "a", "empty", D(2024, 1, 27), 0))
+    rows = stockout.stockout_summary(*[t[n] for n in CAUSES], dates, END, ["A"], ["a"]).collect()
+    assert (rows[0].lost_sku, rows[0].un_suggest, rows[0].un_order) == (2, 1, 2)
+    names = ["cost", *CAUSES, "aa_sku", "refunds", "warehouse", "goods"]
+    detail = stockout.stockout_detail(*[t[n] for n in names], dates, END, ["A"], ["a"]).collect()
+    assert {r.foreign_item_id: (r.cm_suggest, r.store_book) for r in detail} == {"empty": (None, 0.0), "offset": (0.0, 0.0)}
+
+
+def test_store_snapshot_falls_back_per_tenant(spark):
+    days = [(43, "a", D(2024, 1, 30)), (43, "old", D(2024, 1, 29)), (85, "b", D(2024, 1, 29)), (34, "c", D(2024, 1, 28))]
+    snapshots = table(spark, "cmid int, foreign_store_id string, date date", *days)
+    assert sorted(r.foreign_store_id for r in stockout.asof_store_snapshot(snapshots, END).collect()) == ["a", "b"]
+
+
 def test_summary_without_empty_items(spark):
     t = report_inputs(spark)
     dates = stockout.reference_dates(t["delivery"], t["suggestions"], t["stores"])

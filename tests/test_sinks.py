@@ -25,14 +25,16 @@ def test_daily_upsert_and_write_daily_agree(spark, tmp_path):
         (43, "2024-01-07", "on the limit", 1),
         (43, "2024-01-08", "kept", 1),
         (43, "2024-03-31", "replaced", 1),
-        (85, "2024-03-30", "other", 1),
+        (85, "2024-03-31", "tenant without new rows", 1),
+        (34, "2024-03-30", "other day", 1),
     )
-    new = frame(spark, (43, "2024-03-31", "new", 2), (85, "2024-03-31", "new", 3))
+    new = frame(spark, (43, "2024-03-31", "new", 2), (34, "2024-03-31", "new", 3))
     expected = [
+        (34, "2024-03-30", "other day", 1),
+        (34, "2024-03-31", "new", 3),
         (43, "2024-01-08", "kept", 1),
         (43, "2024-03-31", "new", 2),
-        (85, "2024-03-30", "other", 1),
-        (85, "2024-03-31", "new", 3),
+        (85, "2024-03-31", "tenant without new rows", 1),
     ]
     assert content(sinks.daily_upsert(old, new, "2024-03-31")) == expected
     sinks.write_partitions(old, path)
