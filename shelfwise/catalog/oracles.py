@@ -538,7 +538,7 @@ ORACLES: dict[str, str] = {
     FROM cost c LEFT JOIN cycles k ON k.cmid = c.cmid AND k.foreign_store_id = c.foreign_store_id""",
     "future_demand": _PREPARED + _FUTURE + f"SELECT {DAY}, demand, can_request_order, future_demand FROM ahead",
     "replenish": _PREPARED + _FOLD + f"SELECT {DAY}, should_fill, fill_qty, cur_stock FROM sim",
-    "replenish_pipeline": _PREPARED
+    "replenish_history": _PREPARED
     + _FOLD
     + """SELECT cmid, foreign_store_id, foreign_store_name, foreign_item_id, foreign_item_name, CAST(fill_qty AS double) AS fill_qty,
       CAST(quantity AS integer) AS prediction_stock, CAST(cur_stock AS integer) AS theory_stock, date FROM sim""",

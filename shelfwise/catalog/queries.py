@@ -391,7 +391,8 @@ def suggest_window(data: Data) -> DataFrame:
 
 @query
 def backfill_actual_stock(data: Data) -> DataFrame:
-    history = data.e("products").join(data.e("cost").select(*DAY), PAIR).withColumn("theory_stock", F.length("foreign_item_id"))
+    history = data.e("products").join(data.e("cost").select(*DAY), PAIR)
+    history = history.withColumn("theory_stock", F.length("foreign_item_id"))
     return actual_sale.backfill_actual_stock(
         history, actual_sale.actual_sale(data.e("cost"), data.e("inventory"), E_AS_OF, unique_days=True)
     )
@@ -427,7 +428,8 @@ def cost_60d(data: Data) -> DataFrame:
 
 
 def _reference_dates(table: Callable[[str], DataFrame]) -> DataFrame:
-    return scratch.settle(stockout.reference_dates(table("delivery"), table("suggestions"), table("stores")), "reference_dates")
+    dates = stockout.reference_dates(table("delivery"), table("suggestions"), table("stores"))
+    return scratch.settle(dates, "reference_dates")
 
 
 def _summary(table: Callable[[str], DataFrame], as_of: str) -> DataFrame:
@@ -479,7 +481,8 @@ def lost_reason(data: Data) -> DataFrame:
 
 @query
 def lost_reason_by_date(data: Data) -> DataFrame:
-    return reports.judge_by_date(reports.detail_rows(data.l("detail_sheet")), data.l("trial_stores")).select(
+    rows = reports.detail_rows(data.l("detail_sheet"))
+    return reports.judge_by_date(rows, data.l("trial_stores")).select(
         *STORE, "item_show_code", "date", "use_date", "cm_suggest", "store_book", "inv_delivery", "lost_reason"
     )
 
@@ -526,7 +529,8 @@ def store_info_load(data: Data) -> DataFrame:
 @query
 def product_exception_load(data: Data) -> DataFrame:
     first = scratch.settle(reports.first_suggestion_date(data.l("suggestion_files")), "first_dates")
-    return reports.product_exception_load(data.l("detail_sheet"), _labels(data), first, data.l("psd"), TODAY)
+    sheet, velocity = data.l("detail_sheet"), data.l("psd")
+    return reports.product_exception_load(sheet, _labels(data), first, velocity, TODAY)
 
 
 @query
@@ -716,8 +720,8 @@ QUERIES["replenish"] = lambda spark, sf_dir: _sequence(Data(spark, sf_dir))
 
 
 @query
-def replenish_pipeline(data: Data) -> DataFrame:
-    return replenish.replenish_pipeline(_prepared(data))
+def replenish_history(data: Data) -> DataFrame:
+    return replenish.replenish_history(_prepared(data))
 
 
 @query

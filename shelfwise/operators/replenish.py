@@ -115,11 +115,11 @@ def _computable() -> Column:
 
 
 def replenish_rejects(prepared: DataFrame) -> DataFrame:
-    """Rows left out of the pipeline because pack size, series or opening stock is missing."""
+    """Rows left out because pack size, series or opening stock is missing."""
     return prepared.filter(~_computable())
 
 
-def replenish_pipeline(prepared: DataFrame) -> DataFrame:
+def replenish_history(prepared: DataFrame) -> DataFrame:
     """Theoretical stock beside the actual stock of each day (C26), from `replenish_input`."""
     theory = replenish(
         prepared.filter(_computable()), ["foreign_store_name", "foreign_item_name"], daily=["quantity"]

@@ -135,5 +135,5 @@ def replenish_job(tables: Tables, out: str, as_of: str, database: str = "default
     series = actual_sale.unique_daily_series(tables["cost"], tables["inventory"], as_of)
     cycles = tables["cycles"].select(*STORE, cycle_code(F.col("dly_cycle")).alias("period_type_num"))
     prepared = replenish.replenish_input(tables["products"], tables["packs"], cycles, series)
-    _publish(replenish.replenish_pipeline(prepared), out, database, "bd_product_history")
+    _publish(replenish.replenish_history(prepared), out, database, "bd_product_history")
     _publish(replenish.replenish_rejects(prepared), out, database, "bd_product_history_rejects")

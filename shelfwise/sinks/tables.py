@@ -55,7 +55,10 @@ def table_exists(spark: SparkSession, table: str) -> bool:
 
 
 def daily_upsert(existing: DataFrame, new: DataFrame, day, retention_days: int = RETENTION_DAYS) -> DataFrame:
-    """The table after loading `day`: old rows of the loaded tenants' day and rows past retention are gone (K7)."""
+    """The table after loading `day` (K7).
+
+    Old rows of that day are gone for the loaded tenants, and so are rows past retention.
+    """
     end = as_date(day)
     recent = existing.filter(F.col("date") > F.date_sub(end, retention_days))
     same_day = recent.filter(F.col("date") == end).join(new.select("cmid").distinct(), "cmid", "left_anti")
@@ -98,8 +101,8 @@ def expire_days(spark: SparkSession, path: str, day: str, retention_days: int =
 def write_daily(df: DataFrame, path: str, day: str, retention_days: int = RETENTION_DAYS) -> None:
     """Load the rows of one day and expire old days (K7).
 
-    A tenant without rows keeps what it has for the day. The new day is committed before anything is deleted; a rerun after a crash repeats
-    both steps with the same outcome.
+    A tenant without rows keeps what it has for the day. The new day is committed before
+    anything is deleted; a rerun after a crash repeats both steps with the same outcome.
     """
     write_partitions(df, path)
     expire_days(df.sparkSession, path, day, retention_days)

@@ -28,7 +28,7 @@ def _cell(value):
     if isinstance(value, Decimal):
         return str(float(value))
     if isinstance(value, float):
-        return repr(float(f"{value:.12g}"))
+        return repr(value)
     return str(value)
 
 

@@ -75,7 +75,7 @@ PRODUCTS = "cmid int, foreign_store_id string, foreign_item_id string, foreign_s
 DAILY = "cmid int, foreign_store_id string, foreign_item_id string, date date, quantity bigint, sale_quantity bigint"
 
 
-def test_pipeline_and_rejects(spark):
+def test_history_and_rejects(spark):
     products = spark.createDataFrame([(43, "s", i, "S", i.upper()) for i in ("ok", "nopack", "zero", "noseries")], PRODUCTS)
     packs = spark.createDataFrame([(43, "ok", 4.0), (43, "zero", 0.0), (43, "noseries", 2.0)], "cmid int, foreign_item_id string, mfu double")
     cycles = spark.createDataFrame([(43, "s", 1)], "cmid int, foreign_store_id string, period_type_num int")
@@ -83,7 +83,7 @@ def test_pipeline_and_rejects(spark):
         [(43, "s", i, START + dt.timedelta(n), 5 - n, 2) for i in ("ok", "nopack", "zero") for n in range(3)], DAILY
     )
     prepared = replenish.replenish_input(products, packs, cycles, daily)
-    done = sorted(replenish.replenish_pipeline(prepared).collect(), key=lambda r: r.date)
+    done = sorted(replenish.replenish_history(prepared).collect(), key=lambda r: r.date)
     loop = simulate([(2, 1), (2, 0), (2, 1)], 5, 4.0)
     assert [(r.foreign_item_name, r.fill_qty, r.theory_stock, r.prediction_stock) for r in done] == [
         ("OK", float(fill), stock, 5 - n) for n, (_, _, fill, stock) in enumerate(loop)
