@@ -103,6 +103,8 @@ def read_goods(
     """Goods of the newest object of the day, cleaned (S3)."""
     [folder] = day_folders([date], source_id, "chain_goods", day_layout)
     newest = newest_path(object_listing(spark, f"{root}/{folder}", "*.gz"))
+    if newest is None:
+        raise FileNotFoundError(f"no goods object in {root}/{folder}")
     return clean_goods(read_raw_goods(spark, newest))
 
 

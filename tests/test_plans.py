@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from shelfwise.catalog.queries import Data
-from shelfwise.operators import presence, psd
+from shelfwise.operators import presence, psd, reports
 from shelfwise.plans import daily
+from shelfwise.sources import scratch
 
 SF_DIR = "/root/testdata/sf0.001"
 FILE_KEYS = ("scan_", "sink_", "publish_", "mirror_")
@@ -63,6 +64,29 @@ def test_hot_pair_is_combined_before_the_shuffle(spark):
     assert row.psd == 2.0
 
 
+def test_hot_store_is_split_without_broadcast(spark):
+    """Report rows of which nine in ten belong to one store, labels too large to broadcast."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100kb",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100kb",
+    }
+    data = Data(spark, "/root/testdata/sf0.01")
+    sheet = data.l("detail_sheet").withColumn("门店ID", F.when(F.col("`今日销量`") > 5, "7").otherwise(F.col("门店ID")))
+    sheet = sheet.withColumn("cmid", F.when(F.col("门店ID") == "7", 85).otherwise(F.col("cmid"))).repartition(8)
+    labels = scratch.settle(reports.store_labels(data.l("stores"), data.l("trial_stores")), "labels")
+    old = {key: spark.conf.get(key, None) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        loaded = reports.load_detail(sheet, labels).select("lost_reason", "store_show_code")
+        assert len(loaded.collect()) == 60_000
+        assert "skew=true" in plan(loaded)
+    finally:
+        for key, value in old.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 @pytest.fixture
 def inputs(spark):
     data = Data(spark, SF_DIR)

@@ -95,6 +95,12 @@ def test_goods_newest_object_rejects_and_status(spark, tmp_path):
     }
 
 
+def test_goods_need_an_object(spark, tmp_path):
+    (tmp_path / f"2024/01/04/{SOURCE}/chain_goods").mkdir(parents=True)
+    with pytest.raises(FileNotFoundError):
+        files.read_goods(spark, str(tmp_path), "2024-01-04", SOURCE)
+
+
 def test_listing_newest_and_oldest(spark, tmp_path):
     for n, name in enumerate(["dist/43/1/2024-01-02.csv.gz", "dist/43/2/2024-01-01.csv.gz", "dist/43/2/notes.txt"]):
         put(tmp_path / name, ["x"], mtime=1_700_000_000 + n)
