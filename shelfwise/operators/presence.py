@@ -97,11 +97,17 @@ def day_level(cost: DataFrame, inventory: DataFrame) -> DataFrame:
         "stock_rows",
         listed.alias("listed_days"),
         stock_or_sale.alias("stock_or_sale_days"),
-        (zero_if_null("sale") * fan_out).cast(MONEY).alias("total_sale"),
-        (zero_if_null("outlay") * fan_out).cast(MONEY).alias("total_cost"),
+        _times("sale", stock_rows).alias("total_sale"),
+        _times("outlay", stock_rows).alias("total_cost"),
     )
 
 
+def _times(total: str, stock_rows: Column) -> Column:
+    """Total of a day once per stock row; only repeated rows pay for the wide product."""
+    amount = zero_if_null(total)
+    return F.when(stock_rows > 1, amount * stock_rows).otherwise(amount)
+
+
 def pair_activity(
     cost: DataFrame,
     inventory: DataFrame,
