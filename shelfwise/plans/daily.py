@@ -13,6 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfwise import schemas
 from shelfwise.functions.codes import cycle_code
 from shelfwise.keys import STORE
 from shelfwise.operators import (
@@ -37,11 +38,12 @@ def psd_job(tables: Tables, out: str, as_of: str, unique_days: bool = False) ->
     """Velocity of one day into `psd_info` with the usual retention."""
     goods = psd.active_goods(tables["goods"])
     result = psd.psd(tables["cost"], tables["inventory"], goods, as_of, unique_days=unique_days)
-    sinks.write_daily(result, f"{out}/psd_info", as_of)
+    sinks.write_daily(sinks.conform(result, schemas.PSD_INFO), f"{out}/psd_info", as_of)
 
 
-def _publish(df: DataFrame, out: str, database: str, table: str) -> None:
-    sinks.publish_swap(df, f"{database}.{table}", sinks.version_path(out, table))
+def _publish(df: DataFrame, out: str, database: str, table: str, schema: str | None = None) -> None:
+    conformed = df if schema is None else sinks.conform(df, schema)
+    sinks.publish_swap(conformed, f"{database}.{table}", sinks.version_path(out, table))
 
 
 def product_info_job(
@@ -52,7 +54,7 @@ def product_info_job(
     result = product_info.product_info(
         tables["cost"], tables["inventory"], goods, tables["stores"], tables["ways"], as_of, unique_days=unique_days
     )
-    _publish(result, out, database, "bd_product_info")
+    _publish(result, out, database, "bd_product_info", schemas.PRODUCT_INFO)
 
 
 def stockout_report_job(tables: Tables, out: str, as_of: str, statuses: Sequence[str]) -> None:
@@ -75,36 +77,41 @@ def stockout_load_job(tables: Tables, out: str, as_of: str) -> None:
     if summary.isEmpty():
         return
     labels = settle(reports.store_labels(tables["stores"], tables["use_cm_stores"]), "store_labels")
-    sinks.write_daily(reports.store_info_load(summary, labels), f"{out}/store_info", as_of)
+    stores = sinks.conform(reports.store_info_load(summary, labels), schemas.STORE_INFO)
+    sinks.write_daily(stores, f"{out}/store_info", as_of)
     if detail.isEmpty():
         return
     first = settle(reports.first_suggestion_date(tables["suggestion_files"]), "first_dates")
     loaded = reports.product_exception_load(detail, labels, first, tables["psd"], as_of)
-    sinks.write_daily(loaded, f"{out}/store_product_info", as_of)
+    sinks.write_daily(sinks.conform(loaded, schemas.STORE_PRODUCT_INFO), f"{out}/store_product_info", as_of)
 
 
 def trial_job(tables: Tables, out: str, today: str, database: str = "default") -> None:
     """Trial stores: replace the due days, then publish the new state."""
     stores = tables["trial_stores"]
-    sinks.write_partitions(trial.trial_store_load(tables["summary_sheet"], stores, today), f"{out}/new_store_info")
-    sinks.write_partitions(
-        trial.trial_product_load(tables["detail_sheet"], stores, tables["psd"], today), f"{out}/new_store_product_info"
-    )
+    summary = trial.trial_store_load(tables["summary_sheet"], stores, today)
+    detail = trial.trial_product_load(tables["detail_sheet"], stores, tables["psd"], today)
+    sinks.write_partitions(sinks.conform(summary, schemas.STORE_INFO), f"{out}/new_store_info")
+    sinks.write_partitions(sinks.conform(detail, schemas.STORE_PRODUCT_INFO), f"{out}/new_store_product_info")
     _publish(trial.trial_state(stores, today), out, database, "use_cm_stores")
 
 
 def weekly_job(spark: SparkSession, tables: Tables, out: str, as_of: str, database: str = "default") -> None:
-    """Weekly tables from the monitoring tables under `out`."""
-    store_info = spark.read.parquet(f"{out}/store_info")
-    products = spark.read.parquet(f"{out}/store_product_info")
-    results = {
-        "store_product_week": weekly.week_reasons(products),
-        "new_store_product_week": weekly.week_reasons(products, classes=5),
-        "new_store_info_week": weekly.week_store_info(store_info, products),
-        "store_info_week": weekly.week_store_info_df(store_info, products, tables["stores"], as_of),
-    }
-    for name, df in results.items():
-        _publish(df, out, database, name)
+    """Weekly tables from the monitoring tables under `out`."""
+    info = spark.read.schema(schemas.STORE_INFO).parquet(f"{out}/store_info")
+    products = spark.read.schema(schemas.STORE_PRODUCT_INFO).parquet(f"{out}/store_product_info")
+    _publish(weekly.week_reasons(products), out, database, "store_product_week", schemas.STORE_PRODUCT_WEEK)
+    recent = weekly.week_store_info_df(info, products, tables["stores"], as_of)
+    _publish(recent, out, database, "store_info_week", schemas.STORE_INFO_WEEK)
+
+
+def trial_weekly_job(spark: SparkSession, out: str, database: str = "default") -> None:
+    """Weekly tables from the trial tables under `out`."""
+    info = spark.read.schema(schemas.STORE_INFO).parquet(f"{out}/new_store_info")
+    products = spark.read.schema(schemas.STORE_PRODUCT_INFO).parquet(f"{out}/new_store_product_info")
+    by_reason = weekly.week_reasons(products, classes=5)
+    _publish(by_reason, out, database, "new_store_product_week", schemas.NEW_STORE_PRODUCT_WEEK)
+    _publish(weekly.week_store_info(info, products), out, database, "new_store_info_week", schemas.NEW_STORE_INFO_WEEK)
 
 
 def assortment_job(
@@ -118,13 +125,14 @@ def assortment_job(
     """Store-item cache."""
     names = ("cost", "inventory", "goods", "stores")
     result = assortment.sku_cache(*[tables[n] for n in names], as_of, days_delay, ignored_categories)
-    _publish(result, out, database, "bd_product_store")
+    _publish(result, out, database, "bd_product_store", schemas.PRODUCT_STORE)
 
 
 def supervisor_job(tables: Tables, out: str, database: str = "default") -> None:
     """Store to supervisor map of every tenant (C20)."""
     people = supervisor.active_supervisors(tables["user_identity"], tables["identity"], tables["users"])
-    _publish(supervisor.supervisor_map(people, tables["store_resources"]), out, database, "store_supervisor")
+    result = supervisor.supervisor_map(people, tables["store_resources"])
+    _publish(result, out, database, "store_supervisor", schemas.STORE_SUPERVISOR)
 
 
 def replenish_job(tables: Tables, out: str, as_of: str, database: str = "default") -> None:
@@ -135,5 +143,6 @@ def replenish_job(tables: Tables, out: str, as_of: str, database: str = "default
     series = actual_sale.unique_daily_series(tables["cost"], tables["inventory"], as_of)
     cycles = tables["cycles"].select(*STORE, cycle_code(F.col("dly_cycle")).alias("period_type_num"))
     prepared = replenish.replenish_input(tables["products"], tables["packs"], cycles, series)
-    _publish(replenish.replenish_history(prepared), out, database, "bd_product_history")
+    history = replenish.replenish_history(prepared)
+    _publish(history, out, database, "bd_product_history", schemas.PRODUCT_HISTORY)
     _publish(replenish.replenish_rejects(prepared), out, database, "bd_product_history_rejects")

@@ -29,8 +29,10 @@ def write_csv_days(df: DataFrame, path: str, by: Sequence[str] = DAY_PARTITION,
     ).csv(path)
 
 
-def conform(df: DataFrame, schema: StructType) -> DataFrame:
-    """Columns of the target by name, cast to its types."""
+def conform(df: DataFrame, schema: StructType | str) -> DataFrame:
+    """Columns of the target by name, cast to its types; a missing column is an error."""
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
@@ -39,7 +41,9 @@ def _saved(df: DataFrame, mode: str, table: str, path: str | None) -> None:
     (writer.option("path", path) if path else writer).saveAsTable(table)
 
 
-def replace_table(df: DataFrame, table: str, schema: StructType | None = None, path: str | None = None) -> None:
+def replace_table(
+    df: DataFrame, table: str, schema: StructType | str | None = None, path: str | None = None
+) -> None:
     """Replace a table, with a fixed schema (K3) or the frame's own."""
     _saved(conform(df, schema) if schema else df, "overwrite", table, path)
 

@@ -135,10 +135,11 @@ def test_monitoring_jobs(spark, tmp_path):
     assert sorted({str(r.date) for r in info.select("date").collect()}) == kept
     assert info.count() == info.dropDuplicates(["cmid", "foreign_store_id", "date"]).count()
     daily.weekly_job(spark, tables, out, days[-1])
-    for name in ("store_product_week", "new_store_product_week", "new_store_info_week", "store_info_week"):
-        assert not spark.table(name).isEmpty()
     daily.trial_job(tables, out, "2001-06-30")
     before = stored(spark.read.parquet(f"{out}/new_store_product_info"))
     daily.trial_job(tables, out, "2001-06-30")
     assert before and stored(spark.read.parquet(f"{out}/new_store_product_info")) == before
     assert spark.table("use_cm_stores").count() == tables["trial_stores"].count()
+    daily.trial_weekly_job(spark, out)
+    for name in ("store_product_week", "store_info_week", "new_store_product_week", "new_store_info_week"):
+        assert not spark.table(name).isEmpty()

@@ -78,6 +78,13 @@ def test_replace_append_exists(spark):
     assert content(spark.table("sink_a")) == [(43, "2024-01-05", "z", 9)]
 
 
+def test_conform_by_ddl(spark):
+    df = sinks.conform(frame(spark, (43, "2024-01-01", "a", 1)), "item string, qty double")
+    assert df.dtypes == [("item", "string"), ("qty", "double")]
+    with pytest.raises(AnalysisException):
+        sinks.conform(df, "missing int")
+
+
 def test_append_needs_the_columns(spark):
     sinks.replace_table(frame(spark, (43, "2024-01-01", "a", 1)), "sink_b")
     with pytest.raises(AnalysisException):
