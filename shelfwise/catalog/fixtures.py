@@ -84,7 +84,7 @@ EVENTS = {
     "cycles": f"""SELECT {_tenant('user_id')}, CAST(user_id AS varchar(20)) AS foreign_store_id,
         CASE user_id % 3 WHEN 0 THEN '单日配' WHEN 1 THEN '双日配' ELSE '三日配' END AS dly_cycle
         FROM {{events}} GROUP BY user_id HAVING min(value) < 5""",
-    "documents_per_event": """SELECT event_id, user_id, event_type FROM {events}""",
+    "event_rows": """SELECT event_id, user_id, event_type FROM {events}""",
 }
 
 LINEITEM = {

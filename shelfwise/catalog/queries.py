@@ -657,7 +657,7 @@ def _model_runs(data: Data) -> DataFrame:
         ).alias("result")
     )
     document = F.to_json(F.struct(F.array(full, bare).alias("fm_res")))
-    return data.e("documents_per_event").select("event_id", document.alias("document"))
+    return data.e("event_rows").select("event_id", document.alias("document"))
 
 
 def _urls(data: Data, extract) -> DataFrame:

@@ -12,13 +12,14 @@ from shelfwise.functions.numbers import zero_if_null
 from shelfwise.keys import ITEM, PAIR, STORE
 
 
-def future_demand(series: DataFrame) -> DataFrame:
+def future_demand(series: DataFrame, *keys: str) -> DataFrame:
     """Adds `future_demand`: demand after the row up to the next orderable row.
 
     Without a later orderable row it is the demand of the last row, not a sum. One row
-    per day key is expected; a window partition is one store item.
+    per day key is expected; a window partition is one store item. `keys` separate
+    several series of one item.
     """
-    ordered = Window.partitionBy(*PAIR).orderBy("date")
+    ordered = Window.partitionBy(*PAIR, *keys).orderBy("date")
     running = F.sum("demand").over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     upcoming = ordered.rowsBetween(1, Window.unboundedFollowing)
     whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -53,9 +54,10 @@ def _next_day(state: Column, day: Column, daily: Sequence[str]) -> Column:
 def replenish(series: DataFrame, labels: Sequence[str] = (), daily: Sequence[str] = ()) -> DataFrame:
     """Order quantities that keep each store item supplied until its next order day.
 
-    `series` has one row per day key with `demand`, `can_request_order`, `opening_stock`
-    and the pack size `mfu` (both constant per store item). `labels` are further constant
-    columns and `daily` further per-day columns to carry through. The days of an item, at
+    `series` has one row per day key and pack size `mfu` with `demand`,
+    `can_request_order` and `opening_stock` (constant per store item). An item with
+    several pack sizes gets a sequence for each. `labels` are further constant columns and
+    `daily` further per-day columns to carry through. The days of an item, at
     most one per day of the window, are folded inside one row, in the shuffle that the
     demand windows already made.
     """
@@ -70,7 +72,13 @@ def replenish(series: DataFrame, labels: Sequence[str] = (), daily: Sequence[str
     )
     carried = "".join(f",{name}:{series.schema[name].dataType.simpleString()}" for name in daily)
     done = f"array<struct<date:date,should_fill:int,fill_qty:bigint,cur_stock:bigint{carried}>>"
-    items = future_demand(series).groupBy(*PAIR, *labels).agg(F.sort_array(F.collect_list(day)).alias("series"))
+    # A float cannot share one hash partitioning between window and aggregate, a decimal can.
+    sized = series.withColumn("pack", F.col("mfu").cast("decimal(38,12)"))
+    items = (
+        future_demand(sized, "pack")
+        .groupBy(*PAIR, "pack", *labels)
+        .agg(F.sort_array(F.collect_list(day)).alias("series"))
+    )
     start = F.struct(F.col("series")[0]["opening"].alias("stock"), F.array().cast(done).alias("days"))
     folded = F.aggregate(
         "series", start, lambda state, day: _next_day(state, day, daily), lambda state: state["days"]

@@ -38,11 +38,7 @@ def test_unknown_anchor():
 
 def loop_trial(start, end, today):
     target = end if end <= today else today - dt.timedelta(1)
-    days, n = [start], 1
-    while start + dt.timedelta(n) < target:
-        days.append(start + dt.timedelta(n))
-        n += 1
-    return days
+    return [start] + [d for d in (start + dt.timedelta(n) for n in range(1, 100)) if d < target]
 
 
 @pytest.mark.parametrize(

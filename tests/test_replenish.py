@@ -91,3 +91,15 @@ def test_history_and_rejects(spark):
     rejected = {r.foreign_item_id for r in replenish.replenish_rejects(prepared).collect()}
     assert rejected == {"nopack", "zero", "noseries"}
     assert done and len(done) + replenish.replenish_rejects(prepared).count() == prepared.count()
+
+
+def test_each_pack_size_has_its_own_sequence(spark):
+    days = [(3, 1), (5, 0), (4, 1), (2, 0)]
+    rows = [
+        (43, "s", "i", START + dt.timedelta(n), demand, can, 4, mfu)
+        for mfu in (2.0, 9.0)
+        for n, (demand, can) in enumerate(days)
+    ]
+    got = replenish.replenish(spark.createDataFrame(rows, SERIES)).collect()
+    want = [(START + dt.timedelta(n), *step[1:]) for mfu in (2.0, 9.0) for n, step in enumerate(simulate(days, 4, mfu))]
+    assert sorted((r.date, r.should_fill, r.fill_qty, r.cur_stock) for r in got) == sorted(want)
