@@ -82,10 +82,14 @@ def psd_inventory_driven(
     as_of,
     window_days: int = 28,
     headquarters: str = HEADQUARTERS_STORE,
+    ordered: bool = True,
 ) -> DataFrame:
-    """Velocity of stocked goods (C3): only days with an inventory row count, nor do sales
-    of other days. The average divides by 28 whatever the window. Ordered by velocity; the
-    keys behind it keep the many items of equal velocity out of one sort partition."""
+    """Velocity of stocked goods.
+
+    Only days with an inventory row count; sales of other days are left out. The average
+    divides by 28 whatever the window. Ordered by velocity unless the result goes into a
+    table; the keys behind it keep items of equal velocity out of one sort partition.
+    """
     outside = F.col("foreign_store_id") != headquarters
     activity = (
         day_level(
@@ -102,7 +106,7 @@ def psd_inventory_driven(
     )
     named = stores.groupBy(*STORE, "store_name", "store_status").agg(F.count(F.lit(1)).alias("store_copies"))
     copies = F.col("copies") * F.coalesce("store_copies", F.lit(1))
-    return (
+    result = (
         activity.join(goods_variants(goods, "barcode", "item_name", "show_code"), ITEM)
         .join(named, STORE, "left")
         .withColumn("n_days", F.col("days") * copies)
@@ -127,5 +131,5 @@ def psd_inventory_driven(
             (F.col("psd") * F.col("lastin_price")).alias("psd_cost"),
             as_date(as_of).alias("update_date"),
         )
-        .orderBy(F.col("psd").desc(), *PAIR)
     )
+    return result.orderBy(F.col("psd").desc(), *PAIR) if ordered else result

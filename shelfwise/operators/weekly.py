@@ -16,18 +16,19 @@ REASON_COLUMNS = {
 }
 
 
-def week_reasons(product_info: DataFrame, classes: int = 4) -> DataFrame:
+def week_reasons(product_info: DataFrame, classes: int = 4, ordered: bool = True) -> DataFrame:
     """Stock-outs per store, week and reason.
 
     `classes=4` names weeks by Monday and reads code 4 as other (C15), `classes=5` names
-    them by Sunday and separates returns (C16). Ordered by week.
+    them by Sunday and separates returns (C16). Ordered by week unless the result goes
+    into a table, where the sort would be lost.
     """
     anchor = {4: "monday", 5: "sunday"}[classes]
     counts = [
         F.count_if(F.col("lost_reason") == code).alias(name)
         for code, name in enumerate(REASON_COLUMNS[classes], start=1)
     ]
-    return (
+    result = (
         product_info.groupBy(*STORE, "store_show_code", week_anchor(F.col("date"), anchor).alias("week"))
         .agg(*counts)
         .select(
@@ -38,8 +39,8 @@ def week_reasons(product_info: DataFrame, classes: int = 4) -> DataFrame:
             F.year("week").alias("y"),
             F.weekofyear("week").alias("wk"),
         )
-        .orderBy("date", *STORE)
     )
+    return result.orderBy("date", *STORE) if ordered else result
 
 
 def week_store_info(store_info: DataFrame, product_info: DataFrame) -> DataFrame:

@@ -41,6 +41,13 @@ def psd_job(tables: Tables, out: str, as_of: str, unique_days: bool = False) ->
     sinks.write_daily(sinks.conform(result, schemas.PSD_INFO), f"{out}/psd_info", as_of)
 
 
+def inventory_psd_job(tables: Tables, out: str, as_of: str) -> None:
+    """Velocity of stocked goods as gzip CSV per tenant and day."""
+    names = ("cost", "inventory", "goods", "stores")
+    result = psd.psd_inventory_driven(*[tables[n] for n in names], as_of, ordered=False)
+    sinks.write_csv_days(result, f"{out}/psd_inventory", ("cmid", "update_date"))
+
+
 def _publish(df: DataFrame, out: str, database: str, table: str, schema: str | None = None) -> None:
     conformed = df if schema is None else sinks.conform(df, schema)
     sinks.publish_swap(conformed, f"{database}.{table}", sinks.version_path(out, table))
@@ -100,7 +107,8 @@ def weekly_job(spark: SparkSession, tables: Tables, out: str, as_of: str, databa
     """Weekly tables from the monitoring tables under `out`."""
     info = spark.read.schema(schemas.STORE_INFO).parquet(f"{out}/store_info")
     products = spark.read.schema(schemas.STORE_PRODUCT_INFO).parquet(f"{out}/store_product_info")
-    _publish(weekly.week_reasons(products), out, database, "store_product_week", schemas.STORE_PRODUCT_WEEK)
+    by_reason = weekly.week_reasons(products, ordered=False)
+    _publish(by_reason, out, database, "store_product_week", schemas.STORE_PRODUCT_WEEK)
     recent = weekly.week_store_info_df(info, products, tables["stores"], as_of)
     _publish(recent, out, database, "store_info_week", schemas.STORE_INFO_WEEK)
 
@@ -109,7 +117,7 @@ def trial_weekly_job(spark: SparkSession, out: str, database: str = "default") -
     """Weekly tables from the trial tables under `out`."""
     info = spark.read.schema(schemas.STORE_INFO).parquet(f"{out}/new_store_info")
     products = spark.read.schema(schemas.STORE_PRODUCT_INFO).parquet(f"{out}/new_store_product_info")
-    by_reason = weekly.week_reasons(products, classes=5)
+    by_reason = weekly.week_reasons(products, classes=5, ordered=False)
     _publish(by_reason, out, database, "new_store_product_week", schemas.NEW_STORE_PRODUCT_WEEK)
     _publish(weekly.week_store_info(info, products), out, database, "new_store_info_week", schemas.NEW_STORE_INFO_WEEK)
 
@@ -146,3 +154,11 @@ def replenish_job(tables: Tables, out: str, as_of: str, database: str = "default
     history = replenish.replenish_history(prepared)
     _publish(history, out, database, "bd_product_history", schemas.PRODUCT_HISTORY)
     _publish(replenish.replenish_rejects(prepared), out, database, "bd_product_history_rejects")
+
+
+def backfill_job(tables: Tables, out: str, as_of: str, database: str = "default") -> None:
+    """Replenishment history with the actual stock filled in."""
+    spark = tables["cost"].sparkSession
+    series = actual_sale.actual_sale(tables["cost"], tables["inventory"], as_of)
+    filled = actual_sale.backfill_actual_stock(spark.table(f"{database}.bd_product_history"), series)
+    _publish(filled, out, database, "bd_product_history", schemas.FILLED_HISTORY)

@@ -45,4 +45,8 @@ PRODUCT_HISTORY = """
     cmid int, foreign_store_id string, foreign_store_name string, foreign_item_id string, foreign_item_name string,
     fill_qty double, prediction_stock int, theory_stock int, date date
 """
+FILLED_HISTORY = """
+    cmid int, foreign_store_id string, foreign_store_name string, foreign_item_id string, foreign_item_name string,
+    prediction_stock int, theory_stock int, date date
+"""
 STORE_SUPERVISOR = "cmid int, first_name string, foreign_store_id string, user_id string, user_name string"

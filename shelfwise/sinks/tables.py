@@ -23,10 +23,10 @@ def _spread(df: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 def write_csv_days(df: DataFrame, path: str, by: Sequence[str] = DAY_PARTITION, header: bool = True) -> None:
-    """Gzip CSV per day (K1, K2)."""
-    _spread(df, by).write.mode("overwrite").partitionBy(*by).option("header", header).option(
-        "compression", "gzip"
-    ).csv(path)
+    """Gzip CSV per day (K1, K2); only the days the frame has rows for are replaced."""
+    writer = _spread(df, by).write.mode("overwrite").partitionBy(*by)
+    writer = writer.option("partitionOverwriteMode", "dynamic").option("header", header)
+    writer.option("compression", "gzip").csv(path)
 
 
 def conform(df: DataFrame, schema: StructType | str) -> DataFrame:

@@ -119,6 +119,13 @@ def test_fact_jobs_can_be_repeated(spark, inputs, tmp_path):
     first = run()
     assert all(first.values())
     assert run() == first
+    daily.inventory_psd_job(inputs, out, "2024-01-29")
+    daily.inventory_psd_job(inputs, out, "2024-01-30")
+    export = spark.read.option("header", True).csv(f"{out}/psd_inventory")
+    assert {str(r.update_date) for r in export.select("update_date").collect()} == {"2024-01-29", "2024-01-30"}
+    daily.backfill_job(inputs, out, "2024-01-30")
+    filled = spark.table("bd_product_history")
+    assert filled.count() == len(first["bd_product_history"]) and "fill_qty" not in filled.columns
 
 
 def test_monitoring_jobs(spark, tmp_path):
