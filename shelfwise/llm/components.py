@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from shelfwise.sources.scratch import settle
@@ -27,8 +27,11 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return links.where("u <> v").distinct()
 
 
-def _mark(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+def _written(edges: DataFrame) -> tuple[DataFrame, dict]:
+    """The edges as a written table, with their number and the sum of their hashes, observed while writing."""
+    seen = Observation()
+    table = settle(edges.observe(seen, F.count(F.lit(1)).alias("rows"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("marks")), "edges")
+    return table, seen.get
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -37,11 +40,10 @@ def components(edges: DataFrame) -> DataFrame:
     Repeated edges, loops and both directions are fine; no edges give no rows. Each round is a
     written table, so a lost executor costs a re-read.
     """
-    now = settle(edges.select(F.col("a").alias("u"), F.col("b").alias("v")).where("u <> v").distinct(), "edges")
-    mark = _mark(now)
-    while True:
-        now = settle(_small_star(_large_star(now)), "edges")
-        before, mark = mark, _mark(now)
+    now, mark = _written(edges.select(F.col("a").alias("u"), F.col("b").alias("v")).where("u <> v").distinct())
+    while mark["rows"]:
+        before = mark
+        now, mark = _written(_small_star(_large_star(now)))
         if mark == before:
             break
     found = now.select(F.col("u").alias("node"), F.col("v").alias("component"))

@@ -8,11 +8,12 @@ is 0.997 at 0.8. Candidates are verified on the whole texts by weighted Jaccard
 
 Equal texts (after lower-casing and splitting into words) are folded first. In a bucket no pair
 list is made: every member is compared with one pivot, verified links are contracted to
-components, and only buckets that still hold several components are worked on further, with
-another pivot and then in finer buckets: 128 fixed choices of six of the 24 samples. Documents
-that merely share a passage part there, while at similarity 0.8 a pair stays together with
-probability 0.995. Fine buckets get a pivot too, and what is still in different components is
-compared pair by pair. So a group of n near copies costs some n comparisons.
+components, and only buckets that still hold several components are worked on further, in finer
+buckets: 40 fixed choices of five of the 24 samples. Documents that merely share a passage part
+there, while at similarity 0.8 a pair stays together with probability 0.993. Each fine bucket
+has pivots of its own, and what is in different components after that is compared pair by pair,
+unless the total weights alone rule the similarity out. So a group of n near copies costs some n
+comparisons.
 """
 
 from __future__ import annotations
@@ -39,8 +40,8 @@ LEAST_AGREEING = 9
 
 DF_BITS, DF_CHUNK = 20, 1024
 TABLE_BITS = 16
-COARSE_PIVOTS, FINE_PIVOTS = 2, 2
-FINE_CHOICES, FINE_ROWS = 128, 6
+COARSE_PIVOTS, FINE_PIVOTS = 1, 2
+FINE_CHOICES, FINE_ROWS = 40, 5
 
 BROADCAST_ROWS = 2_000_000
 """Id lists up to this many rows (16 bytes each) are broadcast; beyond it they are shuffled."""
@@ -145,7 +146,7 @@ def _choices() -> np.ndarray:
 
 
 def fine_buckets(drawn: DataFrame) -> DataFrame:
-    """(rep, band) for each of the fixed choices of six samples, where at least two documents meet."""
+    """(rep, band) for each of the fixed choices of five samples, where at least two documents meet."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -170,7 +171,7 @@ def _shared(rows: DataFrame) -> DataFrame:
 
 
 def sketches(docs: DataFrame, idf: Broadcast) -> DataFrame:
-    """doc_id, a 128-bit mark of the weighted set, band keys and samples; rows without words or id have none."""
+    """doc_id, a 128-bit mark of the weighted set, band keys, samples and total weight; none for rows without words or id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
@@ -190,12 +191,13 @@ def sketches(docs: DataFrame, idf: Broadcast) -> DataFrame:
                     pa.array(high.view(np.int64)),
                     pa.array(list(keys), pa.list_(pa.int64())),
                     pa.array([row.tobytes() for row in drawn], pa.binary()),
+                    pa.array(np.add.reduceat(weights.astype(np.float64), starts)),
                 ],
-                names=["doc_id", "low", "high", "bands", "drawn"],
+                names=["doc_id", "low", "high", "bands", "drawn", "weight"],
             )
 
     rows = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(run, "doc_id long, low long, high long, bands array<long>, drawn binary")
+    return rows.mapInArrow(run, "doc_id long, low long, high long, bands array<long>, drawn binary, weight double")
 
 
 def _checked(small: DataFrame) -> DataFrame:
@@ -261,16 +263,20 @@ def _open_buckets(buckets: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def _pivot_pairs(rows: DataFrame, turn: int) -> DataFrame:
-    """Every member of a bucket against one of its members that is in another component."""
-    pivot = rows.groupBy("band").agg(F.min_by(F.struct("rep", "component"), F.struct(F.xxhash64("rep", F.lit(turn)), "rep")).alias("pivot"))
+    """Every member of a bucket against one of its members, drawn for each bucket and turn, if that is in another component."""
+    pivot = rows.groupBy("band").agg(F.min_by(F.struct("rep", "component"), F.struct(F.xxhash64("rep", "band", F.lit(turn)), "rep")).alias("pivot"))
     found = rows.join(pivot, "band").where(F.col("component") != F.col("pivot.component"))
     return found.select(F.least("rep", "pivot.rep").alias("a"), F.greatest("rep", "pivot.rep").alias("b")).distinct()
 
 
-def _cross_pairs(rows: DataFrame) -> DataFrame:
-    left = rows.select("band", F.col("rep").alias("a"), F.col("component").alias("component_a"))
-    right = rows.select("band", F.col("rep").alias("b"), F.col("component").alias("component_b"))
-    return left.join(right, "band").where("component_a < component_b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+def _cross_pairs(rows: DataFrame, weights: DataFrame) -> DataFrame:
+    """Members of different components of a bucket whose total weights allow the similarity."""
+    heavy = rows.join(weights, "rep")
+    left = heavy.select("band", F.col("rep").alias("a"), F.col("component").alias("component_a"), F.col("weight").alias("weight_a"))
+    right = heavy.select("band", F.col("rep").alias("b"), F.col("component").alias("component_b"), F.col("weight").alias("weight_b"))
+    lighter, heavier = F.least("weight_a", "weight_b"), F.greatest("weight_a", "weight_b")
+    pairs = left.join(right, "band").where((F.col("component_a") < F.col("component_b")) & (lighter >= heavier * (THRESHOLD - 1e-4)))
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -284,10 +290,11 @@ def classes(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     idf = spark.sparkContext.broadcast(inverse_frequencies(docs))
     marks = settle(sketches(docs, idf), "sketches")
-    folded = marks.groupBy("low", "high").agg(F.min_by(F.struct("doc_id", "bands", "drawn"), "doc_id").alias("first"))
-    reps = settle(folded.select("low", "high", F.col("first.doc_id").alias("rep"), F.col("first.bands").alias("bands"), F.col("first.drawn").alias("drawn")), "texts")
+    folded = marks.groupBy("low", "high").agg(F.min_by(F.struct("doc_id", "bands", "drawn", "weight"), "doc_id").alias("first"))
+    reps = settle(folded.select("low", "high", F.col("first.doc_id").alias("rep"), "first.bands", "first.drawn", "first.weight"), "texts")
     members = settle(marks.select("doc_id", "low", "high").join(reps.select("low", "high", "rep"), ["low", "high"]).select("doc_id", "rep").distinct(), "members")
     drawn = reps.select("rep", "drawn").dropDuplicates(["rep"])
+    weights = reps.groupBy("rep").agg(F.max("weight").alias("weight"))
 
     one_id = members.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a < b")
     links = settle(one_id.select("a", "b"), "links")
@@ -298,7 +305,7 @@ def classes(docs: DataFrame) -> DataFrame:
             apart = _open_buckets(buckets, found).select("rep").distinct()
             buckets = settle(fine_buckets(drawn.join(apart, "rep", "left_semi")), "fine-buckets")
         rows = settle(_open_buckets(buckets, found), "open-buckets")
-        pairs = _pivot_pairs(rows, turn) if turn < COARSE_PIVOTS + FINE_PIVOTS else _cross_pairs(rows)
+        pairs = _pivot_pairs(rows, turn) if turn < COARSE_PIVOTS + FINE_PIVOTS else _cross_pairs(rows, weights)
         links = links.union(settle(_verified(settle(_agreeing(pairs, drawn), "pairs"), docs, idf), "links"))
         found = settle(components(links), "components")
     named = _labelled(members, found).groupBy("doc_id").agg(F.min("component").alias("class_id"))
