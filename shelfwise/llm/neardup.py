@@ -8,12 +8,13 @@ is 0.997 at 0.8. Candidates are verified on the whole texts by weighted Jaccard
 
 Equal texts (after lower-casing and splitting into words) are folded first. In a bucket no pair
 list is made: every member is compared with one pivot, verified links are contracted to
-components, and only buckets that still hold several components are worked on further, in finer
-buckets: 40 fixed choices of five of the 24 samples. Documents that merely share a passage part
-there, while at similarity 0.8 a pair stays together with probability 0.993. Each fine bucket
-has pivots of its own, and what is in different components after that is compared pair by pair,
-unless the total weights alone rule the similarity out. So a group of n near copies costs some n
-comparisons.
+components, and only documents whose buckets still hold several components are worked on further.
+Those are put into buckets by prefix: in the order of rarity among them, two documents of
+similarity t share a shingle before which each has at most the share 1 - t of its weight. That is
+exact, and it parts documents that merely share a passage, and near copies whose own words make up
+too much of their weight. Each of these buckets has pivots too, and what is in different
+components after that is compared pair by pair, unless the weights from the shared shingle on rule
+the similarity out. So a group of n near copies costs some n comparisons.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from shelfwise.llm.components import components
 from shelfwise.llm.shared import mixed, shingle_counts, slices, texts_of
@@ -40,8 +42,7 @@ LEAST_AGREEING = 9
 
 DF_BITS, DF_CHUNK = 20, 1024
 TABLE_BITS = 16
-COARSE_PIVOTS, FINE_PIVOTS = 1, 2
-FINE_CHOICES, FINE_ROWS = 40, 5
+BAND_PIVOTS, PREFIX_PIVOTS = 1, 2
 
 BROADCAST_ROWS = 2_000_000
 """Id lists up to this many rows (16 bytes each) are broadcast; beyond it they are shuffled."""
@@ -139,39 +140,42 @@ def _band_keys(drawn: np.ndarray) -> np.ndarray:
     return keys
 
 
-@functools.lru_cache(maxsize=1)
-def _choices() -> np.ndarray:
-    rng = np.random.Generator(np.random.PCG64(20240301))
-    return np.stack([np.sort(rng.permutation(SAMPLES)[:FINE_ROWS]) for _ in range(FINE_CHOICES)])
-
+def prefix_buckets(docs: DataFrame, reps: DataFrame, idf: Broadcast) -> DataFrame:
+    """(rep, band, rest, total): each of the documents `reps` with the shingles of its prefix that others have too,
+    the weight from there on and the whole weight.
 
-def fine_buckets(drawn: DataFrame) -> DataFrame:
-    """(rep, band) for each of the fixed choices of five samples, where at least two documents meet."""
+    A document's shingles are ordered by the number of these documents that have them; its prefix
+    ends where the weight before a shingle exceeds the share 1 - threshold of the whole.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for start in range(0, whole.num_rows, 4096):
-                batch = whole.slice(start, 4096)
-                values = np.frombuffer(b"".join(batch.column("drawn").to_pylist()), dtype=np.uint32).reshape(-1, SAMPLES)
-                keys = np.empty((len(values), FINE_CHOICES), dtype=np.uint64)
-                for k, choice in enumerate(_choices()):
-                    key = np.full(len(values), k + 1, dtype=np.uint64)
-                    for place in choice:
-                        key = mixed(key * np.uint64(0x9FB21C651E98DF25) + values[:, place])
-                    keys[:, k] = key
-                reps = np.repeat(batch.column("rep").to_numpy(), FINE_CHOICES)
-                yield pa.RecordBatch.from_arrays([pa.array(reps), pa.array(keys.view(np.int64).ravel())], names=["rep", "band"])
-
-    return _shared(drawn.mapInArrow(run, "rep long, band long"))
-
-
-def _shared(rows: DataFrame) -> DataFrame:
-    """The rows (rep, band) of buckets with more than one row."""
-    return rows.join(rows.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band"), "band").select("rep", "band").distinct()
+        for part in slices(batches, "text"):
+            owner, hashes, _, weights = weighted(texts_of(part), idf.value)
+            ids = part.column("rep").to_numpy()[owner]
+            total = np.bincount(owner, weights, minlength=part.num_rows)[owner]
+            columns = [pa.array(ids), pa.array(hashes.view(np.int64)), pa.array(weights.astype(np.float64)), pa.array(total)]
+            yield pa.RecordBatch.from_arrays(columns, names=["rep", "band", "weight", "total"])
+
+    schema = "rep long, band long, weight double, total double"
+    every = _texts(docs, reps.withColumnRenamed("rep", "doc_id")).select(F.col("doc_id").alias("rep"), "text").mapInArrow(run, schema)
+    held = settle(every, "shingles")
+    common = held.groupBy("band").agg(F.count(F.lit(1)).alias("holders")).where("holders > 1")
+    shared = held.join(common, "band")
+    rarest = Window.partitionBy("rep").orderBy("holders", "band")
+    own = F.col("total") - F.sum("weight").over(Window.partitionBy("rep"))  # weight of shingles that nobody else has
+    before = own + F.sum("weight").over(rarest.rowsBetween(Window.unboundedPreceding, -1))
+    placed = shared.withColumn("before", F.coalesce(before, own)).where(F.col("before") <= F.col("total") * (1 - THRESHOLD + 1e-6))
+    rows = placed.select("rep", "band", (F.col("total") - F.col("before")).alias("rest"), "total")
+    return rows.join(_crowded(rows), "band")
+
+
+def _crowded(rows: DataFrame) -> DataFrame:
+    """The buckets with more than one row."""
+    return rows.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band")
 
 
 def sketches(docs: DataFrame, idf: Broadcast) -> DataFrame:
-    """doc_id, a 128-bit mark of the weighted set, band keys, samples and total weight; none for rows without words or id."""
+    """doc_id, a 128-bit mark of the weighted set, band keys and samples; none for rows without words or id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
@@ -191,13 +195,12 @@ def sketches(docs: DataFrame, idf: Broadcast) -> DataFrame:
                     pa.array(high.view(np.int64)),
                     pa.array(list(keys), pa.list_(pa.int64())),
                     pa.array([row.tobytes() for row in drawn], pa.binary()),
-                    pa.array(np.add.reduceat(weights.astype(np.float64), starts)),
                 ],
-                names=["doc_id", "low", "high", "bands", "drawn", "weight"],
+                names=["doc_id", "low", "high", "bands", "drawn"],
             )
 
     rows = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(run, "doc_id long, low long, high long, bands array<long>, drawn binary, weight double")
+    return rows.mapInArrow(run, "doc_id long, low long, high long, bands array<long>, drawn binary")
 
 
 def _checked(small: DataFrame) -> DataFrame:
@@ -226,11 +229,15 @@ def similarity(one: tuple[np.ndarray, np.ndarray], other: tuple[np.ndarray, np.n
     return shared / union if union else 0.0
 
 
+def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """doc_id and text of the documents `ids`."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
+    return rows.join(_checked(ids), "doc_id", "left_semi")
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, idf: Broadcast) -> DataFrame:
     """The pairs (a, b) whose whole texts are similar enough."""
-    ids = settle(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "candidate-ids")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
-    texts = rows.join(_checked(ids), "doc_id", "left_semi")
+    texts = _texts(docs, settle(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "candidate-ids"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text_b"):
@@ -269,14 +276,16 @@ def _pivot_pairs(rows: DataFrame, turn: int) -> DataFrame:
     return found.select(F.least("rep", "pivot.rep").alias("a"), F.greatest("rep", "pivot.rep").alias("b")).distinct()
 
 
-def _cross_pairs(rows: DataFrame, weights: DataFrame) -> DataFrame:
-    """Members of different components of a bucket whose total weights allow the similarity."""
-    heavy = rows.join(weights, "rep")
-    left = heavy.select("band", F.col("rep").alias("a"), F.col("component").alias("component_a"), F.col("weight").alias("weight_a"))
-    right = heavy.select("band", F.col("rep").alias("b"), F.col("component").alias("component_b"), F.col("weight").alias("weight_b"))
-    lighter, heavier = F.least("weight_a", "weight_b"), F.greatest("weight_a", "weight_b")
-    pairs = left.join(right, "band").where((F.col("component_a") < F.col("component_b")) & (lighter >= heavier * (THRESHOLD - 1e-4)))
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+def _cross_pairs(rows: DataFrame) -> DataFrame:
+    """Members of different components of a prefix bucket that can be similar.
+
+    If the bucket's shingle is the first that two documents share, what they share weighs at most
+    `rest` of either, and at similarity t it weighs t / (1 + t) of both wholes together.
+    """
+    sides = [rows.select("band", *[F.col(c).alias(f"{c}_{side}") for c in ("rep", "component", "rest", "total")]) for side in "ab"]
+    enough = (F.col("total_a") + F.col("total_b")) * (THRESHOLD / (1 + THRESHOLD) - 1e-6)
+    pairs = sides[0].join(sides[1], "band").where((F.col("component_a") < F.col("component_b")) & (F.least("rest_a", "rest_b") >= enough))
+    return pairs.select(F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b")).distinct()
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -290,22 +299,22 @@ def classes(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     idf = spark.sparkContext.broadcast(inverse_frequencies(docs))
     marks = settle(sketches(docs, idf), "sketches")
-    folded = marks.groupBy("low", "high").agg(F.min_by(F.struct("doc_id", "bands", "drawn", "weight"), "doc_id").alias("first"))
-    reps = settle(folded.select("low", "high", F.col("first.doc_id").alias("rep"), "first.bands", "first.drawn", "first.weight"), "texts")
+    folded = marks.groupBy("low", "high").agg(F.min_by(F.struct("doc_id", "bands", "drawn"), "doc_id").alias("first"))
+    reps = settle(folded.select("low", "high", F.col("first.doc_id").alias("rep"), "first.bands", "first.drawn"), "texts")
     members = settle(marks.select("doc_id", "low", "high").join(reps.select("low", "high", "rep"), ["low", "high"]).select("doc_id", "rep").distinct(), "members")
     drawn = reps.select("rep", "drawn").dropDuplicates(["rep"])
-    weights = reps.groupBy("rep").agg(F.max("weight").alias("weight"))
 
     one_id = members.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a < b")
     links = settle(one_id.select("a", "b"), "links")
     found = settle(components(links), "components")
-    buckets = settle(_shared(reps.select("rep", F.explode("bands").alias("band"))), "buckets")
-    for turn in range(COARSE_PIVOTS + FINE_PIVOTS + 1):
-        if turn == COARSE_PIVOTS:
-            apart = _open_buckets(buckets, found).select("rep").distinct()
-            buckets = settle(fine_buckets(drawn.join(apart, "rep", "left_semi")), "fine-buckets")
+    rows = reps.select("rep", F.explode("bands").alias("band"))
+    buckets = settle(rows.join(_crowded(rows), "band").distinct(), "buckets")
+    for turn in range(BAND_PIVOTS + PREFIX_PIVOTS + 1):
+        if turn == BAND_PIVOTS:
+            apart = settle(_open_buckets(buckets, found).select("rep").distinct(), "apart")
+            buckets = settle(prefix_buckets(docs, apart, idf), "prefix-buckets")
         rows = settle(_open_buckets(buckets, found), "open-buckets")
-        pairs = _pivot_pairs(rows, turn) if turn < COARSE_PIVOTS + FINE_PIVOTS else _cross_pairs(rows, weights)
+        pairs = _pivot_pairs(rows, turn) if turn < BAND_PIVOTS + PREFIX_PIVOTS else _cross_pairs(rows)
         links = links.union(settle(_verified(settle(_agreeing(pairs, drawn), "pairs"), docs, idf), "links"))
         found = settle(components(links), "components")
     named = _labelled(members, found).groupBy("doc_id").agg(F.min("component").alias("class_id"))
