@@ -23,7 +23,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     rows without an id have no class and stay."""
     ship(spark)
     kept = settle(neardup.classes(docs).where("class_id = doc_id").select("doc_id").distinct(), "kept")
-    named = docs.join(kept.withColumnRenamed("doc_id", "_kept"), F.col("doc_id").cast("long") == F.col("_kept")).drop("_kept")
+    named = docs.join(kept, docs["doc_id"].cast("long") == kept["doc_id"], "left_semi")
     return named.dropDuplicates(["doc_id"]).unionByName(docs.where(F.col("doc_id").isNull()))
 
 
