@@ -2,7 +2,8 @@
 
 Two sets share one vocabulary. Set E reads `events`: stores are users, items are event
 types, thirty dense days of January 2024. Set L reads `lineitem`: stores are suppliers,
-items are parts, seven sparse years. Every row of the base table takes part. Sales carry
+items are parts, seven sparse years. Every row of the base table takes part: where an
+operator must meet rows without a partner, keys that fit nothing are given to some. Sales carry
 the day of the row and stock a later day for some or all rows, so the full join meets
 sale-only, stock-only and matched days. Stores with an even key belong to tenant 43, the
 others to tenant 85.
@@ -50,19 +51,20 @@ EVENTS = {
         CASE WHEN max(event_id % 11) = 0 THEN NULL ELSE CAST(sum(event_id % 17 - 4) AS bigint) END AS quantity,
         CAST(sum(CAST(value AS decimal(12,2))) AS decimal(18,2)) AS amount
         FROM {{events}} GROUP BY 1, 2, 3, 4""",
-    "goods": f"""SELECT cmid, event_type AS foreign_item_id, upper(event_type) AS item_name,
-        concat('69', event_type) AS barcode,
+    "goods": f"""SELECT cmid, CASE WHEN event_type = 'error' THEN 'no event' ELSE event_type END AS foreign_item_id,
+        upper(event_type) AS item_name, concat('69', event_type) AS barcode,
         CASE WHEN event_type = 'click' THEN NULL ELSE concat('SC-', event_type) END AS show_code,
         CASE WHEN event_type = 'signup' THEN '淘汰' WHEN event_type = 'view' THEN NULL ELSE '正常' END AS item_status,
         CASE WHEN event_type = 'view' THEN NULL ELSE substring(event_type, 1, 1) END AS foreign_category_lv1,
         CAST(length(event_type) + 0.25 AS decimal(18,4)) AS lastin_price,
         CAST(length(event_type) + 1.5 AS decimal(18,4)) AS sale_price
-        FROM (SELECT DISTINCT {_tenant('user_id')}, event_type FROM {{events}} WHERE event_type <> 'error') d""",
+        FROM (SELECT DISTINCT {_tenant('user_id')}, event_type FROM {{events}}) d""",
     "stores": f"""SELECT {_tenant('c_custkey')}, CAST(c_custkey AS varchar(20)) AS foreign_store_id, c_name AS store_name,
         concat('S', CAST(c_custkey AS varchar(20))) AS show_code, c_nationkey % 3 AS property_id,
         CASE WHEN c_acctbal < 0 THEN '闭店' ELSE '营业' END AS store_status FROM {{customer}}""",
-    "ways": f"""SELECT {_E_KEYS}, CASE WHEN min(value) < 1 THEN NULL ELSE '统配' END AS alc_way
-        FROM {{events}} GROUP BY 1, 2, 3 HAVING count(*) > 10""",
+    "ways": f"""SELECT cmid, foreign_store_id, CASE WHEN n > 10 THEN foreign_item_id ELSE 'no item' END AS foreign_item_id,
+        CASE WHEN low < 1 THEN NULL ELSE '统配' END AS alc_way
+        FROM (SELECT {_E_KEYS}, min(value) AS low, count(*) AS n FROM {{events}} GROUP BY 1, 2, 3) w""",
     "delivery": f"""SELECT {_E_KEYS}, CAST(ts AS date) AS delivery_date, event_id % 20 AS delivery_qty,
         CASE WHEN value < 100 THEN '统配出' ELSE '直配出' END AS delivery_type FROM {{events}}""",
     "suggestions": f"""SELECT {_E_KEYS}, CAST(ts AS date) - CAST(1 + user_id % 2 AS int) AS date, event_id % 4 AS fill_qty
@@ -70,9 +72,11 @@ EVENTS = {
     "require_orders": f"SELECT {_E_KEYS}, CAST(ts AS date) - 1 AS date, event_id % 3 AS order_qty FROM {{events}}",
     "cm_sku": f"""SELECT {_E_KEYS}, CASE WHEN event_type = 'signup' THEN 'R' WHEN value < 20 THEN 'A' ELSE 'N' END AS busgate
         FROM {{events}}""",
-    "aa_sku": f"SELECT {_E_KEYS} FROM {{events}} WHERE value > 150",
-    "refunds": f"""SELECT {_E_KEYS}, CASE WHEN value > 200 THEN '退货' ELSE '调拨' END AS method
-        FROM {{events}} WHERE value > 120""",
+    "aa_sku": f"""SELECT {_tenant('user_id')}, CAST(user_id AS varchar(20)) AS foreign_store_id,
+        CASE WHEN value > 150 THEN event_type ELSE 'no item' END AS foreign_item_id FROM {{events}}""",
+    "refunds": f"""SELECT {_tenant('user_id')}, CAST(user_id AS varchar(20)) AS foreign_store_id,
+        CASE WHEN value > 120 THEN event_type ELSE 'no item' END AS foreign_item_id,
+        CASE WHEN value > 200 THEN '退货' ELSE '调拨' END AS method FROM {{events}}""",
     "warehouse": f"""SELECT {_tenant('user_id')}, event_type AS foreign_item_id, CAST(ts AS date) AS date,
         event_id % 90 AS stock_qty FROM {{events}}""",
     "products": f"""SELECT {_tenant('user_id')}, CAST(user_id AS varchar(20)) AS foreign_store_id, event_type AS foreign_item_id,
@@ -81,9 +85,12 @@ EVENTS = {
     "packs": f"""SELECT {_tenant('user_id')}, event_type AS foreign_item_id,
         CASE WHEN event_type = 'signup' THEN NULL ELSE length(event_type) + 0.5 END AS mfu
         FROM {{events}} GROUP BY 1, 2, 3""",
-    "cycles": f"""SELECT {_tenant('user_id')}, CAST(user_id AS varchar(20)) AS foreign_store_id,
+    "cycles": f"""SELECT {_tenant('user_id')},
+        concat(CASE WHEN min(value) < 5 THEN '' ELSE 'no store ' END, CAST(user_id AS varchar(20))) AS foreign_store_id,
         CASE user_id % 3 WHEN 0 THEN '单日配' WHEN 1 THEN '双日配' ELSE '三日配' END AS dly_cycle
-        FROM {{events}} GROUP BY user_id HAVING min(value) < 5""",
+        FROM {{events}} GROUP BY user_id""",
+    "settings": f"""SELECT 43 AS cmid, 'A' AS code_a, CAST(NULL AS varchar(5)) AS code_b, 1 AS days_delay, 'p' AS ignored
+        UNION ALL SELECT 85, 'N', 'R', 3, 'c'""",
     "event_rows": """SELECT event_id, user_id, event_type FROM {events}""",
 }
 
@@ -106,16 +113,20 @@ LINEITEM = {
     "stores": f"""SELECT {_tenant('s_suppkey')}, CAST(s_suppkey AS varchar(20)) AS foreign_store_id, s_name AS store_name,
         concat('S', CAST(s_suppkey AS varchar(20))) AS show_code, s_nationkey % 3 AS property_id,
         CASE WHEN s_acctbal < 0 THEN '闭店' ELSE '营业' END AS store_status FROM {{supplier}}""",
-    "ways": f"""SELECT {_L_KEYS}, max(l_linestatus) AS alc_way FROM {{lineitem}} WHERE l_returnflag <> 'N' GROUP BY 1, 2, 3""",
+    "ways": f"""SELECT {_L_KEYS}, max(CASE WHEN l_returnflag <> 'N' THEN l_linestatus END) AS alc_way
+        FROM {{lineitem}} GROUP BY 1, 2, 3""",
     "delivery": f"""SELECT {_L_KEYS}, {_L_DAY} AS delivery_date, {_L_QTY} AS delivery_qty,
         CASE WHEN l_linestatus = 'F' THEN '统配出' ELSE '直配出' END AS delivery_type FROM {{lineitem}}""",
     "suggestions": f"""SELECT {_L_KEYS}, {_L_DAY} - CAST(1 + l_suppkey % 2 AS int) AS date, {_L_QTY} % 12 AS fill_qty
         FROM {{lineitem}}""",
     "require_orders": f"SELECT {_L_KEYS}, {_L_DAY} - 1 AS date, {_L_QTY} % 7 AS order_qty FROM {{lineitem}}",
     "cm_sku": f"SELECT {_L_KEYS}, l_returnflag AS busgate FROM {{lineitem}}",
-    "aa_sku": f"SELECT {_L_KEYS} FROM {{lineitem}} WHERE l_discount > 0.05",
-    "refunds": f"""SELECT {_L_KEYS}, CASE WHEN l_linestatus = 'F' THEN '退货' ELSE '调拨' END AS method
-        FROM {{lineitem}} WHERE l_returnflag = 'R'""",
+    "aa_sku": f"""SELECT {_tenant('l_suppkey')}, CAST(l_suppkey AS varchar(20)) AS foreign_store_id,
+        concat(CASE WHEN l_discount > 0.05 THEN '' ELSE 'no item ' END, CAST(l_partkey AS varchar(20))) AS foreign_item_id
+        FROM {{lineitem}}""",
+    "refunds": f"""SELECT {_tenant('l_suppkey')}, CAST(l_suppkey AS varchar(20)) AS foreign_store_id,
+        concat(CASE WHEN l_returnflag = 'R' THEN '' ELSE 'no item ' END, CAST(l_partkey AS varchar(20))) AS foreign_item_id,
+        CASE WHEN l_linestatus = 'F' THEN '退货' ELSE '调拨' END AS method FROM {{lineitem}}""",
     "warehouse": f"""SELECT {_tenant('l_suppkey')}, CAST(l_partkey AS varchar(20)) AS foreign_item_id, {_L_DAY} - 1 AS date,
         {_L_QTY} AS stock_qty FROM {{lineitem}}""",
     "detail_sheet": f"""SELECT {_tenant('l_suppkey')}, CAST(l_suppkey AS varchar(20)) AS "门店ID",
@@ -140,9 +151,10 @@ LINEITEM = {
     "product_rows": f"""SELECT {_L_KEYS}, concat('S', CAST(l_suppkey AS varchar(20))) AS store_show_code,
         concat('P', CAST(l_partkey AS varchar(20))) AS item_show_code, {_L_DAY} AS date,
         CAST(1 + l_linenumber % 5 AS bigint) AS lost_reason
-        FROM {{lineitem}} WHERE l_returnflag <> 'N'""",
-    "psd": f"""SELECT {_L_KEYS}, concat('P', CAST(l_partkey AS varchar(20))) AS item_show_code, {_L_DAY} AS date,
-        max(l_extendedprice) AS psd_cost FROM {{lineitem}} WHERE l_linestatus = 'O' GROUP BY l_suppkey, l_partkey, {_L_DAY}""",
+        FROM {{lineitem}}""",
+    "psd": f"""SELECT {_L_KEYS}, concat(CASE WHEN l_linestatus = 'O' THEN 'P' ELSE 'no item ' END, CAST(l_partkey AS varchar(20)))
+        AS item_show_code, {_L_DAY} AS date,
+        max(l_extendedprice) AS psd_cost FROM {{lineitem}} GROUP BY l_suppkey, l_partkey, l_linestatus, {_L_DAY}""",
     "trial_stores": f"""SELECT {_tenant('s_suppkey')}, CAST(s_suppkey AS varchar(20)) AS foreign_store_id, s_name AS foreign_store_name,
         concat('T', CAST(s_suppkey AS varchar(20))) AS show_code, DATE '2001-03-01' + CAST(s_suppkey % 60 AS int) AS date,
         DATE '2001-01-01' + CAST(s_suppkey % 30 AS int) AS start_date, DATE '2001-04-01' + CAST(s_suppkey % 150 AS int) AS end_date,
@@ -178,6 +190,9 @@ SHARED = {
         'A' AS alc_way FROM {customer}""",
     "ways_b": """SELECT s_nationkey AS cmid, CAST(s_suppkey AS varchar(20)) AS foreign_store_id, s_name AS foreign_item_id,
         'B' AS alc_way FROM {supplier}""",
+    "packs_b": f"""SELECT {_tenant('p_partkey')}, concat('B', CAST(p_partkey AS varchar(20))) AS foreign_item_id,
+        CAST(p_size AS bigint) AS qpc FROM {{part}}""",
+    "packs_config": "SELECT 85 + n_nationkey AS cmid, 'B' AS vendor FROM {nation}",
     "packs_a": f"""SELECT {_tenant('l_suppkey')}, l_partkey AS gid, CAST(l_quantity AS bigint) AS qpc,
         l_linenumber AS isdu FROM {{lineitem}}""",
 }

@@ -8,6 +8,12 @@ PAIR = "cmid, foreign_store_id, foreign_item_id"
 DAY = f"{PAIR}, date"
 
 
+def _twice(texts: dict[str, str]) -> dict[str, str]:
+    """The fixture set with every row of an odd day twice in both facts."""
+    both = "SELECT * FROM ({0}) a UNION ALL SELECT * FROM ({0}) b WHERE day(date) % 2 = 1"
+    return texts | {name: both.format(texts[name]) for name in ("cost", "inventory")}
+
+
 def _window(as_of: str, days: int) -> str:
     return f"date > DATE '{as_of}' - {days} AND date <= DATE '{as_of}'"
 
@@ -64,7 +70,7 @@ def _product_info(texts, as_of, days, flag, keep_nulls) -> str:
     p AS (SELECT *, CASE WHEN n = 0 THEN 0.0 ELSE sale / n END AS psd FROM t)
     SELECT cmid, foreign_store_id, store_name AS foreign_store_name, foreign_item_id, barcode, item_name, item_status,
       show_code AS item_show_code, alc_way AS delivery_method, store_status, CAST(n AS integer) AS days, psd,
-      sale AS total_sale, outlay AS total_cost, sale / 28 AS avg_sale, lastin AS lastin_price, price AS sale_price,
+      sale AS total_sale, outlay AS total_cost, sale / {days} AS avg_sale, lastin AS lastin_price, price AS sale_price,
       psd * lastin AS psd_cost, DATE '{as_of}' AS update_date FROM p"""
     )
 
@@ -122,8 +128,8 @@ def _dates() -> str:
 """
 
 
-def _empty_items(as_of: str) -> str:
-    return f""", listed AS (SELECT DISTINCT {PAIR} FROM cm_sku WHERE busgate IN ('A', 'N')),
+def _empty_items(as_of: str, listed: str = "busgate IN ('A', 'N')") -> str:
+    return f""", listed AS (SELECT DISTINCT {PAIR} FROM cm_sku WHERE {listed}),
     stocked AS (SELECT {PAIR} FROM inventory WHERE date = DATE '{as_of}' GROUP BY {PAIR} HAVING sum(quantity) <> 0),
     checked AS (SELECT l.*, s.cmid IS NULL AS is_empty FROM listed l LEFT JOIN stocked s
       ON l.cmid = s.cmid AND l.foreign_store_id = s.foreign_store_id AND l.foreign_item_id = s.foreign_item_id)
@@ -141,11 +147,11 @@ _DELIVERED = _lookup("delivery", "delivery_qty", "d.delivery_date", "sum", "deli
 _USING = "USING (cmid, foreign_store_id, foreign_item_id)"
 
 
-def _summary(texts, as_of: str) -> str:
+def _summary(texts, as_of: str, listed: str = "busgate IN ('A', 'N')", where: str = "") -> str:
     return (
         ctes(texts, "inventory", "cm_sku", "delivery", "suggestions", "require_orders", "stores")
         + _dates()
-        + _empty_items(as_of)
+        + _empty_items(as_of, listed)
         + f""", c AS (SELECT k.cmid, k.foreign_store_id, count(*) FILTER (WHERE is_empty) AS lost_sku, count(*) AS all_sku,
       count(*) FILTER (WHERE is_empty AND coalesce(so.v, 0) = 0) AS un_suggest,
       count(*) FILTER (WHERE is_empty AND coalesce(ro.v, 0) = 0) AS un_order,
@@ -158,7 +164,7 @@ def _summary(texts, as_of: str) -> str:
       un_order / CAST(nullif(lost_sku, 0) AS double) AS un_order_rate,
       un_deliver / CAST(nullif(lost_sku, 0) AS double) AS un_deliver_rate, suggest_date, require_date, delivery_date
     FROM c LEFT JOIN dates d ON d.cmid = c.cmid AND d.foreign_store_id = c.foreign_store_id
-    LEFT JOIN stores st ON st.cmid = c.cmid AND st.foreign_store_id = c.foreign_store_id"""
+    LEFT JOIN stores st ON st.cmid = c.cmid AND st.foreign_store_id = c.foreign_store_id {where}"""
     )
 
 
@@ -210,6 +216,15 @@ _SHEET = """, sheet AS (SELECT cmid, "门店ID" AS foreign_store_id, "商品名
     "原因" AS cause, "上上次建议单" AS cm_suggest, "上上次订货单" AS store_book, "上次送货单" AS inv_delivery,
     CAST(date AS date) AS date FROM detail_sheet)
 """
+_OPERANDS = {"上上次建议单": 9, "上上次订货单": 10, "上次送货单": 11}
+_NAN_SHEET = (
+    ", marked AS (SELECT * REPLACE ("
+    + ", ".join(f"""CASE WHEN "{c}" = {v} THEN CAST('NaN' AS double) ELSE "{c}" END AS "{c}\"""" for c, v in _OPERANDS.items())
+    + ") FROM detail_sheet), known AS (SELECT * REPLACE ("
+    + ", ".join(f"""CASE WHEN isnan("{c}") THEN NULL ELSE "{c}" END AS "{c}\"""" for c in _OPERANDS)
+    + ") FROM marked)"
+    + _SHEET.replace("FROM detail_sheet", "FROM known")
+)
 _ENROLLED = "s.foreign_store_id IN (SELECT foreign_store_id FROM stores WHERE property_id = 0)"
 _CLOSED = "SELECT foreign_store_id FROM stores WHERE store_status = '闭店'"
 
@@ -318,6 +333,10 @@ ORACLES: dict[str, str] = {
     + f"""SELECT {_COST_COLUMNS}, CAST(coalesce(total_sale, 0) AS double) AS total_sale,
       CAST(total_cost AS double) AS total_cost, CASE WHEN total_sale > 0 THEN 1 ELSE 0 END AS exist FROM cost""",
     "scan_inventory": ctes(EVENTS, "inventory") + _STOCK,
+    "scan_rejects": ctes(EVENTS, "cost")
+    + f"""SELECT {DAY}, CASE WHEN sale_quantity % 7 > 1 THEN CAST(sale_quantity AS double) END AS sale_quantity,
+      CASE sale_quantity % 7 WHEN 0 THEN concat(CAST(sale_quantity AS varchar), 'O')
+        WHEN 1 THEN concat(CAST(sale_quantity AS varchar), '.123456') END AS rejected FROM cost""",
     "scan_date_window": ctes(EVENTS, "inventory") + f"{_STOCK} WHERE {_window(E_AS_OF, 28)}",
     "scan_missing_ok": ctes(EVENTS, "inventory") + f"{_STOCK} WHERE date <= DATE '2024-01-20'",
     "scan_store": ctes(EVENTS, "stores") + "SELECT cmid, foreign_store_id, store_name, store_status FROM stores",
@@ -334,13 +353,18 @@ ORACLES: dict[str, str] = {
     "scan_date_range_folder": ctes(EVENTS, "cost")
     + f"SELECT {DAY}, sale_quantity FROM cost WHERE date >= DATE '2024-01-21'",
     "scan_glob": ctes(EVENTS, "cost") + "SELECT DISTINCT cmid, date FROM cost",
-    "scan_latest_file": ctes(EVENTS, "cost") + "SELECT DISTINCT cmid, date, true AS is_gzip FROM cost",
+    "scan_latest_file": ctes(EVENTS, "cost")
+    + "SELECT cmid, date, CAST(2 AS integer) AS delivery, count(*) AS n_rows FROM cost GROUP BY cmid, date",
     "scan_project_tenant": ctes(SHARED, "store_resources") + "SELECT cmid, showcode FROM store_resources WHERE cmid = 7",
     "scan_vendor_unified": ctes(SHARED, "tenant_config", "ways_a", "ways_b")
     + """SELECT w.*, 'A' AS vendor FROM ways_a w JOIN tenant_config t ON t.cmid = w.cmid AND t.vendor = 'A'
       UNION ALL SELECT w.*, 'B' FROM ways_b w JOIN tenant_config t ON t.cmid = w.cmid AND t.vendor = 'B'""",
+    "scan_vendor_default": ctes(SHARED, "tenant_config", "ways_a", "ways_b")
+    + """, config AS (SELECT * FROM tenant_config WHERE cmid % 3 <> 0),
+      every AS (SELECT *, 'A' AS vendor FROM ways_a UNION ALL SELECT *, 'B' FROM ways_b)
+      SELECT w.* FROM every w LEFT JOIN config t ON t.cmid = w.cmid WHERE w.vendor = coalesce(t.vendor, 'A')""",
     "dim_store_property": ctes(LINEITEM, "stores")
-    + "SELECT store_name AS property, CAST(property_id AS varchar) AS cm_store_property_id FROM stores",
+    + "SELECT cmid, store_name AS property, CAST(property_id AS varchar) AS cm_store_property_id FROM stores",
     "source_id": ctes(SHARED, "enterprises")
     + """SELECT cmid, substring(concat(CAST(cmid AS varchar), 'YYYYYYYYYYYYY'), 1, 15) AS source_id,
       CAST(cmid AS varchar) AS tenant FROM enterprises""",
@@ -358,6 +382,11 @@ ORACLES: dict[str, str] = {
       SELECT {DAY}, sale_quantity FROM cost WHERE date > DATE '2001-06-30' - 84
         AND NOT (date = DATE '2001-06-30' AND cmid IN (SELECT cmid FROM fresh))
       UNION ALL SELECT * FROM fresh""",
+    "upsert_daily_emptied": ctes(LINEITEM, "cost", "inventory")
+    + f""", fresh AS (SELECT {DAY}, quantity FROM inventory WHERE date = DATE '2001-06-30')
+      SELECT {DAY}, sale_quantity FROM cost WHERE date > DATE '2001-06-30' - 84
+        AND NOT (date = DATE '2001-06-30' AND cmid IN (SELECT cmid FROM fresh))
+      UNION ALL SELECT * FROM fresh WHERE cmid = 43""",
     "upsert_partition": ctes(LINEITEM, "cost", "inventory")
     + f""", fresh AS (SELECT {DAY}, quantity FROM inventory WHERE date >= DATE '2001-06-30')
       SELECT {DAY}, sale_quantity FROM cost WHERE (cmid, date) NOT IN (SELECT cmid, date FROM fresh) UNION ALL SELECT * FROM fresh""",
@@ -369,6 +398,8 @@ ORACLES: dict[str, str] = {
     "psd": _psd(EVENTS, E_AS_OF, 28),
     "psd_all_days": _psd(LINEITEM, L_AS_OF, L_DAYS),
     "psd_dup_goods": _psd(EVENTS, E_AS_OF, 28, goods=f"{_ACTIVE} UNION ALL {_ACTIVE}"),
+    "psd_repeated_days": _psd(_twice(EVENTS), E_AS_OF, 28),
+    "psd_days": " UNION ALL ".join(f"SELECT * FROM ({_psd(EVENTS, f'2024-01-{day:02d}', 28)}) d{day}" for day in range(3, 31)),
     "psd_sql": _psd(
         EVENTS,
         E_AS_OF,
@@ -388,7 +419,7 @@ ORACLES: dict[str, str] = {
     + f"""SELECT {PAIR}, quantity FROM (SELECT *, row_number() OVER (PARTITION BY {PAIR} ORDER BY date DESC) AS rn FROM inventory
       WHERE {_window(L_AS_OF, L_DAYS)}) WHERE rn = 1""",
     "suggest_window": ctes(EVENTS, "suggestions")
-    + f"""SELECT foreign_store_id, foreign_item_id, fill_qty AS suggest_qty, date FROM suggestions WHERE {_window(E_AS_OF, 28)}""",
+    + f"""SELECT {PAIR}, fill_qty AS suggest_qty, date FROM suggestions WHERE {_window(E_AS_OF, 28)}""",
     "backfill_actual_stock": ctes(EVENTS, "cost", "inventory", "products")
     + _series()
     + f"""SELECT p.cmid, p.foreign_store_id, p.foreign_store_name, p.foreign_item_id, p.foreign_item_name,
@@ -407,21 +438,28 @@ ORACLES: dict[str, str] = {
     + _dates()
     + f"""SELECT s.cmid, s.foreign_store_id, s.foreign_item_id, s.date, s.fill_qty FROM suggestions s
       JOIN dates d ON d.cmid = s.cmid AND d.foreign_store_id = s.foreign_store_id AND d.suggest_date = s.date""",
-    "asof_store_snapshot": ctes(EVENTS, "inventory") + f"SELECT {DAY} FROM inventory WHERE date = DATE '2024-01-31'",
+    "asof_store_snapshot": ctes(EVENTS, "inventory")
+    + f"""SELECT {PAIR}, CASE WHEN cmid = 85 THEN date - 1 ELSE date END AS date FROM inventory WHERE date = DATE '2024-01-31'""",
     "cost_60d": ctes(LINEITEM, "cost")
     + f"""SELECT {DAY}, sale_quantity FROM cost WHERE date BETWEEN DATE '{L_AS_OF}' - 29 AND DATE '{L_AS_OF}'
       UNION ALL SELECT {DAY}, sale_quantity FROM cost WHERE date >= DATE '{L_AS_OF}' - 59 AND date < DATE '{L_AS_OF}' - 29""",
     "stockout_summary": _summary(LINEITEM, L_AS_OF),
     "stockout_detail": _detail(LINEITEM, L_AS_OF),
+    "stockout_summary_settings": _summary(
+        EVENTS,
+        E_AS_OF,
+        listed="(cmid = 43 AND busgate = 'A') OR (cmid = 85 AND busgate IN ('N', 'R'))",
+        where="WHERE c.foreign_store_id IN (SELECT foreign_store_id FROM stores WHERE store_status = '营业')",
+    ),
     "stockout_summary_dense": _summary(EVENTS, E_AS_OF),
     "stockout_detail_dense": _detail(EVENTS, E_AS_OF),
     # reasons and loads
     "lost_reason": ctes(LINEITEM, "detail_sheet", "stores")
-    + _SHEET
+    + _NAN_SHEET
     + f"""SELECT cmid, foreign_store_id, item_show_code, date, cm_suggest, store_book, inv_delivery,
       {_reason(_ENROLLED)} AS lost_reason FROM sheet s""",
     "lost_reason_by_date": ctes(LINEITEM, "detail_sheet", "trial_stores")
-    + _SHEET
+    + _NAN_SHEET
     + f"""SELECT s.cmid, s.foreign_store_id, item_show_code, s.date, t.date AS use_date, cm_suggest, store_book, inv_delivery,
       {_reason("s.date >= t.date")} AS lost_reason FROM sheet s
       LEFT JOIN trial_stores t ON t.cmid = s.cmid AND t.foreign_store_id = s.foreign_store_id""",
@@ -429,7 +467,7 @@ ORACLES: dict[str, str] = {
     + """SELECT s.cmid, s.foreign_store_id, CASE dly_cycle WHEN '单日配' THEN 1 WHEN '双日配' THEN 2 ELSE 3 END AS period_type_num,
       CASE WHEN property_id = 2 THEN '直营' ELSE '加盟' END AS store_type,
       CASE WHEN store_status = '营业' THEN '规则' ELSE '算法' END AS strategy_type
-    FROM stores s JOIN cycles c ON c.cmid = s.cmid AND c.foreign_store_id = s.foreign_store_id""",
+    FROM stores s LEFT JOIN cycles c ON c.cmid = s.cmid AND c.foreign_store_id = s.foreign_store_id""",
     "load_summary": ctes(LINEITEM, "summary_sheet") + f"SELECT {_SUMMARY_COLUMNS} FROM summary_sheet h",
     "load_detail": ctes(LINEITEM, "detail_sheet", "stores")
     + _SHEET
@@ -503,12 +541,24 @@ ORACLES: dict[str, str] = {
     SELECT m.cmid, m.foreign_store_id, m.foreign_item_id, g.item_name AS foreign_item_name, s.store_name AS foreign_store_name
     FROM m JOIN goods g ON g.cmid = m.cmid AND g.foreign_item_id = m.foreign_item_id AND g.foreign_category_lv1 NOT IN ('p')
     LEFT JOIN stores s ON s.cmid = m.cmid AND s.foreign_store_id = m.foreign_store_id""",
+    "sku_cache_settings": ctes(EVENTS, "cost", "inventory", "goods", "stores")
+    + f""", m AS (SELECT {PAIR} FROM cost WHERE date BETWEEN DATE '{E_AS_OF}' - 28 - own AND DATE '{E_AS_OF}' - own
+      UNION SELECT {PAIR} FROM inventory WHERE date BETWEEN DATE '{E_AS_OF}' - 28 - own AND DATE '{E_AS_OF}' - own AND quantity > 0 AND amount > 0)
+    SELECT m.cmid, m.foreign_store_id, m.foreign_item_id, g.item_name AS foreign_item_name, s.store_name AS foreign_store_name
+    FROM m JOIN goods g ON g.cmid = m.cmid AND g.foreign_item_id = m.foreign_item_id
+      AND g.foreign_category_lv1 <> CASE WHEN m.cmid = 43 THEN 'p' ELSE 'c' END
+    LEFT JOIN stores s ON s.cmid = m.cmid AND s.foreign_store_id = m.foreign_store_id""".replace("own", "CASE WHEN cmid = 43 THEN 1 ELSE 3 END"),
+    "packsize_vendor": ctes(SHARED, "packs_a", "packs_b")
+    + """SELECT DISTINCT cmid, CAST(gid AS varchar) AS foreign_item_id, qpc AS mfu FROM packs_a WHERE isdu = 2 AND cmid <> 85
+      UNION SELECT DISTINCT cmid, foreign_item_id, qpc FROM packs_b WHERE cmid = 85""",
     "packsize_distinct": ctes(SHARED, "packs_a")
     + "SELECT DISTINCT cmid, CAST(gid AS varchar) AS foreign_item_id, qpc AS mfu FROM packs_a WHERE isdu = 2",
     "packsize_counts": ctes(SHARED, "packs_a")
-    + """, d AS (SELECT DISTINCT gid, qpc FROM packs_a)
-    SELECT 'foreign_item_id' AS column_name, (SELECT count(gid) FROM packs_a) AS rows_before, (SELECT count(gid) FROM d) AS rows_after
-    UNION ALL SELECT 'mfu', (SELECT count(qpc) FROM packs_a), (SELECT count(qpc) FROM d)""",
+    + """, d AS (SELECT DISTINCT cmid, gid, qpc FROM packs_a),
+    b AS (SELECT cmid, count(gid) AS g, count(qpc) AS q FROM packs_a GROUP BY cmid),
+    a AS (SELECT cmid, count(gid) AS g, count(qpc) AS q FROM d GROUP BY cmid)
+    SELECT cmid, 'foreign_item_id' AS column_name, b.g AS rows_before, a.g AS rows_after FROM b JOIN a USING (cmid)
+    UNION ALL SELECT cmid, 'mfu', b.q, a.q FROM b JOIN a USING (cmid)""",
     "tenants": ctes(SHARED, "enterprises") + "SELECT DISTINCT cmid FROM enterprises WHERE cmid NOT IN (1)",
     "tenant_stores": ctes(SHARED, "store_resources") + "SELECT showcode FROM store_resources WHERE cmid = 7",
     "supervisor_map": ctes(SHARED, "users", "user_identity", "identity", "store_resources")
@@ -540,6 +590,12 @@ ORACLES: dict[str, str] = {
     "replenish": _PREPARED + _FOLD + f"SELECT {DAY}, should_fill, fill_qty, cur_stock FROM sim",
     "replenish_history": _PREPARED
     + _FOLD
+    + """SELECT cmid, foreign_store_id, foreign_store_name, foreign_item_id, foreign_item_name, CAST(fill_qty AS double) AS fill_qty,
+      CAST(quantity AS integer) AS prediction_stock, CAST(cur_stock AS integer) AS theory_stock, date FROM sim""",
+    "replenish_repeated_stock": _PREPARED.replace(EVENTS["cost"].format(events="events"), _twice(EVENTS)["cost"].format(events="events")).replace(
+        EVENTS["inventory"].format(events="events"), _twice(EVENTS)["inventory"].format(events="events")
+    )
+    + _FOLD
     + """SELECT cmid, foreign_store_id, foreign_store_name, foreign_item_id, foreign_item_name, CAST(fill_qty AS double) AS fill_qty,
       CAST(quantity AS integer) AS prediction_stock, CAST(cur_stock AS integer) AS theory_stock, date FROM sim""",
     "replenish_rejects": _PREPARED

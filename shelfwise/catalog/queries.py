@@ -51,10 +51,15 @@ def query(build: Callable[[Data], DataFrame]) -> Callable[[Data], DataFrame]:
 
 # --- sources ---------------------------------------------------------------------------
 
-E_DAYS = files.days_back("2024-01-31", 31)
 TENANTS = [43, 85]
 
 
+def _all_days(table: DataFrame) -> list[str]:
+    """Every day from the first to the last one of the table."""
+    first, last = table.agg(F.min("date"), F.max("date")).first()
+    return files.days_back(last.isoformat(), (last - first).days + 1)
+
+
 def _write_days(df: DataFrame, layout: dict[int, tuple[str, str]], table: str, root: str) -> None:
     """Headerless gzip files in the object layout, one folder per day and tenant."""
     names = {position: name for position, (name, _) in layout.items()}
@@ -97,13 +102,29 @@ def _as_doubles(df: DataFrame, *names: str) -> DataFrame:
 @query
 def scan_cost(data: Data) -> DataFrame:
     root = _cost_files(data)
-    df = _per_source(lambda source: files.read_cost(data.spark, root, E_DAYS, source, files.HIVE_DAY_LAYOUT))
+    days = _all_days(data.e("cost"))
+    df = _per_source(lambda source: files.read_cost(data.spark, root, days, source, files.HIVE_DAY_LAYOUT))
     return _as_doubles(df, "sale_quantity", "total_sale", "total_cost")
 
 
 @query
 def scan_inventory(data: Data) -> DataFrame:
-    return _read_inventory(data, E_DAYS)
+    return _read_inventory(data, _all_days(data.e("inventory")))
+
+
+@query
+def scan_rejects(data: Data) -> DataFrame:
+    """Sales files in which some cells are no numbers, or have more decimals than are kept."""
+    odd = F.col("sale_quantity") % 7
+    text = F.col("sale_quantity").cast("string")
+    broken = F.when(odd == 0, F.concat(text, F.lit("O"))).when(odd == 1, F.concat(text, F.lit(".123456"))).otherwise(text)
+    root = data.path("cost")
+    _write_days(data.e("cost").withColumn("sale_quantity", broken), layouts.COST, "cost", root)
+    days = _all_days(data.e("cost"))
+    read = _per_source(lambda source: files.read_raw_days(data.spark, root, days, source, "cost", files.HIVE_DAY_LAYOUT))
+    good = _as_doubles(layouts.typed(read, layouts.COST, "reject").select(*DAY, "sale_quantity"), "sale_quantity")
+    bad = layouts.rejected(read, layouts.COST).select(F.col("cmid").cast("int").alias("cmid"), *PAIR[1:], F.to_date("date").alias("date"), F.col("sale_quantity").alias("rejected"))
+    return dimensions.concat_by_name(good, bad)
 
 
 @query
@@ -176,12 +197,19 @@ def scan_glob(data: Data) -> DataFrame:
 
 @query
 def scan_latest_file(data: Data) -> DataFrame:
-    """Newest object per tenant and day folder."""
+    """Content of the newest object per tenant and day folder, after a second delivery of the day."""
     path = F.col("path")
-    listing = files.object_listing(data.spark, _dated_files(data), "*.csv.gz").withColumns(
+    root = data.path("deliveries")
+    for n in (1, 2):
+        rows = data.e("cost").groupBy("cmid", "date").agg(F.lit(n).alias("delivery"), F.count(F.lit(1)).alias("n_rows"))
+        rows.coalesce(1).write.mode("append").partitionBy("cmid", "date").option("compression", "gzip").csv(root)
+    listing = files.object_listing(data.spark, root, "*.csv.gz").withColumns(
         {"cmid": files.path_part(path, 3).cast("int"), "date": files.path_date(path, 2)}
     )
-    return files.newest_objects(listing, "cmid", "date").select("cmid", "date", path.endswith(".csv.gz").alias("is_gzip"))
+    newest = files.newest_objects(listing, "cmid", "date").select("cmid", "date", files.path_part(path, 1).alias("name"))
+    name = files.path_part(F.col("_metadata.file_path"), 1).alias("name")
+    content = files.read_by_path(data.spark, root, "delivery int, n_rows bigint", tenant_from_end=3, date_from_end=2, header=False, keep=name)
+    return content.join(newest, ["cmid", "date", "name"]).drop("name")
 
 
 @query
@@ -194,13 +222,20 @@ def scan_vendor_unified(data: Data) -> DataFrame:
     return tables.vendor_unified(data.s("tenant_config"), {"A": data.s("ways_a"), "B": data.s("ways_b")})
 
 
+@query
+def scan_vendor_default(data: Data) -> DataFrame:
+    """Some tenants are missing in the configuration and have the default vendor."""
+    config = data.s("tenant_config").filter(F.col("cmid") % 3 != 0)
+    return tables.vendor_unified(config, {"A": data.s("ways_a"), "B": data.s("ways_b")})
+
+
 @query
 def dim_store_property(data: Data) -> DataFrame:
     entry = F.struct(
         F.col("store_name").alias("store_property"), F.col("property_id").cast("string").alias("cm_store_property_id")
     )
-    documents = data.l("stores").select(F.to_json(F.struct(F.array(entry).alias("result"))).alias("document"))
-    return dimensions.mapping_table(documents)
+    documents = data.l("stores").select("cmid", F.to_json(F.struct(F.array(entry).alias("result"))).alias("document"))
+    return dimensions.mapping_table(documents, keys=["cmid"])
 
 
 @query
@@ -256,8 +291,8 @@ def sink_append(data: Data) -> DataFrame:
 def publish_swap(data: Data) -> DataFrame:
     """Stock replaces sales under the same name."""
     table = _table_name("swap")
-    sinks.publish_swap(data.e("cost").select(*DAY), table, data.path("swap"))
-    sinks.publish_swap(data.e("inventory").select(*DAY, "quantity"), table, data.path("swap"))
+    sinks.publish_swap(data.e("cost").select(*DAY), table)
+    sinks.publish_swap(data.e("inventory").select(*DAY, "quantity"), table, keep=1)
     return data.spark.table(table)
 
 
@@ -267,7 +302,7 @@ def mirror_table(data: Data) -> DataFrame:
     for name, df in names.items():
         sinks.replace_table(df, name, path=data.path("org"))
     sinks.mirror_tables(
-        data.spark, list(names), lambda df, name: sinks.publish_swap(df, f"{name}_mirror", data.path("mirror"))
+        data.spark, list(names), lambda df, name: sinks.publish_swap(df, f"{name}_mirror")
     )
     return dimensions.concat_by_name(*[data.spark.table(f"{name}_mirror") for name in names])
 
@@ -279,6 +314,15 @@ def upsert_daily_retention(data: Data) -> DataFrame:
     return sinks.daily_upsert(existing, new.select(*DAY, F.col("quantity").alias("sale_quantity")), "2001-06-30")
 
 
+@query
+def upsert_daily_emptied(data: Data) -> DataFrame:
+    """Both tenants are loaded, but only one of them has rows for the day."""
+    existing = data.l("cost").select(*DAY, "sale_quantity")
+    read = data.l("inventory").filter(F.col("date") == F.lit("2001-06-30").cast("date"))
+    new = read.filter(F.col("cmid") == 43).select(*DAY, F.col("quantity").alias("sale_quantity"))
+    return sinks.daily_upsert(existing, new, "2001-06-30", loaded=read)
+
+
 @query
 def upsert_partition(data: Data) -> DataFrame:
     new = data.l("inventory").filter(F.col("date") >= F.lit("2001-06-30").cast("date"))
@@ -317,6 +361,23 @@ def psd_dup_goods(data: Data) -> DataFrame:
     return psd.psd(data.e("cost"), data.e("inventory"), goods.union(goods), E_AS_OF)
 
 
+def _twice(df: DataFrame) -> DataFrame:
+    """Every row of an odd day twice."""
+    return df.unionByName(df.filter(F.dayofmonth("date") % 2 == 1))
+
+
+@query
+def psd_repeated_days(data: Data) -> DataFrame:
+    """Repeated rows of a day count as often as a join repeats them."""
+    return psd.psd(_twice(data.e("cost")), _twice(data.e("inventory")), psd.active_goods(data.e("goods")), E_AS_OF)
+
+
+@query
+def psd_days(data: Data) -> DataFrame:
+    """28 days in one pass."""
+    return psd.psd_days(data.e("cost"), data.e("inventory"), psd.active_goods(data.e("goods")), "2024-01-03", E_AS_OF)
+
+
 @query
 def psd_sql(data: Data) -> DataFrame:
     return psd.psd(
@@ -418,8 +479,10 @@ def asof_suggestion(data: Data) -> DataFrame:
 
 @query
 def asof_store_snapshot(data: Data) -> DataFrame:
-    """Daily stock as the snapshot; the wanted day is the one after the last."""
-    return stockout.asof_store_snapshot(data.e("inventory").select(*DAY), "2024-02-01")
+    """Daily stock as the snapshot. One tenant has the wanted day, the other only the day before."""
+    late = F.when(F.col("cmid") == 85, F.date_sub("date", 1)).otherwise(F.col("date"))
+    snapshots = data.e("inventory").select(*PAIR, late.alias("date"))
+    return stockout.asof_store_snapshot(snapshots, "2024-01-31")
 
 
 @query
@@ -463,9 +526,35 @@ def stockout_detail_dense(data: Data) -> DataFrame:
     return _detail(data.e, E_AS_OF)
 
 
+def _settings(data: Data) -> DataFrame:
+    """Two tenants with different settings; one has no status codes of its own system."""
+    codes_of_own = F.when(F.col("code_b").isNotNull(), F.array("code_a", "code_b"))
+    return data.e("settings").select(
+        "cmid",
+        codes_of_own.alias("item_status_code"),
+        F.array("code_a").alias("foreign_item_status"),
+        "days_delay",
+        F.array("ignored").alias("ignored_categories"),
+    )
+
+
+@query
+def stockout_summary_settings(data: Data) -> DataFrame:
+    names = ["inventory", "cm_sku", "delivery", "suggestions", "require_orders"]
+    statuses = stockout.gate_statuses(_settings(data))
+    wanted = data.e("stores").filter(F.col("store_status") == "营业")
+    return stockout.stockout_summary(*[data.e(n) for n in names], _reference_dates(data.e), E_AS_OF, statuses, wanted)
+
+
 # --- reasons and loads -----------------------------------------------------------------
 
 
+def _with_nan(sheet: DataFrame) -> DataFrame:
+    """The sheet with NaN in place of some values of each operand of the cause."""
+    marked = {"上上次建议单": 9, "上上次订货单": 10, "上次送货单": 11}
+    return sheet.withColumns({c: F.when(F.col(f"`{c}`") == v, F.lit(float("nan"))).otherwise(F.col(f"`{c}`")) for c, v in marked.items()})
+
+
 def _labels(data: Data) -> DataFrame:
     """Stores with property 0 are enrolled."""
     stores = data.l("stores")
@@ -474,14 +563,14 @@ def _labels(data: Data) -> DataFrame:
 
 @query
 def lost_reason(data: Data) -> DataFrame:
-    return reports.load_detail(data.l("detail_sheet"), _labels(data)).select(
+    return reports.load_detail(_with_nan(data.l("detail_sheet")), _labels(data)).select(
         *STORE, "item_show_code", "date", "cm_suggest", "store_book", "inv_delivery", "lost_reason"
     )
 
 
 @query
 def lost_reason_by_date(data: Data) -> DataFrame:
-    rows = reports.detail_rows(data.l("detail_sheet"))
+    rows = reports.detail_rows(_with_nan(data.l("detail_sheet")))
     return reports.judge_by_date(rows, data.l("trial_stores")).select(
         *STORE, "item_show_code", "date", "use_date", "cm_suggest", "store_book", "inv_delivery", "lost_reason"
     )
@@ -491,7 +580,7 @@ def lost_reason_by_date(data: Data) -> DataFrame:
 def code_maps(data: Data) -> DataFrame:
     return (
         data.e("stores")
-        .join(data.e("cycles"), STORE)
+        .join(data.e("cycles"), STORE, "left")
         .select(
             *STORE,
             codes.cycle_code(F.col("dly_cycle")).alias("period_type_num"),
@@ -592,6 +681,19 @@ def sku_cache(data: Data) -> DataFrame:
     )
 
 
+@query
+def sku_cache_settings(data: Data) -> DataFrame:
+    names = ("cost", "inventory", "goods", "stores")
+    return assortment.sku_cache(*[data.e(n) for n in names], E_AS_OF, settings=_settings(data))
+
+
+@query
+def packsize_vendor(data: Data) -> DataFrame:
+    """One tenant is configured for vendor B, the other has the default."""
+    vendors = {"A": data.s("packs_a"), "B": data.s("packs_b")}
+    return dimensions.packsize_by_tenant(data.s("packs_config"), vendors)
+
+
 @query
 def packsize_distinct(data: Data) -> DataFrame:
     return dimensions.packsize_distinct(data.s("packs_a"))
@@ -600,7 +702,7 @@ def packsize_distinct(data: Data) -> DataFrame:
 @query
 def packsize_counts(data: Data) -> DataFrame:
     return dimensions.packsize_counts(
-        data.s("packs_a").select(F.col("gid").cast("string").alias("foreign_item_id"), F.col("qpc").alias("mfu"))
+        data.s("packs_a").select("cmid", F.col("gid").cast("string").alias("foreign_item_id"), F.col("qpc").alias("mfu"))
     )
 
 
@@ -699,8 +801,8 @@ def can_order(data: Data) -> DataFrame:
     )
 
 
-def _prepared(data: Data) -> DataFrame:
-    series = actual_sale.unique_daily_series(data.e("cost"), data.e("inventory"), E_AS_OF)
+def _prepared(data: Data, read: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+    series = actual_sale.unique_daily_series(read(data.e("cost")), read(data.e("inventory")), E_AS_OF)
     cycles = data.e("cycles").select(*STORE, codes.cycle_code(F.col("dly_cycle")).alias("period_type_num"))
     return replenish.replenish_input(data.e("products"), data.e("packs").select(*ITEM, "mfu"), cycles, series)
 
@@ -724,6 +826,12 @@ def replenish_history(data: Data) -> DataFrame:
     return replenish.replenish_history(_prepared(data))
 
 
+@query
+def replenish_repeated_stock(data: Data) -> DataFrame:
+    """Rows that are read twice do not double the stock."""
+    return replenish.replenish_history(_prepared(data, _twice))
+
+
 @query
 def replenish_rejects(data: Data) -> DataFrame:
     return replenish.replenish_rejects(_prepared(data)).select(*DAY, "mfu", "opening_stock")

@@ -10,7 +10,7 @@ from pyspark.sql.types import DoubleType, FloatType
 def nan_to_null(df: DataFrame) -> DataFrame:
     """Turn the NaN of every floating column into NULL."""
     floats = [f.name for f in df.schema.fields if isinstance(f.dataType, (DoubleType, FloatType))]
-    return df.withColumns({c: F.nanvl(F.col(c), F.lit(None).cast("double")) for c in floats})
+    return df.withColumns({c: F.nanvl(F.col(f"`{c}`"), F.lit(None).cast("double")) for c in floats})
 
 
 def zero_if_null(column: str | Column) -> Column:

@@ -26,23 +26,28 @@ def daily_series(cost: DataFrame, inventory: DataFrame, as_of, window_days: int
 
 
 def unique_daily_series(cost: DataFrame, inventory: DataFrame, as_of, window_days: int = 28) -> DataFrame:
-    """Same rows as `daily_series` for inputs with at most one row per day key.
+    """Same rows as `daily_series` where each side has one value per day key.
 
-    The stacked facts are spread by (tenant, store, item) once; merging the two sides of
-    a day and everything computed per store item afterwards reuse that spread. A store
-    item holds at most two rows per window day, so no partition can run hot. The result
-    has one row per day key whatever comes in: stray repeats are added up.
+    A row that is read twice counts once. Two rows of a day that differ fail the query: no
+    sum or choice of them is the stock of that day. The sides are stacked and combined
+    map-side by day key, so repeats never reach one task together.
     """
-    sold = in_window(cost, as_of, window_days).select(*DAY, "sale_quantity")
-    held = in_window(inventory, as_of, window_days).select(*DAY, "quantity")
-    return (
+    sold = in_window(cost, as_of, window_days).select(*DAY, zero_if_null("sale_quantity").alias("sale_quantity"))
+    held = in_window(inventory, as_of, window_days).select(*DAY, zero_if_null("quantity").alias("quantity"))
+    sides = ("quantity", "sale_quantity")
+    folded = (
         sold.unionByName(held, allowMissingColumns=True)
-        .repartition(*PAIR)
         .groupBy(*DAY)
-        .agg(
-            zero_if_null(F.sum("quantity")).alias("quantity"),
-            zero_if_null(F.sum("sale_quantity")).alias("sale_quantity"),
-        )
+        .agg(*[f(name).alias(f"{f.__name__}_{name}") for name in sides for f in (F.min, F.max)])
+    )
+    one = [F.col(f"min_{name}").eqNullSafe(F.col(f"max_{name}")) for name in sides]
+    message = F.lit("two different rows of one day key")
+    return folded.select(
+        *DAY,
+        *[
+            F.when(same, zero_if_null(f"max_{name}")).otherwise(F.raise_error(message).cast(folded.schema[f"max_{name}"].dataType)).alias(name)
+            for name, same in zip(sides, one, strict=True)
+        ],
     )
 
 
@@ -52,17 +57,17 @@ def actual_sale(
     as_of,
     window_days: int = 28,
     rank: str = "row_number",
-    store_id: str | None = None,
+    store: tuple[int, str] | None = None,
     unique_days: bool = False,
 ) -> DataFrame:
-    """The series with its day rank per store item.
+    """The series with its day rank per store item (C6), of one `store` (tenant, id) or of all.
 
     `rank="row_number"` numbers rows (W1, ties by quantity), `rank="dense"` numbers days
     (W2). A window partition is one store item, at most `window_days` days long.
     """
-    if store_id is not None:
-        cost = cost.filter(F.col("foreign_store_id") == store_id)
-        inventory = inventory.filter(F.col("foreign_store_id") == store_id)
+    if store is not None:
+        wanted = (F.col("cmid") == store[0]) & (F.col("foreign_store_id") == store[1])
+        cost, inventory = cost.filter(wanted), inventory.filter(wanted)
     series = (unique_daily_series if unique_days else daily_series)(cost, inventory, as_of, window_days)
     item = Window.partitionBy(*PAIR)
     ranks = {
@@ -91,7 +96,7 @@ def latest_quantity(inventory: DataFrame, as_of, window_days: int = 28) -> DataF
 def suggestions_in_window(suggestions: DataFrame, as_of, window_days: int = 28) -> DataFrame:
     """Suggested quantities of the window."""
     return in_window(suggestions, as_of, window_days).select(
-        "foreign_store_id", "foreign_item_id", F.col("fill_qty").alias("suggest_qty"), "date"
+        *PAIR, F.col("fill_qty").alias("suggest_qty"), "date"
     )
 
 

@@ -8,6 +8,9 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.keys import ITEM
+from shelfwise.sources.tables import vendor_unified
+
 
 def packsize_distinct(packs: DataFrame, vendor: str = "A") -> DataFrame:
     """Distinct pack sizes per item. Vendor A lists units per use (2 = delivery) and ids as `gid`."""
@@ -18,13 +21,22 @@ def packsize_distinct(packs: DataFrame, vendor: str = "A") -> DataFrame:
     ).distinct()
 
 
+def packsize_by_tenant(tenant_config: DataFrame, by_vendor: dict[str, DataFrame], default_vendor: str = "A") -> DataFrame:
+    """Distinct pack sizes of every tenant from the table of its own vendor, all tenants in one pass.
+
+    `tenant_config` has cmid and vendor; a tenant that is missing there has the default vendor.
+    """
+    sizes = {vendor: packsize_distinct(packs, vendor) for vendor, packs in by_vendor.items()}
+    return vendor_unified(tenant_config, sizes, default_vendor).drop("vendor")
+
+
 def packsize_counts(packs: DataFrame) -> DataFrame:
-    """Non-null values per column before and after removing repeated rows.
+    """Non-null values per tenant and column before and after removing repeated rows.
 
     Rows are folded with their multiplicity once; both counts come from that.
     """
-    folded = packs.groupBy("foreign_item_id", "mfu").agg(F.count(F.lit(1)).alias("n"))
-    counts = folded.agg(
+    folded = packs.groupBy(*ITEM, "mfu").agg(F.count(F.lit(1)).alias("n"))
+    counts = folded.groupBy("cmid").agg(
         *[
             expr
             for c in ("foreign_item_id", "mfu")
@@ -35,6 +47,7 @@ def packsize_counts(packs: DataFrame) -> DataFrame:
         ]
     )
     return counts.select(
+        "cmid",
         F.inline(
             F.array(
                 *[
@@ -46,7 +59,7 @@ def packsize_counts(packs: DataFrame) -> DataFrame:
                     for c in ("foreign_item_id", "mfu")
                 ]
             )
-        )
+        ),
     )
 
 
@@ -79,8 +92,9 @@ def non_empty_report(frames: dict[str, DataFrame]) -> DataFrame:
     return concat_by_name(*rows).withColumn("is_ok", F.col("row_count") > 0)
 
 
-def mapping_table(documents: DataFrame, column: str = "document") -> DataFrame:
-    """Two-column property dimension from API documents `{"result": [{...}, ...]}`."""
+def mapping_table(documents: DataFrame, column: str = "document", keys: Sequence[str] = ()) -> DataFrame:
+    """Property dimension from API documents `{"result": [{...}, ...]}` (S19), with `keys` of the
+    document, the tenant say."""
     schema = "struct<result:array<struct<store_property:string,cm_store_property_id:string>>>"
     parsed = F.from_json(F.col(column), schema)
-    return documents.select(F.inline(parsed["result"])).withColumnRenamed("store_property", "property")
+    return documents.select(*keys, F.inline(parsed["result"])).withColumnRenamed("store_property", "property")

@@ -120,7 +120,9 @@ def pair_activity(
 
     `unique_days=True` is for inputs that hold at most one row per day key, such as
     tables written per day by this package or grouped by the day key. It marks days as
-    bits and needs a single shuffle. Otherwise days are counted row by row first.
+    bits and needs a single shuffle. The promise is proved in the same aggregate: if a
+    side has more rows than marked days, the query fails. Otherwise days are counted row
+    by row first.
     """
     if presence not in PRESENCE_RULES:
         raise ValueError(f"unknown presence rule {presence!r}")
@@ -136,25 +138,35 @@ def pair_activity(
             )
         )
     is_cost, positive = F.col("is_cost"), F.col("positive")
-    marks = {"present": positive}
-    if presence == "listed":
-        marks = {"sold": is_cost & positive, "costed": is_cost, "held": ~is_cost}
+    marks = {"costed": is_cost, "held": ~is_cost}
+    marks |= {"sold": is_cost & positive} if presence == "listed" else {"present": positive}
     words = {name: day_words(F.col("date"), hit, as_of, window_days) for name, hit in marks.items()}
     marked = (
         _stacked(cost, inventory)
         .groupBy(*PAIR)
         .agg(
             *[w.alias(f"{name}_{i}") for name, row in words.items() for i, w in enumerate(row)],
+            F.count_if(is_cost).alias("cost_rows"),
+            F.count_if(~is_cost).alias("stock_rows"),
             zero_if_null(F.sum("total_sale")).alias("total_sale"),
             zero_if_null(F.sum("total_cost")).alias("total_cost"),
         )
     )
-    n_words = len(next(iter(words.values())))
+    n_words = len(words["costed"])
+    proved = (count_bits([F.col(f"costed_{i}") for i in range(n_words)]) == F.col("cost_rows")) & (
+        count_bits([F.col(f"held_{i}") for i in range(n_words)]) == F.col("stock_rows")
+    )
+    days = count_bits([_present_word(presence, i) for i in range(n_words)])
     return marked.select(
-        *PAIR, count_bits([_present_word(presence, i) for i in range(n_words)]).alias("days"), "total_sale", "total_cost"
+        *PAIR, proved_or_fail(proved, days, "unique_days: more than one row of a day key").alias("days"), "total_sale", "total_cost"
     )
 
 
+def proved_or_fail(proved: Column, value: Column, message: str) -> Column:
+    """`value` where `proved` holds; else the query fails."""
+    return F.when(proved, value).otherwise(F.raise_error(F.lit(message)).cast("bigint"))
+
+
 def _present_word(presence: str, i: int) -> Column:
     if presence == "stock_or_sale":
         return F.col(f"present_{i}")

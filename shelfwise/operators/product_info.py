@@ -68,7 +68,7 @@ def product_info(
             "psd",
             F.col("sale").alias("total_sale"),
             (F.col("total_cost") * copies).cast("double").alias("total_cost"),
-            (F.col("sale") / 28).alias("avg_sale"),
+            (F.col("sale") / window_days).alias("avg_sale"),
             "lastin_price",
             "sale_price",
             (F.col("psd") * F.col("lastin_price")).alias("psd_cost"),

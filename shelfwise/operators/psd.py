@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.functions.calendar import as_date
@@ -53,6 +54,11 @@ def psd(
     activity = pair_activity(cost, inventory, as_of, window_days, presence, unique_days)
     if stores is not None:
         activity = activity.join(stores.select(*STORE), STORE, "left_semi")
+    return _velocity(activity.withColumn("date", as_date(as_of)), goods, null_keys, show_codes)
+
+
+def _velocity(activity: DataFrame, goods: DataFrame, null_keys: str, show_codes: Sequence[str] | None) -> DataFrame:
+    """Days and totals per store item and `date`, priced by their goods."""
     joined = activity.join(goods_variants(goods, "show_code"), ITEM, "left")
     if show_codes is not None:
         joined = joined.filter(F.col("show_code").isin(list(show_codes)))
@@ -68,12 +74,44 @@ def psd(
             "psd",
             "lastin_price",
             (F.col("psd") * F.col("lastin_price")).alias("psd_cost"),
-            as_date(as_of).alias("date"),
+            "date",
             F.col("show_code").alias("item_show_code"),
         )
     )
 
 
+def psd_days(
+    cost: DataFrame,
+    inventory: DataFrame,
+    goods: DataFrame,
+    first: str,
+    last: str,
+    window_days: int = 28,
+    presence: str = "listed",
+    null_keys: str = "drop",
+) -> DataFrame:
+    """`psd` of every day from `first` to `last`, with one scan of the facts.
+
+    Facts are aggregated per day once; a window over the days of a store item, at most one
+    row for each day of the span, then sums the last `window_days` for every wanted day.
+    """
+    wanted = F.sequence(as_date(first), as_date(last))
+    span = window_days + (dt.date.fromisoformat(last) - dt.date.fromisoformat(first)).days
+    facts = day_level(in_window(cost, last, span), in_window(inventory, last, span)).select(
+        *PAIR, "date", F.col(f"{presence}_days").alias("days"), "total_sale", F.lit(1).alias("n_facts")
+    )
+    asked = facts.select(*PAIR).distinct().select(*PAIR, F.explode(wanted).alias("date"))
+    daily = (
+        facts.unionByName(asked.withColumn("n_facts", F.lit(0)), allowMissingColumns=True)
+        .groupBy(*PAIR, "date")
+        .agg(*[F.sum(name).alias(name) for name in ("days", "total_sale", "n_facts")])
+    )
+    recent = Window.partitionBy(*PAIR).orderBy(F.unix_date("date")).rangeBetween(1 - window_days, 0)
+    sums = [F.sum(name).over(recent).alias(name) for name in ("days", "total_sale", "n_facts")]
+    rolled = daily.select(*PAIR, "date", *sums).filter((F.col("date") >= as_date(first)) & (F.col("n_facts") > 0))
+    return _velocity(rolled, goods, null_keys, None)
+
+
 def psd_inventory_driven(
     cost: DataFrame,
     inventory: DataFrame,
@@ -86,8 +124,7 @@ def psd_inventory_driven(
 ) -> DataFrame:
     """Velocity of stocked goods.
 
-    Only days with an inventory row count; sales of other days are left out. The average
-    divides by 28 whatever the window. Ordered by velocity unless the result goes into a
+    Only days with an inventory row count; sales of other days are left out. Ordered by velocity unless the result goes into a
     table; the keys behind it keep items of equal velocity out of one sort partition.
     """
     outside = F.col("foreign_store_id") != headquarters
@@ -125,7 +162,7 @@ def psd_inventory_driven(
             "psd",
             F.col("sale").alias("total_sale"),
             (F.col("total_cost") * copies).cast("double").alias("total_cost"),
-            (F.col("sale") / 28).alias("avg_sale"),
+            (F.col("sale") / window_days).alias("avg_sale"),
             "lastin_price",
             "sale_price",
             (F.col("psd") * F.col("lastin_price")).alias("psd_cost"),

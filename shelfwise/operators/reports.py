@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise import schemas
 from shelfwise.functions.calendar import as_date
 from shelfwise.functions.codes import strategy_type
+from shelfwise.functions.numbers import nan_to_null
 from shelfwise.functions.reasons import lost_reason
 from shelfwise.keys import CLOSED_STATUS, STORE
 
@@ -33,13 +35,30 @@ DETAIL_HEADERS = {
 
 
 def _renamed(sheet: DataFrame, headers: dict[str, str]) -> DataFrame:
-    return sheet.select("cmid", *[F.col(f"`{header}`").alias(name) for header, name in headers.items()], "date")
+    """Sheet columns by their new names; a NaN of the sheet is an unknown value."""
+    return nan_to_null(sheet).select("cmid", *[F.col(f"`{header}`").alias(name) for header, name in headers.items()], "date")
 
 
 def _empty_columns(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({name: F.lit(None).cast("double") for name in names})
 
 
+def _sheet(report: DataFrame, headers: dict[str, str]) -> DataFrame:
+    """A stored report under the headers of its sheet; a column that it lacks is empty."""
+    cells = [(F.col(name) if name in report.columns else F.lit(None).cast("string")).alias(header) for header, name in headers.items()]
+    return report.select("cmid", *cells, "date")
+
+
+def summary_sheet(report: DataFrame) -> DataFrame:
+    """The summary of `stockout_summary`, with its day, as the sheet that `load_summary` reads."""
+    return _sheet(report, SUMMARY_HEADERS)
+
+
+def detail_sheet(report: DataFrame) -> DataFrame:
+    """The detail of `stockout_detail`, with its day, as the sheet that `load_detail` reads; it has no density."""
+    return _sheet(report, DETAIL_HEADERS)
+
+
 def load_summary(sheet: DataFrame) -> DataFrame:
     """Summary sheet with column names of the store table and empty scores."""
     return _empty_columns(
@@ -107,40 +126,12 @@ def join_psd(detail: DataFrame, psd: DataFrame) -> DataFrame:
     return detail.join(velocity, [*STORE, "item_show_code", "date"], "left")
 
 
-PRODUCT_COLUMNS = [
-    "cmid",
-    "foreign_store_id",
-    "store_show_code",
-    "foreign_item_id",
-    "item_show_code",
-    "item_name",
-    "actual_stock",
-    "cm_suggest",
-    "store_book",
-    "inv_delivery",
-    "use_date",
-    "date",
-    "theory_stock",
-    "avg_qty",
-    "actual_lost",
-    "lost_reason",
-    "strategy_type",
-    "psd_cost",
-    "item_score",
-    "update_score",
-]
-STORE_COLUMNS = [
-    "cmid",
-    "foreign_store_id",
-    "store_name",
-    "store_lost_rate",
-    "lost_sku",
-    "all_sku",
-    "date",
-    "store_score",
-    "update_score",
-    "store_show_code",
-]
+def _names(schema: str) -> list[str]:
+    return [field.split()[0] for field in schema.split(",")]
+
+
+PRODUCT_COLUMNS = _names(schemas.STORE_PRODUCT_INFO)
+STORE_COLUMNS = _names(schemas.STORE_INFO)
 
 
 def store_info_load(sheet: DataFrame, labels: DataFrame) -> DataFrame:

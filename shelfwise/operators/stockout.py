@@ -12,21 +12,40 @@ from shelfwise.functions.calendar import as_date, count_bits, day_words, rolling
 from shelfwise.functions.codes import store_type
 from shelfwise.functions.numbers import ratio, zero_if_null
 from shelfwise.keys import CENTRAL_DELIVERY, ITEM, PAIR, STORE
+from shelfwise.sources.scratch import settle
 
 MONEY = "decimal(18,4)"
 
 
-def allowed_statuses(item_status_code: Sequence[str] | None, foreign_item_status: Sequence[str]) -> list[str]:
-    """Status list of a tenant's setting; an empty code list falls back to the other one."""
-    return list(item_status_code or foreign_item_status)
+Statuses = Sequence[str] | DataFrame
 
 
-def assortment(cm_sku: DataFrame, statuses: Sequence[str]) -> DataFrame:
+def gate_statuses(settings: DataFrame) -> DataFrame:
+    """(cmid, busgate): the allowed statuses of every tenant.
+
+    `settings` has cmid and the arrays item_status_code and foreign_item_status, as read
+    from the tenants' configuration; an empty or missing code list falls back to the other.
+    """
+    codes = F.when(F.size(F.coalesce("item_status_code", F.array())) > 0, F.col("item_status_code"))
+    return settings.select("cmid", F.explode(F.coalesce(codes, "foreign_item_status")).alias("busgate")).distinct()
+
+
+def allowed(cm_sku: DataFrame, statuses: Statuses) -> DataFrame:
+    """Rows whose gate status is allowed: one list for all tenants, or (cmid, busgate) rows of each.
+
+    A tenant without a row of its own allows nothing.
+    """
+    if isinstance(statuses, DataFrame):
+        return cm_sku.join(statuses.select("cmid", "busgate"), ["cmid", "busgate"], "left_semi")
+    return cm_sku.filter(F.col("busgate").isin(list(statuses)))
+
+
+def assortment(cm_sku: DataFrame, statuses: Statuses) -> DataFrame:
     """Distinct store items whose gate status is allowed."""
-    return cm_sku.filter(F.col("busgate").isin(list(statuses))).select(*PAIR).distinct()
+    return allowed(cm_sku, statuses).select(*PAIR).distinct()
 
 
-def stockout_items(cm_sku: DataFrame, inventory: DataFrame, as_of, statuses: Sequence[str]) -> DataFrame:
+def stockout_items(cm_sku: DataFrame, inventory: DataFrame, as_of, statuses: Statuses) -> DataFrame:
     """Assortment items without stock on the day.
 
     In stock means a summed quantity other than 0, so a negative sum counts as in stock.
@@ -56,9 +75,10 @@ def last_delivery_date(delivery: DataFrame) -> DataFrame:
 
 def latest_delivery(delivery: DataFrame) -> DataFrame:
     """Quantity per item of each store's newest central delivery."""
+    central = delivery.filter(F.col("delivery_type") == CENTRAL_DELIVERY)
+    last = settle(last_delivery_date(delivery), "last_delivery")
     return (
-        delivery.filter(F.col("delivery_type") == CENTRAL_DELIVERY)
-        .join(last_delivery_date(delivery), [*STORE, "delivery_date"])
+        _on_day(central, last, F.col("delivery_date"), "delivery_date")
         .groupBy(*PAIR, "delivery_date")
         .agg(F.sum("delivery_qty").alias("delivery_qty"))
     )
@@ -82,13 +102,15 @@ def reference_dates(delivery: DataFrame, suggestions: DataFrame, stores: DataFra
     order day if the store has any suggestion on it, else the day before: the fallback is
     taken for the whole day, never item by item.
 
-    One row per store, stores without a delivery included. The report joins it to large
-    facts, so write it as a table and pass the table: its size is then known, a small one
+    One row per store, stores without a delivery included. The delivery history is read
+    once, its last days are written, and they bound the days of the suggestions that are
+    read. The report joins the result to large facts, so write it as a table and pass the table: its size is then known, a small one
     is broadcast, and with a large one a hot store can still be split.
     """
-    dates = last_delivery_date(delivery).withColumn("require_date", F.date_sub("delivery_date", 1))
+    dates = settle(last_delivery_date(delivery).withColumn("require_date", F.date_sub("delivery_date", 1)), "last_delivery")
     suggested = (
-        suggestions.select(*STORE, F.col("date").alias("require_date"))
+        _within(suggestions, "date", dates, F.col("require_date"))
+        .select(*STORE, F.col("date").alias("require_date"))
         .join(dates.select(*STORE, "require_date"), [*STORE, "require_date"], "left_semi")
         .distinct()
         .withColumn("suggested", F.lit(True))
@@ -112,8 +134,8 @@ def reference_dates(delivery: DataFrame, suggestions: DataFrame, stores: DataFra
 def _within(table: DataFrame, column: str, dates: DataFrame, day: Column) -> DataFrame:
     """Rows between the earliest and the latest reference day of any store.
 
-    The bounds are scalar subqueries: they are known before the scan starts and skip the
-    other date partitions of a long history.
+    The bounds are scalar subqueries over a written table: they are known before the scan
+    starts and skip the other date partitions of a long history.
     """
     first, last = dates.select(F.min(day)).scalar(), dates.select(F.max(day)).scalar()
     return table.filter(F.col(column).between(first, last))
@@ -151,11 +173,11 @@ def _cause_sources(
     require_orders: DataFrame,
     dates: DataFrame,
     as_of,
-    statuses: Sequence[str],
+    statuses: Statuses,
 ) -> list[DataFrame]:
     central = delivery.filter(F.col("delivery_type") == CENTRAL_DELIVERY)
     return [
-        cm_sku.filter(F.col("busgate").isin(list(statuses))).select(*PAIR, F.lit(True).alias("listed")),
+        allowed(cm_sku, statuses).select(*PAIR, F.lit(True).alias("listed")),
         _measure(inventory.filter(F.col("date") == as_date(as_of)), "quantity", "stock"),
         _advised(_on_day(require_orders, dates, F.col("require_date")), "order_qty", "ordered"),
         _advised(_on_day(suggestions, dates, F.col("suggest_date")), "fill_qty", "suggested"),
@@ -203,9 +225,10 @@ def _per_item(sources: list[DataFrame], *aggregates: Column) -> DataFrame:
     return stacked.groupBy(*PAIR).agg(*aggregates)
 
 
-def _listed(items: DataFrame, store_ids: Sequence[str] | None) -> DataFrame:
+def _listed(items: DataFrame, wanted: DataFrame | None) -> DataFrame:
+    """Items of the assortment, of the wanted (tenant, store) rows only if there are any given."""
     items = items.filter(F.col("listed"))
-    return items if store_ids is None else items.filter(F.col("foreign_store_id").isin(list(store_ids)))
+    return items if wanted is None else items.join(wanted.select(*STORE), STORE, "left_semi")
 
 
 def _is_empty() -> Column:
@@ -220,8 +243,8 @@ def stockout_summary(
     require_orders: DataFrame,
     dates: DataFrame,
     as_of,
-    statuses: Sequence[str],
-    store_ids: Sequence[str] | None = None,
+    statuses: Statuses,
+    wanted_stores: DataFrame | None = None,
 ) -> DataFrame:
     """One row per store with assortment size, empty items and their causes.
 
@@ -231,7 +254,7 @@ def stockout_summary(
     sources = _cause_sources(inventory, cm_sku, delivery, suggestions, require_orders, dates, as_of, statuses)
     empty = _is_empty()
     counted = (
-        _listed(_per_item(sources, *_causes()), store_ids)
+        _listed(_per_item(sources, *_causes()), wanted_stores)
         .groupBy(*STORE)
         .agg(
             F.count_if(empty).alias("lost_sku"),
@@ -277,8 +300,8 @@ def stockout_detail(
     goods: DataFrame,
     dates: DataFrame,
     as_of,
-    statuses: Sequence[str],
-    store_ids: Sequence[str] | None = None,
+    statuses: Statuses,
+    wanted_stores: DataFrame | None = None,
 ) -> DataFrame:
     """One row per empty store item.
 
@@ -288,13 +311,13 @@ def stockout_detail(
     sources = _cause_sources(inventory, cm_sku, delivery, suggestions, require_orders, dates, as_of, statuses)
     sources += _history_sources(cost, inventory, aa_sku, dates, as_of)
     sale_date = F.col("sale_date")
-    days = {n: day_words(sale_date, sale_date.isNotNull(), as_of, n)[0] for n in (60, 28)}
+    days = {n: day_words(sale_date, sale_date.isNotNull(), as_of, n) for n in (60, 28)}
     items = _per_item(
         sources,
         *_causes(),
         F.max("aa").alias("aa"),
         F.max("order_stock").alias("order_stock"),
-        *[word.alias(f"sale_days_{n}") for n, word in days.items()],
+        *[word.alias(f"sale_days_{n}_{k}") for n, words in days.items() for k, word in enumerate(words)],
         F.max("sold_today").alias("sold_today"),
         F.sum("sale_7").alias("sale_7"),
         F.sum("quantity_7").alias("quantity_7"),
@@ -311,7 +334,7 @@ def stockout_detail(
         return zero_if_null(column).cast("double")
 
     return (
-        _listed(items, store_ids)
+        _listed(items, wanted_stores)
         .join(returned, PAIR, "left")
         .join(dates, STORE, "left")
         .join(named, ITEM, "left")
@@ -325,8 +348,7 @@ def stockout_detail(
             F.col("goods.item_name").alias("item_name"),
             amount("stock").alias("actual_stock"),
             amount("order_stock").alias("order_stock"),
-            count_bits([F.col("sale_days_60")]).alias("sale_days_60"),
-            count_bits([F.col("sale_days_28")]).alias("sale_days_28"),
+            *[count_bits([F.col(f"sale_days_{n}_{k}") for k in range(len(words))]).alias(f"sale_days_{n}") for n, words in days.items()],
             _advised_quantity("suggested").cast("double").alias("cm_suggest"),
             _advised_quantity("ordered").cast("double").alias("store_book"),
             amount("delivered").alias("inv_delivery"),

@@ -1,9 +1,10 @@
 """The batch jobs: sources, operators and sinks put together, all tenants in one pass.
 
 `tables` holds the input frames by name (see FIXTURES.md); `out` is the root folder of the
-output. Daily tables are folders partitioned by tenant and date. Snapshots are catalog
-tables in `database`, replaced as a whole by a name swap. Every job may be run again for
-the same day without leaving duplicates.
+output. Daily tables are folders partitioned by tenant and date. Snapshots are views in
+`database`, each on the last of a few version tables. Every job may be run again for the
+same day: it leaves neither duplicates nor rows that are no longer right. Table and column
+names of the output are fixed values.
 """
 
 from __future__ import annotations
@@ -14,11 +15,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise import schemas
-from shelfwise.functions.codes import cycle_code
+from shelfwise.functions.codes import cycle_code, source_id_text
 from shelfwise.keys import STORE
 from shelfwise.operators import (
     actual_sale,
     assortment,
+    dimensions,
     product_info,
     psd,
     replenish,
@@ -29,6 +31,7 @@ from shelfwise.operators import (
     weekly,
 )
 from shelfwise.sinks import tables as sinks
+from shelfwise.sources import files
 from shelfwise.sources.scratch import settle
 
 Tables = Mapping[str, DataFrame]
@@ -38,7 +41,37 @@ def psd_job(tables: Tables, out: str, as_of: str, unique_days: bool = False) ->
     """Velocity of one day into `psd_info` with the usual retention."""
     goods = psd.active_goods(tables["goods"])
     result = psd.psd(tables["cost"], tables["inventory"], goods, as_of, unique_days=unique_days)
-    sinks.write_daily(sinks.conform(result, schemas.PSD_INFO), f"{out}/psd_info", as_of)
+    loaded = tables["cost"].select("cmid").union(tables["inventory"].select("cmid"))
+    sinks.write_daily(sinks.conform(result, schemas.PSD_INFO), f"{out}/psd_info", as_of, loaded)
+
+
+def psd_days_job(tables: Tables, out: str, first: str, last: str) -> None:
+    """Velocity of every day from `first` to `last` into `psd_info`, with one pass over the facts."""
+    goods = psd.active_goods(tables["goods"])
+    result = psd.psd_days(tables["cost"], tables["inventory"], goods, first, last)
+    sinks.write_partitions(sinks.conform(result, schemas.PSD_INFO), f"{out}/psd_info")
+
+
+def velocity_files_job(
+    spark: SparkSession,
+    root: str,
+    out: str,
+    as_of: str,
+    cmids: Sequence[int],
+    day_layout: str = files.DAY_LAYOUT,
+    on_bad: str = "fail",
+) -> None:
+    """Day files of the source systems to velocity to day files."""
+    days = files.days_back(as_of)
+
+    def every(read) -> DataFrame:
+        return dimensions.concat_by_name(*[read(source_id_text(cmid)) for cmid in cmids])
+
+    cost = every(lambda source: files.read_cost(spark, root, days, source, day_layout, on_bad))
+    stock = every(lambda source: files.read_inventory(spark, root, days, source, day_layout, on_bad))
+    goods = every(lambda source: files.read_goods(spark, root, as_of, source, day_layout))
+    result = settle(sinks.conform(psd.psd(cost, stock, goods, as_of), schemas.PSD_INFO), "velocity")
+    sinks.write_csv_days(dimensions.require_non_empty(result, "velocity"), f"{out}/psd")
 
 
 def inventory_psd_job(tables: Tables, out: str, as_of: str) -> None:
@@ -48,49 +81,81 @@ def inventory_psd_job(tables: Tables, out: str, as_of: str) -> None:
     sinks.write_csv_days(result, f"{out}/psd_inventory", ("cmid", "update_date"))
 
 
-def _publish(df: DataFrame, out: str, database: str, table: str, schema: str | None = None) -> None:
+def _publish(df: DataFrame, database: str, table: str, schema: str | None = None, empty_ok: bool = False) -> None:
     conformed = df if schema is None else sinks.conform(df, schema)
-    sinks.publish_swap(conformed, f"{database}.{table}", sinks.version_path(out, table))
+    sinks.publish_swap(conformed, f"{database}.{table}", empty_ok=empty_ok)
 
 
-def product_info_job(
-    tables: Tables, out: str, as_of: str, unique_days: bool = False, database: str = "default"
-) -> None:
+def product_info_job(tables: Tables, as_of: str, unique_days: bool = False, database: str = "default") -> None:
     """Snapshot of the product information (C4, K3)."""
     goods = psd.active_goods(tables["goods"])
     result = product_info.product_info(
         tables["cost"], tables["inventory"], goods, tables["stores"], tables["ways"], as_of, unique_days=unique_days
     )
-    _publish(result, out, database, "bd_product_info", schemas.PRODUCT_INFO)
+    _publish(result, database, "bd_product_info", schemas.PRODUCT_INFO)
 
 
-def stockout_report_job(tables: Tables, out: str, as_of: str, statuses: Sequence[str]) -> None:
-    """Summary and detail of the stock-out report."""
+def _known_on(table: DataFrame, as_of: str) -> DataFrame:
+    """The table as of the day: its rows of the day, or of the day before for tenants without
+    one (S18), if it is kept by day; else as it is."""
+    return stockout.asof_store_snapshot(table, as_of).drop("date") if "date" in table.columns else table
+
+
+def stockout_report_job(
+    tables: Tables, out: str, as_of: str, statuses: stockout.Statuses, wanted_stores: DataFrame | None = None
+) -> None:
+    """Summary and detail of the stock-out report.
+
+    `statuses` is one list, or (cmid, busgate) rows from `stockout.gate_statuses`;
+    `wanted_stores` (cmid, foreign_store_id) restricts the report. Assortment, labels and
+    stores may be kept by day in a `date` column.
+    """
+    tables = dict(tables) | {n: _known_on(tables[n], as_of) for n in ("cm_sku", "aa_sku", "refunds", "goods", "stores")}
     dates = settle(
         stockout.reference_dates(tables["delivery"], tables["suggestions"], tables["stores"]), "reference_dates"
     )
     causes = [tables[n] for n in ("inventory", "cm_sku", "delivery", "suggestions", "require_orders")]
     labels = [tables[n] for n in ("aa_sku", "refunds", "warehouse", "goods")]
     day = F.lit(as_of).cast("date").alias("date")
-    summary = stockout.stockout_summary(*causes, dates, as_of, statuses)
-    detail = stockout.stockout_detail(tables["cost"], *causes, *labels, dates, as_of, statuses)
-    sinks.write_report(summary.select("*", day), detail.select("*", day), f"{out}/stock_out_rate_detail")
+    summary = stockout.stockout_summary(*causes, dates, as_of, statuses, wanted_stores)
+    detail = stockout.stockout_detail(tables["cost"], *causes, *labels, dates, as_of, statuses, wanted_stores)
+    path = f"{out}/stock_out_rate_detail"
+    sheets = [
+        sinks.conform(sheet.select("*", day), schema)
+        for sheet, schema in ((summary, schemas.REPORT_SUMMARY), (detail, schemas.REPORT_DETAIL))
+    ]
+    sinks.write_report(*sheets, path, as_of, tables["cm_sku"].select("cmid"))
 
 
 def stockout_load_job(tables: Tables, out: str, as_of: str) -> None:
-    """Report of one day into the monitoring tables (C11, C12, K7); an empty day is skipped."""
+    """Report of one day into the monitoring tables (C11, C12, K7); a day without a report is skipped.
+
+    Both tables are replaced for the day of every tenant of the report, also where all its
+    stores have closed or no item is empty any more.
+    """
     day = F.to_date("date") == F.lit(as_of).cast("date")
     summary, detail = tables["summary_sheet"].filter(day), tables["detail_sheet"].filter(day)
     if summary.isEmpty():
         return
-    labels = settle(reports.store_labels(tables["stores"], tables["use_cm_stores"]), "store_labels")
+    tenants = summary.select("cmid")
+    labels = settle(reports.store_labels(_known_on(tables["stores"], as_of), tables["use_cm_stores"]), "store_labels")
     stores = sinks.conform(reports.store_info_load(summary, labels), schemas.STORE_INFO)
-    sinks.write_daily(stores, f"{out}/store_info", as_of)
-    if detail.isEmpty():
-        return
+    sinks.write_daily(stores, f"{out}/store_info", as_of, tenants)
     first = settle(reports.first_suggestion_date(tables["suggestion_files"]), "first_dates")
     loaded = reports.product_exception_load(detail, labels, first, tables["psd"], as_of)
-    sinks.write_daily(sinks.conform(loaded, schemas.STORE_PRODUCT_INFO), f"{out}/store_product_info", as_of)
+    products = sinks.conform(loaded, schemas.STORE_PRODUCT_INFO)
+    sinks.write_daily(products, f"{out}/store_product_info", as_of, tenants)
+
+
+def report_to_load_job(spark: SparkSession, tables: Tables, out: str, as_of: str) -> None:
+    """The stored report of one day, with the stored velocity, into the monitoring tables."""
+    stored = f"{out}/stock_out_rate_detail"
+    sheets = {
+        "summary_sheet": reports.summary_sheet(spark.read.schema(schemas.REPORT_SUMMARY).parquet(f"{stored}/summary")),
+        "detail_sheet": reports.detail_sheet(spark.read.schema(schemas.REPORT_DETAIL).parquet(f"{stored}/detail")),
+        "psd": spark.read.schema(schemas.PSD_INFO).parquet(f"{out}/psd_info"),
+    }
+    stockout_load_job(dict(tables) | sheets, out, as_of)
 
 
 def trial_job(tables: Tables, out: str, today: str, database: str = "default") -> None:
@@ -100,7 +165,7 @@ def trial_job(tables: Tables, out: str, today: str, database: str = "default") -
     detail = trial.trial_product_load(tables["detail_sheet"], stores, tables["psd"], today)
     sinks.write_partitions(sinks.conform(summary, schemas.STORE_INFO), f"{out}/new_store_info")
     sinks.write_partitions(sinks.conform(detail, schemas.STORE_PRODUCT_INFO), f"{out}/new_store_product_info")
-    _publish(trial.trial_state(stores, today), out, database, "use_cm_stores")
+    _publish(trial.trial_state(stores, today), database, "use_cm_stores")
 
 
 def weekly_job(spark: SparkSession, tables: Tables, out: str, as_of: str, database: str = "default") -> None:
@@ -108,9 +173,9 @@ def weekly_job(spark: SparkSession, tables: Tables, out: str, as_of: str, databa
     info = spark.read.schema(schemas.STORE_INFO).parquet(f"{out}/store_info")
     products = spark.read.schema(schemas.STORE_PRODUCT_INFO).parquet(f"{out}/store_product_info")
     by_reason = weekly.week_reasons(products, ordered=False)
-    _publish(by_reason, out, database, "store_product_week", schemas.STORE_PRODUCT_WEEK)
+    _publish(by_reason, database, "store_product_week", schemas.STORE_PRODUCT_WEEK)
     recent = weekly.week_store_info_df(info, products, tables["stores"], as_of)
-    _publish(recent, out, database, "store_info_week", schemas.STORE_INFO_WEEK)
+    _publish(recent, database, "store_info_week", schemas.STORE_INFO_WEEK)
 
 
 def trial_weekly_job(spark: SparkSession, out: str, database: str = "default") -> None:
@@ -118,47 +183,47 @@ def trial_weekly_job(spark: SparkSession, out: str, database: str = "default") -
     info = spark.read.schema(schemas.STORE_INFO).parquet(f"{out}/new_store_info")
     products = spark.read.schema(schemas.STORE_PRODUCT_INFO).parquet(f"{out}/new_store_product_info")
     by_reason = weekly.week_reasons(products, classes=5, ordered=False)
-    _publish(by_reason, out, database, "new_store_product_week", schemas.NEW_STORE_PRODUCT_WEEK)
-    _publish(weekly.week_store_info(info, products), out, database, "new_store_info_week", schemas.NEW_STORE_INFO_WEEK)
+    _publish(by_reason, database, "new_store_product_week", schemas.NEW_STORE_PRODUCT_WEEK)
+    _publish(weekly.week_store_info(info, products), database, "new_store_info_week", schemas.NEW_STORE_INFO_WEEK)
 
 
 def assortment_job(
     tables: Tables,
-    out: str,
     as_of: str,
     days_delay: int = 0,
     ignored_categories: Sequence[str] = (),
     database: str = "default",
+    settings: DataFrame | None = None,
 ) -> None:
-    """Store-item cache."""
+    """Store-item cache (C19); `settings` has the delay and the ignored categories of each tenant."""
     names = ("cost", "inventory", "goods", "stores")
-    result = assortment.sku_cache(*[tables[n] for n in names], as_of, days_delay, ignored_categories)
-    _publish(result, out, database, "bd_product_store", schemas.PRODUCT_STORE)
+    result = assortment.sku_cache(*[tables[n] for n in names], as_of, days_delay, ignored_categories, settings)
+    _publish(result, database, "bd_product_store", schemas.PRODUCT_STORE)
 
 
-def supervisor_job(tables: Tables, out: str, database: str = "default") -> None:
+def supervisor_job(tables: Tables, database: str = "default") -> None:
     """Store to supervisor map of every tenant (C20)."""
     people = supervisor.active_supervisors(tables["user_identity"], tables["identity"], tables["users"])
     result = supervisor.supervisor_map(people, tables["store_resources"])
-    _publish(result, out, database, "store_supervisor", schemas.STORE_SUPERVISOR)
+    _publish(result, database, "store_supervisor", schemas.STORE_SUPERVISOR)
 
 
-def replenish_job(tables: Tables, out: str, as_of: str, database: str = "default") -> None:
+def replenish_job(tables: Tables, as_of: str, database: str = "default") -> None:
     """Replenishment history and the rows it had to leave out.
 
-    Facts must hold one row per day key.
+    A row read twice counts once; two different rows of one day fail the job.
     """
     series = actual_sale.unique_daily_series(tables["cost"], tables["inventory"], as_of)
     cycles = tables["cycles"].select(*STORE, cycle_code(F.col("dly_cycle")).alias("period_type_num"))
     prepared = replenish.replenish_input(tables["products"], tables["packs"], cycles, series)
     history = replenish.replenish_history(prepared)
-    _publish(history, out, database, "bd_product_history", schemas.PRODUCT_HISTORY)
-    _publish(replenish.replenish_rejects(prepared), out, database, "bd_product_history_rejects")
+    _publish(history, database, "bd_product_history", schemas.PRODUCT_HISTORY)
+    _publish(replenish.replenish_rejects(prepared), database, "bd_product_history_rejects", empty_ok=True)
 
 
-def backfill_job(tables: Tables, out: str, as_of: str, database: str = "default") -> None:
+def backfill_job(tables: Tables, as_of: str, database: str = "default") -> None:
     """Replenishment history with the actual stock filled in."""
     spark = tables["cost"].sparkSession
     series = actual_sale.actual_sale(tables["cost"], tables["inventory"], as_of)
     filled = actual_sale.backfill_actual_stock(spark.table(f"{database}.bd_product_history"), series)
-    _publish(filled, out, database, "bd_product_history", schemas.FILLED_HISTORY)
+    _publish(filled, database, "bd_product_history", schemas.FILLED_HISTORY)

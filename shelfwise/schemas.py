@@ -1,4 +1,7 @@
-"""Schemas of the output tables. Writers select these columns by name and cast to these types."""
+"""Schemas of the output tables. Writers select these columns by name and cast to these types.
+
+Names and types are fixed values of the systems that read the tables.
+"""
 
 from __future__ import annotations
 
@@ -22,6 +25,17 @@ STORE_PRODUCT_INFO = """
     use_date date, date date, theory_stock double, avg_qty double, actual_lost double, lost_reason bigint,
     strategy_type string, psd_cost double, item_score double, update_score double
 """
+REPORT_SUMMARY = """
+    cmid int, store_name string, foreign_store_id string, store_type string, lost_sku bigint, all_sku bigint,
+    store_lost_rate double, un_suggest bigint, un_order bigint, un_deliver bigint, un_suggest_rate double,
+    un_order_rate double, un_deliver_rate double, suggest_date date, require_date date, delivery_date date, date date
+"""
+REPORT_DETAIL = """
+    cmid int, foreign_store_id string, store_name string, foreign_item_id string, item_show_code string,
+    item_name string, actual_stock double, order_stock double, sale_days_60 bigint, sale_days_28 bigint,
+    cm_suggest double, store_book double, inv_delivery double, avg_sale_7 double, avg_quantity_7 double,
+    is_aa string, cause string, warehouse_stock double, avg_qty double, date date
+"""
 STORE_PRODUCT_WEEK = """
     cmid int, foreign_store_id string, store_show_code string, cm_suggest bigint, store_book bigint,
     inv_delivery bigint, other_reason bigint, date date, y int, wk int

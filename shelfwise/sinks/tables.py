@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from shelfwise.functions.calendar import as_date
+from shelfwise.sources.scratch import settle
 
 RETENTION_DAYS = 84
+KEPT_VERSIONS = 3
 JDBC_BATCH_ROWS = 5000
 DAY_PARTITION = ("cmid", "date")
 
@@ -58,14 +60,18 @@ def table_exists(spark: SparkSession, table: str) -> bool:
     return spark.catalog.tableExists(table)
 
 
-def daily_upsert(existing: DataFrame, new: DataFrame, day, retention_days: int = RETENTION_DAYS) -> DataFrame:
+def daily_upsert(
+    existing: DataFrame, new: DataFrame, day, retention_days: int = RETENTION_DAYS, loaded: DataFrame | None = None
+) -> DataFrame:
     """The table after loading `day` (K7).
 
-    Old rows of that day are gone for the loaded tenants, and so are rows past retention.
+    Old rows of that day are gone for the tenants of `loaded`, whether or not they have new
+    ones (without `loaded`, for the tenants of `new`), and so are rows past retention.
     """
     end = as_date(day)
+    tenants = (new if loaded is None else loaded).select("cmid").distinct()
     recent = existing.filter(F.col("date") > F.date_sub(end, retention_days))
-    same_day = recent.filter(F.col("date") == end).join(new.select("cmid").distinct(), "cmid", "left_anti")
+    same_day = recent.filter(F.col("date") == end).join(tenants, "cmid", "left_anti")
     return recent.filter(F.col("date") != end).unionByName(same_day).unionByName(new)
 
 
@@ -85,53 +91,83 @@ def write_partitions(df: DataFrame, path: str, by: Sequence[str] = DAY_PARTITION
     )
 
 
+def _storage(spark: SparkSession, path: str) -> tuple:
+    """File system and path objects of Spark's own storage layer: partitions have no delete in Spark's
+    API. Not available through Spark Connect."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    return root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), root, jvm.org.apache.hadoop.fs.Path
+
+
 def expire_days(spark: SparkSession, path: str, day: str, retention_days: int = RETENTION_DAYS) -> list[str]:
     """Delete `date=` folders that are `retention_days` or more before `day`; returns them.
 
     Only folder names are listed, never data.
     """
     oldest = (dt.date.fromisoformat(day) - dt.timedelta(days=retention_days)).isoformat()
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, root, join = _storage(spark, path)
     expired = []
-    for status in fs.globStatus(jvm.org.apache.hadoop.fs.Path(root, "cmid=*/date=*")) or []:
+    for status in fs.globStatus(join(root, "cmid=*/date=*")) or []:
         if status.getPath().getName().removeprefix("date=") <= oldest:
             fs.delete(status.getPath(), True)
             expired.append(status.getPath().toString())
     return expired
 
 
-def write_daily(df: DataFrame, path: str, day: str, retention_days: int = RETENTION_DAYS) -> None:
-    """Load the rows of one day and expire old days (K7).
+def replace_day(df: DataFrame, path: str, day: str, loaded: DataFrame) -> None:
+    """Make `df` the rows of `day` of every tenant of `loaded`, those without rows included.
 
-    A tenant without rows keeps what it has for the day. The new day is committed before
-    anything is deleted; a rerun after a crash repeats both steps with the same outcome.
+    The result is written aside first, so its tenants are known without computing it again.
+    The new rows are committed before the day of a tenant that has none any more is deleted;
+    a rerun after a crash ends the same. A tenant without input keeps its day.
     """
+    spark = df.sparkSession
+    df = settle(df, "day")
     write_partitions(df, path)
-    expire_days(df.sparkSession, path, day, retention_days)
+    emptied = loaded.select("cmid").distinct().join(df.select("cmid").distinct(), "cmid", "left_anti")
+    fs, root, join = _storage(spark, path)
+    for row in emptied.toLocalIterator():
+        fs.delete(join(root, f"cmid={row.cmid}/date={day}"), True)
 
 
-def publish_swap(df: DataFrame, table: str, path: str) -> None:
-    """Write a new version beside the table, then swap names (K9).
+def write_daily(df: DataFrame, path: str, day: str, loaded: DataFrame, retention_days: int = RETENTION_DAYS) -> None:
+    """Load the rows of one day and expire old days (K7); `loaded` has the tenants of the input.
 
-    `path` must be new for each version, see `version_path`. Readers see the old version
-    or the new one, never a partial table. The files of an old version stay for readers
-    that still use them, until the storage's lifecycle rule removes them.
+    The new day is committed before anything is deleted; a rerun after a crash repeats all
+    steps with the same outcome.
     """
-    spark = df.sparkSession
-    staging, backup = f"{table}_staging", f"{table}_backup"
-    spark.sql(f"DROP TABLE IF EXISTS {staging}")
-    _saved(df, "overwrite", staging, path)
-    spark.sql(f"DROP TABLE IF EXISTS {backup}")
-    if table_exists(spark, table):
-        spark.sql(f"ALTER TABLE {table} RENAME TO {backup}")
-    spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
-    spark.sql(f"DROP TABLE IF EXISTS {backup}")
+    replace_day(df, path, day, loaded)
+    expire_days(df.sparkSession, path, day, retention_days)
+
+
+def versions(spark: SparkSession, table: str) -> list[str]:
+    """Version tables of a published table, oldest first."""
+    database, _, name = table.rpartition(".")
+    found = spark.sql(f"SHOW TABLES {f'IN {database} ' if database else ''}LIKE '{name}__v*'").collect()
+    return sorted(f"{database}.{row.tableName}" if database else row.tableName for row in found)
 
 
-def version_path(root: str, table: str) -> str:
-    return f"{root}/{table}/{uuid.uuid4().hex}"
+def publish_swap(df: DataFrame, table: str, keep: int = KEPT_VERSIONS, empty_ok: bool = False) -> None:
+    """Write a new version as a table of its own, then point the view `table` at it (K9).
+
+    Replacing the view is one catalog operation: a reader meets the old version or the new
+    one, and a crash at any step leaves the old one. An empty version is not published,
+    unless that is allowed (F13). The last `keep` versions stay for readers that still use
+    them; older ones are dropped with their files.
+    """
+    if keep < 1:
+        raise ValueError("at least the published version must be kept")
+    spark = df.sparkSession
+    older = versions(spark, table)
+    number = int(older[-1].rpartition("__v")[2].partition("_")[0]) + 1 if older else 1
+    version = f"{table}__v{number:06d}_{uuid.uuid4().hex[:8]}"
+    _saved(df, "errorifexists", version, None)
+    if not empty_ok and spark.table(version).isEmpty():
+        spark.sql(f"DROP TABLE {version}")
+        raise ValueError(f"{table} must not become empty")
+    spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT * FROM {version}")
+    for old in [*older, version][:-keep]:
+        spark.sql(f"DROP TABLE IF EXISTS {old}")
 
 
 def mirror_tables(
@@ -154,7 +190,8 @@ def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append", **opti
     df.write.format("jdbc").mode(mode).options(**(jdbc_options(url, table) | options)).save()
 
 
-def write_report(summary: DataFrame, detail: DataFrame, path: str) -> None:
-    """The two sheets of the stock-out report as two datasets, replaced per tenant and day."""
-    write_partitions(summary, f"{path}/summary")
-    write_partitions(detail, f"{path}/detail")
+def write_report(summary: DataFrame, detail: DataFrame, path: str, day: str, loaded: DataFrame) -> None:
+    """The two sheets of the stock-out report as two datasets (K13), replaced for the day of every
+    tenant of `loaded`: the detail of a tenant without empty items goes."""
+    replace_day(summary, f"{path}/summary", day, loaded)
+    replace_day(detail, f"{path}/detail", day, loaded)

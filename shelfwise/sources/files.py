@@ -7,8 +7,10 @@ file index and a filter on the path prunes files before any of them is opened.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable, Sequence
+import zlib
+from collections.abc import Iterable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,10 +47,12 @@ def read_existing(
     schema: str,
     file_glob: str = "*.gz",
     header: bool = False,
+    none_ok: bool = False,
 ) -> DataFrame:
-    """CSV files of the folders that exist; an empty table when none does.
+    """CSV files of the folders that exist.
 
-    All folders form one glob, so a missing day just does not match.
+    All folders form one glob, so a missing day just does not match. That no folder at all
+    exists is an error, since it may be a wrong date; with `none_ok` it is an empty table.
     """
     reader = spark.read.schema(schema).option("pathGlobFilter", file_glob).option("header", header)
     try:
@@ -56,19 +60,47 @@ def read_existing(
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
+        if not none_ok:
+            raise FileNotFoundError(f"none of the {len(folders)} folders exists below {root}") from error
         return spark.createDataFrame([], schema)
 
 
-def _read_days(spark, root, dates, source_id, table, layout, day_layout) -> DataFrame:
+# The table folder and column layout of each kind of file.
+KINDS = {
+    "cost": layouts.COST,
+    "inventory": layouts.INVENTORY,
+    "chain_store": layouts.STORES,
+}
+
+
+def read_raw_days(
+    spark: SparkSession,
+    root: str,
+    dates: Iterable[str],
+    source_id: str,
+    table: str,
+    day_layout: str = DAY_LAYOUT,
+    none_ok: bool = False,
+) -> DataFrame:
+    """All cells of the days as text; `layouts.rejected` finds those that cannot be typed."""
     folders = day_folders(dates, source_id, table, day_layout)
-    return read_existing(spark, root, folders, layouts.file_schema(layout)).select(*layouts.columns(layout))
+    return read_existing(spark, root, folders, layouts.file_schema(KINDS[table]), none_ok=none_ok)
 
 
 def read_cost(
-    spark: SparkSession, root: str, dates: Iterable[str], source_id: str, day_layout: str = DAY_LAYOUT
+    spark: SparkSession,
+    root: str,
+    dates: Iterable[str],
+    source_id: str,
+    day_layout: str = DAY_LAYOUT,
+    on_bad: str = "fail",
+    none_ok: bool = False,
 ) -> DataFrame:
-    """Daily sales (S1): null sale as 0 and the flag of a positive sale."""
-    df = _read_days(spark, root, dates, source_id, "cost", layouts.COST, day_layout)
+    """Daily sales (S1): null sale as 0 and the flag of a positive sale.
+
+    A cell that is no number is not a null: see `layouts.typed` for `on_bad`.
+    """
+    df = layouts.typed(read_raw_days(spark, root, dates, source_id, "cost", day_layout, none_ok), layouts.COST, on_bad)
     sale = zero_if_null("total_sale").cast(layouts.MONEY)
     return df.select(
         "cmid",
@@ -83,10 +115,18 @@ def read_cost(
 
 
 def read_inventory(
-    spark: SparkSession, root: str, dates: Iterable[str], source_id: str, day_layout: str = DAY_LAYOUT
+    spark: SparkSession,
+    root: str,
+    dates: Iterable[str],
+    source_id: str,
+    day_layout: str = DAY_LAYOUT,
+    on_bad: str = "fail",
+    none_ok: bool = False,
 ) -> DataFrame:
-    """Daily stock (S1): null quantity as 0."""
-    df = _read_days(spark, root, dates, source_id, "inventory", layouts.INVENTORY, day_layout)
+    """Daily stock (S1): null quantity as 0; a cell that is no number is not a null."""
+    df = layouts.typed(
+        read_raw_days(spark, root, dates, source_id, "inventory", day_layout, none_ok), layouts.INVENTORY, on_bad
+    )
     return df.withColumn("quantity", zero_if_null("quantity").cast(layouts.MONEY))
 
 
@@ -94,7 +134,7 @@ def read_stores(
     spark: SparkSession, root: str, date: str, source_id: str, day_layout: str = DAY_LAYOUT
 ) -> DataFrame:
     """Store snapshot of a day."""
-    return _read_days(spark, root, [date], source_id, "chain_store", layouts.STORES, day_layout)
+    return layouts.typed(read_raw_days(spark, root, [date], source_id, "chain_store", day_layout), layouts.STORES)
 
 
 def read_goods(
@@ -111,7 +151,7 @@ def read_goods(
 def read_raw_goods(spark: SparkSession, path: str) -> DataFrame:
     """Goods as written, prices still text."""
     raw = spark.read.schema(layouts.file_schema(layouts.GOODS)).csv(path)
-    return raw.select(*layouts.columns(layouts.GOODS))
+    return raw.withColumn("cmid", F.col("cmid").cast("int")).select(*layouts.columns(layouts.GOODS))
 
 
 def reject_malformed(goods: DataFrame, prices: Sequence[str] = ("lastin_price", "sale_price")) -> DataFrame:
@@ -161,6 +201,44 @@ def newest_path(listing: DataFrame, oldest: bool = False) -> str | None:
     return newest_objects(listing, oldest=oldest).first().path
 
 
+MOST_DAMAGED = 1000
+
+
+def damaged_files(spark: SparkSession, root: str, file_glob: str = "*.gz") -> list[str]:
+    """Paths of gzip files that cannot be decompressed to their end, at most 1000; more are an error.
+
+    Each file is decompressed piece by piece in the task that holds it and thrown away.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bad = [path for path, content in zip(*(batch.column(c).to_pylist() for c in ("path", "content")), strict=True) if not _is_whole(content)]
+            yield pa.RecordBatch.from_arrays([pa.array(bad, pa.string())], names=["path"])
+
+    objects = spark.read.format("binaryFile").option("pathGlobFilter", file_glob).option("recursiveFileLookup", True).load(root)
+    found = objects.select("path", "content").mapInArrow(run, "path string").limit(MOST_DAMAGED + 1).collect()
+    if len(found) > MOST_DAMAGED:
+        raise ValueError(f"more than {MOST_DAMAGED} damaged files below {root}")
+    return sorted(row.path for row in found)
+
+
+def _is_whole(content: bytes) -> bool:
+    """Whether `content` is one or more complete gzip members."""
+    rest = content
+    while rest:
+        member = zlib.decompressobj(wbits=31)
+        try:
+            member.decompress(rest, 1 << 20)
+            while member.unconsumed_tail:
+                member.decompress(member.unconsumed_tail, 1 << 20)
+        except zlib.error:
+            return False
+        if not member.eof:
+            return False
+        rest = member.unused_data
+    return bool(content)
+
+
 def path_part(path: Column, from_end: int) -> Column:
     """Folder or file name counted from the end, without a `key=` prefix (ST3)."""
     return F.regexp_replace(F.element_at(F.split(path, "/"), -from_end), "^[^=]*=", "")
@@ -181,11 +259,16 @@ def read_by_path(
     tenant_from_end: int = 3,
     date_from_end: int = 1,
     header: bool = True,
+    without: Sequence[str] = (),
+    keep: Column | None = None,
 ) -> DataFrame:
     """Many files as one table with `cmid` and `date` taken from the path.
 
     `first` and `last` bound the date; the bounds are predicates on file metadata and skip
-    whole files. Unreadable or vanished files are skipped.
+    whole files. A file that cannot be read to its end, or a cell that is not of its type,
+    fails the query. To go on without damaged files, find them by `damaged_files`, report
+    them and pass their paths as `without`: a file is read whole or not at all. `keep` is a
+    further column, of the file's metadata, say.
     """
     path = F.col("_metadata.file_path")
     date = path_date(path, date_from_end)
@@ -194,12 +277,14 @@ def read_by_path(
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", file_glob)
         .option("header", header)
-        .option("ignoreCorruptFiles", True)
-        .option("ignoreMissingFiles", True)
+        .option("mode", "FAILFAST")
         .csv(root)
     )
+    if without:
+        df = df.filter(~path.isin(list(without)))
     if first is not None:
         df = df.filter(date >= F.lit(first).cast("date"))
     if last is not None:
         df = df.filter(date <= F.lit(last).cast("date"))
-    return df.select("*", path_part(path, tenant_from_end).cast("int").alias("cmid"), date.alias("date"))
+    further = [] if keep is None else [keep]
+    return df.select("*", path_part(path, tenant_from_end).cast("int").alias("cmid"), date.alias("date"), *further)

@@ -5,6 +5,9 @@ Fixed values of the source systems. Ids are text, so leading zeros survive.
 
 from __future__ import annotations
 
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
 MONEY = "decimal(18,4)"
 
 COST = {
@@ -43,9 +46,47 @@ STORES = {
 
 
 def file_schema(layout: dict[int, tuple[str, str]]) -> str:
-    """DDL of the whole file; unnamed positions are read as text and pruned by the scan."""
-    fields = [layout.get(i, (f"unused_{i}", "string")) for i in range(max(layout) + 1)]
-    return ", ".join(f"{name} {kind}" for name, kind in fields)
+    """DDL of the whole file. All cells are text: they are typed, and checked, after the scan;
+    unnamed positions are pruned by it."""
+    return ", ".join(f"{layout[i][0] if i in layout else f'unused_{i}'} string" for i in range(max(layout) + 1))
+
+
+def _typed(name: str, kind: str) -> Column:
+    return F.col(name).try_cast(kind)
+
+
+def is_bad(layout: dict[int, tuple[str, str]]) -> Column:
+    """Whether a row has a cell that is not of its type, or that its type would round."""
+    bad = F.lit(False)
+    for name, kind in layout.values():
+        if kind == "string":
+            continue
+        bad = bad | (F.col(name).isNotNull() & _typed(name, kind).isNull())
+        if kind.startswith("decimal"):
+            bad = bad | F.coalesce(F.col(name).try_cast("decimal(38,18)") != _typed(name, kind), F.lit(False))
+    return bad
+
+
+def typed(raw: DataFrame, layout: dict[int, tuple[str, str]], on_bad: str = "fail") -> DataFrame:
+    """The named columns in their types.
+
+    A row with a bad cell fails the query (`fail`) or is left out (`reject`); `rejected`
+    returns the rows that are left out.
+    """
+    if on_bad not in ("fail", "reject"):
+        raise ValueError(f"unknown choice {on_bad!r}")
+    if on_bad == "reject":
+        return raw.filter(~is_bad(layout)).select(*[_typed(name, kind).alias(name) for name, kind in layout.values()])
+    checked = raw.withColumn("_bad", is_bad(layout))
+    stop = F.raise_error(F.concat(F.lit("bad cell in row: "), F.concat_ws(",", *columns(layout))))
+    return checked.select(
+        *[F.when(F.col("_bad"), stop.cast(kind)).otherwise(_typed(name, kind)).alias(name) for name, kind in layout.values()]
+    )
+
+
+def rejected(raw: DataFrame, layout: dict[int, tuple[str, str]]) -> DataFrame:
+    """The rows with a bad cell, as text."""
+    return raw.filter(is_bad(layout)).select(*columns(layout))
 
 
 def columns(layout: dict[int, tuple[str, str]]) -> list[str]:

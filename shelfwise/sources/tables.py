@@ -49,13 +49,16 @@ def read_jdbc(
     return spark.read.format("jdbc").options(**(split | options)).load()
 
 
-def vendor_unified(tenant_config: DataFrame, by_vendor: dict[str, DataFrame]) -> DataFrame:
+def vendor_unified(tenant_config: DataFrame, by_vendor: dict[str, DataFrame], default_vendor: str = "A") -> DataFrame:
     """Rows of each tenant's own vendor system out of several vendor tables.
 
-    `tenant_config` has cmid and vendor, one row per tenant.
+    `tenant_config` has cmid and vendor, one row per tenant; a tenant that is missing
+    there has the default vendor.
     """
     stacked = reduce(
         lambda a, b: a.unionByName(b),
         [table.withColumn("vendor", F.lit(vendor)) for vendor, table in by_vendor.items()],
     )
-    return stacked.join(tenant_config.select("cmid", "vendor"), ["cmid", "vendor"])
+    own = tenant_config.select("cmid", F.col("vendor").alias("own_vendor"))
+    chosen = F.coalesce("own_vendor", F.lit(default_vendor))
+    return stacked.join(own, "cmid", "left").filter(F.col("vendor") == chosen).drop("own_vendor")

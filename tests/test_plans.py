@@ -5,11 +5,10 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
-from shelfwise.catalog.queries import Data
-from shelfwise.operators import presence, psd, reports
+from shelfwise.catalog.queries import QUERIES, Data
+from shelfwise.operators import presence, psd, reports, stockout
 from shelfwise.plans import daily
-from shelfwise.sources import scratch
+from shelfwise.sources import files, scratch
 
 SF_DIR = "/root/testdata/sf0.001"
 FILE_KEYS = ("scan_", "sink_", "publish_", "mirror_")
@@ -19,15 +18,15 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("key", sorted(k for k in entry.queries() if not k.startswith(FILE_KEYS)))
+@pytest.mark.parametrize("key", sorted(k for k in QUERIES if not k.startswith(FILE_KEYS)))
 def test_no_python_and_no_cross_join(spark, key):
-    text = plan(entry.queries()[key](spark, SF_DIR))
+    text = plan(QUERIES[key](spark, SF_DIR))
     for operator in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert operator not in text
 
 
 def test_window_reaches_the_scan(spark):
-    assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts" in plan(entry.queries()["psd"](spark, SF_DIR))
+    assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts" in plan(QUERIES["psd"](spark, SF_DIR))
 
 
 def test_unique_velocity_shuffles_facts_once(spark):
@@ -97,6 +96,101 @@ def inputs(spark):
     return tables
 
 
+def loads_of(tables, spark):
+    """What the load needs beside the report."""
+    files = spark.createDataFrame([(43, dt.datetime(2024, 1, 2), "x/2024-01-02.csv.gz")], "cmid int, modification_time timestamp, path string")
+    return {"use_cm_stores": tables["stores"].filter("property_id = 0"), "suggestion_files": files}
+
+
+def test_a_rerun_with_fewer_rows_equals_a_fresh_run(spark, inputs, tmp_path):
+    """Tenants and items that vanish between two runs of a day leave nothing behind."""
+    day, folders = "2024-01-30", ["psd_info", "stock_out_rate_detail/summary", "stock_out_rate_detail/detail", "store_info", "store_product_info"]
+
+    def run(out, tables):
+        daily.psd_job(tables, out, day)
+        daily.stockout_report_job(tables, out, day, ["A", "N"])
+        daily.report_to_load_job(spark, tables | loads_of(tables, spark), out, day)
+
+    def found(out, kinds):
+        return {name: stored(spark.read.schema(kinds[name]).parquet(f"{out}/{name}")) for name in folders}
+
+    no_goods = inputs["goods"].filter("cmid <> 43")
+    all_closed = inputs["stores"].withColumn("store_status", F.when(F.col("cmid") == 43, "闭店").otherwise(F.col("store_status")))
+    full = inputs["cm_sku"].select("cmid", "foreign_store_id", "foreign_item_id").distinct()
+    stocked = full.filter("cmid = 85").select("*", F.lit(dt.date(2024, 1, 30)).alias("date"), F.lit(5).cast("bigint").alias("quantity"), F.lit(1).cast("decimal(18,2)").alias("amount"))
+    fewer = inputs | {"goods": no_goods, "stores": all_closed, "inventory": inputs["inventory"].filter("date <> DATE'2024-01-30' OR cmid <> 85").unionByName(stocked)}
+    again, fresh = f"{tmp_path}/again", f"{tmp_path}/fresh"
+    run(again, inputs)
+    kinds = {name: spark.read.parquet(f"{again}/{name}").schema for name in folders}
+    before = found(again, kinds)
+    run(again, fewer)
+    run(fresh, fewer)
+    after = found(fresh, kinds)
+    assert found(again, kinds) == after != before
+    assert not any("cmid=43" in row for row in after["psd_info"]) and any("cmid=43" in row for row in before["psd_info"])
+
+
+def test_per_day_inputs_are_taken_as_of_the_day(spark, inputs, tmp_path):
+    """With history in the tables, the report equals the one over the tables of the day."""
+    day = "2024-01-30"
+    names = ("cm_sku", "aa_sku", "refunds", "goods", "stores")
+    dated = {}
+    for n in names:
+        shown = F.when(F.col("cmid") == 43, F.lit(dt.date(2024, 1, 30))).otherwise(F.lit(dt.date(2024, 1, 29)))
+        old = inputs[n].withColumn("foreign_item_id" if "foreign_item_id" in inputs[n].columns else "foreign_store_id", F.lit("gone"))
+        dated[n] = inputs[n].withColumn("date", shown).unionByName(old.withColumn("date", F.lit(dt.date(2024, 1, 1))))
+    daily.stockout_report_job(inputs, f"{tmp_path}/plain", day, ["A", "N"])
+    daily.stockout_report_job(inputs | dated, f"{tmp_path}/dated", day, ["A", "N"])
+    for sheet in ("summary", "detail"):
+        plain, other = (stored(spark.read.parquet(f"{tmp_path}/{k}/stock_out_rate_detail/{sheet}")) for k in ("plain", "dated"))
+        assert plain == other and plain
+
+
+def test_reference_days_bound_the_suggestions(spark, inputs, tmp_path):
+    """One scan of the deliveries; partitions of the suggestions outside the reference days are skipped."""
+    for n in ("delivery", "suggestions"):
+        inputs[n].write.partitionBy("delivery_date" if n == "delivery" else "date").parquet(f"{tmp_path}/{n}")
+    delivery, suggestions = (spark.read.parquet(f"{tmp_path}/{n}") for n in ("delivery", "suggestions"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(stockout.reference_dates(delivery, suggestions, inputs["stores"]))
+        assert "delivery_type" not in text  # read once before, for the last days
+        scans = [line for line in text.splitlines() if "FileScan" in line and "PartitionFilters: [isnotnull(date" in line]
+        assert scans and all("Subquery" in line and "min(require_date)" in line for line in scans)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_files_to_velocity_to_files(spark, tmp_path):
+    """Gzip day folders in both layouts, through the velocity job, to gzip day folders."""
+    import gzip
+
+    lines = {
+        "cost": [f"x,s,{item},2024-01-{d:02d},x,1,{sale},1,x,x,x,x,x,43" for item, sale in (("a", "4.5"), ("b", "2")) for d in (3, 4)],
+        "inventory": [f"43,s,a,2024-01-{d:02d},3" for d in (3, 4, 5)],
+        "chain_goods": ["43,bc,a,name,2,3,x,ok,x,x,x,x,x,x,x,x,CA", "43,bc,b,name,1,3,x,ok,x,x,x,x,x,x,x,x,CB"],
+    }
+    results = []
+    for layout in (files.DAY_LAYOUT, files.HIVE_DAY_LAYOUT):
+        root = tmp_path / layout[:3].strip("{}=")
+        for kind, rows in lines.items():
+            for d in ("03", "04", "05"):
+                mine = [r for r in rows if f"2024-01-{d}" in r] if kind != "chain_goods" else rows if d == "05" else []
+                if mine:
+                    folder = root / layout.format(y="2024", m="01", d=d, source_id="43YYYYYYYYYYYYY", table=kind)
+                    folder.mkdir(parents=True)
+                    with gzip.open(folder / "part0.gz", "wt") as out:
+                        out.write("\n".join(mine) + "\n")
+        out = f"{root}-out"
+        daily.velocity_files_job(spark, str(root), out, "2024-01-05", [43], layout)
+        back = spark.read.option("header", True).csv(f"{out}/psd")
+        results.append(sorted((r.foreign_item_id, float(r.psd), r.item_show_code, str(r.date)) for r in back.collect()))
+    assert results[0] == results[1] == [("a", 3.0, "CA", "2024-01-05"), ("b", 2.0, "CB", "2024-01-05")]
+    with pytest.raises(FileNotFoundError):
+        daily.velocity_files_job(spark, str(tmp_path / "y"), f"{tmp_path}/none", "2023-01-05", [43], files.HIVE_DAY_LAYOUT)
+
+
 def stored(df):
     return sorted(map(str, df.collect()))
 
@@ -108,22 +202,32 @@ def test_fact_jobs_can_be_repeated(spark, inputs, tmp_path):
 
     def run():
         daily.psd_job(inputs, out, "2024-01-30")
-        daily.product_info_job(inputs, out, "2024-01-30")
+        daily.product_info_job(inputs, "2024-01-30")
         daily.stockout_report_job(inputs, out, "2024-01-30", ["A", "N"])
-        daily.assortment_job(inputs, out, "2024-01-30")
-        daily.supervisor_job(inputs, out)
-        daily.replenish_job(inputs, out, "2024-01-30")
+        daily.assortment_job(inputs, "2024-01-30")
+        daily.supervisor_job(inputs)
+        daily.replenish_job(inputs, "2024-01-30")
         found = {name: stored(spark.read.parquet(f"{out}/{name}")) for name in folders}
         return found | {name: stored(spark.table(name)) for name in snapshots}
 
     first = run()
     assert all(first.values())
     assert run() == first
+    single = stored(spark.read.parquet(f"{out}/psd_info").select("cmid", "foreign_store_id", "foreign_item_id", "psd"))
+    daily.psd_days_job(inputs, f"{out}/many", "2024-01-29", "2024-01-30")
+    many = spark.read.parquet(f"{out}/many/psd_info").filter("date = DATE'2024-01-30'")
+    assert stored(many.select("cmid", "foreign_store_id", "foreign_item_id", "psd")) == single
+    daily.report_to_load_job(spark, inputs | loads_of(inputs, spark), out, "2024-01-30")
+    report = spark.read.parquet(f"{out}/stock_out_rate_detail/detail")
+    loaded = spark.read.parquet(f"{out}/store_product_info")
+    closed = inputs["stores"].filter("store_status = '闭店'").select("cmid", "foreign_store_id")
+    assert loaded.count() == report.join(closed, ["cmid", "foreign_store_id"], "left_anti").count() > 0
+    assert loaded.filter("psd_cost IS NOT NULL").count() > 0
     daily.inventory_psd_job(inputs, out, "2024-01-29")
     daily.inventory_psd_job(inputs, out, "2024-01-30")
     export = spark.read.option("header", True).csv(f"{out}/psd_inventory")
     assert {str(r.update_date) for r in export.select("update_date").collect()} == {"2024-01-29", "2024-01-30"}
-    daily.backfill_job(inputs, out, "2024-01-30")
+    daily.backfill_job(inputs, "2024-01-30")
     filled = spark.table("bd_product_history")
     assert filled.count() == len(first["bd_product_history"]) and "fill_qty" not in filled.columns
 

@@ -162,3 +162,18 @@ def test_product_info_multiplies_repeated_labels(spark):
         AS_OF,
     ).collect()
     assert {r.delivery_method: (r.days, r.total_sale, r.psd) for r in rows} == {"w": (12, 72.0, 6.0), "v": (6, 36.0, 6.0)}
+
+
+COST_ROW = [(43, "a", "x", AS_OF, 1, Decimal(10), Decimal(1))]
+STOCK_ROW = [(43, "a", "x", AS_OF, 3)]
+
+
+@pytest.mark.parametrize("rule", presence.PRESENCE_RULES)
+def test_a_broken_promise_of_unique_days_fails(spark, rule):
+    """Two equal sales rows and a stock row of a day."""
+    cost = spark.createDataFrame(COST_ROW * 2, COST)
+    stock = spark.createDataFrame(STOCK_ROW, STOCK)
+    for a, b in ((cost, stock), (cost.limit(1), stock.union(stock))):
+        with pytest.raises(Exception, match="more than one row of a day key"):
+            presence.pair_activity(a, b, AS_OF, 28, rule, unique_days=True).collect()
+    assert presence.pair_activity(cost.limit(1), stock, AS_OF, 28, rule, unique_days=True).first().days == 1

@@ -3,6 +3,8 @@
 import pytest
 
 import __spark_entry__ as entry
+from shelfwise.catalog.oracles import ORACLES
+from shelfwise.catalog.queries import QUERIES
 from tests.support import connect, duckdb_answer, spark_answer
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -14,13 +16,15 @@ def con():
 
 
 def test_every_query_has_a_reference():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("key", sorted(entry.queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_query(spark, con, key):
-    names, kinds, rows = spark_answer(entry.queries()[key](spark, SF_DIR))
-    expected_names, expected_kinds, expected_rows = duckdb_answer(con, entry.oracle_sql()[key])
+    names, kinds, rows = spark_answer(QUERIES[key](spark, SF_DIR))
+    expected_names, expected_kinds, expected_rows = duckdb_answer(con, ORACLES[key])
     assert names == expected_names
     assert kinds == expected_kinds
     assert rows == expected_rows

@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import pytest
+
 from shelfwise.operators import actual_sale, assortment, dimensions, reports, stockout, supervisor, trial, weekly
 
 D = dt.date
@@ -82,7 +84,7 @@ def test_summary(spark):
     assert (a.un_suggest, a.un_order, a.un_deliver) == (1, 1, 1)
     assert (a.suggest_date, a.require_date, a.delivery_date) == (D(2024, 1, 26), D(2024, 1, 27), D(2024, 1, 28))
     assert (b.lost_sku, b.un_suggest_rate, b.delivery_date, b.store_type) == (1, 1.0, None, "加盟")
-    only = stockout.stockout_summary(*[t[n] for n in CAUSES], dates, END, ["A"], ["b"]).collect()
+    only = stockout.stockout_summary(*[t[n] for n in CAUSES], dates, END, ["A"], table(spark, "cmid int, foreign_store_id string", (43, "b"), (85, "a"))).collect()
     assert [r.foreign_store_id for r in only] == ["b"]
 
 
@@ -91,10 +93,10 @@ def test_unknown_quantity_is_not_missing(spark):
     dates = stockout.reference_dates(t["delivery"], t["suggestions"], t["stores"])
     t["suggestions"] = table(spark, f"{KEY}, date date, fill_qty bigint", (43, "a", "empty", D(2024, 1, 26), None))
     t["require_orders"] = table(spark, f"{KEY}, date date, order_qty bigint", (43, "a", "empty", D(2024, 1, 27), 0))
-    rows = stockout.stockout_summary(*[t[n] for n in CAUSES], dates, END, ["A"], ["a"]).collect()
+    rows = stockout.stockout_summary(*[t[n] for n in CAUSES], dates, END, ["A"], table(spark, "cmid int, foreign_store_id string", (43, "a"))).collect()
     assert (rows[0].lost_sku, rows[0].un_suggest, rows[0].un_order) == (2, 1, 2)
     names = ["cost", *CAUSES, "aa_sku", "refunds", "warehouse", "goods"]
-    detail = stockout.stockout_detail(*[t[n] for n in names], dates, END, ["A"], ["a"]).collect()
+    detail = stockout.stockout_detail(*[t[n] for n in names], dates, END, ["A"], table(spark, "cmid int, foreign_store_id string", (43, "a"))).collect()
     assert {r.foreign_item_id: (r.cm_suggest, r.store_book) for r in detail} == {"empty": (None, 0.0), "offset": (0.0, 0.0)}
 
 
@@ -131,9 +133,10 @@ def test_detail(spark):
     ]
 
 
-def test_allowed_statuses():
-    assert stockout.allowed_statuses([], ["x"]) == ["x"]
-    assert stockout.allowed_statuses(["a"], ["x"]) == ["a"]
+def test_gate_statuses(spark):
+    rows = [(1, [], ["x"]), (2, ["a"], ["x"]), (3, None, ["y", "z"])]
+    settings = spark.createDataFrame(rows, "cmid int, item_status_code array<string>, foreign_item_status array<string>")
+    assert sorted(map(tuple, stockout.gate_statuses(settings).collect())) == [(1, "x"), (2, "a"), (3, "y"), (3, "z")]
 
 
 def test_exact_suggestion_day_wins(spark):
@@ -155,13 +158,16 @@ def test_latest_quantity_and_ranks_on_ties(spark):
     assert latest == {"x": 7, "y": None}
 
     def ranks(rank):
-        rows = actual_sale.actual_sale(cost, stock, END, rank=rank, store_id="a").collect()
+        rows = actual_sale.actual_sale(cost, stock, END, rank=rank, store=(43, "a")).collect()
         return sorted((r.actual_quantity, r.sale_quantity, r.rank_num) for r in rows if r.foreign_item_id == "x")
 
     assert ranks("row_number") == [(4, 1, 2), (7, 1, 3), (99, 0, 1)]
     assert ranks("dense") == [(4, 1, 2), (7, 1, 2), (99, 0, 1)]
-    once = actual_sale.unique_daily_series(cost, stock, END).filter("foreign_item_id = 'x'").collect()
-    assert sorted((r.date.day, r.quantity, r.sale_quantity) for r in once) == [(29, 99, 0), (30, 11, 2)]
+    with pytest.raises(Exception, match="two different rows"):
+        actual_sale.unique_daily_series(cost, stock, END).collect()
+    once = stock.filter("quantity IS NULL OR quantity <> 7")
+    rows = actual_sale.unique_daily_series(cost, once.union(once), END).filter("foreign_item_id = 'x'").collect()
+    assert sorted((r.date.day, r.quantity, r.sale_quantity) for r in rows) == [(29, 99, 0), (30, 4, 1)]
 
 
 STORE_INFO = "cmid int, foreign_store_id string, store_name string, date date, lost_sku bigint, all_sku bigint"
@@ -281,5 +287,7 @@ def test_pack_sizes(spark):
     assert [tuple(r) for r in dimensions.packsize_distinct(a).collect()] == [(43, "1", 6.0)]
     b = table(spark, "cmid int, foreign_item_id int, qpc double", (34, 1, 6.0), (34, 1, 7.0))
     assert dimensions.packsize_distinct(b, vendor="B").count() == 2
-    counts = dimensions.packsize_counts(table(spark, "foreign_item_id string, mfu double", ("1", 6.0), ("1", 6.0), ("2", None)))
-    assert [tuple(r) for r in counts.collect()] == [("foreign_item_id", 3, 2), ("mfu", 2, 1)]
+    counts = dimensions.packsize_counts(table(spark, "cmid int, foreign_item_id string, mfu double", (43, "1", 6.0), (43, "1", 6.0), (43, "2", None), (85, "1", 6.0)))
+    assert sorted(map(tuple, counts.collect())) == [
+        (43, "foreign_item_id", 3, 2), (43, "mfu", 2, 1), (85, "foreign_item_id", 1, 1), (85, "mfu", 1, 1),
+    ]

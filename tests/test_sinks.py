@@ -39,7 +39,7 @@ def test_daily_upsert_and_write_daily_agree(spark, tmp_path):
     assert content(sinks.daily_upsert(old, new, "2024-03-31")) == expected
     sinks.write_partitions(old, path)
     for _ in range(2):
-        sinks.write_daily(new, path, "2024-03-31")
+        sinks.write_daily(new, path, "2024-03-31", new)
         assert content(spark.read.schema(SCHEMA).parquet(path)) == expected
 
 
@@ -91,11 +91,69 @@ def test_append_needs_the_columns(spark):
         sinks.append_table(spark.range(1), "sink_b")
 
 
-def test_swap_and_mirror(spark, tmp_path):
+def test_a_tenant_that_has_no_rows_any_more_loses_its_day(spark, tmp_path):
+    path, day = f"{tmp_path}/t", "2024-03-31"
+    old = frame(spark, (43, day, "gone", 1), (43, "2024-03-30", "kept", 1), (85, day, "not loaded", 1), (34, day, "old", 1))
+    sinks.write_partitions(old, path)
+    new = frame(spark, (34, day, "new", 2))
+    loaded = spark.createDataFrame([(43,), (34,), (34,)], "cmid int")
+    expected = [(34, day, "new", 2), (43, "2024-03-30", "kept", 1), (85, day, "not loaded", 1)]
+    assert content(sinks.daily_upsert(old, new, day, loaded=loaded)) == expected
+    for _ in range(2):
+        sinks.write_daily(new, path, day, loaded)
+        assert content(spark.read.schema(SCHEMA).parquet(path)) == expected
+    sinks.replace_day(new.limit(0), path, day, loaded)
+    assert content(spark.read.schema(SCHEMA).parquet(path)) == expected[1:]
+
+
+def test_swap_keeps_the_last_versions_and_never_fails_a_reader(spark):
+    import threading
+
+    sinks.publish_swap(frame(spark, (43, "2024-01-01", "a", 0)), "read_on")
+    stop, seen, errors = threading.Event(), [], []
+
+    def read():
+        while not stop.is_set():
+            try:
+                seen.append(content(spark.table("read_on"))[0][3])
+            except Exception as error:  # noqa: BLE001
+                errors.append(error)
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    for n in range(1, 7):
+        sinks.publish_swap(frame(spark, (43, "2024-01-01", "a", n)), "read_on")
+    stop.set()
+    reader.join()
+    assert not errors and seen == sorted(seen) and len(seen) > 1
+    assert len(sinks.versions(spark, "read_on")) == sinks.KEPT_VERSIONS
+
+
+def test_a_crash_between_the_steps_leaves_the_old_version(spark, monkeypatch):
+    sinks.publish_swap(frame(spark, (43, "2024-01-01", "a", 1)), "crashing")
+    saved = sinks._saved
+
+    def crash(*args):
+        saved(*args)
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(sinks, "_saved", crash)
+    with pytest.raises(RuntimeError):
+        sinks.publish_swap(frame(spark, (43, "2024-01-01", "a", 2)), "crashing")
+    assert content(spark.table("crashing")) == [(43, "2024-01-01", "a", 1)]
+    monkeypatch.undo()
+    with pytest.raises(ValueError, match="must not become empty"):
+        sinks.publish_swap(frame(spark, (43, "2024-01-01", "a", 2)).limit(0), "crashing")
+    assert content(spark.table("crashing")) == [(43, "2024-01-01", "a", 1)]
+    sinks.publish_swap(frame(spark, (43, "2024-01-01", "a", 3)), "crashing")
+    assert content(spark.table("crashing")) == [(43, "2024-01-01", "a", 3)]
+
+
+def test_swap_and_mirror(spark):
     for n in (1, 2):
-        sinks.publish_swap(frame(spark, (43, "2024-01-01", "a", n)), "live", f"{tmp_path}/v{n}")
+        sinks.publish_swap(frame(spark, (43, "2024-01-01", "a", n)), "live", keep=1)
         assert content(spark.table("live")) == [(43, "2024-01-01", "a", n)]
-    assert not sinks.table_exists(spark, "live_staging") and not sinks.table_exists(spark, "live_backup")
+    assert len(sinks.versions(spark, "live")) == 1
     copied = {}
     sinks.mirror_tables(spark, ["live"], lambda df, name: copied.update({name: df}))
     assert content(copied["live"]) == [(43, "2024-01-01", "a", 2)]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.operators.dimensions import concat_by_name, mapping_table, require_non_empty
 from shelfwise.operators.reports import first_suggestion_date
-from shelfwise.sources import files, scratch, tables
+from shelfwise.sources import files, layouts, scratch, tables
 
 SOURCE = "43YYYYYYYYYYYYY"
 
@@ -52,7 +52,10 @@ def test_cost_by_position_and_window(spark, bucket):
 
 
 def test_missing_days_are_empty(spark, bucket):
-    none = files.read_cost(spark, str(bucket), ["2024-03-01", "2024-03-02"], SOURCE)
+    days = ["2024-03-01", "2024-03-02"]
+    with pytest.raises(FileNotFoundError):
+        files.read_cost(spark, str(bucket), days, SOURCE)
+    none = files.read_cost(spark, str(bucket), days, SOURCE, none_ok=True)
     assert none.isEmpty() and none.columns[0] == "cmid"
 
 
@@ -139,9 +142,28 @@ def test_path_bounds_skip_files(spark, reports):
     assert (partitions, everything) == (1, 3)
 
 
-def test_unreadable_files_are_skipped(spark, reports, tmp_path):
+@pytest.mark.parametrize("cell", ["1O.0", "1.234567", "x", "1e"])
+def test_a_bad_cell_fails_or_is_reported(spark, tmp_path, cell):
+    put(tmp_path / f"2024/01/04/{SOURCE}/cost/part0.gz", [cost_line("1", "a", "2024-01-04", 1, cell, 1), cost_line("1", "b", "2024-01-04", 1, "", 1)])
+    with pytest.raises(Exception, match="bad cell"):
+        files.read_cost(spark, str(tmp_path), ["2024-01-04"], SOURCE).collect()
+    kept = files.read_cost(spark, str(tmp_path), ["2024-01-04"], SOURCE, on_bad="reject").collect()
+    assert [(r.foreign_item_id, float(r.total_sale)) for r in kept] == [("b", 0.0)]
+    raw = files.read_raw_days(spark, str(tmp_path), ["2024-01-04"], SOURCE, "cost")
+    assert [(r.foreign_item_id, r.total_sale) for r in layouts.rejected(raw, layouts.COST).collect()] == [("a", cell)]
+
+
+def test_damaged_files_fail_or_are_left_out_whole(spark, reports, tmp_path):
+    whole = gzip.compress(("item,qty\n" + "".join(f"i{n},{n}\n" for n in range(50_000))).encode())
     (tmp_path / "detail/43/1/2024-01-09.csv.gz").write_bytes(b"this is no gzip")
-    assert files.read_by_path(spark, reports, "item string, qty int", file_glob="*.csv.gz").count() == 3
+    (tmp_path / "detail/43/1/2024-01-10.csv.gz").write_bytes(whole[: len(whole) // 2])
+    (tmp_path / "detail/43/1/2024-01-11.csv.gz").write_bytes(whole)
+    schema = "item string, qty int"
+    with pytest.raises(Exception):  # noqa: B017
+        files.read_by_path(spark, reports, schema, file_glob="*.csv.gz").collect()
+    bad = files.damaged_files(spark, reports)
+    assert [p.rpartition("/")[2] for p in bad] == ["2024-01-09.csv.gz", "2024-01-10.csv.gz"]
+    assert files.read_by_path(spark, reports, schema, file_glob="*.csv.gz", without=bad).count() == 50_003
 
 
 def test_tables(spark):
@@ -151,6 +173,8 @@ def test_tables(spark):
     config = spark.createDataFrame([(43, "A"), (85, "B")], "cmid int, vendor string")
     unified = tables.vendor_unified(config, {"A": stores, "B": stores})
     assert sorted((r.cmid, r.vendor) for r in unified.collect()) == [(43, "A"), (85, "B")]
+    unlisted = tables.vendor_unified(config.filter("cmid = 85"), {"A": stores, "B": stores})
+    assert sorted((r.cmid, r.vendor) for r in unlisted.collect()) == [(43, "A"), (85, "B")]
 
 
 def test_dimension_helpers(spark):
