@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import zipfile
 from collections.abc import Iterable, Iterator
@@ -19,11 +20,23 @@ SLICE_BYTES = 1 << 20
 """Text that a vectorised step works on at once; one longer text is a slice of its own."""
 
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+MOST_BATCH_BYTES = 8 << 20
+
 _shipped: set[str] = set()
 
 
+def _bytes(setting: str | None) -> float:
+    """The number of bytes of a size setting such as 8m or 67108864b; unlimited if it has none."""
+    found = re.fullmatch(r"(\d+)\s*([kmgt]?)i?b?", (setting or "").strip().lower())
+    return int(found[1]) * 1024 ** " kmgt".index(found[2] or " ") if found else float("inf")
+
+
 def ship(spark: SparkSession) -> SparkSession:
-    """Give the executors this package, once for each application, as `--py-files` would."""
+    """Give the executors this package, once for each application, as `--py-files` would, and keep
+    batches to Python small: long texts else make batches that JVM and worker hold several times."""
+    if _bytes(spark.conf.get(BATCH_BYTES, None)) > MOST_BATCH_BYTES:
+        spark.conf.set(BATCH_BYTES, str(MOST_BATCH_BYTES))
     context = spark.sparkContext
     if context.applicationId not in _shipped:
         _shipped.add(context.applicationId)
