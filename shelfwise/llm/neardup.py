@@ -1,8 +1,10 @@
 """Near duplicates by improved consistent weighted sampling over TF-IDF shingles.
 
-A document is a set of five-word shingles weighted by (1 + ln tf) * (ln((N + 1) / (df + 1)) + 1).
-df is counted over all documents, in a table of fixed size indexed by a part of the shingle's
-hash. 24 weighted samples per document are put into eight bands of three; documents of weighted
+A document is a set of five-word shingles weighted by tf-idf, (1 + ln tf) * idf with
+idf = 1 + IDF_SHARE * ln((N + 1) / (df + 1)) / ln(N + 1). df is counted over all documents, in a table
+of fixed size indexed by a part of the shingle's hash. The idf is damped because copies make their
+own shingles common: with the full logarithm, near copies in a group of thousands would weigh
+little but for their few own words, and would miss the threshold that two copies alone reach. 24 weighted samples per document are put into eight bands of three; documents of weighted
 Jaccard similarity s agree in all samples of some band with probability 1 - (1 - s^3)^8, which
 is 0.997 at 0.8. Candidates are verified on the whole texts by weighted Jaccard similarity.
 
@@ -41,6 +43,7 @@ LEAST_AGREEING = 9
 """Candidates agreeing in fewer of the 24 samples are dropped; at similarity 0.8 that has probability 3e-7."""
 
 DF_BITS, DF_CHUNK = 20, 1024
+IDF_SHARE = 0.25
 TABLE_BITS = 16
 BAND_PIVOTS, PREFIX_PIVOTS = 1, 2
 
@@ -53,7 +56,7 @@ def _bucket(hashes: np.ndarray) -> np.ndarray:
 
 
 def inverse_frequencies(docs: DataFrame) -> np.ndarray:
-    """ln((N + 1) / (df + 1)) + 1 for each of the 2**20 entries, from all documents.
+    """The idf of each of the 2**20 entries, from all documents.
 
     Tasks count in a table of fixed size and emit it in chunks; the chunks are added where they
     meet by hash. Only the finished table, 8 MB at any input size, comes to the driver.
@@ -85,7 +88,8 @@ def inverse_frequencies(docs: DataFrame) -> np.ndarray:
             documents += int(values[0])
         else:
             frequencies[row.chunk * DF_CHUNK : (row.chunk + 1) * DF_CHUNK] += values
-    return (np.log((documents + 1) / (frequencies + 1)) + 1).clip(min=1.0).astype(np.float32)
+    rarity = np.log((documents + 1) / (frequencies + 1)).clip(min=0) / max(np.log(documents + 1), 1e-9)
+    return (1 + IDF_SHARE * rarity).astype(np.float32)
 
 
 def weighted(texts: list[str], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
