@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from shelfwise.llm.shared import uniform
 from shelfwise.sources.scratch import settle
 
 BITS, TABLES = 256, 16
@@ -154,7 +155,7 @@ def search(vectors: DataFrame, is_query, k: int = 20, wanted: int = 400) -> Data
     rows = rows.where(F.size("embedding") == dimension)
     order = F.xxhash64("vec_id")
     rate = min(1.0, 4.0 * SAMPLE / total)
-    drawn = rows.where(F.pmod(order, F.lit(1_000_003)) < rate * 1_000_003).orderBy(order, "vec_id", "embedding").limit(SAMPLE)
+    drawn = rows.where(uniform(order) <= rate).orderBy(order, "vec_id", "embedding").limit(SAMPLE)
     sample = np.unique(np.array([row.embedding for row in drawn.collect()], dtype=np.float64).reshape(-1, dimension), axis=0)
     if not len(sample):  # too few rows for the cut by hash to leave any
         sample = np.array([rows.orderBy("vec_id").first().embedding])

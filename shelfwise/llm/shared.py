@@ -81,6 +81,11 @@ def learnable(doc_id: Column) -> Column:
     return doc_id.isNotNull() & ~held_out(doc_id)
 
 
+def uniform(order: Column) -> Column:
+    """A 64-bit hash as a number from 0 to 1."""
+    return F.shiftrightunsigned(order, 11) / F.lit(float(1 << 53))
+
+
 def per_class_sample(rows: DataFrame, by: str, key: str, size: int) -> DataFrame:
     """At most `size` rows of each value of `by`, chosen by the hash of `key`.
 
@@ -90,7 +95,7 @@ def per_class_sample(rows: DataFrame, by: str, key: str, size: int) -> DataFrame
     order = F.xxhash64(F.col(key))
     counts = rows.groupBy(by).agg(F.count(F.lit(1)).alias("_class_rows"))
     rate = F.least(F.lit(1.0), F.lit(4.0 * size) / F.col("_class_rows"))
-    cut = rows.join(counts, by).where(F.pmod(order, F.lit(1_000_003)) < rate * 1_000_003).drop("_class_rows")
+    cut = rows.join(counts, by).where(uniform(order) <= rate).drop("_class_rows")
     place = F.row_number().over(Window.partitionBy(by).orderBy(order, key))
     return cut.withColumn("_place", place).where(F.col("_place") <= size).drop("_place")
 
