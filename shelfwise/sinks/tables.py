@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from shelfwise.functions.calendar import as_date
-from shelfwise.sources.scratch import settle
+from shelfwise.sources.scratch import settle, storage
 
 RETENTION_DAYS = 84
 KEPT_VERSIONS = 3
@@ -91,21 +91,13 @@ def write_partitions(df: DataFrame, path: str, by: Sequence[str] = DAY_PARTITION
     )
 
 
-def _storage(spark: SparkSession, path: str) -> tuple:
-    """File system and path objects of Spark's own storage layer: partitions have no delete in Spark's
-    API. Not available through Spark Connect."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    return root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), root, jvm.org.apache.hadoop.fs.Path
-
-
 def expire_days(spark: SparkSession, path: str, day: str, retention_days: int = RETENTION_DAYS) -> list[str]:
     """Delete `date=` folders that are `retention_days` or more before `day`; returns them.
 
     Only folder names are listed, never data.
     """
     oldest = (dt.date.fromisoformat(day) - dt.timedelta(days=retention_days)).isoformat()
-    fs, root, join = _storage(spark, path)
+    fs, root, join = storage(spark, path)
     expired = []
     for status in fs.globStatus(join(root, "cmid=*/date=*")) or []:
         if status.getPath().getName().removeprefix("date=") <= oldest:
@@ -125,7 +117,7 @@ def replace_day(df: DataFrame, path: str, day: str, loaded: DataFrame) -> None:
     df = settle(df, "day")
     write_partitions(df, path)
     emptied = loaded.select("cmid").distinct().join(df.select("cmid").distinct(), "cmid", "left_anti")
-    fs, root, join = _storage(spark, path)
+    fs, root, join = storage(spark, path)
     for row in emptied.toLocalIterator():
         fs.delete(join(root, f"cmid={row.cmid}/date={day}"), True)
 

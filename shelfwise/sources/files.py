@@ -19,6 +19,7 @@ from shelfwise.functions.numbers import zero_if_null
 from shelfwise.keys import ITEM
 from shelfwise.operators.psd import active_goods
 from shelfwise.sources import layouts
+from shelfwise.sources.scratch import settle
 
 # Object layout of the source systems; `day_layout` also accepts key=value folders.
 DAY_LAYOUT = "{y}/{m}/{d}/{source_id}/{table}"
@@ -145,7 +146,7 @@ def read_goods(
     newest = newest_path(object_listing(spark, f"{root}/{folder}", "*.gz"))
     if newest is None:
         raise FileNotFoundError(f"no goods object in {root}/{folder}")
-    return clean_goods(read_raw_goods(spark, newest))
+    return clean_goods(settle(read_raw_goods(spark, newest), "goods"))  # read twice, decompressed once
 
 
 def read_raw_goods(spark: SparkSession, path: str) -> DataFrame:

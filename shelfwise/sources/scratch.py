@@ -28,8 +28,27 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folder()
 
 
+def storage(spark: SparkSession, path: str) -> tuple:
+    """File system and path object of Spark's own storage layer, and the class of paths: Spark's API has no
+    delete. Not available through Spark Connect."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    return root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), root, jvm.org.apache.hadoop.fs.Path
+
+
+def application_folder(spark: SparkSession) -> str:
+    """Everything this application puts into the shared folder is below this one."""
+    return f"{shared_folder(spark)}/shelfwise-{spark.sparkContext.applicationId}"
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{application_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clean(spark: SparkSession) -> None:
+    """Delete what this application has put into the shared folder; call it when no frame is needed any more."""
+    fs, folder, _ = storage(spark, application_folder(spark))
+    fs.delete(folder, True)
 
 
 def settle(df: DataFrame, name: str) -> DataFrame:

@@ -1,6 +1,10 @@
+import os
+
 import pytest
 from pyspark.sql import SparkSession
 
+from shelfwise.sources import scratch
+
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -18,4 +22,6 @@ def spark(tmp_path_factory):
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    scratch.clean(session)
+    assert not os.path.exists(scratch.application_folder(session))
     session.stop()

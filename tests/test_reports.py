@@ -291,3 +291,10 @@ def test_pack_sizes(spark):
     assert sorted(map(tuple, counts.collect())) == [
         (43, "foreign_item_id", 3, 2), (43, "mfu", 2, 1), (85, "foreign_item_id", 1, 1), (85, "mfu", 1, 1),
     ]
+
+
+def test_non_empty_report_may_stop_at_the_first_row(spark):
+    frames = {"some": spark.range(5), "none": spark.range(0)}
+    counts = {r.table_name: (r.row_count, r.is_ok) for r in dimensions.non_empty_report(frames).collect()}
+    firsts = {r.table_name: (r.row_count, r.is_ok) for r in dimensions.non_empty_report(frames, counted=False).collect()}
+    assert counts == {"some": (5, True), "none": (0, False)} and firsts == {"some": (1, True), "none": (0, False)}
