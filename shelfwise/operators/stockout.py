@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -78,7 +80,8 @@ def latest_delivery(delivery: DataFrame) -> DataFrame:
     central = delivery.filter(F.col("delivery_type") == CENTRAL_DELIVERY)
     last = settle(last_delivery_date(delivery), "last_delivery")
     return (
-        _on_day(central, last, F.col("delivery_date"), "delivery_date")
+        Days.of(last, last=F.col("delivery_date"))
+        .on(central, "last", "delivery_date")
         .groupBy(*PAIR, "delivery_date")
         .agg(F.sum("delivery_qty").alias("delivery_qty"))
     )
@@ -109,7 +112,8 @@ def reference_dates(delivery: DataFrame, suggestions: DataFrame, stores: DataFra
     """
     dates = settle(last_delivery_date(delivery).withColumn("require_date", F.date_sub("delivery_date", 1)), "last_delivery")
     suggested = (
-        _within(suggestions, "date", dates, F.col("require_date"))
+        Days.of(dates, require=F.col("require_date"))
+        .within(suggestions, "require")
         .select(*STORE, F.col("date").alias("require_date"))
         .join(dates.select(*STORE, "require_date"), [*STORE, "require_date"], "left_semi")
         .distinct()
@@ -131,25 +135,49 @@ def reference_dates(delivery: DataFrame, suggestions: DataFrame, stores: DataFra
     )
 
 
-def _within(table: DataFrame, column: str, dates: DataFrame, day: Column) -> DataFrame:
-    """Rows between the earliest and the latest reference day of any store.
+@dataclass(frozen=True)
+class Days:
+    """Reference days per store, and the earliest and latest of each kind over all stores.
 
-    The bounds are scalar subqueries over a written table: they are known before the scan
-    starts and skip the other date partitions of a long history.
+    The bounds come from one read of a written table. As plain dates in the filters they skip the
+    other date partitions of a long history, whatever the joins turn into.
     """
-    first, last = dates.select(F.min(day)).scalar(), dates.select(F.max(day)).scalar()
-    return table.filter(F.col(column).between(first, last))
 
-
-def _on_day(table: DataFrame, dates: DataFrame, day: Column, column: str = "date") -> DataFrame:
-    """Rows that fall on the store's own reference day."""
-    chosen = dates.select(*STORE, day.alias(column))
-    return _within(table, column, dates, day).join(chosen, [*STORE, column])
+    dates: DataFrame
+    bounds: dict[str, tuple[dt.date | None, dt.date | None]]
+
+    @classmethod
+    def of(cls, dates: DataFrame, **days: Column) -> Days:
+        low, high = ([f(day).alias(f"{f.__name__}_{name}") for name, day in days.items()] for f in (F.min, F.max))
+        row = dates.agg(*low, *high).first()
+        return cls(dates.select(*STORE, *[day.alias(name) for name, day in days.items()]), {name: (row[f"min_{name}"], row[f"max_{name}"]) for name in days})
+
+    def within(self, table: DataFrame, name: str, column: str = "date") -> DataFrame:
+        """Rows between the earliest and the latest day of that kind."""
+        first, last = (F.lit(day).cast("date") for day in self.bounds[name])
+        return table.filter(F.col(column).between(first, last))
+
+    def on(self, table: DataFrame, name: str, column: str = "date") -> DataFrame:
+        """Rows that fall on the store's own day of that kind."""
+        own = self.dates.select(*STORE, F.col(name).alias(column))
+        return self.within(table, name, column).join(own, [*STORE, column])
+
+
+def _report_days(dates: DataFrame) -> Days:
+    """The days a report looks at; `order_stock` is the day before the order day."""
+    return Days.of(
+        dates,
+        delivery=F.col("delivery_date"),
+        require=F.col("require_date"),
+        suggest=F.col("suggest_date"),
+        order_stock=F.date_sub("require_date", 1),
+    )
 
 
 def asof_suggestion(suggestions: DataFrame, dates: DataFrame) -> DataFrame:
     """Suggestions of each store's suggestion day (S17); `dates` comes from `reference_dates`."""
-    return _on_day(suggestions, dates, F.col("suggest_date")).select(*PAIR, "date", "fill_qty")
+    days = Days.of(dates, suggest=F.col("suggest_date"))
+    return days.on(suggestions, "suggest").select(*PAIR, "date", "fill_qty")
 
 
 def _measure(rows: DataFrame, column: str, alias: str) -> DataFrame:
@@ -171,7 +199,7 @@ def _cause_sources(
     delivery: DataFrame,
     suggestions: DataFrame,
     require_orders: DataFrame,
-    dates: DataFrame,
+    days: Days,
     as_of,
     statuses: Statuses,
 ) -> list[DataFrame]:
@@ -179,22 +207,20 @@ def _cause_sources(
     return [
         allowed(cm_sku, statuses).select(*PAIR, F.lit(True).alias("listed")),
         _measure(inventory.filter(F.col("date") == as_date(as_of)), "quantity", "stock"),
-        _advised(_on_day(require_orders, dates, F.col("require_date")), "order_qty", "ordered"),
-        _advised(_on_day(suggestions, dates, F.col("suggest_date")), "fill_qty", "suggested"),
-        _measure(
-            _on_day(central, dates, F.col("delivery_date"), "delivery_date"), "delivery_qty", "delivered"
-        ),
+        _advised(days.on(require_orders, "require"), "order_qty", "ordered"),
+        _advised(days.on(suggestions, "suggest"), "fill_qty", "suggested"),
+        _measure(days.on(central, "delivery", "delivery_date"), "delivery_qty", "delivered"),
     ]
 
 
 def _history_sources(
-    cost: DataFrame, inventory: DataFrame, aa_sku: DataFrame, dates: DataFrame, as_of
+    cost: DataFrame, inventory: DataFrame, aa_sku: DataFrame, days: Days, as_of
 ) -> list[DataFrame]:
     date = F.col("date")
     last_week = rolling(date, as_of, 7)
     return [
         aa_sku.select(*PAIR, F.lit(True).alias("aa")),
-        _measure(_on_day(inventory, dates, F.date_sub("require_date", 1)), "quantity", "order_stock"),
+        _measure(days.on(inventory, "order_stock"), "quantity", "order_stock"),
         cost_60d(cost, as_of).select(
             *PAIR,
             date.alias("sale_date"),
@@ -251,7 +277,8 @@ def stockout_summary(
     `dates` comes from `reference_dates`. A store without empty items has NULL ratios. An
     item with a suggestion or order of unknown quantity is not counted as left out.
     """
-    sources = _cause_sources(inventory, cm_sku, delivery, suggestions, require_orders, dates, as_of, statuses)
+    days = _report_days(dates)
+    sources = _cause_sources(inventory, cm_sku, delivery, suggestions, require_orders, days, as_of, statuses)
     empty = _is_empty()
     counted = (
         _listed(_per_item(sources, *_causes()), wanted_stores)
@@ -308,16 +335,17 @@ def stockout_detail(
     Where a lookup could meet several rows of an item, the largest value is taken, so the
     result does not depend on file order (T13).
     """
-    sources = _cause_sources(inventory, cm_sku, delivery, suggestions, require_orders, dates, as_of, statuses)
-    sources += _history_sources(cost, inventory, aa_sku, dates, as_of)
+    days = _report_days(dates)
+    sources = _cause_sources(inventory, cm_sku, delivery, suggestions, require_orders, days, as_of, statuses)
+    sources += _history_sources(cost, inventory, aa_sku, days, as_of)
     sale_date = F.col("sale_date")
-    days = {n: day_words(sale_date, sale_date.isNotNull(), as_of, n) for n in (60, 28)}
+    sold = {n: day_words(sale_date, sale_date.isNotNull(), as_of, n) for n in (60, 28)}
     items = _per_item(
         sources,
         *_causes(),
         F.max("aa").alias("aa"),
         F.max("order_stock").alias("order_stock"),
-        *[word.alias(f"sale_days_{n}_{k}") for n, words in days.items() for k, word in enumerate(words)],
+        *[word.alias(f"sale_days_{n}_{k}") for n, words in sold.items() for k, word in enumerate(words)],
         F.max("sold_today").alias("sold_today"),
         F.sum("sale_7").alias("sale_7"),
         F.sum("quantity_7").alias("quantity_7"),
@@ -325,7 +353,7 @@ def stockout_detail(
     returned = refunds.groupBy(*PAIR).agg(F.max("method").alias("method"))
     named = goods.groupBy(*ITEM).agg(F.max(F.struct("show_code", "item_name")).alias("goods"))
     held = (
-        _within(warehouse, "date", dates, F.col("require_date"))
+        days.within(warehouse, "require")
         .groupBy(*ITEM, F.col("date").alias("require_date"))
         .agg(F.max("stock_qty").alias("warehouse"))
     )
@@ -348,7 +376,7 @@ def stockout_detail(
             F.col("goods.item_name").alias("item_name"),
             amount("stock").alias("actual_stock"),
             amount("order_stock").alias("order_stock"),
-            *[count_bits([F.col(f"sale_days_{n}_{k}") for k in range(len(words))]).alias(f"sale_days_{n}") for n, words in days.items()],
+            *[count_bits([F.col(f"sale_days_{n}_{k}") for k in range(len(words))]).alias(f"sale_days_{n}") for n, words in sold.items()],
             _advised_quantity("suggested").cast("double").alias("cm_suggest"),
             _advised_quantity("ordered").cast("double").alias("store_book"),
             amount("delivered").alias("inv_delivery"),

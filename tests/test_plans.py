@@ -157,7 +157,7 @@ def test_reference_days_bound_the_suggestions(spark, inputs, tmp_path):
         text = plan(stockout.reference_dates(delivery, suggestions, inputs["stores"]))
         assert "delivery_type" not in text  # read once before, for the last days
         scans = [line for line in text.splitlines() if "FileScan" in line and "PartitionFilters: [isnotnull(date" in line]
-        assert scans and all("Subquery" in line and "min(require_date)" in line for line in scans)
+        assert scans and all("(date#" in line and ">= 2024-01-" in line and "<= 2024-01-" in line for line in scans)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
