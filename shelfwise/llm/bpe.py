@@ -32,6 +32,8 @@ from pyspark.sql import types as T
 from shelfwise.llm.shared import output, slices, texts_of
 
 LEAF = 16_384
+SLICE = 1 << 18
+"""Bytes of text encoded at once: the library keeps far more than the identifiers of each token."""
 SHORT_WINDOW = 512
 _BORDER = regex.compile(
     r"(?<=\p{L})(?!\p{L})|(?<=\p{N})(?!\p{N})|(?<=[^\s\p{L}\p{N}])(?=[\s\p{N}])|(?<=[^\s\p{L}\p{N}'])(?=\p{L})"
@@ -198,7 +200,7 @@ def encode_decode(docs: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         used = codec(path)
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", SLICE):
             sizes, marks, back = [], [], []
             for ids in used.encode(texts_of(part)):
                 sizes.append(len(ids))
@@ -216,7 +218,7 @@ def with_tokens(docs: DataFrame, path: str, column: str = "token_ids") -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         used = codec(path)
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", SLICE):
             ids = pa.array(used.encode(texts_of(part)), type=pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), ids], names=schema.names)
 

@@ -4,9 +4,11 @@ A document is a set of five-word shingles weighted by tf-idf, (1 + ln tf) * idf
 idf = 1 + IDF_SHARE * ln((N + 1) / (df + 1)) / ln(N + 1). df is counted over all documents, in a table
 of fixed size indexed by a part of the shingle's hash. The idf is damped because copies make their
 own shingles common: with the full logarithm, near copies in a group of thousands would weigh
-little but for their few own words, and would miss the threshold that two copies alone reach. 24 weighted samples per document are put into eight bands of three; documents of weighted
-Jaccard similarity s agree in all samples of some band with probability 1 - (1 - s^3)^8, which
-is 0.997 at 0.8. Candidates are verified on the whole texts by weighted Jaccard similarity.
+little but for their few own words, and would miss the threshold that two copies alone reach.
+
+24 weighted samples per document are put into eight bands of three; documents of weighted Jaccard
+similarity s agree in all samples of some band with probability 1 - (1 - s^3)^8, which is 0.997 at
+0.8. Candidates are verified on the whole texts by weighted Jaccard similarity.
 
 Equal texts (after lower-casing and splitting into words) are folded first. In a bucket no pair
 list is made: every member is compared with one pivot, verified links are contracted to
@@ -32,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from shelfwise.llm.components import components
-from shelfwise.llm.shared import mixed, shingle_counts, slices, texts_of
+from shelfwise.llm.shared import mixed, settle_counted, shingle_counts, slices, texts_of
 from shelfwise.sources.scratch import settle
 
 WIDTH = 5
@@ -45,7 +47,7 @@ LEAST_AGREEING = 9
 DF_BITS, DF_CHUNK = 20, 1024
 IDF_SHARE = 0.25
 TABLE_BITS = 16
-BAND_PIVOTS, PREFIX_PIVOTS = 1, 2
+BAND_PIVOTS, PREFIX_PIVOTS = 1, 1
 
 BROADCAST_ROWS = 2_000_000
 """Id lists up to this many rows (16 bytes each) are broadcast; beyond it they are shuffled."""
@@ -144,9 +146,10 @@ def _band_keys(drawn: np.ndarray) -> np.ndarray:
     return keys
 
 
-def prefix_buckets(docs: DataFrame, reps: DataFrame, idf: Broadcast) -> DataFrame:
-    """(rep, band, rest, total): each of the documents `reps` with the shingles of its prefix that others have too,
-    the weight from there on and the whole weight.
+def prefix_buckets(docs: DataFrame, ids: tuple[DataFrame, int], repeated: tuple[DataFrame, int], idf: Broadcast) -> DataFrame:
+    """(rep, band, rest, total): each of the documents `ids` with the shingles of its prefix that others have too,
+    the weight from there on and the whole weight. `repeated` has the ids that several rows have: of those,
+    equal rows are taken once, and each different text has a prefix of its own.
 
     A document's shingles are ordered by the number of these documents that have them; its prefix
     ends where the weight before a shingle exceeds the share 1 - threshold of the whole.
@@ -157,16 +160,20 @@ def prefix_buckets(docs: DataFrame, reps: DataFrame, idf: Broadcast) -> DataFram
             owner, hashes, _, weights = weighted(texts_of(part), idf.value)
             ids = part.column("rep").to_numpy()[owner]
             total = np.bincount(owner, weights, minlength=part.num_rows)[owner]
-            columns = [pa.array(ids), pa.array(hashes.view(np.int64)), pa.array(weights.astype(np.float64)), pa.array(total)]
-            yield pa.RecordBatch.from_arrays(columns, names=["rep", "band", "weight", "total"])
-
-    schema = "rep long, band long, weight double, total double"
-    every = _texts(docs, reps.withColumnRenamed("rep", "doc_id")).select(F.col("doc_id").alias("rep"), "text").mapInArrow(run, schema)
-    held = settle(every, "shingles")
+            texts = part.column("text_hash").to_numpy()[owner]
+            columns = [ids, texts, hashes.view(np.int64), weights.astype(np.float64), total]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["rep", "text_hash", "band", "weight", "total"])
+
+    texts = _texts(docs, ids)
+    if repeated[1]:
+        once = texts.join(_checked(repeated), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+        texts = texts.join(_checked(repeated), "doc_id", "left_anti").union(once)
+    rows = texts.select(F.col("doc_id").alias("rep"), F.xxhash64("text").alias("text_hash"), "text")
+    held = settle(rows.mapInArrow(run, "rep long, text_hash long, band long, weight double, total double"), "shingles")
     common = held.groupBy("band").agg(F.count(F.lit(1)).alias("holders")).where("holders > 1")
     shared = held.join(common, "band")
-    rarest = Window.partitionBy("rep").orderBy("holders", "band")
-    own = F.col("total") - F.sum("weight").over(Window.partitionBy("rep"))  # weight of shingles that nobody else has
+    rarest = Window.partitionBy("rep", "text_hash").orderBy("holders", "band")
+    own = F.col("total") - F.sum("weight").over(Window.partitionBy("rep", "text_hash"))  # of shingles that nobody else has
     before = own + F.sum("weight").over(rarest.rowsBetween(Window.unboundedPreceding, -1))
     placed = shared.withColumn("before", F.coalesce(before, own)).where(F.col("before") <= F.col("total") * (1 - THRESHOLD + 1e-6))
     rows = placed.select("rep", "band", (F.col("total") - F.col("before")).alias("rest"), "total")
@@ -207,9 +214,10 @@ def sketches(docs: DataFrame, idf: Broadcast) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, low long, high long, bands array<long>, drawn binary")
 
 
-def _checked(small: DataFrame) -> DataFrame:
-    """`small`, broadcast if its counted rows are few enough."""
-    return F.broadcast(small) if small.count() <= BROADCAST_ROWS else small
+def _checked(small: tuple[DataFrame, int]) -> DataFrame:
+    """A table, broadcast if its counted rows are few enough."""
+    table, rows = small
+    return F.broadcast(table) if rows <= BROADCAST_ROWS else table
 
 
 def _agreeing(pairs: DataFrame, drawn: DataFrame) -> DataFrame:
@@ -233,15 +241,15 @@ def similarity(one: tuple[np.ndarray, np.ndarray], other: tuple[np.ndarray, np.n
     return shared / union if union else 0.0
 
 
-def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """doc_id and text of the documents `ids`."""
+def _texts(docs: DataFrame, ids: tuple[DataFrame, int]) -> DataFrame:
+    """doc_id and text of the documents `ids`, a table with its number of rows."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
     return rows.join(_checked(ids), "doc_id", "left_semi")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, idf: Broadcast) -> DataFrame:
     """The pairs (a, b) whose whole texts are similar enough."""
-    texts = _texts(docs, settle(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "candidate-ids"))
+    texts = _texts(docs, settle_counted(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "candidate-ids"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text_b"):
@@ -308,15 +316,16 @@ def classes(docs: DataFrame) -> DataFrame:
     members = settle(marks.select("doc_id", "low", "high").join(reps.select("low", "high", "rep"), ["low", "high"]).select("doc_id", "rep").distinct(), "members")
     drawn = reps.select("rep", "drawn").dropDuplicates(["rep"])
 
+    repeated = settle_counted(marks.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"), "repeated-ids")
     one_id = members.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a < b")
-    links = settle(one_id.select("a", "b"), "links")
-    found = settle(components(links), "components")
+    links, n_links = settle_counted(one_id.select("a", "b"), "links")
+    found = settle(components(links), "components") if n_links else links.toDF("node", "component")
     rows = reps.select("rep", F.explode("bands").alias("band"))
     buckets = settle(rows.join(_crowded(rows), "band").distinct(), "buckets")
     for turn in range(BAND_PIVOTS + PREFIX_PIVOTS + 1):
         if turn == BAND_PIVOTS:
-            apart = settle(_open_buckets(buckets, found).select("rep").distinct(), "apart")
-            buckets = settle(prefix_buckets(docs, apart, idf), "prefix-buckets")
+            apart = settle_counted(_open_buckets(buckets, found).select(F.col("rep").alias("doc_id")).distinct(), "apart")
+            buckets = settle(prefix_buckets(docs, apart, repeated, idf), "prefix-buckets")
         rows = settle(_open_buckets(buckets, found), "open-buckets")
         pairs = _pivot_pairs(rows, turn) if turn < BAND_PIVOTS + PREFIX_PIVOTS else _cross_pairs(rows)
         links = links.union(settle(_verified(settle(_agreeing(pairs, drawn), "pairs"), docs, idf), "links"))

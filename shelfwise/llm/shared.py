@@ -11,11 +11,13 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from shelfwise.sources.scratch import settle
+
 SLICE_BYTES = 1 << 20
 """Text that a vectorised step works on at once; one longer text is a slice of its own."""
 
@@ -54,6 +56,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def settle_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """`df` written and read again, with its number of rows, observed while writing."""
+    seen = Observation()
+    written = settle(df.observe(seen, F.count(F.lit(1)).alias("rows")), name)
+    return written, seen.get["rows"]
+
+
 def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The rows of the batches in order, cut so that a slice holds at most `limit` bytes of `column`."""
     for batch in batches:

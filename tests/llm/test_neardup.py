@@ -91,6 +91,35 @@ def test_a_large_group_of_copies_and_near_copies_is_one_class(spark):
     assert all(found[k] == k for k in range(110, 150))
 
 
+def test_prefix_buckets_miss_no_pair(spark):
+    """Without pivots every link between different texts comes from the prefix buckets; repeated rows change nothing."""
+    import random
+
+    rng = random.Random(8)
+    texts = []
+    for g in range(12):
+        base = [f"g{g}w{k}" for k in range(60)]
+        for _ in range(14):
+            words = list(base)
+            for _ in range(rng.randint(0, 5)):
+                words[rng.randrange(60)] = f"x{rng.random()}"
+            texts.append(" ".join(words) + (" some line that all of them share" if rng.random() < 0.7 else ""))
+    docs = docs_of(spark, texts)
+    idf = neardup.inverse_frequencies(docs)
+    owner, hashes, _, weights = neardup.weighted(texts, idf)
+    sets = [(hashes[owner == k], weights[owner == k]) for k in range(len(texts))]
+    similar = {(a, b) for b in range(len(texts)) for a in range(b) if texts[a] != texts[b] and neardup.similarity(sets[a], sets[b]) >= 0.8}
+    assert len(similar) > 30
+    ids = spark.range(len(texts)).withColumnRenamed("id", "doc_id")
+    nothing = ids.limit(0)
+    shared = spark.sparkContext.broadcast(idf)
+    thirds = ids.where("doc_id % 3 = 0")
+    for frame, repeated in ((docs, nothing), (docs.union(docs.where("doc_id % 3 = 0")), thirds)):
+        rows = neardup.prefix_buckets(frame, (ids, len(texts)), (repeated, repeated.count()), shared)
+        pairs = set(map(tuple, neardup._cross_pairs(rows.withColumn("component", rows["rep"])).collect()))
+        assert similar <= pairs
+
+
 def test_awkward_rows(spark):
     rows = awkward(spark)
     found = neardup.classes(rows).collect()

@@ -1,4 +1,3 @@
-import public_tokenizers  # noqa: F401
 from pyspark.sql import functions as F
 
 from shelfwise.llm import quality
