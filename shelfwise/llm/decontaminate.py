@@ -17,17 +17,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.sources.scratch import settle
+from shelfwise.llm.shared import bounded_broadcast, settle_counted
 
 WIDTH = 5
 BROADCAST_ROWS = 2_000_000
 """Sketch rows, items or ids up to this many are broadcast; beyond it they are shuffled."""
 
 
-def _checked(small: DataFrame) -> DataFrame:
-    return F.broadcast(small) if small.count() <= BROADCAST_ROWS else small
-
-
 def shingled(rows: DataFrame, key: str) -> DataFrame:
     """`key` and the distinct shingle hashes of `text`, none for short texts, of rows that have a key and a text.
 
@@ -55,16 +51,19 @@ def contained(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.8) ->
     Rows that repeat an id are searched each; a pair is returned once, with the largest overlap.
     Other columns are ignored; empty tables give an empty result.
     """
-    items = settle(shingled(benchmark, "item_id").distinct(), "items").where(F.size("shingles") > 0)
-    sketch = settle(sketches(items, threshold).distinct(), "sketch")
+    items, n_items = settle_counted(shingled(benchmark, "item_id").distinct(), "items")
+    items = items.where(F.size("shingles") > 0)
+    sketch, n_sketch = settle_counted(sketches(items, threshold).distinct(), "sketch")
     last = sketch.agg(F.max("h")).first()[0]
     if last is None:
         last = -(1 << 63)
     searched = shingled(docs, "doc_id").select("doc_id", F.explode_outer("shingles").alias("h")).where(F.col("h") <= last)
-    candidates = settle(searched.join(_checked(sketch), "h").select("doc_id", "item_id").distinct(), "candidates")
-    ids = _checked(candidates.select("doc_id").distinct())
+    hits = searched.join(bounded_broadcast(sketch, n_sketch, BROADCAST_ROWS), "h")
+    candidates, n_candidates = settle_counted(hits.select("doc_id", "item_id").distinct(), "candidates")
+    ids = bounded_broadcast(candidates.select("doc_id").distinct(), n_candidates, BROADCAST_ROWS)
     texts = shingled(docs.join(ids, "doc_id", "left_semi"), "doc_id")
-    pairs = texts.join(_checked(candidates), "doc_id").join(_checked(items.withColumnRenamed("shingles", "wanted")), "item_id")
+    wanted = bounded_broadcast(items.withColumnRenamed("shingles", "wanted"), n_items, BROADCAST_ROWS)
+    pairs = texts.join(bounded_broadcast(candidates, n_candidates, BROADCAST_ROWS), "doc_id").join(wanted, "item_id")
     shared = pairs.select("doc_id", "item_id", F.size(F.array_intersect("wanted", "shingles")).cast("long").alias("n_shared"), F.size("wanted").cast("long").alias("n_shingles"))
     kept = shared.where(F.col("n_shared") >= F.ceil(F.lit(threshold) * F.col("n_shingles") - 1e-9))
     return kept.groupBy("doc_id", "item_id").agg(F.max("n_shared").alias("n_shared"), F.max("n_shingles").alias("n_shingles"))
@@ -72,8 +71,8 @@ def contained(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.8) ->
 
 def without_contained(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.8) -> DataFrame:
     """The rows of `docs` that contain no item. Rows without an id cannot be named by a match and stay."""
-    found = settle(contained(docs, benchmark, threshold).select("doc_id").distinct(), "contaminated")
-    return docs.join(_checked(found), "doc_id", "left_anti").select(docs.columns)
+    found, n_found = settle_counted(contained(docs, benchmark, threshold).select("doc_id").distinct(), "contaminated")
+    return docs.join(bounded_broadcast(found, n_found, BROADCAST_ROWS), "doc_id", "left_anti").select(docs.columns)
 
 
 # All pairs by plain text comparison, for the small tables of the correctness check.

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from shelfwise.llm.components import components
-from shelfwise.llm.shared import mixed, settle_counted, shingle_counts, slices, texts_of
+from shelfwise.llm.shared import bounded_broadcast, mixed, settle_counted, shingle_counts, slices, texts_of
 from shelfwise.sources.scratch import settle
 
 WIDTH = 5
@@ -166,8 +166,9 @@ def prefix_buckets(docs: DataFrame, ids: tuple[DataFrame, int], repeated: tuple[
 
     texts = _texts(docs, ids)
     if repeated[1]:
-        once = texts.join(_checked(repeated), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-        texts = texts.join(_checked(repeated), "doc_id", "left_anti").union(once)
+        several = bounded_broadcast(*repeated, BROADCAST_ROWS)
+        once = texts.join(several, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+        texts = texts.join(several, "doc_id", "left_anti").union(once)
     rows = texts.select(F.col("doc_id").alias("rep"), F.xxhash64("text").alias("text_hash"), "text")
     held = settle(rows.mapInArrow(run, "rep long, text_hash long, band long, weight double, total double"), "shingles")
     common = held.groupBy("band").agg(F.count(F.lit(1)).alias("holders")).where("holders > 1")
@@ -214,12 +215,6 @@ def sketches(docs: DataFrame, idf: Broadcast) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, low long, high long, bands array<long>, drawn binary")
 
 
-def _checked(small: tuple[DataFrame, int]) -> DataFrame:
-    """A table, broadcast if its counted rows are few enough."""
-    table, rows = small
-    return F.broadcast(table) if rows <= BROADCAST_ROWS else table
-
-
 def _agreeing(pairs: DataFrame, drawn: DataFrame) -> DataFrame:
     """Pairs whose samples agree often enough to be worth reading their texts."""
 
@@ -244,7 +239,7 @@ def similarity(one: tuple[np.ndarray, np.ndarray], other: tuple[np.ndarray, np.n
 def _texts(docs: DataFrame, ids: tuple[DataFrame, int]) -> DataFrame:
     """doc_id and text of the documents `ids`, a table with its number of rows."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
-    return rows.join(_checked(ids), "doc_id", "left_semi")
+    return rows.join(bounded_broadcast(*ids, BROADCAST_ROWS), "doc_id", "left_semi")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, idf: Broadcast) -> DataFrame:

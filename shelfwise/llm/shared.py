@@ -63,6 +63,11 @@ def settle_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
     return written, seen.get["rows"]
 
 
+def bounded_broadcast(table: DataFrame, rows: int, most: int) -> DataFrame:
+    """`table`, broadcast if its counted rows are at most `most`; beyond it Spark chooses."""
+    return F.broadcast(table) if rows <= most else table
+
+
 def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The rows of the batches in order, cut so that a slice holds at most `limit` bytes of `column`."""
     for batch in batches:

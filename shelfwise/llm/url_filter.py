@@ -16,6 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.llm.shared import bounded_broadcast, settle_counted
 from shelfwise.sources.scratch import settle
 
 MOST_RULES = 1000
@@ -63,10 +64,6 @@ def fitting(rules: tuple[Rule, ...], host: Column, path: Column, value) -> Colum
     return found
 
 
-def _checked(small: DataFrame) -> DataFrame:
-    return F.broadcast(small) if small.count() <= BROADCAST_ROWS else small
-
-
 def host_edges(pages: DataFrame, hosts: DataFrame) -> DataFrame:
     """Distinct (src, dst) between different hosts: links of the pages, and parent domains both ways."""
     links = pages.select(F.col("host").alias("src"), F.explode(F.regexp_extract_all("html", F.lit(_LINK), F.lit(1))).alias("dst"))
@@ -119,9 +116,10 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, threshold: float =
     hosts = settle(parsed.where("host <> ''").groupBy("host").agg(share("allow").alias("trust"), share("block").alias("distrust")), "hosts")
     edges = settle(host_edges(parsed, hosts), "host-edges")
     behind = F.round(F.col("distrust") - F.col("trust"), 9)
-    bad = settle(propagate(edges, hosts).where(behind > threshold).select("host", F.lit("block").alias("_host_verdict")), "bad-hosts")
+    bad = propagate(edges, hosts).where(behind > threshold).select("host", F.lit("block").alias("_host_verdict"))
+    bad, n_bad = settle_counted(bad, "bad-hosts")
     rule = fitting(rules, F.col("host"), F.col("path"), lambda r: r.name)
-    judged = parsed.select("page_id", "host", "path", rule.alias("rule"), verdict.alias("_rule_verdict")).join(_checked(bad), "host", "left")
+    judged = parsed.select("page_id", "host", "path", rule.alias("rule"), verdict.alias("_rule_verdict")).join(bounded_broadcast(bad, n_bad, BROADCAST_ROWS), "host", "left")
     return judged.select("page_id", "host", "path", "rule", F.coalesce("_rule_verdict", "_host_verdict", F.lit("allow")).alias("verdict"))
 
 
