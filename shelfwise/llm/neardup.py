@@ -41,8 +41,6 @@ WIDTH = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 8, 3
 SAMPLES = BANDS * ROWS
-LEAST_AGREEING = 9
-"""Candidates agreeing in fewer of the 24 samples are dropped; at similarity 0.8 that has probability 3e-7."""
 
 DF_BITS, DF_CHUNK = 20, 1024
 IDF_SHARE = 0.25
@@ -187,7 +185,7 @@ def _crowded(rows: DataFrame) -> DataFrame:
 
 
 def sketches(docs: DataFrame, idf: Broadcast) -> DataFrame:
-    """doc_id, a 128-bit mark of the weighted set, band keys and samples; none for rows without words or id."""
+    """doc_id, a 128-bit mark of the weighted set, and band keys; none for rows without words or id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
@@ -198,34 +196,19 @@ def sketches(docs: DataFrame, idf: Broadcast) -> DataFrame:
             number = counts.astype(np.uint64)
             low = np.add.reduceat(mixed(hashes + number * np.uint64(0xE7037ED1A0B428DB)), starts)
             high = np.add.reduceat(mixed(hashes * np.uint64(0x8EBC6AF09C88C6E3) ^ number), starts)
-            drawn = samples(hashes, weights, starts)
-            keys = _band_keys(drawn).view(np.int64)
+            keys = _band_keys(samples(hashes, weights, starts)).view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("doc_id").take(pa.array(owner[starts])),
                     pa.array(low.view(np.int64)),
                     pa.array(high.view(np.int64)),
                     pa.array(list(keys), pa.list_(pa.int64())),
-                    pa.array([row.tobytes() for row in drawn], pa.binary()),
                 ],
-                names=["doc_id", "low", "high", "bands", "drawn"],
+                names=["doc_id", "low", "high", "bands"],
             )
 
     rows = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(run, "doc_id long, low long, high long, bands array<long>, drawn binary")
-
-
-def _agreeing(pairs: DataFrame, drawn: DataFrame) -> DataFrame:
-    """Pairs whose samples agree often enough to be worth reading their texts."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sides = [np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint32).reshape(-1, SAMPLES) for c in ("drawn_a", "drawn_b")]
-            keep = (sides[0] == sides[1]).sum(axis=1) >= LEAST_AGREEING
-            yield batch.select(["a", "b"]).filter(pa.array(keep))
-
-    with_a = pairs.join(drawn.select(F.col("rep").alias("a"), F.col("drawn").alias("drawn_a")), "a")
-    return with_a.join(drawn.select(F.col("rep").alias("b"), F.col("drawn").alias("drawn_b")), "b").mapInArrow(run, "a long, b long")
+    return rows.mapInArrow(run, "doc_id long, low long, high long, bands array<long>")
 
 
 def similarity(one: tuple[np.ndarray, np.ndarray], other: tuple[np.ndarray, np.ndarray]) -> float:
@@ -306,10 +289,9 @@ def classes(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     idf = spark.sparkContext.broadcast(inverse_frequencies(docs))
     marks = settle(sketches(docs, idf), "sketches")
-    folded = marks.groupBy("low", "high").agg(F.min_by(F.struct("doc_id", "bands", "drawn"), "doc_id").alias("first"))
-    reps = settle(folded.select("low", "high", F.col("first.doc_id").alias("rep"), "first.bands", "first.drawn"), "texts")
+    folded = marks.groupBy("low", "high").agg(F.min_by(F.struct("doc_id", "bands"), "doc_id").alias("first"))
+    reps = settle(folded.select("low", "high", F.col("first.doc_id").alias("rep"), "first.bands"), "texts")
     members = settle(marks.select("doc_id", "low", "high").join(reps.select("low", "high", "rep"), ["low", "high"]).select("doc_id", "rep").distinct(), "members")
-    drawn = reps.select("rep", "drawn").dropDuplicates(["rep"])
 
     repeated = settle_counted(marks.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"), "repeated-ids")
     one_id = members.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a < b")
@@ -323,7 +305,7 @@ def classes(docs: DataFrame) -> DataFrame:
             buckets = settle(prefix_buckets(docs, apart, repeated, idf), "prefix-buckets")
         rows = settle(_open_buckets(buckets, found), "open-buckets")
         pairs = _pivot_pairs(rows, turn) if turn < BAND_PIVOTS + PREFIX_PIVOTS else _cross_pairs(rows)
-        links = links.union(settle(_verified(settle(_agreeing(pairs, drawn), "pairs"), docs, idf), "links"))
+        links = links.union(settle(_verified(settle(pairs, "pairs"), docs, idf), "links"))
         found = settle(components(links), "components")
     named = _labelled(members, found).groupBy("doc_id").agg(F.min("component").alias("class_id"))
     every = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
