@@ -18,7 +18,7 @@ from pyspark.sql.window import Window
 
 from shelfwise.sources.scratch import settle
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 """Text that a vectorised step works on at once; one longer text is a slice of its own."""
 
 
