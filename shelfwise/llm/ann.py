@@ -8,8 +8,11 @@ Hamming distance r of a query is within floor(r / 16) in one substring at least,
 tables at that distance retrieves every code within r. What is retrieved is filtered by the whole
 code and ranked by the inner products of the original vectors in double precision.
 
-The radius of a query is the smallest that holds `wanted` distinct vectors, estimated on the bounded
-sample; the codes within it are then retrieved from all rows. Queries are sent to the index blocks
+The radius of a query is its distance to a certain place among the codes of the bounded sample, so
+that it follows the density around the query; the codes within it are retrieved from all rows. The
+place is measured, since a fixed number of vectors loses neighbours as the table grows: for a
+bounded number of queries the exact neighbours are sought among all rows, and the place is the
+smallest that holds the share `RECALL` of them, and `wanted` vectors at least. Queries are sent to the index blocks
 in groups of bounded size; a block returns its best `k` for each query, and Spark merges them.
 """
 
@@ -32,12 +35,14 @@ BITS, TABLES = 256, 16
 SUBSTRING = BITS // TABLES
 SAMPLE = 8192
 LEAST_IN_SAMPLE = 8
+MEASURED, RECALL = 200, 0.97
+"""Queries whose exact neighbours are sought to set the radius, and the share of these it must hold."""
 QUERY_GROUP = 20_000
 """Queries that are sent to all index blocks at once: some 10 MB of vectors and codes."""
 BLOCK_ROWS = 16_384
 _ONES = np.array([bin(k).count("1") for k in range(1 << SUBSTRING)], dtype=np.uint8)
 
-SCHEMA = "query_id long, vec_id long, score double"
+SCHEMA = "query_id long, vec_id long, score double, distance long"
 
 
 @dataclass(frozen=True)
@@ -85,6 +90,14 @@ def radius(code: np.ndarray, sample_codes: np.ndarray, wanted: int) -> int:
     return int(np.partition(distances(code, sample_codes), wanted - 1)[wanted - 1])
 
 
+def place_holding(share: float, codes: np.ndarray, neighbours: list[np.ndarray], sample_codes: np.ndarray) -> int:
+    """The place among the sample codes whose distance holds `share` of all neighbours, given as
+    distances from each code; beyond the sample if it must."""
+    places = [np.searchsorted(np.sort(distances(c, sample_codes)), far) + 1 for c, far in zip(codes, neighbours, strict=True)]
+    places = np.sort(np.concatenate([*places, np.empty(0, np.int64)]))
+    return int(places[math.ceil(share * len(places)) - 1]) if len(places) else len(sample_codes)
+
+
 class Block:
     """Distinct vectors of a part of the rows with the smallest ids of each, and its tables."""
 
@@ -98,6 +111,7 @@ class Block:
         # one more than k, since one of them may be the query itself
         self.ids = [np.unique(ids[by_owner[i:j]])[: k + 1] for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
         self.codes = coder.codes(self.vectors)
+        self.norm = coder.norm
         self.tables = [np.unique(self.codes[:, t], return_inverse=True) for t in range(TABLES)]
 
     def within(self, code: np.ndarray, reach: int) -> np.ndarray:
@@ -110,13 +124,23 @@ class Block:
         rows = np.flatnonzero(found)
         return rows[distances(code, self.codes[rows]) <= reach]
 
-    def best(self, query_id: int, vector: np.ndarray, code: np.ndarray, reach: int, k: int) -> list[tuple[int, int, float]]:
-        rows = self.within(code, reach)
+    def screened(self, vector: np.ndarray, k: int) -> np.ndarray:
+        """Rows that may be among the best of all: a quick product, with room for its rounding."""
+        quick = self.vectors @ vector
+        if len(quick) <= k + 1:
+            return np.arange(len(quick))
+        slack = 1e-9 * self.norm * math.sqrt((vector**2).sum())
+        return np.flatnonzero(quick >= np.partition(quick, len(quick) - k - 1)[len(quick) - k - 1] - slack)
+
+    def best(self, query_id: int, vector: np.ndarray, code: np.ndarray, reach: int, k: int) -> list[tuple[int, int, float, int]]:
+        """(query, id, score, distance of the codes)"""
+        rows = self.screened(vector, k) if reach >= BITS else self.within(code, reach)
         scores = (self.vectors[rows] * vector).sum(axis=1)
         if len(rows) > k + 1:  # a vector is found through at least one id, but the query's own may be one
             rows, scores = rows[scores >= (limit := np.partition(scores, len(scores) - k - 1)[len(scores) - k - 1])], scores[scores >= limit]
-        found = [(-s, i) for r, s in zip(rows.tolist(), scores.tolist(), strict=True) for i in self.ids[r].tolist() if i != query_id]
-        return [(query_id, i, -s) for s, i in sorted(found)[:k]]
+        far = distances(code, self.codes[rows]).tolist()
+        found = [(-s, i, d) for r, s, d in zip(rows.tolist(), scores.tolist(), far, strict=True) for i in self.ids[r].tolist() if i != query_id]
+        return [(query_id, i, -s, d) for s, i, d in sorted(found)[:k]]
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -163,22 +187,41 @@ def search(vectors: DataFrame, is_query, k: int = 20, wanted: int = 400) -> Data
     sample_codes = coder.codes(sample)
     in_sample = max(LEAST_IN_SAMPLE, math.ceil(wanted * min(1.0, SAMPLE / total)))
     queries = settle(rows.where(is_query(F.col("vec_id"))).groupBy("vec_id").agg(F.min("embedding").alias("embedding")), "queries")
-    groups = math.ceil(queries.count() / QUERY_GROUP)
+    asked = queries.count()
+    groups = math.ceil(asked / QUERY_GROUP)
+    if asked and in_sample < len(sample_codes):
+        some = queries.where(uniform(order) <= min(1.0, 4.0 * MEASURED / asked)).orderBy(order, "vec_id").limit(MEASURED)
+        in_sample = max(in_sample, _measured_place(rows, some, coder, sample_codes, dimension, k))
     found = None
     for g in range(groups):
         group = queries.where(F.pmod(F.xxhash64("vec_id"), F.lit(groups)) == g)
-        part = _search_group(rows, group, coder, sample_codes, in_sample, dimension, k)
+        part = _search_group(rows, *_asked(group, dimension), coder, sample_codes, in_sample, dimension, k)
         found = part if found is None else found.union(part)
     if found is None:
         return _no_neighbours(vectors)
+    return _ranked(found, k).select("query_id", "rank", "vec_id", "score")
+
+
+def _ranked(found: DataFrame, k: int) -> DataFrame:
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", place).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return found.withColumn("rank", place).where(F.col("rank") <= k)
+
+
+def _asked(queries: DataFrame, dimension: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and vectors of queries of bounded number."""
+    asked = queries.toArrow()
+    return asked.column("vec_id").to_numpy(), np.array(asked.column("embedding").to_pylist(), dtype=np.float64).reshape(-1, dimension)
+
+
+def _measured_place(rows: DataFrame, some: DataFrame, coder: Coder, sample_codes: np.ndarray, dimension: int, k: int) -> int:
+    """The place that holds `RECALL` of the exact neighbours of `some` queries among all rows."""
+    ids, vectors = _asked(some, dimension)
+    exact = _ranked(_search_group(rows, ids, vectors, coder, sample_codes, len(sample_codes), dimension, k), k)
+    far = {row.query_id: row.far for row in exact.groupBy("query_id").agg(F.collect_list("distance").alias("far")).collect()}
+    return place_holding(RECALL, coder.codes(vectors), [np.array(far.get(i, []), dtype=np.int64) for i in ids.tolist()], sample_codes)
 
 
-def _search_group(rows: DataFrame, group: DataFrame, coder: Coder, sample_codes: np.ndarray, in_sample: int, dimension: int, k: int) -> DataFrame:
-    asked = group.toArrow()
-    ids = asked.column("vec_id").to_numpy()
-    wanted = np.array(asked.column("embedding").to_pylist(), dtype=np.float64).reshape(-1, dimension)
+def _search_group(rows: DataFrame, ids: np.ndarray, wanted: np.ndarray, coder: Coder, sample_codes: np.ndarray, in_sample: int, dimension: int, k: int) -> DataFrame:
     codes = coder.codes(wanted)
     reach = [radius(code, sample_codes, in_sample) for code in codes]
     shared = rows.sparkSession.sparkContext.broadcast((coder, ids, wanted, codes, reach))
@@ -189,7 +232,8 @@ def _search_group(rows: DataFrame, group: DataFrame, coder: Coder, sample_codes:
             for start in range(0, whole.num_rows, BLOCK_ROWS):
                 block = Block(*_arrays(whole.slice(start, BLOCK_ROWS), dimension), coder, k)
                 best = [b for q, v, c, r in zip(ids.tolist(), wanted, codes, reach, strict=True) for b in block.best(q, v, c, r, k)]
-                columns = list(zip(*best, strict=True)) or [(), (), ()]
-                yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.float64())], names=["query_id", "vec_id", "score"])
+                columns = list(zip(*best, strict=True)) or [()] * 4
+                kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int64()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["query_id", "vec_id", "score", "distance"])
 
     return rows.mapInArrow(run, SCHEMA)

@@ -1,4 +1,6 @@
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from shelfwise.llm import ann
@@ -75,3 +77,28 @@ def test_groups_of_queries_give_the_same(spark, monkeypatch):
     wanted = rows_of(ann.search(frame, lambda v: v % 20 == 0))
     monkeypatch.setattr(ann, "QUERY_GROUP", 7)
     assert rows_of(ann.search(frame, lambda v: v % 20 == 0)) == wanted
+
+
+def test_recall_does_not_fall_as_the_table_grows(spark, tmp_path):
+    x = np.random.default_rng(4).normal(size=(100_000, 64)).astype(np.float32)
+    x /= np.sqrt((x**2).sum(axis=1))[:, None]
+    pq.write_table(pa.table({"vec_id": np.arange(len(x)), "embedding": pa.FixedSizeListArray.from_arrays(x.ravel(), 64).cast(pa.list_(pa.float32()))}), tmp_path / "x.parquet")
+    found = {}
+    for r in ann.search(spark.read.parquet(str(tmp_path / "x.parquet")), lambda v: v % 200 == 0).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    x, hits = x.astype(np.float64), 0
+    for q in range(0, len(x), 200):
+        scores = x @ x[q]
+        scores[q] = -np.inf
+        hits += len(found[q] & set(np.argpartition(-scores, 20)[:20].tolist()))
+    assert hits >= 0.94 * 20 * len(found)
+
+
+def test_the_place_holds_the_share():
+    rng = np.random.default_rng(6)
+    codes, sample = rng.integers(0, 1 << 16, (30, 16), dtype=np.uint16), rng.integers(0, 1 << 16, (500, 16), dtype=np.uint16)
+    far = [rng.integers(90, 125, 20) for _ in codes]
+    place = ann.place_holding(0.9, codes, far, sample)
+    held = [sum((f <= ann.radius(c, sample, p)).sum() for c, f in zip(codes, far, strict=True)) for p in (place - 1, place)]
+    assert held[0] < 0.9 * 600 <= held[1]
+    assert ann.radius(codes[0], sample, ann.place_holding(0.9, codes, [np.array([256])] * 30, sample)) == ann.BITS
