@@ -14,6 +14,7 @@ import functools
 import html as entities
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -36,7 +37,10 @@ SCHEMA = T.StructType(
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HIDDEN = frozenset("script style noscript template svg iframe object select textarea button title head".split())
-RAW = frozenset("script style noscript template svg iframe textarea title".split())
+RAW = frozenset("script style iframe textarea title".split())
+"""Their content is no markup: they end at their closing tag, and without one with the page."""
+VEILED = frozenset("noscript template svg".split())
+"""Their content is markup that shows nothing: they end with their closing tag or that of an element around them."""
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
 )
@@ -79,6 +83,7 @@ class Block:
     parent: int
     depth: int
     words: frozenset[int]
+    place: int = 0  # among the children of its parent
     children: list[int] = field(default_factory=list)
     own: int = 0  # characters of its own, outside child blocks
     linked: int = 0
@@ -98,6 +103,9 @@ def parse(source: str) -> Page:
     runs: list[tuple[int, str]] = []
     stack: list[tuple[str, int]] = [("root", 0)]  # open elements with the block they belong to
     buffer: list[str] = []
+    veil: list[str] = []  # open elements from a veiled one on
+    held: Counter[str] = Counter()  # how many of each
+    last_end = {tag: max((m.start() for m in re.finditer(f"</{tag}\\b", source, re.I)), default=-1) for tag in VEILED}
     links = 0
     at, size = 0, len(source)
 
@@ -114,9 +122,10 @@ def parse(source: str) -> Page:
     while at < size:
         opening = source.find("<", at)
         if opening < 0:
-            buffer.append(source[at:])
+            if not veil:
+                buffer.append(source[at:])
             break
-        if opening > at:
+        if opening > at and not veil:
             buffer.append(source[at:opening])
             if links:
                 blocks[stack[-1][1]].linked += opening - at
@@ -128,7 +137,8 @@ def parse(source: str) -> Page:
             at = end + 1
             continue
         if not (follows.isalpha() and follows.isascii()) and follows != "/":
-            buffer.append("<")
+            if not veil:
+                buffer.append("<")
             at = opening + 1
             continue
         found = _TAG.match(source, opening)
@@ -142,23 +152,39 @@ def parse(source: str) -> Page:
         closes, tag, marks = found[1], found[2].lower(), found[3]
         if closes:
             if tag in INLINE:
-                if tag == "a":
+                if tag == "a" and not veil:
                     links = max(0, links - 1)
                 continue
+            if held[tag]:
+                ended = ""
+                while ended != tag:
+                    ended = veil.pop()
+                    held[ended] -= 1
+                continue
             if any(name == tag for name, _ in stack):
+                veil.clear()
+                held.clear()
                 flush()
                 while stack[-1][0] != tag:
                     stack.pop()
                 stack.pop()
                 links = 0
             continue
-        blocks[stack[-1][1]].tags += 1
+        if not veil:
+            blocks[stack[-1][1]].tags += 1
         if tag in HIDDEN and tag in RAW:
             closing = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(source, at)
             if not closing:
                 break
             at = closing.end()
             continue
+        if veil or tag in VEILED:
+            foreign = tag == "svg" or held["svg"]  # only there a slash closes
+            ends = tag not in VEILED or last_end[tag] > at  # one that is never closed hides nothing
+            if tag not in VOID and tag not in INLINE and ends and not (foreign and marks.endswith("/")):
+                veil.append(tag)
+                held[tag] += 1
+            continue
         if tag == "br" or tag == "hr":
             buffer.append(" ")
             continue
@@ -185,7 +211,7 @@ def parse(source: str) -> Page:
         parent = stack[-1][1]
         words = frozenset(GROUP_OF_WORD[w] for m in _MARKS.finditer(marks) for w in map(str.lower, _NAMES.findall(m[1] or m[2] or m[3] or "")) if w in GROUP_OF_WORD) if marks else frozenset()
         blocks[parent].children.append(len(blocks))
-        blocks.append(Block(tag, parent, blocks[parent].depth + 1, words))
+        blocks.append(Block(tag, parent, blocks[parent].depth + 1, words, place=len(blocks[parent].children) - 1))
         stack.append((tag, len(blocks) - 1))
     flush()
     hidden = {k for k, b in enumerate(blocks) if b.tag in HIDDEN}
@@ -228,7 +254,6 @@ def features(page: Page) -> np.ndarray:
             row[N_TAGS + N_WORDS : base] = np.maximum(above[N_TAGS + N_WORDS : base] * 0.9, above[: N_TAGS + N_WORDS])
         siblings = blocks[b.parent].children if k else [0]
         nearby = (text[b.parent] - text[k]) / max(1, len(siblings) - 1) if k else 0
-        place = siblings.index(k) if len(siblings) < 64 else 0
         row[base:] = (
             b.depth,
             np.log1p(text[k]),
@@ -241,7 +266,7 @@ def features(page: Page) -> np.ndarray:
             np.log1p(paragraphs[k]),
             len(b.children),
             len(siblings),
-            place / max(1, len(siblings)),
+            b.place / max(1, len(siblings)),
             np.log1p(nearby),
             k / n,
         )

@@ -66,6 +66,42 @@ def test_script_style_and_comments_leave_nothing():
     assert [t for _, t in page.runs] == ["yes"]
 
 
+@pytest.mark.parametrize(
+    "source",
+    [
+        '<p>a<svg class="i"/></p><p>b</p>',
+        "<p>a<svg viewBox='0 0 1 1'><path d='M0'/><title>no</title><g><text>no</text></g></svg></p><p>b</p>",
+        "<p>a</p><noscript><p>b</p>",
+        "<p>a</p><template><svg><p>b</p>",
+        "<div><p>a</p><div><noscript><img src='x'><p>no</p></div><p>b</p></div><noscript>no</noscript>",
+        "<p>a</p><template><div>no<template>no</template>no</div>no</template><p>b</p>",
+        "<p>a</p><svg><path></svg><NOSCRIPT><div>no < no</NoScript><p>b</p>",
+        "<p>a</p><noscript><div/>no</div>no</noscript><p>b</p>",
+        "<p>a</p><svg/><svg><g/>no</svg><p>b</p>",
+    ],
+)
+def test_veiled_elements_hide_only_themselves(source):
+    assert [t for _, t in html_text.parse(f"<body>{source}</body>").runs] == ["a", "b"]
+
+
+def test_text_goes_on_after_a_veiled_element():
+    page = html_text.parse("<p>one <svg><path d='M0'></path></svg>two <template><a>no</a></template>three</p>")
+    assert [(page.blocks[b].tag, t) for b, t in page.runs] == [("p", "one two three")]
+
+
+def test_the_place_among_many_siblings():
+    page = html_text.parse("<article>" + "<p>Text.</p>" * 100 + "</article>")
+    column = 2 * (html_text.N_TAGS + html_text.N_WORDS) + 11
+    assert html_text.features(page)[2:, column].tolist() == pytest.approx([k / 100 for k in range(100)])
+
+
+def test_many_unclosed_elements_take_no_long_time():
+    for tag in ("svg", "noscript", "template"):
+        assert html_text.parse(f"<{tag}>" * 50_000 + "x").runs == [(0, "x")]
+        assert html_text.parse(f"<{tag}>" * 50_000 + f"</{tag}>x").runs == []
+        assert html_text.parse(f"<{tag}>" + "<div>" * 50_000 + f"</i></{tag}>x").runs == [(0, "x")]
+
+
 def test_trees_fit_a_simple_rule():
     import numpy as np
 
