@@ -1,5 +1,6 @@
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -61,6 +62,17 @@ def test_awkward_rows(spark, stage):
     assert corpus_pipeline.STAGES[stage][1](spark, rows.limit(0), DATA).count() == 0
 
 
+def test_different_texts_of_one_id_stay(spark):
+    one, two, three = (" ".join(f"{name}{k}" for k in range(60)) for name in ("red", "green", "blue"))
+    rows = [(7, one, "b"), (7, two, "a"), (7, three, "a"), (7, one, "a"), (3, one + " end", "a"), (9, two + " end", "a"), (11, three, "a"), (None, one, "a"), (12, None, "a"), (12, "", "a")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    wanted = sorted([(3, one + " end", "a"), (7, two, "a"), (7, three, "a"), (None, one, "a"), (12, None, "a"), (12, "", "a")], key=str)
+    assert rows_of(corpus_pipeline.drop_near_duplicates(spark, frame, DATA)) == wanted
+    again = spark.createDataFrame([(1, one, s) for s in "abcdef"], "doc_id long, text string, source string")
+    left = [rows_of(corpus_pipeline.drop_near_duplicates(spark, rows, DATA)) for rows in (again.repartition(5), again.orderBy(F.desc("source")).coalesce(1))]
+    assert left[0] == left[1] and len(left[0]) == 1
+
+
 def test_decontamination_stage_reads_the_benchmark(spark):
     item = table(spark, DATA, "benchmark").first()
     docs = spark.createDataFrame([(1, item.text + " and more words after it"), (2, "clean words only in this one")], "doc_id long, text string")
