@@ -5,7 +5,21 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfwise.llm import ann, bpe, decontaminate, html_text, langid, neardup, pii, quality, token_count, url_filter
+from shelfwise.llm import (
+    ann,
+    bpe,
+    decontaminate,
+    fingerprints,
+    html_text,
+    langid,
+    neardup,
+    pii,
+    quality,
+    token_count,
+    url_filter,
+    vector_codes,
+    whitening,
+)
 from shelfwise.llm.shared import table
 
 
@@ -51,6 +65,18 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_language": op2_language,
@@ -62,10 +88,14 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_neighbours": op9_neighbours,
     "op10_quality": op10_quality,
+    "op11_whitening": op11_whitening,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_fingerprints": op13_fingerprints,
 }
 
 ORACLES: dict[str, str] = {
     "op3_url_filter": url_filter.ORACLE,
     "op7_decontamination": decontaminate.ORACLE,
+    "op12_vector_codes": vector_codes.ORACLE,
 }
 """The others have no SQL form; tests/llm holds them against brute force, the libraries or held-out labels."""

@@ -126,11 +126,11 @@ def output(names: list[str], arrays: list, schema: T.StructType) -> pa.RecordBat
 _WORD = np.zeros(256, dtype=bool)
 _WORD[[*range(48, 58), *range(65, 91), *range(97, 123), 95]] = True
 _WORD[128:] = True
-_MULT = 0x9E3779B97F4A7C15
-_INVERSE = pow(_MULT, -1, 1 << 64)
+MULT = 0x9E3779B97F4A7C15
+INVERSE = pow(MULT, -1, 1 << 64)
 
 
-def _powers(base: int, n: int) -> np.ndarray:
+def powers(base: int, n: int) -> np.ndarray:
     """base**0 .. base**(n-1) modulo 2**64, by doubling."""
     out = np.ones(max(n, 1), dtype=np.uint64)
     filled, step = 1, base
@@ -163,9 +163,9 @@ def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     starts, ends = edges[0::2], edges[1::2]
     sums = np.empty(len(data) + 1, dtype=np.uint64)
     sums[0] = 0
-    powers = _powers(_MULT, len(data))
+    powers = powers(MULT, len(data))
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers, out=sums[1:])
-    hashes = mixed((sums[ends] - sums[starts]) * _powers(_INVERSE, len(data))[starts] + (ends - starts).astype(np.uint64))
+    hashes = mixed((sums[ends] - sums[starts]) * powers(INVERSE, len(data))[starts] + (ends - starts).astype(np.uint64))
     lengths = np.fromiter(map(len, coded), dtype=np.int64, count=len(coded)) + 1
     owner = np.searchsorted(np.cumsum(lengths), starts, side="right")
     bare = np.flatnonzero(np.bincount(owner, minlength=len(texts)) == 0)
