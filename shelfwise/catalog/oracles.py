@@ -376,20 +376,51 @@ ORACLES: dict[str, str] = {
     "sink_replace": ctes(EVENTS, "cost") + f"SELECT {_COST_COLUMNS} FROM cost",
     "sink_append": ctes(EVENTS, "cost") + f"SELECT {DAY}, sale_quantity FROM cost",
     "publish_swap": ctes(EVENTS, "inventory") + f"SELECT {DAY}, quantity FROM inventory",
-    "mirror_table": ctes(EVENTS, "cost", "inventory") + f"SELECT {DAY} FROM cost UNION ALL SELECT {DAY} FROM inventory",
-    "upsert_daily_retention": ctes(LINEITEM, "cost", "inventory")
-    + f""", fresh AS (SELECT {DAY}, quantity FROM inventory WHERE date = DATE '2001-06-30')
-      SELECT {DAY}, sale_quantity FROM cost WHERE date > DATE '2001-06-30' - 84
-        AND NOT (date = DATE '2001-06-30' AND cmid IN (SELECT cmid FROM fresh))
+    "mirror_table": ctes(EVENTS, "cost", "inventory")
+    + f"SELECT {DAY}, CAST(NULL AS bigint) AS quantity FROM cost UNION ALL SELECT {DAY}, quantity FROM inventory",
+    "upsert_daily_retention": ctes(EVENTS, "cost", "inventory")
+    + f""", fresh AS (SELECT {DAY}, quantity FROM inventory WHERE date = DATE '2024-01-28')
+      SELECT {DAY}, sale_quantity FROM cost WHERE date > DATE '2024-01-28' - 14
+        AND NOT (date = DATE '2024-01-28' AND cmid IN (SELECT cmid FROM fresh))
       UNION ALL SELECT * FROM fresh""",
-    "upsert_daily_emptied": ctes(LINEITEM, "cost", "inventory")
-    + f""", fresh AS (SELECT {DAY}, quantity FROM inventory WHERE date = DATE '2001-06-30')
-      SELECT {DAY}, sale_quantity FROM cost WHERE date > DATE '2001-06-30' - 84
-        AND NOT (date = DATE '2001-06-30' AND cmid IN (SELECT cmid FROM fresh))
+    "upsert_daily_emptied": ctes(EVENTS, "cost", "inventory")
+    + f""", fresh AS (SELECT {DAY}, quantity FROM inventory WHERE date = DATE '2024-01-28')
+      SELECT {DAY}, sale_quantity FROM cost WHERE date > DATE '2024-01-28' - 14
+        AND NOT (date = DATE '2024-01-28' AND cmid IN (SELECT cmid FROM fresh))
       UNION ALL SELECT * FROM fresh WHERE cmid = 43""",
-    "upsert_partition": ctes(LINEITEM, "cost", "inventory")
-    + f""", fresh AS (SELECT {DAY}, quantity FROM inventory WHERE date >= DATE '2001-06-30')
+    "upsert_partition": ctes(EVENTS, "cost", "inventory")
+    + f""", fresh AS (SELECT {DAY}, quantity FROM inventory WHERE date >= DATE '2024-01-21')
       SELECT {DAY}, sale_quantity FROM cost WHERE (cmid, date) NOT IN (SELECT cmid, date FROM fresh) UNION ALL SELECT * FROM fresh""",
+    "upsert_days_emptied": ctes(EVENTS, "cost", "inventory")
+    + f"""SELECT {DAY}, sale_quantity FROM cost WHERE date NOT BETWEEN DATE '2024-01-10' AND DATE '2024-01-20'
+      UNION ALL SELECT {DAY}, quantity FROM inventory WHERE date BETWEEN DATE '2024-01-10' AND DATE '2024-01-20'
+        AND (cmid = 43 OR day(date) % 2 = 0)""",
+    # maintained tables
+    "scan_new_objects": ctes(EVENTS, "cost") + "SELECT foreign_store_id, foreign_item_id, sale_quantity, cmid, date FROM cost",
+    "load_quarantine": ctes(EVENTS, "cost")
+    + f"""SELECT {DAY}, CAST(sale_quantity AS double) AS sale_quantity, CAST(NULL AS varchar) AS rejected, CAST(NULL AS varchar) AS reasons
+      FROM cost WHERE sale_quantity % 7 > 1
+      UNION ALL SELECT {DAY}, NULL, concat(CAST(sale_quantity AS varchar), CASE WHEN sale_quantity % 7 = 0 THEN 'O' ELSE '.123456' END),
+        CASE WHEN sale_quantity % 7 = 0 THEN 'type:sale_quantity' ELSE 'rounded:sale_quantity' END FROM cost WHERE sale_quantity % 7 <= 1""",
+    "delivery_state_days": ctes(LINEITEM, "delivery")
+    + f"SELECT cmid, foreign_store_id, max(delivery_date) AS delivery_date FROM delivery WHERE {_CENTRAL} GROUP BY 1, 2",
+    "delivery_state_items": ctes(LINEITEM, "delivery")
+    + f"""SELECT {PAIR}, delivery_date, CAST(sum(delivery_qty) AS bigint) AS delivery_qty FROM delivery f WHERE {_CENTRAL}
+      AND delivery_date = (SELECT max(delivery_date) FROM delivery m WHERE m.cmid = f.cmid AND m.foreign_store_id = f.foreign_store_id AND m.{_CENTRAL})
+      GROUP BY {PAIR}, delivery_date""",
+    "presence_state_psd": _psd(EVENTS, E_AS_OF, 28),
+    "presence_state_sales": ctes(EVENTS, "cost")
+    + f"""SELECT {PAIR}, count(DISTINCT date) AS sale_days_60, count(DISTINCT CASE WHEN {_window(E_AS_OF, 28)} THEN date END) AS sale_days_28,
+        CAST(max(CASE WHEN date = DATE '{E_AS_OF}' THEN sale_quantity END) AS double) AS sold_today,
+        CAST(coalesce(sum(CASE WHEN {_window(E_AS_OF, 7)} THEN total_sale END), 0) AS double) AS sale_7,
+        CAST(coalesce(sum(CASE WHEN {_window(E_AS_OF, 7)} THEN sale_quantity END), 0) AS double) AS quantity_7,
+        DATE '{E_AS_OF}' AS date FROM cost WHERE {_window(E_AS_OF, 60)} GROUP BY {PAIR}""",
+    "asof_unmatched": ctes(EVENTS, "inventory")
+    + """, s AS (SELECT cmid, CASE WHEN cmid = 85 THEN date - 1 ELSE date END AS date FROM inventory
+        UNION ALL SELECT 99, date - 3 FROM inventory WHERE cmid = 43),
+      a AS (SELECT DISTINCT cmid FROM s UNION SELECT 7),
+      d AS (SELECT a.cmid, max(s.date) AS date FROM a LEFT JOIN s ON s.cmid = a.cmid AND s.date BETWEEN DATE '2024-01-30' AND DATE '2024-01-31' GROUP BY 1)
+      SELECT d.cmid, d.date, c.n_rows FROM d LEFT JOIN (SELECT cmid, date, count(*) AS n_rows FROM s GROUP BY 1, 2) c ON c.cmid = d.cmid AND c.date = d.date""",
     # presence, velocity, product information
     "full_sku": ctes(EVENTS, "cost", "inventory")
     + _joined("2024-01-31", 40)
@@ -602,3 +633,8 @@ ORACLES: dict[str, str] = {
     + f"""SELECT {DAY}, mfu, CASE WHEN date IS NULL THEN NULL ELSE opening_stock END AS opening_stock FROM prepared
       WHERE date IS NULL OR opening_stock IS NULL OR mfu IS NULL OR mfu = 0""",
 }
+ORACLES |= {
+    "week_bitmaps": ORACLES["week_store_info"],
+    "week_bitmaps_df": ORACLES["week_store_info_df"],
+    "replenish_bucketed": ORACLES["replenish_history"],
+}

@@ -14,8 +14,11 @@ from shelfwise.keys import DAY, ITEM, PAIR, STORE
 from shelfwise.operators import (
     actual_sale,
     assortment,
+    delivery_state,
     dimensions,
+    item_bitmaps,
     presence,
+    presence_state,
     product_info,
     psd,
     replenish,
@@ -25,8 +28,10 @@ from shelfwise.operators import (
     trial,
     weekly,
 )
+from shelfwise.sinks import days as day_tables
+from shelfwise.sinks import mirror
 from shelfwise.sinks import tables as sinks
-from shelfwise.sources import files, layouts, scratch, tables
+from shelfwise.sources import files, layouts, ledger, quarantine, scratch, tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -75,7 +80,7 @@ def _write_days(df: DataFrame, layout: dict[int, tuple[str, str]], table: str, r
         "source_id": codes.source_id(F.col("cmid")),
         "table": F.lit(table),
     }
-    sinks.write_csv_days(df.select(*cells, *[c.alias(n) for n, c in parts.items()]), root, list(parts), header=False)
+    day_tables.write_csv_days(df.select(*cells, *[c.alias(n) for n, c in parts.items()]), root, list(parts), header=False)
 
 
 def _per_source(read: Callable[[str], DataFrame]) -> DataFrame:
@@ -160,7 +165,7 @@ DATED_COST = "foreign_store_id string, foreign_item_id string, sale_quantity big
 
 def _dated_files(data: Data) -> str:
     root = data.path("dated")
-    sinks.write_csv_days(data.e("cost").select("cmid", "date", *DATED_COST.replace(",", "").split()[::2]), root)
+    day_tables.write_csv_days(data.e("cost").select("cmid", "date", *DATED_COST.replace(",", "").split()[::2]), root)
     return root
 
 
@@ -262,7 +267,7 @@ def _table_name(name: str) -> str:
 def sink_roundtrip_csv(data: Data) -> DataFrame:
     path = data.path("csv_days")
     cost = data.e("cost").select(*DAY, "sale_quantity")
-    sinks.write_csv_days(cost, path)
+    day_tables.write_csv_days(cost, path)
     return data.spark.read.schema(cost.schema).option("header", True).csv(path)
 
 
@@ -296,39 +301,215 @@ def publish_swap(data: Data) -> DataFrame:
     return data.spark.table(table)
 
 
+def _day_table(data: Data, name: str, schema: str, *rows: DataFrame) -> str:
+    """A new daily table with the rows of some loads."""
+    table = _table_name(name)
+    day_tables.create(data.spark, table, schema, data.path(name))
+    for load in rows:
+        day_tables.replace(load, table)
+    return table
+
+
+DAY_KEY = "cmid int, foreign_store_id string, foreign_item_id string, date date"
+SOLD = f"{DAY_KEY}, sale_quantity bigint"
+
+
 @query
 def mirror_table(data: Data) -> DataFrame:
-    names = {_table_name("org"): data.e("cost").select(*DAY), _table_name("org"): data.e("inventory").select(*DAY)}
-    for name, df in names.items():
-        sinks.replace_table(df, name, path=data.path("org"))
-    sinks.mirror_tables(
-        data.spark, list(names), lambda df, name: sinks.publish_swap(df, f"{name}_mirror")
-    )
-    return dimensions.concat_by_name(*[data.spark.table(f"{name}_mirror") for name in names])
+    """Two tables with their own schemas; the copies were older, so some days differ, some are missing and some are too many."""
+    cost, stock = data.e("cost").select(*DAY), data.e("inventory").select(*DAY, "quantity")
+    pairs = {}
+    for df, schema in ((cost, DAY_KEY), (stock, f"{DAY_KEY}, quantity bigint")):
+        old = df.filter(F.dayofmonth("date") % 3 != 0).withColumn("foreign_item_id", F.when(F.dayofmonth("date") % 5 == 0, "old").otherwise(F.col("foreign_item_id")))
+        gone = df.withColumn("date", F.date_sub("date", 400)).filter(F.dayofmonth("date") == 1)
+        source, target = _day_table(data, "org", schema, df), _table_name("copy")
+        root = data.path("copy")
+        day_tables.create(data.spark, target, schema, root)
+        day_tables.replace(old.unionByName(gone), target)
+        pairs[source] = (target, root)
+    mirror.mirror_tables(data.spark, pairs)
+    return dimensions.concat_by_name(*[data.spark.table(target) for target, _ in pairs.values()])
+
+
+def _stock_from(data: Data, first: str, last: str | None = None) -> DataFrame:
+    """Stock as new sales, from a day on."""
+    new = data.e("inventory").filter(F.col("date") >= F.lit(first).cast("date"))
+    new = new if last is None else new.filter(F.col("date") <= F.lit(last).cast("date"))
+    return new.select(*DAY, F.col("quantity").alias("sale_quantity"))
 
 
 @query
 def upsert_daily_retention(data: Data) -> DataFrame:
-    existing = data.l("cost").select(*DAY, "sale_quantity")
-    new = data.l("inventory").filter(F.col("date") == F.lit("2001-06-30").cast("date"))
-    return sinks.daily_upsert(existing, new.select(*DAY, F.col("quantity").alias("sale_quantity")), "2001-06-30")
+    table = _day_table(data, "daily", SOLD, data.e("cost").select(*DAY, "sale_quantity"))
+    new = _stock_from(data, "2024-01-28", "2024-01-28")
+    day_tables.write_daily(new, table, "2024-01-28", new, retention_days=14)
+    return data.spark.table(table)
 
 
 @query
 def upsert_daily_emptied(data: Data) -> DataFrame:
     """Both tenants are loaded, but only one of them has rows for the day."""
-    existing = data.l("cost").select(*DAY, "sale_quantity")
-    read = data.l("inventory").filter(F.col("date") == F.lit("2001-06-30").cast("date"))
-    new = read.filter(F.col("cmid") == 43).select(*DAY, F.col("quantity").alias("sale_quantity"))
-    return sinks.daily_upsert(existing, new, "2001-06-30", loaded=read)
+    table = _day_table(data, "daily", SOLD, data.e("cost").select(*DAY, "sale_quantity"))
+    read = _stock_from(data, "2024-01-28", "2024-01-28")
+    day_tables.write_daily(read.filter(F.col("cmid") == 43), table, "2024-01-28", read, retention_days=14)
+    return data.spark.table(table)
 
 
 @query
 def upsert_partition(data: Data) -> DataFrame:
-    new = data.l("inventory").filter(F.col("date") >= F.lit("2001-06-30").cast("date"))
-    return sinks.replaced_partitions(
-        data.l("cost").select(*DAY, "sale_quantity"), new.select(*DAY, F.col("quantity").alias("sale_quantity"))
-    )
+    return data.spark.table(_day_table(data, "partitions", SOLD, data.e("cost").select(*DAY, "sale_quantity"), _stock_from(data, "2024-01-21")))
+
+
+@query
+def upsert_days_emptied(data: Data) -> DataFrame:
+    """A range of days is loaded again for both tenants, one of which has rows on even days only."""
+    table = _day_table(data, "range", SOLD, data.e("cost").select(*DAY, "sale_quantity"))
+    some = (F.col("cmid") == 43) | (F.dayofmonth("date") % 2 == 0)
+    new = data.e("inventory").filter(F.col("date").between(F.lit("2024-01-10").cast("date"), F.lit("2024-01-20").cast("date")) & some)
+    asked = day_tables.days_of(data.e("inventory"), "2024-01-10", "2024-01-20")
+    day_tables.replace(new.select(*DAY, F.col("quantity").alias("sale_quantity")), table, asked)
+    return data.spark.table(table)
+
+
+# --- maintained tables -----------------------------------------------------------------
+
+
+def _iso(*days: int) -> list[str]:
+    return [f"2024-01-{day:02d}" for day in days]
+
+
+@query
+def scan_new_objects(data: Data) -> DataFrame:
+    """Day files loaded by ledger in three runs: the first half, a second half with a replaced day, and nothing new."""
+    cost = data.e("cost").select("cmid", "date", *DATED_COST.replace(",", "").split()[::2])
+    root, folder = data.path("objects"), data.path("ledger")
+    names = _table_name("rows"), _table_name("ledger")
+    read = ledger.reader(data.spark, DATED_COST)
+    late = F.dayofmonth("date")
+    wrong = cost.withColumn("foreign_item_id", F.when(late == 9, "wrong").otherwise(F.col("foreign_item_id")))
+    for objects in (wrong.filter(late <= 15), cost.filter((late > 15) | (late == 9)), None):
+        if objects is not None:
+            day_tables.write_csv_days(objects, root)
+        ledger.load_new(data.spark, root, read, *names, folder, f"{DATED_COST}, cmid int, date date", "*.gz")
+    return data.spark.table(names[0])
+
+
+@query
+def load_quarantine(data: Data) -> DataFrame:
+    """Accepted rows of sales files and rejected ones with their reasons, in two loads of which the second replaces the first."""
+    odd = F.col("sale_quantity") % 7
+    text = F.col("sale_quantity").cast("string")
+    table, folder = _table_name("quarantine"), data.path("quarantine")
+    for broken in (F.lit("none is good"), F.when(odd == 0, F.concat(text, F.lit("O"))).when(odd == 1, F.concat(text, F.lit(".123456"))).otherwise(text)):
+        root = data.path("cost")
+        _write_days(data.e("cost").withColumn("sale_quantity", broken), layouts.COST, "cost", root)
+        raw = files.read_raw_days(data.spark, root, _all_days(data.e("cost")), [codes.source_id_text(cmid) for cmid in TENANTS], "cost", files.HIVE_DAY_LAYOUT)
+        load = quarantine.sorted_out(raw, layouts.COST, "cost")
+        quarantine.store(data.spark, load.rejected, table, folder, "cost", E_AS_OF)
+    cell = F.from_json("cells", "cmid string, foreign_store_id string, foreign_item_id string, date string, sale_quantity string")
+    bad = data.spark.table(table).select(cell.alias("cell"), F.array_join("reasons", ",").alias("reasons"))
+    bad = bad.select(F.col("cell.cmid").cast("int").alias("cmid"), "cell.foreign_store_id", "cell.foreign_item_id", F.to_date("cell.date").alias("date"), F.col("cell.sale_quantity").alias("rejected"), "reasons")
+    good = _as_doubles(load.accepted.select(*DAY, "sale_quantity"), "sale_quantity")
+    return dimensions.concat_by_name(good, bad)
+
+
+def _early_deliveries(data: Data) -> DataFrame:
+    """The deliveries as they were known before late, corrected and deleted days came: some days are missing, on some all
+    stores of a tenant are, and one day is there that was deleted later."""
+    rows, number = data.l("delivery"), F.dayofyear("delivery_date")
+    known = rows.filter((number % 9 != 0) & ~((number % 7 == 0) & (F.col("cmid") == 43)))
+    deleted = rows.filter(number == 5).withColumn("delivery_date", F.lit("2002-02-02").cast("date"))
+    return known.unionByName(deleted)
+
+
+def _corrected_days(data: Data) -> list[str]:
+    number = F.dayofyear("delivery_date")
+    days = data.l("delivery").filter((number % 9 == 0) | (number % 7 == 0)).select("delivery_date").distinct().orderBy("delivery_date").collect()
+    return [row.delivery_date.isoformat() for row in days] + ["2002-02-02"]
+
+
+def _delivery_states(data: Data) -> tuple[DataFrame, DataFrame]:
+    """Delivery days and items before the corrections, and the delivery days after them."""
+    early = _early_deliveries(data)
+    before = scratch.settle(delivery_state.rebuilt(early), "delivery_state")
+    after = scratch.settle(delivery_state.merged(before, data.l("delivery"), _corrected_days(data)), "delivery_state")
+    return scratch.settle(delivery_state.latest_items(early, before), "delivery_items"), after
+
+
+@query
+def delivery_state_days(data: Data) -> DataFrame:
+    """Last delivery per store from a state that corrected days were merged into."""
+    return delivery_state.last_days(_delivery_states(data)[1])
+
+
+@query
+def delivery_state_items(data: Data) -> DataFrame:
+    """Items of the last delivery, refreshed for the stores that the corrected days moved."""
+    items, after = _delivery_states(data)
+    return delivery_state.refreshed_items(items, after, data.l("delivery"), _corrected_days(data))
+
+
+def _presence(data: Data) -> DataFrame:
+    """The state of the 20th, moved day by day to the 30th; two days come late and one was wrong at first."""
+    cost, stock = data.e("cost"), data.e("inventory")
+    late = F.dayofmonth("date")
+
+    def early(df: DataFrame) -> DataFrame:
+        return df.filter(~late.isin(13, 17)).withColumn("foreign_item_id", F.when(late == 8, "wrong").otherwise(F.col("foreign_item_id")))
+
+    wrong = early(cost).groupBy(*DAY).agg(F.max("sale_quantity").alias("sale_quantity"), F.max("total_sale").alias("total_sale"), F.max("total_cost").alias("total_cost"))
+    held = early(stock).groupBy(*DAY).agg(F.max("quantity").alias("quantity"))
+    state = scratch.settle(presence_state.rebuilt(wrong, held, "2024-01-20"), "presence")
+    for loaded, day in ((_iso(21, 22, 13), "2024-01-22"), (_iso(*range(23, 30), 8), "2024-01-29"), (_iso(30, 17), E_AS_OF)):
+        state = scratch.settle(presence_state.merged(state, cost, stock, loaded, day), "presence")
+    return state
+
+
+@query
+def presence_state_psd(data: Data) -> DataFrame:
+    return presence_state.psd(_presence(data), psd.active_goods(data.e("goods")))
+
+
+@query
+def presence_state_sales(data: Data) -> DataFrame:
+    return _as_doubles(presence_state.sale_history(_presence(data)), "sold_today", "sale_7", "quantity_7")
+
+
+@query
+def asof_unmatched(data: Data) -> DataFrame:
+    """Snapshot day and rows of four tenants: one has the day, one the day before, one only an older one, one nothing."""
+    stock = data.e("inventory").select(*PAIR, "date")
+    old = stock.filter(F.col("cmid") == 43).select(F.lit(99).alias("cmid"), *PAIR[1:], F.date_sub("date", 3).alias("date"))
+    late = F.when(F.col("cmid") == 85, F.date_sub("date", 1)).otherwise(F.col("date"))
+    snapshots = stock.withColumn("date", late).unionByName(old)
+    asked = dimensions.concat_by_name(stock.select("cmid"), old.select("cmid"), stock.select((F.col("cmid") * 0 + 7).alias("cmid"))).distinct()
+    days = stockout.asof_days(asked, snapshots, "2024-01-31")
+    counted = snapshots.groupBy("cmid", "date").agg(F.count(F.lit(1)).alias("n_rows"))
+    return days.join(counted, ["cmid", "date"], "left")
+
+
+def _item_maps(data: Data, column: str, count_null: bool) -> DataFrame:
+    """Bitmaps of all days, made in two runs: the second has new days with new items and loads some days again."""
+    rows, number = data.l("product_rows"), F.dayofyear("date")
+    first = rows.filter((number % 3 != 0) & (F.length(column) < 5))
+    again = rows.filter((number % 3 == 0) | (F.length(column) >= 5)).select("cmid", "date").distinct()
+    second = rows.join(again, ["cmid", "date"], "left_semi")
+    numbers = scratch.settle(item_bitmaps.numbered(item_bitmaps.no_numbers(data.spark), first, column, count_null), "numbers")
+    kept = item_bitmaps.day_maps(first, numbers, column, count_null).join(again, ["cmid", "date"], "left_anti")
+    more = scratch.settle(item_bitmaps.numbered(numbers, second, column, count_null), "numbers")
+    return kept.unionByName(item_bitmaps.day_maps(second, more, column, count_null))
+
+
+@query
+def week_bitmaps(data: Data) -> DataFrame:
+    lost = item_bitmaps.week_items(_item_maps(data, "foreign_item_id", False))
+    return weekly.week_store_info(data.l("store_info"), data.l("product_rows"), lost)
+
+
+@query
+def week_bitmaps_df(data: Data) -> DataFrame:
+    lost = item_bitmaps.week_items(_item_maps(data, "item_show_code", True), "monday", STORE)
+    return weekly.week_store_info_df(data.l("store_info"), data.l("product_rows"), data.l("stores"), "2001-06-28", lost)
 
 
 # --- presence, velocity, product information -------------------------------------------
@@ -835,3 +1016,19 @@ def replenish_repeated_stock(data: Data) -> DataFrame:
 @query
 def replenish_rejects(data: Data) -> DataFrame:
     return replenish.replenish_rejects(_prepared(data)).select(*DAY, "mfu", "opening_stock")
+
+
+@query
+def replenish_bucketed(data: Data) -> DataFrame:
+    """The history over products and series that lie in the same buckets."""
+    return replenish.replenish_history(_bucketed(data))
+
+
+def _bucketed(data: Data) -> DataFrame:
+    series = actual_sale.unique_daily_series(data.e("cost"), data.e("inventory"), E_AS_OF)
+    buckets = int(data.spark.conf.get("spark.sql.shuffle.partitions"))
+    names = _table_name("series"), _table_name("products")
+    for name, df in zip(names, (series, data.e("products")), strict=True):
+        sinks.replace_bucketed(df, name, buckets, PAIR)
+    cycles = data.e("cycles").select(*STORE, codes.cycle_code(F.col("dly_cycle")).alias("period_type_num"))
+    return replenish.replenish_input(data.spark.table(names[1]), data.e("packs").select(*ITEM, "mfu"), cycles, data.spark.table(names[0]))

@@ -54,10 +54,10 @@ def psd(
     activity = pair_activity(cost, inventory, as_of, window_days, presence, unique_days)
     if stores is not None:
         activity = activity.join(stores.select(*STORE), STORE, "left_semi")
-    return _velocity(activity.withColumn("date", as_date(as_of)), goods, null_keys, show_codes)
+    return velocity(activity.withColumn("date", as_date(as_of)), goods, null_keys, show_codes)
 
 
-def _velocity(activity: DataFrame, goods: DataFrame, null_keys: str, show_codes: Sequence[str] | None) -> DataFrame:
+def velocity(activity: DataFrame, goods: DataFrame, null_keys: str, show_codes: Sequence[str] | None) -> DataFrame:
     """Days and totals per store item and `date`, priced by their goods."""
     joined = activity.join(goods_variants(goods, "show_code"), ITEM, "left")
     if show_codes is not None:
@@ -109,7 +109,7 @@ def psd_days(
     recent = Window.partitionBy(*PAIR).orderBy(F.unix_date("date")).rangeBetween(1 - window_days, 0)
     sums = [F.sum(name).over(recent).alias(name) for name in ("days", "total_sale", "n_facts")]
     rolled = daily.select(*PAIR, "date", *sums).filter((F.col("date") >= as_date(first)) & (F.col("n_facts") > 0))
-    return _velocity(rolled, goods, null_keys, None)
+    return velocity(rolled, goods, null_keys, None)
 
 
 def psd_inventory_driven(

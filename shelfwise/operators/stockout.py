@@ -98,19 +98,33 @@ def asof_store_snapshot(snapshots: DataFrame, as_of) -> DataFrame:
     return today.unionByName(yesterday.join(today.select("cmid").distinct(), "cmid", "left_anti"))
 
 
-def reference_dates(delivery: DataFrame, suggestions: DataFrame, stores: DataFrame) -> DataFrame:
+def asof_days(asked: DataFrame, snapshots: DataFrame, as_of, tolerance: int = 1) -> DataFrame:
+    """(cmid, date): the newest snapshot day of every `asked` tenant within `tolerance` days before `as_of`, null without one.
+
+    Asked tenants and snapshot days are stacked and aggregated together, so the unmatched side comes out of the same
+    pass: a load leaves these tenants alone instead of taking no snapshot for no stores.
+    """
+    end = as_date(as_of)
+    recent = snapshots.filter(F.col("date").between(F.date_sub(end, tolerance), end)).select("cmid", "date", F.lit(False).alias("asked"))
+    wanted = asked.select("cmid", F.lit(None).cast("date").alias("date"), F.lit(True).alias("asked"))
+    return wanted.unionByName(recent).groupBy("cmid").agg(F.max("date").alias("date"), F.max("asked").alias("asked")).filter("asked").select("cmid", "date")
+
+
+def reference_dates(delivery: DataFrame, suggestions: DataFrame, stores: DataFrame, last: DataFrame | None = None) -> DataFrame:
     """Delivery, order and suggestion day of each store beside its name and property.
 
     The order day is the day before the last central delivery. The suggestion day is the
     order day if the store has any suggestion on it, else the day before: the fallback is
     taken for the whole day, never item by item.
 
-    One row per store, stores without a delivery included. The delivery history is read
-    once, its last days are written, and they bound the days of the suggestions that are
+    One row per store, stores without a delivery included. `last` has the newest central delivery
+    day of every store, from `delivery_state.last_days`; without it the delivery history is read
+    once. The last days are written, and they bound the days of the suggestions that are
     read. The report joins the result to large facts, so write it as a table and pass the table: its size is then known, a small one
     is broadcast, and with a large one a hot store can still be split.
     """
-    dates = settle(last_delivery_date(delivery).withColumn("require_date", F.date_sub("delivery_date", 1)), "last_delivery")
+    newest = last_delivery_date(delivery) if last is None else last.select(*STORE, "delivery_date")
+    dates = settle(newest.withColumn("require_date", F.date_sub("delivery_date", 1)), "last_delivery")
     suggested = (
         Days.of(dates, require=F.col("require_date"))
         .within(suggestions, "require")
@@ -135,27 +149,32 @@ def reference_dates(delivery: DataFrame, suggestions: DataFrame, stores: DataFra
     )
 
 
+MOST_NAMED_DAYS = 400
+
+
 @dataclass(frozen=True)
 class Days:
-    """Reference days per store, and the earliest and latest of each kind over all stores.
+    """Reference days per store, and the different days of each kind over all stores.
 
-    The bounds come from one read of a written table. As plain dates in the filters they skip the
-    other date partitions of a long history, whatever the joins turn into.
+    The different days (of the calendar, so they are few) come from one read of a written table. As plain dates in
+    the filters they skip the other date partitions of a long history, whatever the joins turn into: each by itself,
+    or beyond `MOST_NAMED_DAYS` all between the earliest and the latest.
     """
 
     dates: DataFrame
-    bounds: dict[str, tuple[dt.date | None, dt.date | None]]
+    named: dict[str, list[dt.date]]
 
     @classmethod
     def of(cls, dates: DataFrame, **days: Column) -> Days:
-        low, high = ([f(day).alias(f"{f.__name__}_{name}") for name, day in days.items()] for f in (F.min, F.max))
-        row = dates.agg(*low, *high).first()
-        return cls(dates.select(*STORE, *[day.alias(name) for name, day in days.items()]), {name: (row[f"min_{name}"], row[f"max_{name}"]) for name in days})
+        row = dates.agg(*[F.sort_array(F.collect_set(day)).alias(name) for name, day in days.items()]).first()
+        return cls(dates.select(*STORE, *[day.alias(name) for name, day in days.items()]), {name: row[name] for name in days})
 
     def within(self, table: DataFrame, name: str, column: str = "date") -> DataFrame:
-        """Rows between the earliest and the latest day of that kind."""
-        first, last = (F.lit(day).cast("date") for day in self.bounds[name])
-        return table.filter(F.col(column).between(first, last))
+        """Rows of the days of that kind, or between the earliest and the latest of very many."""
+        named = self.named[name]
+        first, last = (F.lit(day).cast("date") for day in ((named[0], named[-1]) if named else (None, None)))
+        inside = F.col(column).between(first, last)
+        return table.filter(inside & F.col(column).isin(named) if 0 < len(named) <= MOST_NAMED_DAYS else inside)
 
     def on(self, table: DataFrame, name: str, column: str = "date") -> DataFrame:
         """Rows that fall on the store's own day of that kind."""
@@ -214,23 +233,36 @@ def _cause_sources(
 
 
 def _history_sources(
-    cost: DataFrame, inventory: DataFrame, aa_sku: DataFrame, days: Days, as_of
+    sales: DataFrame, inventory: DataFrame, aa_sku: DataFrame, days: Days
 ) -> list[DataFrame]:
-    date = F.col("date")
-    last_week = rolling(date, as_of, 7)
     return [
         aa_sku.select(*PAIR, F.lit(True).alias("aa")),
         _measure(days.on(inventory, "order_stock"), "quantity", "order_stock"),
-        cost_60d(cost, as_of).select(
-            *PAIR,
-            date.alias("sale_date"),
-            F.when(date == as_date(as_of), F.col("sale_quantity")).cast(MONEY).alias("sold_today"),
-            F.when(last_week, F.col("total_sale")).cast(MONEY).alias("sale_7"),
-            F.when(last_week, F.col("sale_quantity")).cast(MONEY).alias("quantity_7"),
-        ),
+        sales,
     ]
 
 
+def _sold(cost: DataFrame, as_of) -> tuple[DataFrame, dict[str, Column]]:
+    """The rows of the last 60 days, and how the sale days of an item are counted from them."""
+    date = F.col("date")
+    last_week = rolling(date, as_of, 7)
+    rows = cost_60d(cost, as_of).select(
+        *PAIR,
+        date.alias("sale_date"),
+        F.when(date == as_date(as_of), F.col("sale_quantity")).cast(MONEY).alias("sold_today"),
+        F.when(last_week, F.col("total_sale")).cast(MONEY).alias("sale_7"),
+        F.when(last_week, F.col("sale_quantity")).cast(MONEY).alias("quantity_7"),
+    )
+    sale_date = F.col("sale_date")
+    return rows, {f"sale_days_{n}": count_bits(day_words(sale_date, sale_date.isNotNull(), as_of, n)) for n in (60, 28)}
+
+
+def _sold_before(sale_history: DataFrame) -> tuple[DataFrame, dict[str, Column]]:
+    """The same from the maintained row of each item."""
+    counts = {name: F.coalesce(F.max(name), F.lit(0).cast("bigint")) for name in ("sale_days_60", "sale_days_28")}
+    return sale_history.select(*PAIR, *counts, *[F.col(name).cast(MONEY).alias(name) for name in ("sold_today", "sale_7", "quantity_7")]), counts
+
+
 def _causes() -> list[Column]:
     return [
         F.max("listed").alias("listed"),
@@ -329,23 +361,24 @@ def stockout_detail(
     as_of,
     statuses: Statuses,
     wanted_stores: DataFrame | None = None,
+    sale_history: DataFrame | None = None,
 ) -> DataFrame:
     """One row per empty store item.
 
-    Where a lookup could meet several rows of an item, the largest value is taken, so the
+    The sale days come from 60 days of `cost`, or from `sale_history`, which `presence_state.sale_history` gives
+    for the same day. Where a lookup could meet several rows of an item, the largest value is taken, so the
     result does not depend on file order (T13).
     """
     days = _report_days(dates)
     sources = _cause_sources(inventory, cm_sku, delivery, suggestions, require_orders, days, as_of, statuses)
-    sources += _history_sources(cost, inventory, aa_sku, days, as_of)
-    sale_date = F.col("sale_date")
-    sold = {n: day_words(sale_date, sale_date.isNotNull(), as_of, n) for n in (60, 28)}
+    sales, sale_days = _sold(cost, as_of) if sale_history is None else _sold_before(sale_history)
+    sources += _history_sources(sales, inventory, aa_sku, days)
     items = _per_item(
         sources,
         *_causes(),
         F.max("aa").alias("aa"),
         F.max("order_stock").alias("order_stock"),
-        *[word.alias(f"sale_days_{n}_{k}") for n, words in sold.items() for k, word in enumerate(words)],
+        *[count.alias(name) for name, count in sale_days.items()],
         F.max("sold_today").alias("sold_today"),
         F.sum("sale_7").alias("sale_7"),
         F.sum("quantity_7").alias("quantity_7"),
@@ -376,7 +409,7 @@ def stockout_detail(
             F.col("goods.item_name").alias("item_name"),
             amount("stock").alias("actual_stock"),
             amount("order_stock").alias("order_stock"),
-            *[count_bits([F.col(f"sale_days_{n}_{k}") for k in range(len(words))]).alias(f"sale_days_{n}") for n, words in sold.items()],
+            *sale_days,
             _advised_quantity("suggested").cast("double").alias("cm_suggest"),
             _advised_quantity("ordered").cast("double").alias("store_book"),
             amount("delivered").alias("inv_delivery"),

@@ -43,16 +43,16 @@ def week_reasons(product_info: DataFrame, classes: int = 4, ordered: bool = True
     return result.orderBy("date", *STORE) if ordered else result
 
 
-def week_store_info(store_info: DataFrame, product_info: DataFrame) -> DataFrame:
+def week_store_info(store_info: DataFrame, product_info: DataFrame, lost: DataFrame | None = None) -> DataFrame:
     """Weekly stock-out rate per store, named by Sunday (C17).
 
-    Stores without a lost item keep a NULL count and a NULL show code.
+    Stores without a lost item keep a NULL count and a NULL show code. `lost` has the distinct items of each week,
+    from `item_bitmaps.week_items`; without it they are counted from `product_info`.
     """
     week = week_anchor(F.col("date"), "sunday").alias("week")
     whole = store_info.groupBy(*STORE, "store_name", week).agg(F.max("all_sku").alias("all_sku"))
-    lost = product_info.groupBy(*STORE, "store_show_code", week).agg(
-        F.count_distinct("foreign_item_id").alias("lost_sku")
-    )
+    if lost is None:
+        lost = product_info.groupBy(*STORE, "store_show_code", week).agg(F.count_distinct("foreign_item_id").alias("lost_sku"))
     return whole.join(lost, [*STORE, "week"], "left").select(
         *STORE,
         "store_show_code",
@@ -66,14 +66,18 @@ def week_store_info(store_info: DataFrame, product_info: DataFrame) -> DataFrame
     )
 
 
-def week_store_info_df(store_info: DataFrame, product_info: DataFrame, stores: DataFrame, as_of) -> DataFrame:
+def week_store_info_df(store_info: DataFrame, product_info: DataFrame, stores: DataFrame, as_of, lost_items: DataFrame | None = None) -> DataFrame:
     """Stock-out rate of the last twelve weeks per store.
 
     Lost items are distinct show codes of the week; a store-day that lost nothing
-    contributes a zero, so its week appears. The date is the Sunday of the week.
+    contributes a zero, so its week appears. The date is the Sunday of the week. `lost_items` has the distinct show codes
+    of each week, from `item_bitmaps.week_items` with `count_null`, Monday weeks and stores as keys.
     """
     week = monday(F.col("date")).alias("week")
-    lost = product_info.select(*STORE, "item_show_code", week).distinct().select(*STORE, "week", F.lit(1).alias("lost"))
+    if lost_items is None:
+        lost = product_info.select(*STORE, "item_show_code", week).distinct().select(*STORE, "week", F.lit(1).alias("lost"))
+    else:
+        lost = lost_items.select(*STORE, "week", F.col("lost_sku").alias("lost"))
     spared = store_info.filter(F.col("lost_sku") == 0).select(*STORE, week, F.lit(0).alias("lost"))
     recent = F.col("week").between(twelve_weeks_before(as_of), as_date(as_of))
     counted = lost.unionByName(spared).filter(recent).groupBy(*STORE, "week").agg(F.sum("lost").alias("lost_sku"))

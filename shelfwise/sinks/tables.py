@@ -1,34 +1,16 @@
-"""Writers (K1-K13). Each daily write is idempotent: running a day twice leaves one copy."""
+"""Writers of whole tables (K3-K6, K9-K12); `sinks.days` has the daily ones."""
 
 from __future__ import annotations
 
-import datetime as dt
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from shelfwise.functions.calendar import as_date
-from shelfwise.sources.scratch import settle, storage
-
-RETENTION_DAYS = 84
 KEPT_VERSIONS = 3
 JDBC_BATCH_ROWS = 5000
-DAY_PARTITION = ("cmid", "date")
-
-
-def _spread(df: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Few, evenly sized files per partition: small ones are merged, a hot one is split."""
-    return df.hint("rebalance", *by)
-
-
-def write_csv_days(df: DataFrame, path: str, by: Sequence[str] = DAY_PARTITION, header: bool = True) -> None:
-    """Gzip CSV per day (K1, K2); only the days the frame has rows for are replaced."""
-    writer = _spread(df, by).write.mode("overwrite").partitionBy(*by)
-    writer = writer.option("partitionOverwriteMode", "dynamic").option("header", header)
-    writer.option("compression", "gzip").csv(path)
 
 
 def conform(df: DataFrame, schema: StructType | str) -> DataFrame:
@@ -38,8 +20,11 @@ def conform(df: DataFrame, schema: StructType | str) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def _saved(df: DataFrame, mode: str, table: str, path: str | None) -> None:
+def _saved(df: DataFrame, mode: str, table: str, path: str | None, buckets: tuple[int, Sequence[str]] | None = None) -> None:
     writer = df.write.mode(mode).format("parquet")
+    if buckets is not None:
+        count, keys = buckets
+        writer = writer.bucketBy(count, *keys).sortBy(*keys)
     (writer.option("path", path) if path else writer).saveAsTable(table)
 
 
@@ -60,78 +45,6 @@ def table_exists(spark: SparkSession, table: str) -> bool:
     return spark.catalog.tableExists(table)
 
 
-def daily_upsert(
-    existing: DataFrame, new: DataFrame, day, retention_days: int = RETENTION_DAYS, loaded: DataFrame | None = None
-) -> DataFrame:
-    """The table after loading `day` (K7).
-
-    Old rows of that day are gone for the tenants of `loaded`, whether or not they have new
-    ones (without `loaded`, for the tenants of `new`), and so are rows past retention.
-    """
-    end = as_date(day)
-    tenants = (new if loaded is None else loaded).select("cmid").distinct()
-    recent = existing.filter(F.col("date") > F.date_sub(end, retention_days))
-    same_day = recent.filter(F.col("date") == end).join(tenants, "cmid", "left_anti")
-    return recent.filter(F.col("date") != end).unionByName(same_day).unionByName(new)
-
-
-def replaced_partitions(existing: DataFrame, new: DataFrame, by: Sequence[str] = DAY_PARTITION) -> DataFrame:
-    """The table after replacing every partition that `new` has rows for (K8)."""
-    return existing.join(new.select(*by).distinct(), list(by), "left_anti").unionByName(new)
-
-
-def write_partitions(df: DataFrame, path: str, by: Sequence[str] = DAY_PARTITION) -> None:
-    """Overwrite only the partitions the frame has rows for (K8)."""
-    (
-        _spread(df, by)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*by)
-        .parquet(path)
-    )
-
-
-def expire_days(spark: SparkSession, path: str, day: str, retention_days: int = RETENTION_DAYS) -> list[str]:
-    """Delete `date=` folders that are `retention_days` or more before `day`; returns them.
-
-    Only folder names are listed, never data.
-    """
-    oldest = (dt.date.fromisoformat(day) - dt.timedelta(days=retention_days)).isoformat()
-    fs, root, join = storage(spark, path)
-    expired = []
-    for status in fs.globStatus(join(root, "cmid=*/date=*")) or []:
-        if status.getPath().getName().removeprefix("date=") <= oldest:
-            fs.delete(status.getPath(), True)
-            expired.append(status.getPath().toString())
-    return expired
-
-
-def replace_day(df: DataFrame, path: str, day: str, loaded: DataFrame) -> None:
-    """Make `df` the rows of `day` of every tenant of `loaded`, those without rows included.
-
-    The result is written aside first, so its tenants are known without computing it again.
-    The new rows are committed before the day of a tenant that has none any more is deleted;
-    a rerun after a crash ends the same. A tenant without input keeps its day.
-    """
-    spark = df.sparkSession
-    df = settle(df, "day")
-    write_partitions(df, path)
-    emptied = loaded.select("cmid").distinct().join(df.select("cmid").distinct(), "cmid", "left_anti")
-    fs, root, join = storage(spark, path)
-    for row in emptied.toLocalIterator():
-        fs.delete(join(root, f"cmid={row.cmid}/date={day}"), True)
-
-
-def write_daily(df: DataFrame, path: str, day: str, loaded: DataFrame, retention_days: int = RETENTION_DAYS) -> None:
-    """Load the rows of one day and expire old days (K7); `loaded` has the tenants of the input.
-
-    The new day is committed before anything is deleted; a rerun after a crash repeats all
-    steps with the same outcome.
-    """
-    replace_day(df, path, day, loaded)
-    expire_days(df.sparkSession, path, day, retention_days)
-
-
 def versions(spark: SparkSession, table: str) -> list[str]:
     """Version tables of a published table, oldest first."""
     database, _, name = table.rpartition(".")
@@ -139,9 +52,17 @@ def versions(spark: SparkSession, table: str) -> list[str]:
     return sorted(f"{database}.{row.tableName}" if database else row.tableName for row in found)
 
 
-def publish_swap(df: DataFrame, table: str, keep: int = KEPT_VERSIONS, empty_ok: bool = False) -> None:
+def replace_bucketed(df: DataFrame, table: str, buckets: int, keys: Sequence[str]) -> None:
+    """Replace a table whose rows lie in `buckets` by the hash of `keys` (J8): joins, windows and aggregates on the keys read
+    it without a shuffle. Rows are dealt by the same hash before writing, so each bucket is one file."""
+    _saved(df.repartition(buckets, *keys), "overwrite", table, None, (buckets, keys))
+
+
+def publish_swap(df: DataFrame, table: str, keep: int = KEPT_VERSIONS, empty_ok: bool = False, buckets: tuple[int, Sequence[str]] | None = None) -> None:
     """Write a new version as a table of its own, then point the view `table` at it (K9).
 
+    `buckets` (number, keys) writes it as `replace_bucketed` does.
+
     Replacing the view is one catalog operation: a reader meets the old version or the new
     one, and a crash at any step leaves the old one. An empty version is not published,
     unless that is allowed (F13). The last `keep` versions stay for readers that still use
@@ -153,7 +74,7 @@ def publish_swap(df: DataFrame, table: str, keep: int = KEPT_VERSIONS, empty_ok:
     older = versions(spark, table)
     number = int(older[-1].rpartition("__v")[2].partition("_")[0]) + 1 if older else 1
     version = f"{table}__v{number:06d}_{uuid.uuid4().hex[:8]}"
-    _saved(df, "errorifexists", version, None)
+    _saved(df if buckets is None else df.repartition(buckets[0], *buckets[1]), "errorifexists", version, None, buckets)
     if not empty_ok and spark.table(version).isEmpty():
         spark.sql(f"DROP TABLE {version}")
         raise ValueError(f"{table} must not become empty")
@@ -162,17 +83,6 @@ def publish_swap(df: DataFrame, table: str, keep: int = KEPT_VERSIONS, empty_ok:
         spark.sql(f"DROP TABLE IF EXISTS {old}")
 
 
-def mirror_tables(
-    spark: SparkSession, tables: Sequence[str], publish: Callable[[DataFrame, str], None]
-) -> None:
-    """Copy tables to another place with their own schemas.
-
-    `publish` writes one frame under a name, e.g. by `publish_swap` or `write_jdbc`.
-    """
-    for table in tables:
-        publish(spark.table(table), table)
-
-
 def jdbc_options(url: str, table: str, partitions: int = 8, batch_rows: int = JDBC_BATCH_ROWS) -> dict[str, str]:
     """Options of a chunked database write (K6)."""
     return {"url": url, "dbtable": table, "batchsize": str(batch_rows), "numPartitions": str(partitions)}
@@ -181,9 +91,3 @@ def jdbc_options(url: str, table: str, partitions: int = 8, batch_rows: int = JD
 def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append", **options: str) -> None:
     df.write.format("jdbc").mode(mode).options(**(jdbc_options(url, table) | options)).save()
 
-
-def write_report(summary: DataFrame, detail: DataFrame, path: str, day: str, loaded: DataFrame) -> None:
-    """The two sheets of the stock-out report as two datasets (K13), replaced for the day of every
-    tenant of `loaded`: the detail of a tenant without empty items goes."""
-    replace_day(summary, f"{path}/summary", day, loaded)
-    replace_day(detail, f"{path}/detail", day, loaded)

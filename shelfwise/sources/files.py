@@ -32,13 +32,10 @@ def days_back(as_of: str, days: int = 28) -> list[str]:
     return [(end - dt.timedelta(days=n)).isoformat() for n in range(days - 1, -1, -1)]
 
 
-def day_folders(dates: Iterable[str], source_id: str, table: str, layout: str = DAY_LAYOUT) -> list[str]:
-    """One folder per day, relative to the root."""
-    folders = []
-    for date in dates:
-        y, m, d = date.split("-")
-        folders.append(layout.format(y=y, m=m, d=d, source_id=source_id, table=table))
-    return folders
+def day_folders(dates: Iterable[str], source_id: str | Sequence[str], table: str, layout: str = DAY_LAYOUT) -> list[str]:
+    """One folder per day and source, relative to the root."""
+    sources = [source_id] if isinstance(source_id, str) else source_id
+    return [layout.format(y=date[:4], m=date[5:7], d=date[8:], source_id=source, table=table) for date in dates for source in sources]
 
 
 def read_existing(
@@ -78,12 +75,14 @@ def read_raw_days(
     spark: SparkSession,
     root: str,
     dates: Iterable[str],
-    source_id: str,
+    source_id: str | Sequence[str],
     table: str,
     day_layout: str = DAY_LAYOUT,
     none_ok: bool = False,
 ) -> DataFrame:
-    """All cells of the days as text; `layouts.rejected` finds those that cannot be typed."""
+    """All cells of the days as text, of one source or of several in one scan; `layouts.rejected` finds those that
+    cannot be typed. That no source has any folder is an error; `missing_sources` finds single ones.
+    """
     folders = day_folders(dates, source_id, table, day_layout)
     return read_existing(spark, root, folders, layouts.file_schema(KINDS[table]), none_ok=none_ok)
 
@@ -92,7 +91,7 @@ def read_cost(
     spark: SparkSession,
     root: str,
     dates: Iterable[str],
-    source_id: str,
+    source_id: str | Sequence[str],
     day_layout: str = DAY_LAYOUT,
     on_bad: str = "fail",
     none_ok: bool = False,
@@ -101,7 +100,11 @@ def read_cost(
 
     A cell that is no number is not a null: see `layouts.typed` for `on_bad`.
     """
-    df = layouts.typed(read_raw_days(spark, root, dates, source_id, "cost", day_layout, none_ok), layouts.COST, on_bad)
+    return cost_rows(layouts.typed(read_raw_days(spark, root, dates, source_id, "cost", day_layout, none_ok), layouts.COST, on_bad))
+
+
+def cost_rows(df: DataFrame) -> DataFrame:
+    """Typed sales with null sale as 0 and the flag of a positive sale."""
     sale = zero_if_null("total_sale").cast(layouts.MONEY)
     return df.select(
         "cmid",
@@ -119,18 +122,33 @@ def read_inventory(
     spark: SparkSession,
     root: str,
     dates: Iterable[str],
-    source_id: str,
+    source_id: str | Sequence[str],
     day_layout: str = DAY_LAYOUT,
     on_bad: str = "fail",
     none_ok: bool = False,
 ) -> DataFrame:
     """Daily stock (S1): null quantity as 0; a cell that is no number is not a null."""
-    df = layouts.typed(
-        read_raw_days(spark, root, dates, source_id, "inventory", day_layout, none_ok), layouts.INVENTORY, on_bad
-    )
+    return inventory_rows(layouts.typed(read_raw_days(spark, root, dates, source_id, "inventory", day_layout, none_ok), layouts.INVENTORY, on_bad))
+
+
+def inventory_rows(df: DataFrame) -> DataFrame:
+    """Typed stock with null quantity as 0."""
     return df.withColumn("quantity", zero_if_null("quantity").cast(layouts.MONEY))
 
 
+def missing_sources(spark: SparkSession, root: str, dates: Iterable[str], sources: Sequence[str], table: str, day_layout: str = DAY_LAYOUT) -> list[str]:
+    """Sources without any object on all the days; names are listed once for all of them, nothing is opened."""
+    try:
+        listing = object_listing(spark, f"{root}/{{{','.join(day_folders(dates, sources, table, day_layout))}}}", "*.gz")
+        from_end = len(day_layout.split("/")) - next(k for k, part in enumerate(day_layout.split("/")) if "{source_id}" in part) + 1
+        found = {row.source for row in listing.select(path_part(F.col("path"), from_end).alias("source")).distinct().collect()}
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        found = set()
+    return [source for source in sources if source not in found]
+
+
 def read_stores(
     spark: SparkSession, root: str, date: str, source_id: str, day_layout: str = DAY_LAYOUT
 ) -> DataFrame:
@@ -139,19 +157,25 @@ def read_stores(
 
 
 def read_goods(
-    spark: SparkSession, root: str, date: str, source_id: str, day_layout: str = DAY_LAYOUT
+    spark: SparkSession, root: str, date: str, source_id: str | Sequence[str], day_layout: str = DAY_LAYOUT, on_bad: str = "fail"
 ) -> DataFrame:
-    """Goods of the newest object of the day, cleaned (S3)."""
-    [folder] = day_folders([date], source_id, "chain_goods", day_layout)
-    newest = newest_path(object_listing(spark, f"{root}/{folder}", "*.gz"))
-    if newest is None:
-        raise FileNotFoundError(f"no goods object in {root}/{folder}")
-    return clean_goods(settle(read_raw_goods(spark, newest), "goods"))  # read twice, decompressed once
+    """Goods of the newest object of the day, cleaned (S3), of one source or of several in one scan."""
+    return clean_goods(settle(read_raw_goods(spark, newest_goods(spark, root, date, source_id, day_layout)), "goods"), on_bad)  # read twice, decompressed once
+
+
+def newest_goods(spark: SparkSession, root: str, date: str, source_id: str | Sequence[str], day_layout: str = DAY_LAYOUT) -> list[str]:
+    """Path of the newest goods object of every source on the day; a source without one is an error."""
+    sources = [source_id] if isinstance(source_id, str) else list(source_id)
+    if missing := missing_sources(spark, root, [date], sources, "chain_goods", day_layout):
+        raise FileNotFoundError(f"no goods object of {', '.join(missing)} in {root} on {date}")
+    listing = object_listing(spark, f"{root}/{{{','.join(day_folders([date], sources, 'chain_goods', day_layout))}}}", "*.gz")
+    folder = F.regexp_replace("path", "/[^/]*$", "").alias("folder")
+    return [row.path for row in newest_objects(listing.withColumn("folder", folder), "folder").collect()]  # one name for each source
 
 
-def read_raw_goods(spark: SparkSession, path: str) -> DataFrame:
+def read_raw_goods(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """Goods as written, prices still text."""
-    raw = spark.read.schema(layouts.file_schema(layouts.GOODS)).csv(path)
+    raw = spark.read.schema(layouts.file_schema(layouts.GOODS)).csv(path if isinstance(path, str) else list(path))
     return raw.withColumn("cmid", F.col("cmid").cast("int")).select(*layouts.columns(layouts.GOODS))
 
 
@@ -163,17 +187,50 @@ def reject_malformed(goods: DataFrame, prices: Sequence[str] = ("lastin_price",
     return goods.join(goods.filter(is_bad).select(*ITEM).distinct(), ITEM, "left_anti")
 
 
-def clean_goods(raw: DataFrame) -> DataFrame:
-    """Well-formed goods that are not discontinued; a null status stays."""
-    return active_goods(reject_malformed(raw)).select(
-        "cmid",
-        "foreign_item_id",
-        "barcode",
-        "show_code",
-        "item_name",
-        "item_status",
-        *[F.col(price).try_cast(layouts.MONEY).alias(price) for price in ("lastin_price", "sale_price")],
-    )
+PRICES = ("lastin_price", "sale_price")
+
+
+def rounds_price(price: str) -> Column:
+    """Whether a price, which is a number, has more digits than are kept."""
+    kept = F.col(price).try_cast(layouts.MONEY)
+    return F.col(price).try_cast("double").isNotNull() & ~F.coalesce(F.col(price).try_cast("decimal(38,18)") == kept, F.lit(False))
+
+
+def clean_goods(raw: DataFrame, on_bad: str = "fail") -> DataFrame:
+    """Well-formed goods that are not discontinued; a null status stays.
+
+    Items with a price that is no number are left out, as the source systems do (F5). A price that could only be kept
+    rounded fails the query, or leaves its item out with `on_bad="reject"`; `rejected_goods` has all that is left out.
+    """
+    if on_bad not in ("fail", "reject"):
+        raise ValueError(f"unknown choice {on_bad!r}")
+    good = active_goods(reject_malformed(raw))
+    if on_bad == "reject":
+        good = good.join(_with_rounded_price(raw), ITEM, "left_anti")
+
+    def kept(price: str) -> Column:
+        stop = F.raise_error(F.concat(F.lit(f"{price} has more digits than are kept: "), F.col(price))).cast(layouts.MONEY)
+        typed = F.col(price).try_cast(layouts.MONEY)
+        return (F.when(rounds_price(price), stop).otherwise(typed) if on_bad == "fail" else typed).alias(price)
+
+    return good.select("cmid", "foreign_item_id", "barcode", "show_code", "item_name", "item_status", *[kept(price) for price in PRICES])
+
+
+def _with_rounded_price(raw: DataFrame) -> DataFrame:
+    return raw.filter(rounds_price(PRICES[0]) | rounds_price(PRICES[1])).select(*ITEM).distinct()
+
+
+def rejected_goods(raw: DataFrame) -> DataFrame:
+    """Rows of items that `clean_goods` leaves out for their prices, as read, with the reason of the row: `type:` or
+    `rounded:` and the price, or `item` where another row of the item has the fault."""
+    codes = [
+        F.when(F.col(price).isNotNull() & F.col(price).try_cast("double").isNull(), F.lit(f"type:{price}")).when(rounds_price(price), F.lit(f"rounded:{price}"))
+        for price in PRICES
+    ]
+    marked = raw.withColumn("reasons", F.array_compact(F.array(*codes)))
+    faulty = marked.filter(F.size("reasons") > 0).select(*ITEM).distinct()
+    whole = F.when(F.size("reasons") > 0, F.col("reasons")).otherwise(F.array(F.lit("item")))
+    return marked.join(faulty, ITEM, "left_semi").withColumn("reasons", whole)
 
 
 def object_listing(spark: SparkSession, root: str, file_glob: str = "*", recursive: bool = True) -> DataFrame:
@@ -208,7 +265,8 @@ MOST_DAMAGED = 1000
 def damaged_files(spark: SparkSession, root: str, file_glob: str = "*.gz") -> list[str]:
     """Paths of gzip files that cannot be decompressed to their end, at most 1000; more are an error.
 
-    Each file is decompressed piece by piece in the task that holds it and thrown away.
+    Each file is decompressed piece by piece in the task that holds it and thrown away. A file is one binary value, so
+    one above 2 GB fails the check.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

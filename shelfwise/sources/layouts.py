@@ -55,16 +55,27 @@ def _typed(name: str, kind: str) -> Column:
     return F.col(name).try_cast(kind)
 
 
-def is_bad(layout: dict[int, tuple[str, str]]) -> Column:
-    """Whether a row has a cell that is not of its type, or that its type would round."""
-    bad = F.lit(False)
+def _rounds(name: str, kind: str) -> Column:
+    """Whether a decimal cell would lose digits: compared as text of more digits than the type keeps."""
+    exact = F.coalesce(F.col(name).try_cast("decimal(38,18)") != _typed(name, kind), F.lit(False))
+    return exact if kind.startswith("decimal") else F.lit(False)
+
+
+def reasons(layout: dict[int, tuple[str, str]]) -> Column:
+    """Reason codes of a row, one for each bad cell: `type:<column>` where it is not of its type, `rounded:<column>`
+    where its type would lose digits. No code means a good row."""
+    codes = []
     for name, kind in layout.values():
         if kind == "string":
             continue
-        bad = bad | (F.col(name).isNotNull() & _typed(name, kind).isNull())
-        if kind.startswith("decimal"):
-            bad = bad | F.coalesce(F.col(name).try_cast("decimal(38,18)") != _typed(name, kind), F.lit(False))
-    return bad
+        wrong = F.col(name).isNotNull() & _typed(name, kind).isNull()
+        codes.append(F.when(wrong, F.lit(f"type:{name}")).when(_rounds(name, kind), F.lit(f"rounded:{name}")))
+    return F.array_compact(F.array(*codes)) if codes else F.array().cast("array<string>")
+
+
+def is_bad(layout: dict[int, tuple[str, str]]) -> Column:
+    """Whether a row has a cell that is not of its type, or that its type would round."""
+    return F.size(reasons(layout)) > 0
 
 
 def typed(raw: DataFrame, layout: dict[int, tuple[str, str]], on_bad: str = "fail") -> DataFrame:

@@ -7,6 +7,7 @@ import functools
 import shutil
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,12 +29,22 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folder()
 
 
-def storage(spark: SparkSession, path: str) -> tuple:
-    """File system and path object of Spark's own storage layer, and the class of paths: Spark's API has no
-    delete. Not available through Spark Connect."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    return root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), root, jvm.org.apache.hadoop.fs.Path
+def quoted(text: str) -> str:
+    """A text as a literal of Spark SQL."""
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
+def delete_folders(spark: SparkSession, folders: Sequence[str]) -> None:
+    """Delete folders through the catalog: as partitions of a managed table they go when it is dropped. Spark's own
+    API has no other delete. A folder that is not there is fine."""
+    if not folders:
+        return
+    table = f"shelfwise_deleted_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE TABLE {table} (unused int, folder int) USING parquet PARTITIONED BY (folder)")
+    spark.sql(f"ALTER TABLE {table} ADD {' '.join(f'PARTITION (folder = {k}) LOCATION {quoted(folder)}' for k, folder in enumerate(folders))}")
+    spark.sql(f"ALTER TABLE {table} DROP {', '.join(f'PARTITION (folder = {k})' for k in range(len(folders)))}")
+    spark.sql(f"DROP TABLE {table}")
 
 
 def application_folder(spark: SparkSession) -> str:
@@ -47,8 +58,7 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 
 def clean(spark: SparkSession) -> None:
     """Delete what this application has put into the shared folder; call it when no frame is needed any more."""
-    fs, folder, _ = storage(spark, application_folder(spark))
-    fs.delete(folder, True)
+    delete_folders(spark, [application_folder(spark)])
 
 
 def settle(df: DataFrame, name: str) -> DataFrame:

@@ -32,3 +32,14 @@ def test_query(spark, con, key):
 
 def test_entry(spark):
     assert not entry.entry(spark).isEmpty()
+
+
+def test_entry_without_the_optional_part(monkeypatch):
+    """A missing module of the training-data part costs its queries, not the others."""
+    import sys
+
+    monkeypatch.setitem(sys.modules, "shelfwise.llm", None)
+    with pytest.warns(UserWarning, match="left out"):
+        assert set(entry.queries()) == set(QUERIES)
+    with pytest.warns(UserWarning, match="left out"):
+        assert set(entry.oracle_sql()) == set(ORACLES)

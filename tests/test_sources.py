@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.operators.dimensions import concat_by_name, mapping_table, require_non_empty
 from shelfwise.operators.reports import first_suggestion_date
-from shelfwise.sources import files, layouts, scratch, tables
+from shelfwise.sources import files, layouts, ledger, scratch, tables
 
 SOURCE = "43YYYYYYYYYYYYY"
 
@@ -198,3 +198,93 @@ def test_jdbc_reads_are_split():
     assert tables.jdbc_options("u", "select 1") == {"url": "u", "dbtable": "(select 1) source"}
     split = tables.jdbc_options("u", "select * from cost", "date", ("2024-01-01", "2024-01-31"), 31)
     assert (split["partitionColumn"], split["upperBound"], split["numPartitions"]) == ("date", "2024-01-31", "31")
+
+
+def test_ledger_loads_only_what_changed(spark, tmp_path):
+    """New, replaced and deleted objects; a second run opens no file; a crash between rows and ledger is made good."""
+    import os
+    import shutil
+    import time
+    import uuid
+
+    root, folder = tmp_path / "in", f"{tmp_path}/tables"
+    names = [f"{kind}_{uuid.uuid4().hex[:10]}" for kind in ("rows", "ledger")]
+    opened = []
+
+    def put(cmid, day, name, *items, later=0):
+        target = root / str(cmid) / day
+        target.mkdir(parents=True, exist_ok=True)
+        (target / f"{name}.csv").write_text("item\n" + "".join(f"{i}\n" for i in items))
+        os.utime(target / f"{name}.csv", (time.time() + later, time.time() + later))
+
+    plain = ledger.reader(spark, "item string")
+
+    def read(paths):
+        opened.append(sorted(path.split("/in/")[1] for path in paths))
+        return plain(paths)
+
+    def run():
+        return ledger.load_new(spark, str(root), read, *names, folder, "item string, cmid int, date date", "*.csv")
+
+    def rows():
+        return sorted((r.cmid, str(r.date), r.item) for r in spark.table(names[0]).collect())
+
+    put(43, "2024-01-01", "a", "x", "y")
+    put(43, "2024-01-01", "b", "z")
+    put(85, "2024-01-02_late", "a", "x")
+    put("elsewhere", "nothing", "a", "x")
+    assert run() == {"new": 3} and len(opened[-1]) == 3
+    before = rows()
+    assert before == [(43, "2024-01-01", "x"), (43, "2024-01-01", "y"), (43, "2024-01-01", "z"), (85, "2024-01-02", "x")]
+    assert run() == {} and len(opened) == 1 and rows() == before
+    put(43, "2024-01-01", "a", "new", later=60)
+    put(43, "2024-01-03", "a", "w")
+    assert run() == {"replaced": 1, "new": 1} and opened[-1] == ["43/2024-01-01/a.csv", "43/2024-01-01/b.csv", "43/2024-01-03/a.csv"]
+    assert rows() == [(43, "2024-01-01", "new"), (43, "2024-01-01", "z"), (43, "2024-01-03", "w"), (85, "2024-01-02", "x")]
+    (root / "43/2024-01-01/b.csv").unlink()
+    shutil.rmtree(root / "85")
+    assert run() == {"gone": 2} and opened[-1] == ["43/2024-01-01/a.csv"]
+    assert rows() == [(43, "2024-01-01", "new"), (43, "2024-01-03", "w")]
+    put(43, "2024-01-03", "a", "v", later=120)
+    real, calls = ledger.days.replace, []
+
+    def crash(df, table, *rest, **choice):
+        calls.append(table)
+        if table == names[1]:
+            raise RuntimeError("lost")
+        real(df, table, *rest, **choice)
+
+    ledger.days.replace = crash
+    try:
+        with pytest.raises(RuntimeError):
+            run()
+    finally:
+        ledger.days.replace = real
+    assert calls == names and run() == {"replaced": 1}
+    assert rows() == [(43, "2024-01-01", "new"), (43, "2024-01-03", "v")] and run() == {}
+
+
+def test_prices_are_not_rounded_silently(spark):
+    rows = [("a", "1.2345", "2"), ("b", "1.23456", "2"), ("c", "99999999999999999", "2"), ("d", "1e2", None), ("e", "cheap", "2"), ("e", "1", "2")]
+    raw = spark.createDataFrame([(43, i, "b", "S", "n", None, p, q) for i, p, q in rows], "cmid int, foreign_item_id string, barcode string, show_code string, item_name string, item_status string, lastin_price string, sale_price string")
+    with pytest.raises(Exception, match="more digits than are kept"):
+        files.clean_goods(raw).collect()
+    assert sorted((r.foreign_item_id, str(r.lastin_price)) for r in files.clean_goods(raw, "reject").collect()) == [("a", "1.2345"), ("d", "100.0000")]
+    found = sorted((r.foreign_item_id, ",".join(r.reasons)) for r in files.rejected_goods(raw).collect())
+    assert found == [("b", "rounded:lastin_price"), ("c", "rounded:lastin_price"), ("e", "item"), ("e", "type:lastin_price")]
+    with pytest.raises(ValueError, match="unknown choice"):
+        files.clean_goods(raw, "skip")
+
+
+def test_asof_days_name_the_unmatched_side(spark):
+    import datetime as dt
+
+    from shelfwise.operators import stockout
+
+    day = dt.date(2024, 1, 31)
+    held = [(1, day), (1, day - dt.timedelta(1)), (2, day - dt.timedelta(1)), (3, day - dt.timedelta(2)), (4, day + dt.timedelta(1)), (6, day)]
+    snapshots = spark.createDataFrame(held, "cmid int, date date")
+    asked = spark.createDataFrame([(1,), (1,), (2,), (3,), (4,), (5,)], "cmid int")
+    found = sorted((r.cmid, r.date) for r in stockout.asof_days(asked, snapshots, "2024-01-31").collect())
+    assert found == [(1, day), (2, day - dt.timedelta(1)), (3, None), (4, None), (5, None)]
+    assert sorted((r.cmid, r.date) for r in stockout.asof_days(asked, snapshots, "2024-01-31", 2).collect())[2] == (3, day - dt.timedelta(2))
