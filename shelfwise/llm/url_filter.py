@@ -4,9 +4,13 @@ Rules name a host (with its subdomains) and the beginning of a path; the longest
 decides. Hosts whose pages the rules allow or block are seeds, weighted by the share of their
 pages. Trust runs from allowed seeds along links (personalised PageRank), distrust from blocked
 seeds against them, for a fixed number of rounds. Host edges are the absolute links of the pages,
-and links both ways between a host and its nearest parent domain that has pages too. A page that
-no rule fits is blocked if its host's distrust exceeds its trust by more than `threshold`, where
-a host that is blocked as a whole and has no neighbours stands at 1.
+and links both ways between a host and its nearest parent domain that has pages too.
+
+Masses shrink with the degrees they pass, so each is measured against the mass that an even start from all
+hosts brings to the same host by the same walk; a host's own even start counts only if rules judge any of its
+pages. The distrust of a host is thus the share of blocked hosts in all that it leads to, near
+hosts first: 1 for a host that links to blocked ones only, however many others do. A page that no
+rule fits is blocked if its host's share of distrust exceeds its share of trust by more than `threshold`.
 """
 
 from __future__ import annotations
@@ -78,27 +82,43 @@ def host_edges(pages: DataFrame, hosts: DataFrame) -> DataFrame:
 
 
 def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
-    """(host, trust, distrust) after `rounds` steps, from `seeds` (host, trust, distrust).
+    """(host, trust, distrust, ahead, behind) after `rounds` steps, from `seeds` (host, trust, distrust).
 
     Trust moves along edges, distrust against them, each shared evenly among the next hosts;
-    what a host without next hosts would pass on is lost. Both sides are one table, so a round is
+    what a host without next hosts would pass on is lost. `ahead` and `behind` are the masses of an even start of 1
+    at every host, along and against the edges. Both sides are one table, so a round is
     one join and one sum. Every third round is written, which bounds the lineage.
     """
     ways = edges.select(F.lit(1).alias("side"), "src", "dst").union(edges.select(F.lit(-1).alias("side"), F.col("dst").alias("src"), F.col("src").alias("dst")))
     degree = ways.groupBy("side", "src").agg(F.count(F.lit(1)).alias("degree"))
     steps = settle(ways.join(degree, ["side", "src"]).select("side", F.col("src").alias("host"), "dst", (F.lit(damping) / F.col("degree")).alias("share")), "steps")
-    start = seeds.select(F.explode(F.array(F.struct(F.lit(1).alias("side"), "host", F.col("trust").alias("mass")), F.struct(F.lit(-1).alias("side"), "host", F.col("distrust").alias("mass")))).alias("s")).select("s.*")
-    start = settle(start.where("mass > 0"), "seeds")
+    nodes = seeds.select("host", "trust", "distrust").union(edges.select(F.explode(F.array("src", "dst")).alias("host"), F.lit(0.0), F.lit(0.0)).distinct())
+    both = F.array(*[F.struct(F.lit(side).alias("side"), F.col(name).alias("mass")) for side, name in ((1, "trust"), (-1, "distrust"))])
+    start = nodes.groupBy("host").agg(F.max("trust").alias("trust"), F.max("distrust").alias("distrust")).select("host", F.explode(both).alias("s"))
+    start = settle(start.select("s.side", "host", "s.mass", F.lit(1.0).alias("even")), "seeds")
     now = start
     if steps.isEmpty():
         rounds = 0
     for k in range(rounds):
-        moved = now.join(steps, ["side", "host"]).select("side", F.col("dst").alias("host"), (F.col("mass") * F.col("share")).alias("mass"))
-        now = moved.union(start).groupBy("side", "host").agg(F.sum("mass").alias("mass"))
+        moved = now.join(steps, ["side", "host"]).select("side", F.col("dst").alias("host"), *[(F.col(name) * F.col("share")).alias(name) for name in ("mass", "even")])
+        now = moved.union(start).groupBy("side", "host").agg(F.sum("mass").alias("mass"), F.sum("even").alias("even"))
         if k % 3 == 2:
             now = settle(now, "masses")
-    sides = {side: F.sum(F.when(F.col("side") == side, F.col("mass")).otherwise(0.0)) for side in (1, -1)}
-    return now.groupBy("host").agg(sides[1].alias("trust"), sides[-1].alias("distrust"))
+    masses = {alias: F.sum(F.when(F.col("side") == side, F.col(name)).otherwise(0.0)).alias(alias) for alias, side, name in (("trust", 1, "mass"), ("distrust", -1, "mass"), ("ahead", 1, "even"), ("behind", -1, "even"))}
+    return now.groupBy("host").agg(*masses.values())
+
+
+def _share(mass: str, even: str) -> Column:
+    """Mass over the even mass without the host's own start, unless rules judge the host; 0 where nothing arrives."""
+    base = F.col(even) - F.lit(1.0) + F.col("judged")
+    return F.when(base > 1e-9, F.col(mass) / base).otherwise(0.0)
+
+
+def bad_hosts(edges: DataFrame, hosts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """Hosts whose share of distrust exceeds their share of trust by more than `threshold`."""
+    own = hosts.select("host", F.when(F.col("trust") + F.col("distrust") > 0, 1.0).otherwise(0.0).alias("judged"))
+    reached = propagate(edges, hosts).join(own, "host", "left").na.fill(0.0, ["judged"])
+    return reached.where(F.round(_share("distrust", "behind") - _share("trust", "ahead"), 9) > threshold).select("host")
 
 
 def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, threshold: float = THRESHOLD) -> DataFrame:
@@ -115,9 +135,7 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, threshold: float =
     share = lambda name: (F.count(F.when(verdict == name, 1)) / F.count(F.lit(1)))
     hosts = settle(parsed.where("host <> ''").groupBy("host").agg(share("allow").alias("trust"), share("block").alias("distrust")), "hosts")
     edges = settle(host_edges(parsed, hosts), "host-edges")
-    behind = F.round(F.col("distrust") - F.col("trust"), 9)
-    bad = propagate(edges, hosts).where(behind > threshold).select("host", F.lit("block").alias("_host_verdict"))
-    bad, n_bad = settle_counted(bad, "bad-hosts")
+    bad, n_bad = settle_counted(bad_hosts(edges, hosts, threshold).withColumn("_host_verdict", F.lit("block")), "bad-hosts")
     rule = fitting(rules, F.col("host"), F.col("path"), lambda r: r.name)
     judged = parsed.select("page_id", "host", "path", rule.alias("rule"), verdict.alias("_rule_verdict")).join(bounded_broadcast(bad, n_bad, BROADCAST_ROWS), "host", "left")
     return judged.select("page_id", "host", "path", "rule", F.coalesce("_rule_verdict", "_host_verdict", F.lit("allow")).alias("verdict"))
@@ -127,8 +145,8 @@ def _oracle() -> str:
     rounds = []
     for k in range(ROUNDS):
         rounds.append(f"""r{k + 1} AS MATERIALIZED (
-  SELECT side, host, sum(mass) AS mass FROM (
-    SELECT s.side, s.dst AS host, r.mass * {DAMPING} / d.degree AS mass
+  SELECT side, host, sum(mass) AS mass, sum(even) AS even FROM (
+    SELECT s.side, s.dst AS host, r.mass * {DAMPING} / d.degree AS mass, r.even * {DAMPING} / d.degree AS even
     FROM r{k} r JOIN ways s ON s.side = r.side AND s.src = r.host JOIN degrees d ON d.side = s.side AND d.src = s.src
     UNION ALL SELECT * FROM r0) GROUP BY side, host)""")
     whens = {key: " ".join(f"WHEN (host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}') THEN '{value(r)}'" for r in sorted(RULES, key=lambda r: -len(r.name))) for key, value in (("rule", lambda r: r.name), ("verdict", lambda r: r.verdict))}
@@ -150,12 +168,17 @@ edges AS (
   WHERE src <> dst AND src <> '' AND dst <> ''),
 ways AS MATERIALIZED (SELECT 1 AS side, src, dst FROM edges UNION ALL SELECT -1, dst, src FROM edges),
 degrees AS MATERIALIZED (SELECT side, src, count(*) AS degree FROM ways GROUP BY side, src),
+nodes AS (
+  SELECT host, max(trust) AS trust, max(distrust) AS distrust FROM (
+    SELECT host, trust, distrust FROM hosts UNION ALL SELECT src, 0, 0 FROM edges UNION ALL SELECT dst, 0, 0 FROM edges) GROUP BY host),
 r0 AS MATERIALIZED (
-  SELECT 1 AS side, host, trust AS mass FROM hosts WHERE trust > 0 UNION ALL SELECT -1, host, distrust FROM hosts WHERE distrust > 0),
+  SELECT 1 AS side, host, CAST(trust AS double) AS mass, CAST(1 AS double) AS even FROM nodes
+  UNION ALL SELECT -1, host, CAST(distrust AS double), CAST(1 AS double) FROM nodes),
 {", ".join(rounds)},
-bad AS (
-  SELECT host FROM r{ROUNDS} GROUP BY host
-  HAVING round(sum(CASE WHEN side = -1 THEN mass ELSE 0 END) - sum(CASE WHEN side = 1 THEN mass ELSE 0 END), 9) > {THRESHOLD})
+shares AS (
+  SELECT m.side, m.host, CASE WHEN m.even - 1 + j.judged > 1e-9 THEN m.mass / (m.even - 1 + j.judged) ELSE 0 END AS share
+  FROM r{ROUNDS} m JOIN (SELECT host, CASE WHEN trust + distrust > 0 THEN 1 ELSE 0 END AS judged FROM nodes) j ON j.host = m.host),
+bad AS (SELECT host FROM shares GROUP BY host HAVING round(sum(-side * share), 9) > {THRESHOLD})
 SELECT page_id, host, path, rule, coalesce(rule_verdict, CASE WHEN host IN (SELECT host FROM bad) THEN 'block' ELSE 'allow' END) AS verdict FROM ruled
 """
 

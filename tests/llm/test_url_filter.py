@@ -1,3 +1,5 @@
+import random
+
 import duckdb
 import pytest
 
@@ -36,19 +38,59 @@ def test_rules_and_parsing(spark):
     ]
 
 
+def verdicts(frame):
+    return {r[1]: r[4] for r in rows_of(url_filter.judge(frame))}
+
+
+def sql_verdicts(rows):
+    con = duckdb.connect()
+    con.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR, html VARCHAR)")
+    for k, (url, html) in enumerate(rows):
+        con.execute("INSERT INTO pages VALUES (?, ?, ?)", [k, url, html])
+    return {r[1]: r[4] for r in con.execute(ORACLES["op3_url_filter"]).fetchall()}
+
+
+def link(*hosts):
+    return " ".join(f'<a href="http://{h}/">' for h in hosts)
+
+
 def test_distrust_runs_against_links_and_trust_along_them(spark):
-    bad, good = '<a href="http://bad.net/">', "<a HREF = '//friend.io/x'>"
-    rows = [("http://bad.net/", ""), ("http://linker.io/", bad), ("http://far.io/", '<a href="https://linker.io/q">'), ("http://x.org/fr/", good), ("http://friend.io/", bad), ("http://other.io/", "")]
-    found = {r[1]: r[4] for r in rows_of(url_filter.judge(pages_of(spark, rows), threshold=0.1))}
-    assert found == {"bad.net": "block", "linker.io": "block", "far.io": "block", "x.org": "allow", "friend.io": "allow", "other.io": "allow"}
+    rows = [("http://bad.net/", ""), ("http://linker.io/", link("bad.net")), ("http://far.io/", link("linker.io")), ("http://x.org/fr/", "<a HREF = '//friend.io/x'>"), ("http://friend.io/", link("bad.net")), ("http://other.io/", ""), ("http://fan.io/", link("x.org"))]
+    expected = {"bad.net": "block", "linker.io": "block", "far.io": "allow", "x.org": "allow", "friend.io": "allow", "other.io": "allow", "fan.io": "allow"}
+    assert verdicts(pages_of(spark, rows)) == expected == sql_verdicts(rows)
+
+
+@pytest.mark.parametrize("linkers", [1, 2, 10, 100])
+def test_linkers_of_a_blocked_host_are_blocked_however_many_there_are(spark, linkers):
+    """At the production threshold; hosts that link to an allowed host, which itself links to a blocked one, are not."""
+    rows = [("http://bad.net/", ""), ("http://good.org/fr/", link("bad.net"))]
+    rows += [(f"http://linker{k}.io/", link("bad.net")) for k in range(linkers)]
+    rows += [(f"http://fan{k}.io/", link("good.org")) for k in range(linkers)]
+    expected = {"bad.net": "block", "good.org": "allow"} | {f"linker{k}.io": "block" for k in range(linkers)} | {f"fan{k}.io": "allow" for k in range(linkers)}
+    assert verdicts(pages_of(spark, rows)) == expected == sql_verdicts(rows)
+
+
+def test_a_linked_graph_equals_sql(spark):
+    """Random links between and within domains, some hosts judged in part."""
+    rng = random.Random(5)
+    hosts = [f"h{k}.{d}" for k in range(12) for d in ("net", "io", "sub.io", "example.com")] + ["h1.org", "h2.org", "example.net", "example.com"]
+    rows = [(f"http://{rng.choice(hosts)}/{rng.choice(['de/', 'fr/', 'en/', ''])}{k}", link(*rng.sample(hosts, rng.randrange(3)))) for k in range(150)]
+    found = rows_of(url_filter.judge(pages_of(spark, rows)))
+    con = duckdb.connect()
+    con.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR, html VARCHAR)")
+    con.executemany("INSERT INTO pages VALUES (?, ?, ?)", [[k, url, html] for k, (url, html) in enumerate(rows)])
+    assert found == sorted(con.execute(ORACLES["op3_url_filter"]).fetchall(), key=str)
+    unruled = [r[4] for r in found if r[3] is None]
+    assert unruled.count("block") >= 3 and unruled.count("allow") > 5
 
 
 def test_masses_equal_a_plain_loop(spark):
     edges = [("a", "b"), ("a", "c"), ("b", "c"), ("c", "a"), ("d", "c")]
     seeds = [("a", 1.0, 0.0), ("c", 0.25, 0.5)]
-    found = {r.host: (r.trust, r.distrust) for r in url_filter.propagate(spark.createDataFrame(edges, "src string, dst string"), spark.createDataFrame(seeds, "host string, trust double, distrust double")).collect()}
-    for side, ways in ((0, edges), (1, [(b, a) for a, b in edges])):
-        start = {h: s[side] for h, *s in seeds}
+    found = {r.host: (r.trust, r.distrust, r.ahead, r.behind) for r in url_filter.propagate(spark.createDataFrame(edges, "src string, dst string"), spark.createDataFrame(seeds, "host string, trust double, distrust double")).collect()}
+    forward, backward = edges, [(b, a) for a, b in edges]
+    even = dict.fromkeys("abcd", 1.0)
+    for place, ways, start in ((0, forward, {h: s[0] for h, *s in seeds}), (1, backward, {h: s[1] for h, *s in seeds}), (2, forward, even), (3, backward, even)):
         mass = dict(start)
         for _ in range(url_filter.ROUNDS):
             after = dict(start)
@@ -56,7 +98,7 @@ def test_masses_equal_a_plain_loop(spark):
                 after[b] = after.get(b, 0.0) + url_filter.DAMPING * mass.get(a, 0.0) / sum(x == a for x, _ in ways)
             mass = after
         for host in "abcd":
-            assert abs(found[host][side] - mass.get(host, 0.0)) < 1e-9
+            assert abs(found[host][place] - mass.get(host, 0.0)) < 1e-9
 
 
 def test_awkward_rows(spark):
