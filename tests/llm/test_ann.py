@@ -2,6 +2,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from shelfwise.llm import ann
 from shelfwise.llm.queries import QUERIES
@@ -76,9 +77,43 @@ def test_groups_of_queries_give_the_same(spark, monkeypatch):
     frame = table(spark, "/root/testdata/sf0.001", "embeddings")
     wanted = rows_of(ann.search(frame, lambda v: v % 20 == 0))
     monkeypatch.setattr(ann, "QUERY_GROUP", 7)
+    monkeypatch.setattr(ann, "LEAST_GROUP", 3)
+    monkeypatch.setattr(ann, "BLOCK_ROWS", 60)
     assert rows_of(ann.search(frame, lambda v: v % 20 == 0)) == wanted
 
 
+def test_the_radius_grows_until_enough_are_found(spark, monkeypatch):
+    """Each query starts with a radius that holds nothing but its own code."""
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.normal(size=16).astype(np.float32).tolist()) for i in range(400)]
+    monkeypatch.setattr(ann, "radius", lambda code, sample, wanted: 0)
+    monkeypatch.setattr(ann, "place_holding", lambda *_: 1)
+    coded = ann._coded
+    monkeypatch.setattr(ann, "_coded", lambda *a: coded(*a).withColumn("reach", F.lit(0)))
+    found = ann.search(vectors_of(spark, rows), lambda v: v % 20 == 0).collect()
+    per_query = {}
+    for r in found:
+        per_query.setdefault(r.query_id, []).append(r.rank)
+    assert sorted(per_query) == list(range(0, 400, 20))
+    assert all(sorted(ranks) == list(range(1, 21)) for ranks in per_query.values())
+
+
+def test_look_ups_retrieve_few_rows_of_clustered_vectors():
+    """Near copies of 200 centres: look-ups at the needed radius reach a few hundredths of the rows, and find all of them."""
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(200, 64))
+    x = np.repeat(centres, 80, axis=0) + rng.normal(size=(16_000, 64)) * 0.1
+    coder = ann.fit(x[::4], float(np.sqrt((x**2).sum(axis=1).max())))
+    block = ann.Block(np.arange(len(x)), x, coder, 20)
+    for q in range(0, 16_000, 800):
+        code = coder.codes(x[q : q + 1])[0]
+        exact = np.argsort(-(x @ x[q]))[:20]
+        reach = int(np.sort(ann.distances(code, coder.codes(x[exact])))[-1])
+        assert block.by_lookup(reach)
+        assert block.within(code, reach).tolist() == np.flatnonzero(ann.distances(code, block.codes) <= reach).tolist()
+    assert block.probed < 0.1 * 20 * len(x)
+
+
 def test_recall_does_not_fall_as_the_table_grows(spark, tmp_path):
     x = np.random.default_rng(4).normal(size=(100_000, 64)).astype(np.float32)
     x /= np.sqrt((x**2).sum(axis=1))[:, None]
