@@ -13,10 +13,14 @@ other words, so texts of any length are decoded whole and exactly.
 
 from __future__ import annotations
 
+import bisect
 import functools
 import hashlib
+import itertools
 import random
 import re
+import sys
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -100,10 +104,31 @@ _RUNS = ((re.compile("[0-9]+"), "9"), (re.compile(r"[^\W\d_]+"), "a"))
 
 @dataclass
 class Stretch:
-    """Neighbouring words that may hold personal data: their tokens and the features of each."""
+    """Neighbouring words that may hold personal data, token by token: where each begins and ends, its own shape
+    (marked where it begins a word), the shape of its word, and the size of a number. Equal shapes are one string."""
 
-    spans: list[tuple[int, int]]
-    features: list[list[str]]
+    starts: array
+    ends: array
+    near: list[str]
+    whole: list[str]
+    size: list[str]
+
+    @property
+    def spans(self) -> list[tuple[int, int]]:
+        return list(zip(self.starts, self.ends, strict=True))
+
+    def __len__(self) -> int:
+        return len(self.near)
+
+    @property
+    def features(self) -> list[list[str]]:
+        """The features of every token: SLOTS of its surroundings, then its word and size."""
+        at = lambda k: self.near[k] if 0 <= k < len(self) else "end"
+        return [[*[mark + "~".join(at(i + k) for k in places) for mark, places in SLOTS], f"w{self.whole[i]}", f"z{self.size[i]}"] for i in range(len(self))]
+
+
+SLOTS = (("s", (0,)), ("p", (-1,)), ("n", (1,)), ("q", (-2,)), ("m", (2,)), ("ps", (-1, 0)), ("sn", (0, 1)))
+"""Features by the shapes of the tokens at these distances."""
 
 
 def _shape(token: str) -> str:
@@ -115,29 +140,28 @@ def _shape(token: str) -> str:
     return token
 
 
+@functools.lru_cache(maxsize=4096)
 def _word_shape(word: str) -> str:
-    word = word[:64].strip("\"'.,;:!?%$#&*|")  # longer words share a shape by their beginning
+    word = word.strip("\"'.,;:!?%$#&*|")
     for pattern, mark in _RUNS:
         word = pattern.sub(mark, word)
-    return word[:24]
+    return word
 
 
 def _stretch(text: str, words: list[tuple[int, int]]) -> Stretch:
-    spans, shapes, spaced, whole, size = [], [], [], [], []
+    made = Stretch(array("q"), array("q"), [], [], [])
     for start, end in words:
-        shape = _word_shape(text[start:end])
-        for k, m in enumerate(_TOKENS.finditer(text, start, end)):
-            spans.append(m.span())
-            shapes.append(_shape(m[0]))
-            spaced.append("_" if k == 0 else "")
-            whole.append(shape)
-            size.append("" if m[0][0] not in "0123456789" or len(m[0]) > 3 else "byte" if int(m[0]) <= 255 else "more")
-    at = lambda k: f"{spaced[k]}{shapes[k]}" if 0 <= k < len(spans) else "end"
-    features = [
-        [f"s{at(i)}", f"p{at(i - 1)}", f"n{at(i + 1)}", f"q{at(i - 2)}", f"m{at(i + 2)}", f"ps{at(i - 1)}~{at(i)}", f"sn{at(i)}~{at(i + 1)}", f"w{whole[i]}", f"z{size[i]}"]
-        for i in range(len(spans))
-    ]
-    return Stretch(spans, features)
+        shape = sys.intern(_word_shape(text[start:end]))
+        first = "_"
+        for m in _TOKENS.finditer(text, start, end):
+            token = m[0]
+            made.starts.append(m.start())
+            made.ends.append(m.end())
+            made.near.append(sys.intern(first + _shape(token)))
+            made.whole.append(shape)
+            made.size.append("" if token[0] not in "0123456789" or len(token) > 3 else "byte" if int(token) <= 255 else "more")
+            first = ""
+    return made
 
 
 def stretches(text: str) -> list[Stretch]:
@@ -147,7 +171,9 @@ def stretches(text: str) -> list[Stretch]:
     follows = False
     for m in _WORDS.finditer(text):
         if marked := bool(_HINT.search(text, *m.span())):
-            runs.append(runs.pop() + [m.span()] if follows else [m.span()])
+            if not follows:
+                runs.append([])
+            runs[-1].append(m.span())
         follows = marked
     return [_stretch(text, words) for words in runs]
 
@@ -161,12 +187,35 @@ class Field:
     emit: np.ndarray  # feature x state; row 0 is for features that were never seen
     move: np.ndarray  # state x state, with BARRED where a label can't follow
 
+    def _looked_up(self, names: list[str]) -> np.ndarray:
+        """Weights of some features, one row each."""
+        return self.emit[[self.index.get(name, 0) for name in names]]
+
+    def _emissions(self, stretch: Stretch) -> np.ndarray:
+        """Token x state. Each different shape, pair of shapes, word shape and size is looked up once."""
+        ids: dict[str, int] = {"end": 0}
+        own = np.fromiter((ids.setdefault(x, len(ids)) for x in stretch.near), dtype=np.int64, count=len(stretch))
+        names, n = list(ids), len(ids)
+        padded = np.concatenate([[0, 0], own, [0, 0]])
+        out = np.zeros((len(stretch), len(STATES)))
+        for mark, places in SLOTS:
+            key = np.zeros(len(stretch), dtype=np.int64)
+            for k in places:
+                key = key * n + padded[2 + k : 2 + k + len(stretch)]
+            found, back = np.unique(key, return_inverse=True)
+            parts = [[names[code // n ** (len(places) - 1 - j) % n] for j in range(len(places))] for code in found.tolist()]
+            out += self._looked_up([mark + "~".join(part) for part in parts])[back.ravel()]
+        for mark, values in (("w", stretch.whole), ("z", stretch.size)):
+            kinds: dict[str, int] = {}
+            code = np.fromiter((kinds.setdefault(x, len(kinds)) for x in values), dtype=np.int64, count=len(stretch))
+            out += self._looked_up([mark + x for x in kinds])[code]
+        return out
+
     def scores(self, batch: list[Stretch]) -> np.ndarray:
         """Emissions of stretches, padded to the longest: stretch x token x state."""
-        out = np.zeros((len(batch), max(len(s.spans) for s in batch), len(STATES)))
+        out = np.zeros((len(batch), max(map(len, batch)), len(STATES)))
         for k, stretch in enumerate(batch):
-            ids = np.array([[self.index.get(f, 0) for f in row] for row in stretch.features])
-            out[k, : len(ids)] = self.emit[ids].sum(axis=1)
+            out[k, : len(stretch)] = self._emissions(stretch)
         return out
 
 
@@ -175,7 +224,9 @@ _START = np.array([0.0 if not s.startswith("I") else BARRED for s in STATES])
 
 def viterbi(field: Field, batch: list[Stretch]) -> list[list[int]]:
     """The best state path of each stretch. Ties go to the earlier state."""
-    scores, sizes = field.scores(batch), np.array([len(s.spans) for s in batch])
+    if len(batch) == 1:
+        return [_one_path(field, batch[0])]
+    scores, sizes = field.scores(batch), np.array([len(s) for s in batch])
     steps = scores.shape[1]
     best = scores[:, 0] + _START
     back = np.zeros(scores.shape, dtype=np.int8)
@@ -192,6 +243,24 @@ def viterbi(field: Field, batch: list[Stretch]) -> list[list[int]]:
     return [path[:n].tolist() for path, n in zip(paths, sizes.tolist(), strict=True)]
 
 
+def _one_path(field: Field, stretch: Stretch) -> list[int]:
+    """The same for one stretch, which may be very long: small steps, one byte a state to go back."""
+    scores = field._emissions(stretch)
+    back = np.zeros(scores.shape, dtype=np.int8)
+    best, move, columns = scores[0] + _START, field.move, np.arange(len(STATES))
+    for t in range(1, len(scores)):
+        through = best[:, None] + move
+        chosen = through.argmax(axis=0)
+        back[t] = chosen
+        best = through[chosen, columns] + scores[t]
+    state = int(best.argmax())
+    path = [state] * len(scores)
+    for t in range(len(scores) - 1, 0, -1):
+        state = int(back[t, state])
+        path[t - 1] = state
+    return path
+
+
 def labelled_lines(seed: int = 7, n: int = 600) -> list[tuple[str, list[Span]]]:
     """The small labelled table: lines with marked personal data, and lines with look-alikes."""
     rng = random.Random(seed)
@@ -329,18 +398,18 @@ def _plausible(kind: str, found: str) -> bool:
 def field_spans(field: Field, texts: list[str], batch: int = 256) -> list[list[Span]]:
     """Spans of the best paths, those of an impossible form dropped."""
     work = [(k, s) for k, text in enumerate(texts) for s in stretches(text)]
-    work.sort(key=lambda x: len(x[1].spans))
+    work.sort(key=lambda x: len(x[1]))
     out: list[list[Span]] = [[] for _ in texts]
     start = 0
     while start < len(work):
         stop = start + 1
-        while stop < min(len(work), start + batch) and (stop + 1 - start) * len(work[stop][1].spans) <= 65_536:
+        while stop < min(len(work), start + batch) and (stop + 1 - start) * len(work[stop][1]) <= 65_536:
             stop += 1
         part = work[start:stop]
         for (k, stretch), path in zip(part, viterbi(field, [s for _, s in part]), strict=True):
             open_span: list | None = None
             found: list[list] = []
-            for state, (a, b) in zip(path, stretch.spans, strict=True):
+            for state, a, b in zip(path, stretch.starts, stretch.ends, strict=True):
                 name = STATES[state]
                 if name.startswith("B"):
                     open_span = [name[2:], a, b]
@@ -356,10 +425,18 @@ def all_spans(field: Field, texts: list[str]) -> Iterator[tuple[list[Span], list
     """For each text its base spans, and these with the field's spans that touch none of them."""
     for text, more in zip(texts, field_spans(field, texts), strict=True):
         base = base_spans(text)
-        added = [s for s in more if all(s[2] <= b[1] or b[2] <= s[1] for b in base)]
+        added = [s for s, free in zip(more, untouched(more, base), strict=True) if free]
         yield base, sorted(base + added, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 
+def untouched(spans: list[Span], base: list[Span]) -> list[bool]:
+    """Whether each span overlaps none of `base`: of those that start before its end, none ends after its start."""
+    starts = [s[1] for s in base]
+    reach = list(itertools.accumulate((s[2] for s in base), max))
+    places = [bisect.bisect_left(starts, s[2]) for s in spans]
+    return [k == 0 or reach[k - 1] <= s[1] for s, k in zip(spans, places, strict=True)]
+
+
 def written(spans: list[Span]) -> str:
     return ",".join(f"{kind}:{start}:{end}" for kind, start, end in spans)
 
@@ -367,8 +444,8 @@ def written(spans: list[Span]) -> str:
 def find(docs: DataFrame, field: Field) -> DataFrame:
     """Counts and digest of the base spans, and all spans, of every whole text.
 
-    A null text counts as empty: no spans, the digest of the empty string. Repeated rows are
-    searched each, other columns are ignored, an empty table gives an empty result.
+    A null text counts as empty: no spans, the digest of the empty string. Long texts are searched whole, in time that
+    grows with their length. Repeated rows are searched each, other columns are ignored, an empty table gives an empty result.
     """
     shared = docs.sparkSession.sparkContext.broadcast(field)
 
@@ -393,7 +470,8 @@ def masked_text(text: str, spans: list[Span]) -> str:
 
 
 def mask(docs: DataFrame, field: Field) -> DataFrame:
-    """`docs` with personal data masked in `text`; null stays null, other columns stay as they are."""
+    """`docs` with personal data masked in `text`; null stays null, empty stays empty, other columns stay as they are,
+    whatever their names. Whole texts are masked, however long; repeated rows stay; an empty table gives an empty result."""
     shared = docs.sparkSession.sparkContext.broadcast(field)
     place = docs.columns.index("text")
 

@@ -1,6 +1,8 @@
 import random
 import re
+import time
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -109,3 +111,35 @@ def test_masking():
     rng = random.Random(0)
     text = " ".join(str(rng.random()) for _ in range(5))
     assert pii.masked_text(text, []) == text
+
+
+def test_a_million_characters_of_numbers_stay_linear():
+    """Twice the numbers take about twice the time, in the field and in merging the spans."""
+    field = pii.train()
+
+    def seconds(text):
+        start = time.perf_counter()
+        found = list(pii.all_spans(field, [text]))
+        return time.perf_counter() - start, found
+
+    for make in (lambda n: " ".join(str(k * 7919 % 100_003) for k in range(n)), lambda n: " ".join(f"a{k}@b.com" for k in range(n // 4))):
+        (short, _), (long, found) = seconds(make(40_000)), seconds(make(160_000))
+        assert long < 9 * short + 1
+        assert all(s[2] - s[1] > 0 for s in found[0][1])
+
+
+@given(st.lists(st.tuples(st.integers(0, 40), st.integers(1, 6)), max_size=8), st.lists(st.tuples(st.integers(0, 40), st.integers(1, 6)), max_size=8))
+def test_overlaps_equal_all_pairs(spans, base):
+    spans, base = ([("ip", a, a + n) for a, n in sorted(x)] for x in (spans, base))
+    assert pii.untouched(spans, base) == [all(s[2] <= b[1] or b[2] <= s[1] for b in base) for s in spans]
+
+
+def test_one_long_stretch_has_the_same_path_alone_and_in_a_batch():
+    field = pii.train()
+    lines = " ".join(text for text, _ in pii.labelled_lines(seed=5, n=200))
+    found = pii.stretches(lines)
+    joined = pii.stretches(" ".join(text.replace("\n", " ") for text, _ in pii.labelled_lines(seed=6, n=40) if not text.isalpha()))
+    for stretch in [*found[:40], *joined]:
+        alone = pii._one_path(field, stretch)
+        assert pii.viterbi(field, [stretch, stretch])[0] == alone
+        assert np.allclose(field.scores([stretch])[0], [[sum(field.emit[field.index.get(f, 0), k] for f in row) for k in range(len(pii.STATES))] for row in stretch.features])
