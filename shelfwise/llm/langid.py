@@ -101,7 +101,11 @@ def _costs(grams: list, contexts: list[np.ndarray], n: int, spare: int) -> list[
 
 
 def build(texts: dict[str, list[bytes]]) -> Model:
-    """Freeze the trees of the folded sample texts of each language."""
+    """Freeze the trees of the folded sample texts of each language.
+
+    Contexts of two and three bytes become nodes only where some follower came twice in a language;
+    a text falls back to the shorter context there, as for a context that was never met.
+    """
     languages = tuple(sorted(texts))
     used = sorted(set(b"".join(b"".join(t) for t in texts.values())) | {32})
     n = len(used) + 1
@@ -133,10 +137,13 @@ def build(texts: dict[str, list[bytes]]) -> Model:
 
 
 def train(docs: DataFrame, rows_per_language: int = 400, bytes_per_language: int = 2 << 20) -> Model | None:
-    """Learn from text and non-null lang of documents that are not held out; None if there is none."""
+    """Learn from text and non-null lang of documents that are not held out; None if there is none.
+
+    A document counts once: of several texts under one id and language the smallest.
+    """
     known = docs.where(learnable(F.col("doc_id")) & F.col("lang").isNotNull()).select("doc_id", "lang").distinct()
     ids = settle(per_class_sample(known, "lang", "doc_id", rows_per_language), "language-ids")
-    sample = docs.where(F.col("text").isNotNull()).select("doc_id", "lang", "text").join(ids, ["doc_id", "lang"])
+    sample = docs.where(F.col("text").isNotNull()).select("doc_id", "lang", "text").join(ids, ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
     texts: dict[str, list[bytes]] = {}
     room: dict[str, int] = {}
     for row in sample.orderBy(F.xxhash64("doc_id"), "doc_id", "lang", "text").toLocalIterator():

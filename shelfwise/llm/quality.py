@@ -51,10 +51,10 @@ class Model:
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, rows_per_class: int) -> DataFrame:
     """doc_id, text and label of the sample. Labels other than 0 and 1 and null texts are left out;
-    a document labelled both ways counts for both."""
+    a document labelled both ways counts for both. A document counts once: of several texts under one id the smallest."""
     known = labels.where(learnable(F.col("doc_id")) & F.col("quality").isin(0, 1)).select("doc_id", "quality").distinct()
     ids = settle(per_class_sample(known, "quality", "doc_id", rows_per_class), "quality-ids")
-    return docs.where(F.col("text").isNotNull()).select("doc_id", "text").join(ids, "doc_id")
+    return docs.where(F.col("text").isNotNull()).select("doc_id", "text").join(ids, "doc_id").groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
 
 
 def blocks(text: str) -> list[bytes]:
@@ -147,7 +147,7 @@ def score(model: Model, text: str) -> float:
 def classify(docs: DataFrame, model: Model) -> DataFrame:
     """Score every row of `docs` by its whole text.
 
-    A null text counts as empty; an empty text gets the score of two zero features. Repeated
+    A null text counts as empty; an empty text gets the score of two zero features. Long texts are compressed block by block. Repeated
     rows are scored each, other columns are ignored, an empty table gives an empty result.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -163,7 +163,11 @@ def classify(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows of `docs`, all their columns, whose text scores at least 0.5."""
+    """The rows of `docs`, all their columns, whose text scores at least 0.5.
+
+    A null text counts as empty, so such rows go or stay together with empty ones. Repeated rows are judged each, long texts
+    by all their blocks; columns keep their names whatever they are; an empty table gives an empty result.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
