@@ -1,8 +1,8 @@
 """Main text of web pages by gradient-boosted trees over DOM-node features.
 
 A page becomes a tree of block elements. Each gets features of itself (tag, words of its class, id
-and role, depth), of its subtree (text, link and tag density, sentences), of its siblings and of
-its ancestors. Boosted trees, fitted on a small labelled table of pages built by rule, give each
+and role, depth), of its subtree (text, link and tag density, sentences, its share of the page's paragraphs), of its
+siblings, of its ancestors and of its place beside the main heading and on the way that leads to the most prose. Boosted trees, fitted on a small labelled table of pages built by rule, give each
 block log-odds of being main text. Decoding is hierarchical: a block is kept as a whole, dropped
 as a whole, or split at a price into its children's own best choices; so no block is kept below
 one that was dropped, or dropped below one that was kept.
@@ -102,6 +102,7 @@ def parse(source: str) -> Page:
     blocks = [Block("root", -1, 0, frozenset())]
     runs: list[tuple[int, str]] = []
     stack: list[tuple[str, int]] = [("root", 0)]  # open elements with the block they belong to
+    opened: Counter[str] = Counter()  # how many of each are in it
     buffer: list[str] = []
     veil: list[str] = []  # open elements from a veiled one on
     held: Counter[str] = Counter()  # how many of each
@@ -161,13 +162,13 @@ def parse(source: str) -> Page:
                     ended = veil.pop()
                     held[ended] -= 1
                 continue
-            if any(name == tag for name, _ in stack):
+            if opened[tag]:
                 veil.clear()
                 held.clear()
                 flush()
                 while stack[-1][0] != tag:
-                    stack.pop()
-                stack.pop()
+                    opened[stack.pop()[0]] -= 1
+                opened[stack.pop()[0]] -= 1
                 links = 0
             continue
         if not veil:
@@ -197,12 +198,13 @@ def parse(source: str) -> Page:
         links = 0
         if any(name == "p" for name, _ in stack[-3:]):
             while stack[-1][0] != "p":
-                stack.pop()
-            stack.pop()
+                opened[stack.pop()[0]] -= 1
+            opened[stack.pop()[0]] -= 1
         if tag in CLOSED_BY:
             ends = CLOSED_BY[tag]
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k][0] in ends:
+                    opened.subtract(name for name, _ in stack[k:])
                     del stack[k:]
                     if tag != "tr":
                         break
@@ -213,6 +215,7 @@ def parse(source: str) -> Page:
         blocks[parent].children.append(len(blocks))
         blocks.append(Block(tag, parent, blocks[parent].depth + 1, words, place=len(blocks[parent].children) - 1))
         stack.append((tag, len(blocks) - 1))
+        opened[tag] += 1
     flush()
     hidden = {k for k, b in enumerate(blocks) if b.tag in HIDDEN}
     for k, b in enumerate(blocks):
@@ -222,7 +225,7 @@ def parse(source: str) -> Page:
 
 
 N_TAGS, N_WORDS = len(TAG_GROUPS), len(WORD_GROUPS)
-N_FEATURES = 2 * (N_TAGS + N_WORDS) + 14
+N_FEATURES = 2 * (N_TAGS + N_WORDS) + 22
 
 
 def features(page: Page) -> np.ndarray:
@@ -230,7 +233,7 @@ def features(page: Page) -> np.ndarray:
     blocks = page.blocks
     n = len(blocks)
     out = np.zeros((n, N_FEATURES), dtype=np.float32)
-    text, linked, tags, sentences, paragraphs = ([0] * n for _ in range(5))
+    text, linked, tags, sentences, paragraphs, prose, titles = ([0] * n for _ in range(7))
     for k in range(n - 1, -1, -1):
         b = blocks[k]
         text[k] += b.own
@@ -238,10 +241,21 @@ def features(page: Page) -> np.ndarray:
         tags[k] += b.tags
         sentences[k] += b.sentences
         paragraphs[k] += b.tag == "p"
+        prose[k] += b.own if b.tag == "p" else 0
+        titles[k] += b.tag == "h1"
         if k:
-            for column in (text, linked, tags, sentences, paragraphs):
+            for column in (text, linked, tags, sentences, paragraphs, prose, titles):
                 column[b.parent] += column[k]
-    whole = max(1, text[0])
+    whole, all_prose, all_paragraphs = max(1, text[0]), max(1, prose[0]), max(1, paragraphs[0])
+    # the way from the root that follows the child with the most prose, and where the main heading stands
+    path, at = {0}, 0
+    while blocks[at].children:
+        at = max(blocks[at].children, key=prose.__getitem__)
+        if not prose[at]:
+            break
+        path.add(at)
+    first_title = next((k for k, b in enumerate(blocks) if b.tag == "h1"), -1)
+    under_path = [0] * n
     base = 2 * (N_TAGS + N_WORDS)
     for k, b in enumerate(blocks):
         row = out[k]
@@ -269,7 +283,21 @@ def features(page: Page) -> np.ndarray:
             b.place / max(1, len(siblings)),
             np.log1p(nearby),
             k / n,
+            prose[k] / all_prose,
+            paragraphs[k] / all_paragraphs,
+            text[k] / max(1, text[b.parent]) if k else 1.0,
+            prose[k] / max(1, prose[b.parent]) if k else 1.0,
+            min(titles[k], 2),
+            titles[b.parent] - titles[k] if k else 0,  # a main heading beside it
+            (k > first_title) if first_title >= 0 else -1,
+            under_path[k],
         )
+        # how far down the way with the most prose it or the block above it lies: 0 off the way
+        if k in path:
+            under_path[k] = 2
+        elif k and (b.parent in path) and blocks[b.parent].tag not in ("root", "html", "body"):
+            under_path[k] = 1
+        row[-1] = under_path[k]
     return out
 
 
@@ -298,10 +326,10 @@ class Forest:
         return out
 
 
-def boost(x: np.ndarray, y: np.ndarray, weight: np.ndarray, trees: int = 60, rate: float = 0.25, bins: int = 24, damping: float = 2.0) -> Forest:
+def boost(x: np.ndarray, y: np.ndarray, weight: np.ndarray, trees: int = 90, rate: float = 0.25, bins: int = 24, damping: float = 2.0) -> Forest:
     """Newton boosting of the logistic loss with histogram splits."""
     cuts = [np.unique(np.quantile(x[:, k], np.linspace(0, 1, bins + 1)[1:-1])) for k in range(x.shape[1])]
-    binned = np.stack([np.searchsorted(c, x[:, k], side="left") for k, c in enumerate(cuts)], axis=1)
+    binned = [np.searchsorted(c, x[:, k], side="left") for k, c in enumerate(cuts)]
     inner, leaves = 2**DEPTH - 1, 2**DEPTH
     share = float((weight * y).sum() / weight.sum())
     start = float(np.log(share / (1 - share)))
@@ -312,20 +340,21 @@ def boost(x: np.ndarray, y: np.ndarray, weight: np.ndarray, trees: int = 60, rat
         g, h = weight * (y - p), weight * p * (1 - p)
         node = np.zeros(len(y), dtype=np.int64)
         feature, threshold = np.zeros(inner, dtype=np.int64), np.full(inner, np.inf)
-        for k in range(inner):
-            mine = node == k
-            best = 1e-6
-            total_g, total_h = g[mine].sum(), h[mine].sum()
-            for f in range(x.shape[1]):
-                if not len(cuts[f]):
+        for level in range(DEPTH):
+            first, width = 2**level - 1, 2**level
+            best = np.full(width, 1e-6)
+            sums = [np.bincount(node - first, v, minlength=width) for v in (g, h)]
+            for f, c in enumerate(cuts):
+                if not len(c):
                     continue
-                left_g = np.cumsum(np.bincount(binned[mine, f], g[mine], minlength=len(cuts[f]) + 1))[:-1]
-                left_h = np.cumsum(np.bincount(binned[mine, f], h[mine], minlength=len(cuts[f]) + 1))[:-1]
+                place = (node - first) * (len(c) + 1) + binned[f]
+                left_g, left_h = (np.cumsum(np.bincount(place, v, minlength=width * (len(c) + 1)).reshape(width, -1), axis=1)[:, :-1] for v in (g, h))
+                total_g, total_h = sums[0][:, None], sums[1][:, None]
                 gain = left_g**2 / (left_h + damping) + (total_g - left_g) ** 2 / (total_h - left_h + damping) - total_g**2 / (total_h + damping)
-                at = int(gain.argmax())
-                if gain[at] > best:
-                    best, feature[k], threshold[k] = gain[at], f, cuts[f][at]
-            node = np.where(mine, 2 * k + 1 + (x[:, feature[k]] > threshold[k]), node)
+                at = gain.argmax(axis=1)
+                for k in np.flatnonzero(gain[np.arange(width), at] > best).tolist():
+                    best[k], feature[first + k], threshold[first + k] = gain[k, at[k]], f, c[at[k]]
+            node = 2 * node + 1 + (x[np.arange(len(x)), feature[node]] > threshold[node])
         leaf = node - inner
         value = rate * np.bincount(leaf, g, minlength=leaves) / (np.bincount(leaf, h, minlength=leaves) + damping)
         odds += value[leaf]
@@ -339,8 +368,16 @@ def boost(x: np.ndarray, y: np.ndarray, weight: np.ndarray, trees: int = 60, rat
 MAIN = 'data-main="1"'
 
 
-def labelled_pages(seed: int = 11, n: int = 160) -> Iterator[tuple[str, list[bool]]]:
-    """Pages built by rule, with, for each block in order of opening, whether it is main text."""
+PLAIN = ("div", "div", "section", 'div class="td-12"', "table", 'div id="mw-parser-output"', 'div class="{word}"', 'div class="col-{number}"', 'div class="container"', 'div id="{word}-{number}"')
+"""Containers of an article that do not say what they hold."""
+NAMED = ("article", "article", "article", "main", 'div class="content"', 'div id="main"', 'section class="post"', 'div class="entry-content"', 'article class="post-{number}"')
+
+
+def labelled_pages(seed: int = 11, n: int = 420, plain: float = 0.5) -> Iterator[tuple[str, list[bool]]]:
+    """Pages built by rule, with, for each block in order of opening, whether it is main text.
+
+    A share `plain` of the articles stands in containers without a telling name, among boxes that may have none either.
+    """
     rng = random.Random(seed)
     word = lambda: "".join(rng.choice(["th", "er", "on", "an", "re", "he", "in", "ed", "nd", "ha"]) for _ in range(rng.randint(1, 4)))
     words = lambda a, b: " ".join(word() for _ in range(rng.randint(a, b)))
@@ -348,9 +385,17 @@ def labelled_pages(seed: int = 11, n: int = 160) -> Iterator[tuple[str, list[boo
     prose = lambda: " ".join(sentence() for _ in range(rng.choice([1, 1, 2, 3, 5, 9, 20])))
     link = lambda: f'<a href="/{word()}">{words(1, 3)}</a>'
 
+    def filled(name: str) -> str:
+        return name.format(word=word(), number=rng.randint(1, 99))
+
+    def box(inner: str, *names: str) -> str:
+        """A container of one of these names, or of one that says nothing."""
+        name = filled(rng.choice([f'div class="{x}"' for x in names] * 3 + ["div", 'div class="{word}"', "section"]))
+        return f"<{name}>{inner}</{name.split()[0]}>"
+
     def menu() -> str:
         items = "".join(f"<li>{link()}</li>" for _ in range(rng.randint(3, 9)))
-        return rng.choice([f"<nav><ul>{items}</ul></nav>", f'<div class="{rng.choice(["menu", "nav", "navbar", "breadcrumbs"])}"><ul>{items}</ul></div>', f'<ul id="menu">{items}</ul>'])
+        return rng.choice([f"<nav><ul>{items}</ul></nav>", box(f"<ul>{items}</ul>", "menu", "nav", "navbar", "breadcrumbs"), f'<ul id="menu">{items}</ul>'])
 
     def advert() -> str:
         name = rng.choice(["ad", "ads", "advert", "sponsored", "promo", "banner"])
@@ -360,6 +405,15 @@ def labelled_pages(seed: int = 11, n: int = 160) -> Iterator[tuple[str, list[boo
         inner = "".join(rng.choice([f"<li>{link()}</li>", f"<p>{words(3, 20)}</p>"]) for _ in range(rng.randint(2, 7)))
         return rng.choice([f"<aside><h3>{words(1, 3)}</h3>{inner}</aside>", f'<div class="{rng.choice(["sidebar", "related", "widget"])}"><h4>{words(1, 3)}</h4>{inner}</div>'])
 
+    def teasers() -> str:
+        """Links to other articles, each with a line or two, in boxes that may call themselves articles."""
+        each = lambda: rng.choice([f"<h3>{link()}</h3><p>{sentence()}</p>", f"<h4>{link()}</h4>", f"<p>{link()} {sentence()}</p>", f"<p>{sentence()} {link()}</p>"])
+        name = rng.choice(["related", "recommended", "more", "teasers related", "related-posts"])
+        items = [each() for _ in range(rng.randint(1, 5))]
+        many = "".join(f'<article class="{rng.choice([name, "teaser related"])}">{x}</article>' for x in items)
+        one = f"<h2>{words(1, 3)}</h2>{''.join(items)}"
+        return rng.choice([many, f'<section class="{name}">{one}</section>', f'<div class="{name}">{one}</div>', f'<article class="{name}">{one}</article>', f"<aside>{one}</aside>"])
+
     def notice() -> str:
         return f'<div class="{rng.choice(["cookie", "notice", "consent", "popup", "alert"])}"><p>{sentence()}</p>{rng.choice(["", "<button>OK</button>", link()])}</div>'
 
@@ -378,26 +432,39 @@ def labelled_pages(seed: int = 11, n: int = 160) -> Iterator[tuple[str, list[boo
         return rng.choice([f"<header><h1>{words(1, 3)}</h1></header>", f'<div class="header">{words(1, 4)}</div>', f"<header>{link()} {link()}</header>"])
 
     def article() -> str:
+        title = f"<h1 {MAIN}>{words(2, 9)}</h1>" if rng.random() < 0.9 else ""
+        unnamed = rng.random() < plain
+        number = rng.choice([1, 2, 4, 8, 8, 15, 25, 30, 50])
+        long = unnamed and number <= 2  # a short article without a name shows itself by its paragraphs only
         parts = []
-        for _ in range(rng.choice([1, 2, 4, 8, 15, 25])):
+        for _ in range(number):
+            text = (lambda: " ".join(sentence() for _ in range(rng.randint(2, 12)))) if long else prose
             parts.append(
                 rng.choice(
-                    [f"<p {MAIN}>{prose()}</p>"] * 7
+                    [f"<p {MAIN}>{text()}</p>"] * 7
                     + [f"<p {MAIN}>{prose()}", f"<p {MAIN}><b>{sentence()}<br><p {MAIN}>{prose()}</p>", f"<p {MAIN}>{prose()} {link()} {sentence()}</p>", f"<h2 {MAIN}>{words(1, 6)}</h2>"]
                     + [f"<ul {MAIN}>{''.join(f'<li {MAIN}>{sentence()}</li>' for _ in range(4))}</ul>", f"<blockquote {MAIN}>{prose()}</blockquote>", f"<p {MAIN}>{word().capitalize()}.</p>"]
                 )
+                if not long
+                else f"<p {MAIN}>{text()}</p>"
             )
             if rng.random() < 0.04:
-                parts.append(rng.choice([advert, notice, form])())
-        title = f"<h1 {MAIN}>{words(2, 9)}</h1>" if rng.random() < 0.9 else ""
-        tag = rng.choice(["article", "article", "article", "main", 'div class="content"', 'div id="main"', 'section class="post"'])
-        return f"<{tag} {MAIN}>{title}{''.join(parts)}</{tag.split()[0]}>"
+                parts.append(rng.choice([advert, notice, form, teasers])())
+        if rng.random() < 0.2:
+            parts.append(rng.choice([teasers, comments, side])())
+        name = filled(rng.choice(PLAIN if unnamed else NAMED))
+        inner = "".join(parts)
+        if name == "table":
+            return f"{title}<table {MAIN}><tr {MAIN}><td {MAIN}>{inner}</td></tr></table>"
+        if title and rng.random() < (0.4 if unnamed else 0.1):
+            return f"{title}<{name} {MAIN}>{inner}</{name.split()[0]}>"
+        return f"<{name} {MAIN}>{title}{inner}</{name.split()[0]}>"
 
     maybe = lambda make, p: make() if rng.random() < p else ""
     for _ in range(n):
-        middle = maybe(side, 0.3) + article() + maybe(side, 0.3)
+        middle = maybe(side, 0.3) + article() + maybe(side, 0.3) + maybe(teasers, 0.3)
         if rng.random() < 0.3:
-            middle = f'<div class="{rng.choice(["wrapper", "page", "container"])}">{middle}</div>'
+            middle = f'<div class="{rng.choice(["wrapper", "page", "container", word()])}">{middle}</div>'
         body = maybe(notice, 0.3) + maybe(header, 0.5) + maybe(menu, 0.8) + maybe(advert, 0.6) + middle + maybe(advert, 0.2) + maybe(form, 0.3) + maybe(comments, 0.4) + maybe(notice, 0.15) + maybe(footer, 0.9)
         page = f"<!DOCTYPE html><html><head><title>{word()}</title></head><body>{body}"
         page = page[: rng.randint(len(page) // 2, len(page))] if rng.random() < 0.1 else page + "</body></html>"
@@ -422,6 +489,8 @@ def train(seed: int = 11) -> Forest:
 # --- decoding ----------------------------------------------------------------------------------
 
 SPLIT_PRICE = 6.0
+FREE_TO_SPLIT = frozenset(["root", "html", "body"])
+"""Every page has more than its main text in these."""
 MOST_ODDS = 4.0
 
 
@@ -434,7 +503,8 @@ def chosen(page: Page, odds: np.ndarray) -> list[bool]:
     parts = [0.0] * n
     for k in range(n - 1, -1, -1):
         parts[k] += abs(gain[k]) if blocks[k].own else 0.0
-        best[k] = max(abs(whole[k]), parts[k] - SPLIT_PRICE if blocks[k].children else -np.inf)
+        price = 0.0 if blocks[k].tag in FREE_TO_SPLIT else SPLIT_PRICE
+        best[k] = max(abs(whole[k]), parts[k] - price if blocks[k].children else -np.inf)
         if k:
             whole[blocks[k].parent] += whole[k]
             parts[blocks[k].parent] += best[k]
@@ -468,7 +538,7 @@ def extract(pages: DataFrame, forest: Forest) -> DataFrame:
     """page_id, url, main text and its code points for every row of `pages`, from the whole html.
 
     A null or empty html, or one without main text, gives an empty text. Character references are
-    decoded, white space within a block becomes one space, blocks are joined by one space. Repeated
+    decoded, white space within a block becomes one space, blocks are joined by one space. Long pages are read whole. Repeated
     rows are read each, other columns are ignored, an empty table gives an empty result.
     """
     shared = pages.sparkSession.sparkContext.broadcast(forest)
