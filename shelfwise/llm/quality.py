@@ -1,10 +1,12 @@
 """Quality classifier by compression.
 
 Two zstandard dictionaries are built, from good and from bad labelled text. A text is
-compressed with each in blocks; the difference of the two sizes, divided by their sum, says
-which kind of text it resembles, and the share of its bytes that remains says how much it
-repeats itself. A logistic curve over the two, fitted on labelled rows that took no part in
-the dictionaries, gives the probability of label 1.
+compressed with each in blocks; what the good dictionary saves against the bad one, divided by the
+size of the text, is its evidence. A text that repeats itself compresses well with either, so little is saved and it
+has little evidence of being good. The division is damped: a text counts as if some bytes of typical good text
+came with it, so that a few words, which hold no evidence, score by what is known of all texts. A logistic
+curve over this difference, fitted on labelled rows that took no part in the dictionaries, gives
+the probability of label 1.
 
 Learning uses a bounded sample: at most `rows_per_class` labelled documents of each label,
 chosen by hash, at most `bytes_per_class` of their text. Everything else reads all rows.
@@ -27,8 +29,10 @@ from pyspark.sql import types as T
 from shelfwise.llm.shared import held_out, learnable, output, per_class_sample, slices, texts_of
 from shelfwise.sources.scratch import settle
 
-BLOCK = 2048
+BLOCK = 1024
 LEVEL = 3
+PRIOR_BYTES = 32
+"""Typical good text that every text is taken to come with."""
 
 SCHEMA = T.StructType(
     [
@@ -42,11 +46,14 @@ SCHEMA = T.StructType(
 
 @dataclass(frozen=True)
 class Model:
-    """`good` and `bad` are dictionary bytes; both empty means nothing could be learned."""
+    """`good` and `bad` are dictionary bytes; both empty means nothing could be learned. `typical` is the difference of
+    good text for each of its bytes, `slope` and `constant` those of the curve."""
 
     good: bytes
     bad: bytes
-    weights: tuple[float, float, float]
+    typical: float
+    slope: float
+    constant: float
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, rows_per_class: int) -> DataFrame:
@@ -77,23 +84,18 @@ def _compressor(dictionary: bytes) -> zstandard.ZstdCompressor:
     return zstandard.ZstdCompressor(level=LEVEL, dict_data=shared, write_content_size=False, write_dict_id=False, write_checksum=False)
 
 
-@functools.lru_cache(maxsize=1)
-def _plain() -> zstandard.ZstdCompressor:
-    return zstandard.ZstdCompressor(level=LEVEL, write_content_size=False, write_checksum=False)
-
-
-def features(good: bytes, bad: bytes, text: str) -> tuple[float, float]:
-    """(size with the bad dictionary - size with the good one) / their sum, and the logarithm of the
-    size without a dictionary over the raw size, at most 0; both 0 for an empty text."""
-    as_good = as_bad = alone = raw = 0
+def saved(good: bytes, bad: bytes, text: str) -> tuple[int, int]:
+    """Bytes that the good dictionary saves against the bad one, over all blocks, and the size of the text."""
+    difference = raw = 0
     for block in blocks(text):
-        as_good += len(_compressor(good).compress(block))
-        as_bad += len(_compressor(bad).compress(block))
-        alone += len(_plain().compress(block))
+        difference += len(_compressor(bad).compress(block)) - len(_compressor(good).compress(block))
         raw += len(block)
-    if not raw:
-        return 0.0, 0.0
-    return (as_bad - as_good) / (as_bad + as_good), min(0.0, math.log(alone / raw))
+    return difference, raw
+
+
+def damped(difference: int, raw: int, typical: float) -> float:
+    """The normalised difference; `typical` for an empty text."""
+    return (difference + PRIOR_BYTES * typical) / (raw + PRIOR_BYTES)
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, rounds: int = 60) -> tuple[float, ...]:
@@ -126,28 +128,28 @@ def train(docs: DataFrame, labels: DataFrame, rows_per_class: int = 3000, bytes_
             texts[row.quality].append(row.text)
             room[row.quality] -= len(row.text.encode())
     if min(len(texts[0]), len(texts[1])) < 4:
-        return Model(b"", b"", (0.0, 0.0, 0.0))
+        return Model(b"", b"", 0.0, 0.0, 0.0)
     good, bad = (_dictionary(texts[k][0::2], dictionary_size) for k in (1, 0))
-    rest = [(features(good, bad, text), k) for k in (0, 1) for text in texts[k][1::2]]
-    x, y = np.array([x for x, _ in rest]), np.array([k for _, k in rest])
-    *slopes, constant = _logistic(x, y)
+    rest = [(*saved(good, bad, text), k) for k in (0, 1) for text in texts[k][1::2]]
+    typical = float(np.median([difference / raw for difference, raw, k in rest if k == 1]))
+    x, y = np.array([[damped(difference, raw, typical)] for difference, raw, _ in rest]), np.array([k for *_, k in rest])
+    slope, constant = _logistic(x, y)
     share = known_share(labels)
     odds = math.log(share / (1 - share)) - math.log(y.mean() / (1 - y.mean()))
-    return Model(good, bad, (*slopes, constant + odds))
+    return Model(good, bad, typical, slope, constant + odds)
 
 
 def score(model: Model, text: str) -> float:
     if not model.good or not model.bad:
         return 0.5
-    kind, repeats = features(model.good, model.bad, text)
-    first, second, constant = model.weights
-    return 1 / (1 + math.exp(-max(-700.0, min(700.0, first * kind + second * repeats + constant))))
+    difference = damped(*saved(model.good, model.bad, text), model.typical)
+    return 1 / (1 + math.exp(-max(-700.0, min(700.0, model.slope * difference + model.constant))))
 
 
 def classify(docs: DataFrame, model: Model) -> DataFrame:
     """Score every row of `docs` by its whole text.
 
-    A null text counts as empty; an empty text gets the score of two zero features. Long texts are compressed block by block. Repeated
+    A null text counts as empty; an empty text gets the score of typical good text. Long texts are compressed block by block. Repeated
     rows are scored each, other columns are ignored, an empty table gives an empty result.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)

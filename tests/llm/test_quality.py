@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from shelfwise.llm import quality
@@ -5,18 +6,18 @@ from shelfwise.llm.queries import QUERIES
 from shelfwise.llm.shared import table
 from tests.llm.support import awkward, docs_of, rows_of
 
-NOTHING = quality.Model(b"", b"", (0.0, 0.0, 0.0))
+NOTHING = quality.Model(b"", b"", 0.0, 0.0, 0.0)
 
 
-def test_held_out_accuracy(spark):
-    data = "/root/testdata/sf0.01"
+@pytest.mark.parametrize("data", ["/root/testdata/sf0.01", "/root/testdata/sf0.1"])
+def test_held_out_accuracy(spark, data):
     found = QUERIES["op10_quality"](spark, data)
     assert found.count() == table(spark, data, "documents").count()
     judged = found.where("held_out").join(table(spark, data, "labels").select("doc_id", "quality"), "doc_id").collect()
     bad = [r for r in judged if r.quality == 0]
     good = [r for r in judged if r.quality == 1]
-    assert sum(r.predicted == 1 for r in good) >= 0.95 * len(good)
-    assert sum(r.predicted == 0 for r in bad) >= 0.7 * len(bad)
+    assert sum(r.predicted == 1 for r in good) >= 0.98 * len(good)
+    assert sum(r.predicted == 0 for r in bad) >= 0.9 * len(bad)
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in judged)
 
 
