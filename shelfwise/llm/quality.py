@@ -31,7 +31,7 @@ from shelfwise.sources.scratch import settle
 
 BLOCK = 1024
 LEVEL = 3
-PRIOR_BYTES = 32
+PRIOR_BYTES = 128
 """Typical good text that every text is taken to come with."""
 
 SCHEMA = T.StructType(
@@ -118,7 +118,7 @@ def known_share(labels: DataFrame) -> float:
     return min(max(rows.agg(F.avg("quality")).first()[0], 0.01), 0.99)
 
 
-def train(docs: DataFrame, labels: DataFrame, rows_per_class: int = 3000, bytes_per_class: int = 16 << 20, dictionary_size: int = 65_536) -> Model:
+def train(docs: DataFrame, labels: DataFrame, rows_per_class: int = 3000, bytes_per_class: int = 16 << 20, dictionary_size: int = 262_144) -> Model:
     """Fit on the bounded sample. Without rows of both labels the model scores everything 0.5."""
     texts: dict[int, list[str]] = {0: [], 1: []}
     room = {0: bytes_per_class, 1: bytes_per_class}
