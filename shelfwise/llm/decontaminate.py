@@ -1,7 +1,8 @@
 """Benchmark decontamination by size-partitioned MinHash containment search, in Spark expressions only.
 
 Texts become five-word shingles, hashed to 64 bits; words are lower-cased runs of letters and
-digits, and each character of a script that is written without spaces is a word. A document contains an item if
+digits. If any item has characters of a script that is written without spaces, each of these is a word of its own in
+items and documents. A document contains an item if
 it holds at least the share `threshold` of the item's distinct shingles, however long the document is.
 
 Items are partitioned by the power of two of their size. The sketch of an item is its m smallest
@@ -32,10 +33,15 @@ UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer
 """Characters of scripts that are written without spaces between words."""
 
 
-def _words() -> Column:
+def _words(unspaced: bool) -> Column:
     text = F.lower("text")
-    spaced = F.when(text.rlike(UNSPACED), F.regexp_replace(text, f"({UNSPACED})", " $1 ")).otherwise(text)
-    return F.array_remove(F.split(spaced, r"[^\p{L}\p{N}\p{M}]+"), "")
+    spaced = F.regexp_replace(text, f"({UNSPACED})", " $1 ") if unspaced else text
+    return F.array_remove(F.split(spaced, r"[^\p{L}\p{N}]+"), "")
+
+
+def has_unspaced(benchmark: DataFrame) -> bool:
+    """Whether any item has characters of a script without spaces; only then are texts cut at these."""
+    return bool(benchmark.where(F.col("item_id").isNotNull()).agg(F.max(F.col("text").rlike(UNSPACED))).first()[0])
 
 
 def _shingles(width: int) -> Column:
@@ -44,18 +50,18 @@ def _shingles(width: int) -> Column:
     return F.array_distinct(F.expr(f"transform(if(size(w) >= {width}, sequence(0, size(w) - {width}), array()), i -> xxhash64({joined}))"))
 
 
-def _worded(rows: DataFrame, key: str) -> DataFrame:
+def _worded(rows: DataFrame, key: str, unspaced: bool) -> DataFrame:
     """`key` and the words `w` of every row that has a key and a text.
 
     Nothing filters on what is made of the words, and arrays are exploded by `explode_outer`, which implies no filter: one
     would be pushed below, where every reference splits the text again.
     """
-    return rows.where(F.col(key).isNotNull() & F.col("text").isNotNull()).select(F.col(key).cast("long").alias(key), _words().alias("w"))
+    return rows.where(F.col(key).isNotNull() & F.col("text").isNotNull()).select(F.col(key).cast("long").alias(key), _words(unspaced).alias("w"))
 
 
-def shingled(rows: DataFrame, key: str, width: int = WIDTH) -> DataFrame:
+def shingled(rows: DataFrame, key: str, width: int = WIDTH, unspaced: bool = False) -> DataFrame:
     """`key` and the distinct shingle hashes of `text`, none for texts of fewer words."""
-    return _worded(rows, key).select(key, _shingles(width).alias("shingles"))
+    return _worded(rows, key, unspaced).select(key, _shingles(width).alias("shingles"))
 
 
 def sketches(items: DataFrame, threshold: float) -> DataFrame:
@@ -66,30 +72,30 @@ def sketches(items: DataFrame, threshold: float) -> DataFrame:
     return items.select("item_id", F.explode(F.slice(F.sort_array("shingles"), F.lit(1), wanted)).alias("h"))
 
 
-def short_contained(docs: DataFrame, benchmark: DataFrame, shortest: int = 1) -> DataFrame | None:
+def short_contained(docs: DataFrame, benchmark: DataFrame, shortest: int = 1, unspaced: bool = False) -> DataFrame | None:
     """The pairs with items of `shortest` to four words; None if there is no such item.
 
     A single common word is contained in very many documents; the result has every such pair.
     """
     hashes = F.coalesce(*[F.when(F.size("w") == k, F.element_at(_shingles(k), 1)) for k in range(1, WIDTH)])
-    worded = _worded(benchmark, "item_id").select("item_id", F.size("w").alias("width"), hashes.alias("h"))
+    worded = _worded(benchmark, "item_id", unspaced).select("item_id", F.size("w").alias("width"), hashes.alias("h"))
     items = settle(worded.distinct(), "short-items").where((F.col("width") < WIDTH) & (F.col("width") >= shortest))
     found = None
     for row in items.groupBy("width").agg(F.count(F.lit(1)).alias("rows")).orderBy("width").collect():  # four widths at most
         own = bounded_broadcast(items.where(F.col("width") == row.width).select("item_id", "h"), row.rows, BROADCAST_ROWS)
-        searched = shingled(docs, "doc_id", row.width).select("doc_id", F.explode_outer("shingles").alias("h"))
+        searched = shingled(docs, "doc_id", row.width, unspaced).select("doc_id", F.explode_outer("shingles").alias("h"))
         pairs = searched.join(own, "h").select("doc_id", "item_id", F.lit(1).cast("long").alias("n_shared"), F.lit(1).cast("long").alias("n_shingles")).distinct()
         found = pairs if found is None else found.union(pairs)
     return found
 
 
-def _items(benchmark: DataFrame) -> tuple[DataFrame, int, int]:
-    """Items with five words or more and their shingles, written, with their number and bytes."""
+def _items(benchmark: DataFrame, unspaced: bool) -> tuple[DataFrame, int]:
+    """Items with five words or more and their shingles, written, with their bytes."""
     seen = Observation()
-    items = shingled(benchmark, "item_id").distinct()
+    items = shingled(benchmark, "item_id", unspaced=unspaced).distinct()
     size = F.sum(F.size("shingles").cast("long") * 8 + 32)
-    written = settle(items.observe(seen, F.count(F.lit(1)).alias("rows"), F.coalesce(size, F.lit(0)).alias("bytes")), "items")
-    return written.where(F.size("shingles") > 0), seen.get["rows"], seen.get["bytes"]
+    written = settle(items.observe(seen, F.coalesce(size, F.lit(0)).alias("bytes")), "items")
+    return written.where(F.size("shingles") > 0), seen.get["bytes"]
 
 
 def contained(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.8, shortest: int = 1) -> DataFrame:
@@ -99,23 +105,24 @@ def contained(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.8, sho
     Rows that repeat an id are searched each; a pair is returned once, with the largest overlap.
     Long texts are searched whole. Other columns are ignored; empty tables give an empty result.
     """
-    long = _contained(docs, benchmark, threshold)
-    short = short_contained(docs, benchmark, shortest) if shortest < WIDTH else None
+    unspaced = has_unspaced(benchmark)
+    long = _contained(docs, benchmark, threshold, unspaced)
+    short = short_contained(docs, benchmark, shortest, unspaced) if shortest < WIDTH else None
     return long if short is None else long.union(short.select(long.columns))
 
 
-def _contained(docs: DataFrame, benchmark: DataFrame, threshold: float) -> DataFrame:
+def _contained(docs: DataFrame, benchmark: DataFrame, threshold: float, unspaced: bool) -> DataFrame:
     """The pairs with items of five words or more."""
-    items, n_items, n_bytes = _items(benchmark)
+    items, n_bytes = _items(benchmark, unspaced)
     sketch, n_sketch = settle_counted(sketches(items, threshold).distinct(), "sketch")
     last = sketch.agg(F.max("h")).first()[0]
     if last is None:
         last = -(1 << 63)
-    searched = shingled(docs, "doc_id").select("doc_id", F.explode_outer("shingles").alias("h")).where(F.col("h") <= last)
+    searched = shingled(docs, "doc_id", unspaced=unspaced).select("doc_id", F.explode_outer("shingles").alias("h")).where(F.col("h") <= last)
     hits = searched.join(bounded_broadcast(sketch, n_sketch, BROADCAST_ROWS), "h")
     candidates, n_candidates = settle_counted(hits.select("doc_id", "item_id").distinct(), "candidates")
     ids = bounded_broadcast(candidates.select("doc_id").distinct(), n_candidates, BROADCAST_ROWS)
-    texts = shingled(docs.join(ids, "doc_id", "left_semi"), "doc_id")
+    texts = shingled(docs.join(ids, "doc_id", "left_semi"), "doc_id", unspaced=unspaced)
     wanted = bounded_broadcast(items.withColumnRenamed("shingles", "wanted"), n_bytes, BROADCAST_BYTES)
     pairs = texts.join(bounded_broadcast(candidates, n_candidates, BROADCAST_ROWS), "doc_id").join(wanted, "item_id")
     shared = pairs.select("doc_id", "item_id", F.size(F.array_intersect("wanted", "shingles")).cast("long").alias("n_shared"), F.size("wanted").cast("long").alias("n_shingles"))
@@ -139,7 +146,8 @@ WITH rows AS (
   SELECT 'd' AS kind, doc_id AS id, text FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL
   UNION ALL SELECT 'b', item_id, text FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
 words AS (
-  SELECT kind, id, list_filter(regexp_split_to_array(regexp_replace(lower(text), '([\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}])', ' \1 ', 'g'), '[^\p{L}\p{N}\p{M}]+'), lambda x: x <> '') AS w FROM rows),
+  SELECT kind, id, list_filter(regexp_split_to_array(CASE WHEN (SELECT bool_or(regexp_matches(text, '[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]')) FROM rows WHERE kind = 'b')
+    THEN regexp_replace(lower(text), '([\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}])', ' \1 ', 'g') ELSE lower(text) END, '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM rows),
 shingles AS (
   SELECT DISTINCT kind, id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) AS s
   FROM words WHERE len(w) >= 5),
