@@ -163,8 +163,7 @@ def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     starts, ends = edges[0::2], edges[1::2]
     sums = np.empty(len(data) + 1, dtype=np.uint64)
     sums[0] = 0
-    powers = powers(MULT, len(data))
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers, out=sums[1:])
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(MULT, len(data)), out=sums[1:])
     hashes = mixed((sums[ends] - sums[starts]) * powers(INVERSE, len(data))[starts] + (ends - starts).astype(np.uint64))
     lengths = np.fromiter(map(len, coded), dtype=np.int64, count=len(coded)) + 1
     owner = np.searchsorted(np.cumsum(lengths), starts, side="right")
