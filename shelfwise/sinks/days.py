@@ -120,14 +120,17 @@ def replace(df: DataFrame, table: str, asked: DataFrame | None = None, by: Seque
 
 
 def within(table: DataFrame, by: Sequence[str], specs: set[Spec]) -> DataFrame:
-    """Rows of some partitions. Each column is bounded by plain values, which prune partitions; the join settles which pairs."""
+    """Rows of some partitions. Each column is bounded by plain values, which prune partitions; the join settles which pairs.
+
+    The partitions are broadcast: by their keys, all rows of one would be sorted in one task.
+    """
     if not specs:
         return table.limit(0)
     for k, name in enumerate(by):
         table = table.filter(F.col(name).isin([F.lit(v).cast(table.schema[name].dataType) for v in sorted({spec[k] for spec in specs})]))
     exact = table.sparkSession.createDataFrame(sorted(specs), ", ".join(f"`{name}` string" for name in by))
     kinds = [F.col(name).cast(table.schema[name].dataType).alias(name) for name in by]
-    return table.join(exact.select(*kinds), list(by), "left_semi")
+    return table.join(F.broadcast(exact.select(*kinds)), list(by), "left_semi")
 
 
 def _root(spark: SparkSession, table: str) -> str:

@@ -276,3 +276,16 @@ def test_swap_keeps_one_version(spark):
 def test_jdbc_options_are_chunked():
     options = sinks.jdbc_options("jdbc:postgresql://host/db", "t")
     assert (options["batchsize"], options["dbtable"]) == ("5000", "t")
+
+
+def test_rows_of_a_large_partition_are_not_brought_together(spark, table):
+    """Its folder is found where its rows lie, not by a join that sorts them all in one task."""
+    day_tables.replace(frame(spark, (43, "2024-01-07", "a", 1), (43, "2024-01-08", "b", 1), (85, "2024-01-08", "c", 1)), table)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        found = day_tables.within(spark.table(table), day_tables.DAY_PARTITION, {("43", "2024-01-08"), ("85", "2024-01-07")})
+        assert "SortMergeJoin" not in found._jdf.queryExecution().executedPlan().toString()
+        assert content(found) == [(43, "2024-01-08", "b", 1)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
