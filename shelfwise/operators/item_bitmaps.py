@@ -1,8 +1,10 @@
 """Exact distinct counts that can be merged.
 
 Items get dense numbers per tenant, new ones behind the old. A day of a store is a bitmap over these
-numbers, in buckets of 32,768 bits; a week is the bitwise OR of its days, and its distinct items are
-the bits set. A run makes bitmaps of the new days only; days that were loaded again are simply replaced.
+numbers, one row for every 64 bits of which any is set; a week is the bitwise OR of its days, and its
+distinct items are the bits set. A store that lost few of many items so has few short rows, and a word is
+a number, which a hash aggregate holds in place. A run makes bitmaps of the new days only; days that were
+loaded again are simply replaced.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from shelfwise.functions.calendar import week_anchor
 from shelfwise.keys import STORE
 
 NUMBERS = "cmid int, item string, number bigint"
-DAY_MAPS = "cmid int, foreign_store_id string, store_show_code string, bucket bigint, items binary, date date"
+DAY_MAPS = "cmid int, foreign_store_id string, store_show_code string, word bigint, items bigint, date date"
 SLOTS = 256
 NO_ITEM = "\x00"
 """Stands for an unknown item where that counts as one."""
@@ -55,14 +57,15 @@ def day_maps(rows: DataFrame, numbers: DataFrame, column: str = "foreign_item_id
     keyed = rows.select(*STORE, "store_show_code", "date", item.alias("item")).join(numbers, ["cmid", "item"], "left")
     lost = F.col("item").isNotNull() & F.col("number").isNull()
     number = F.when(lost, F.raise_error(F.lit("an item without a number")).cast("bigint")).otherwise(F.col("number"))
-    bucket = F.bitmap_bucket_number(number).alias("bucket")
-    maps = keyed.groupBy(*STORE, "store_show_code", "date", bucket).agg(F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("items"))
-    return maps.select(*STORE, "store_show_code", "bucket", "items", "date")
+    word = F.shiftright(number, 6).alias("word")
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), number.bitwiseAND(63).cast("int"))
+    maps = keyed.groupBy(*STORE, "store_show_code", "date", word).agg(F.bit_or(bit).alias("items"))
+    return maps.select(*STORE, "store_show_code", "word", "items", "date")
 
 
 def week_items(maps: DataFrame, anchor: str = "sunday", keys: Sequence[str] = (*STORE, "store_show_code")) -> DataFrame:
     """Distinct items per `keys` and week, from bitmaps of days."""
     week = week_anchor(F.col("date"), anchor).alias("week")
-    buckets = maps.groupBy(*keys, week, "bucket").agg(F.bitmap_count(F.bitmap_or_agg("items")).alias("items"))
-    counted = F.when(F.col("bucket").isNotNull(), F.col("items")).otherwise(F.lit(0))
-    return buckets.groupBy(*keys, "week").agg(F.sum(counted).cast("bigint").alias("lost_sku"))
+    words = maps.groupBy(*keys, week, "word").agg(F.bit_or("items").alias("items"))
+    counted = F.coalesce(F.bit_count("items"), F.lit(0))
+    return words.groupBy(*keys, "week").agg(F.sum(counted).cast("bigint").alias("lost_sku"))

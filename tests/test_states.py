@@ -153,3 +153,23 @@ def test_bitmaps_count_across_buckets(spark):
     counted = item_bitmaps.numbered(item_bitmaps.no_numbers(spark), frame, count_null=True)
     maps = item_bitmaps.day_maps(frame, counted, count_null=True)
     assert {r.foreign_store_id: r.lost_sku for r in item_bitmaps.week_items(maps).collect()} == {"a": 5, "b": 1}
+
+
+def test_bitmaps_of_few_items_are_short(spark):
+    """A few lost items far apart are a few numbers, and no aggregate sorts them."""
+    numbers = spark.createDataFrame([(43, f"i{k}", k * 20_000 + k) for k in range(1, 9)], item_bitmaps.NUMBERS)
+    rows = [(43, f"s{s}", "A", f"i{k}", FIRST) for s in range(20) for k in (s % 8 + 1, 8, 8)]
+    maps = item_bitmaps.day_maps(spark.createDataFrame(rows, LOST), numbers)
+    found = maps.collect()
+    assert all(isinstance(r.items, int) for r in found) and len(found) <= 40
+    weeks = item_bitmaps.week_items(maps)
+    assert "SortAggregate" not in weeks._jdf.queryExecution().executedPlan().toString()
+    assert {r.foreign_store_id: r.lost_sku for r in weeks.collect()} == {f"s{s}": 1 if s % 8 == 7 else 2 for s in range(20)}
+
+
+def test_bitmaps_use_every_bit_of_a_word(spark):
+    numbers = spark.createDataFrame([(43, f"i{k}", k) for k in range(200)], item_bitmaps.NUMBERS)
+    frame = spark.createDataFrame([(43, "a", "A", f"i{k}", FIRST) for k in range(200)], LOST)
+    maps = item_bitmaps.day_maps(frame, numbers)
+    assert maps.count() == 4
+    assert [r.lost_sku for r in item_bitmaps.week_items(maps).collect()] == [200]
