@@ -1,6 +1,10 @@
-"""Byte-level BPE encoding of long texts by tree concatenation, and decoding.
+"""Byte-level BPE encoding of whole texts by words, of long words by tree concatenation, and decoding.
 
-A text longer than a leaf is halved again and again; all leaves of a slice are encoded side by
+A text is cut before the last white-space character ahead of each word and after the word, where the
+splitting pattern always cuts. Each different word of a slice is encoded once, and the tokens of
+short words are kept for the next slices.
+
+A word longer than a leaf is halved again and again; all leaves of a slice are encoded side by
 side, then neighbours are joined pairwise up the tree. At a join a window around the cut is
 encoded anew. Two facts make the result exact:
 
@@ -19,10 +23,13 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import itertools
 import os
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -35,6 +42,12 @@ LEAF = 16_384
 SLICE = 1 << 18
 """Bytes of text encoded at once: the library keeps far more than the identifiers of each token."""
 SHORT_WINDOW = 512
+KEPT_WORDS = 200_000
+LONGEST_KEPT = 64
+"""Characters of the longest words, and number of words, whose tokens a worker keeps; beyond that number it starts anew."""
+_SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_WORDS = re.compile(f"[{_SPACE}]?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])")
+"""The white space of the splitting pattern, which is not that of Python, and the parts of a text by it, without gaps."""
 _BORDER = regex.compile(
     r"(?<=\p{L})(?!\p{L})|(?<=\p{N})(?!\p{N})|(?<=[^\s\p{L}\p{N}])(?=[\s\p{N}])|(?<=[^\s\p{L}\p{N}'])(?=\p{L})"
 )
@@ -80,9 +93,43 @@ class Codec:
         pieces = [self.library.id_to_token(i) for i in range(size)]
         self.bytes = [p.encode() if p in self.special else bytes(table[c] for c in p) for p in pieces]
         self.decimal = [str(i).encode() for i in range(size)]
+        self._sizes = np.array([len(b) for b in self.bytes])
+        self._kept: dict[str, list[int]] = {}
 
     def encode(self, texts: list[str], leaf: int = LEAF) -> list[list[int]]:
         """Tokens of each whole text."""
+        kept, words = self._kept, [self._words(text) for text in texts]
+        new = set().union(*words).difference(kept)
+        kept.update(self._new_words(new, leaf))
+        out = [list(itertools.chain.from_iterable(map(kept.__getitem__, found))) for found in words]
+        for word in new:
+            if len(word) > LONGEST_KEPT:
+                del kept[word]
+        if len(kept) > KEPT_WORDS:
+            kept.clear()
+        return out
+
+    def _words(self, text: str) -> list[str]:
+        """The text in parts that are encoded alone; a special string is one, and white space before it stays together."""
+        if not any(special in text for special in self.special):
+            return _WORDS.findall(text)
+        return [word for piece in self._cut.split(text) for word in ([piece] if piece in self.special else _WORDS.findall(piece))]
+
+    def _new_words(self, words: set[str], leaf: int) -> Iterator[tuple[str, list[int]]]:
+        """Each word with its tokens. Short ones after one blank are encoded many in a text, as a call for each costs
+        more than its tokens, and parted by their bytes."""
+        blank = [w for w in words if 1 < len(w) <= LONGEST_KEPT and w[0] == " " and not w[1].isspace()]
+        lines = ["".join(some) for some in itertools.batched(blank, 64)]
+        if any(special in line for special in self.special for line in lines):
+            blank, lines = [], []
+        ids = list(itertools.chain.from_iterable(self.encode_words(lines, leaf)))
+        ends = np.searchsorted(np.cumsum(self._sizes[ids]), np.cumsum([len(w.encode()) for w in blank])) + 1 if blank else np.empty(0, int)
+        yield from zip(blank, (ids[a:b] for a, b in itertools.pairwise([0, *ends.tolist()])), strict=True)
+        others = list(words.difference(blank))
+        yield from zip(others, self.encode_words(others, leaf), strict=True)
+
+    def encode_words(self, texts: list[str], leaf: int = LEAF) -> list[list[int]]:
+        """Tokens of each text as a whole, nothing kept."""
         plans = [self._parts(text, leaf) for text in texts]
         stretches = [part[node.start : node.end] for plan in plans for part, nodes in plan for node in nodes]
         coded = iter(self.library.encode_batch_fast(stretches, add_special_tokens=False))

@@ -96,3 +96,26 @@ def test_encode_awkward_rows(spark):
     assert coded.columns == [c for c in rows.columns if c != "token_ids"] + ["token_ids"]
     assert sorted(len(r.token_ids) for r in coded.collect()) == sorted(r.n_tokens for r in bpe.encode_decode(rows, BYTES).collect())
     assert rows_of(bpe.with_tokens(rows.limit(0), BYTES)) == []
+
+
+def test_a_repeated_word_is_encoded_once(monkeypatch):
+    codec = bpe.Codec(BYTES)
+    encoded = []
+    plain = codec.encode_words
+    monkeypatch.setattr(codec, "encode_words", lambda texts, leaf: encoded.extend(texts) or plain(texts, leaf))
+    text = "so sagt der Mann und so sagt der Hund" + " und so sagt der Mann" * 500
+    wanted = codec.library.encode(text, add_special_tokens=False).ids
+    assert [codec.encode([text, text]), codec.encode([text])] == [[wanted, wanted], [wanted]]
+    assert sum(map(len, encoded)) < 40
+
+
+def test_words_at_every_white_space_and_special_string_equal_the_library(monkeypatch):
+    codec = bpe.Codec(BYTES)
+    monkeypatch.setattr(bpe, "KEPT_WORDS", 50)
+    marks = [chr(k) for k in [*range(33), 0x7F, 0x85, 0xA0, 0xAD, 0x1680, 0x180E, *range(0x2000, 0x2010), 0x2028, 0x2029, 0x202F, 0x205F, 0x2060, 0x3000, 0xFEFF]]
+    texts = [f"a{m}b {m} {m}{m}c{m} \n{m}'s  {m}<|endoftext|>{m} {m}x " for m in marks]
+    rng = random.Random(5)
+    pieces = [*marks, " ", "  ", "<|endoftext|>", "a", "'s", "x" * 70, " " * 90, "é", "漢字", "!!"]
+    texts += ["".join(rng.choice(pieces) for _ in range(rng.randint(0, 12))) for _ in range(3000)]
+    assert codec.encode(texts) == [e.ids for e in codec.library.encode_batch(texts, add_special_tokens=False)]
+    assert len(codec._kept) <= 50
