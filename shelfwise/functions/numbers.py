@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
@@ -25,3 +27,22 @@ def per_day(total: Column, days: Column) -> Column:
 def ratio(part: Column, whole: Column) -> Column:
     """Plain ratio; a zero denominator gives NULL."""
     return F.try_divide(part.cast("double"), whole.cast("double"))
+
+
+_LOW_BITS = 30
+
+
+def part_sums(column: str, alias: str) -> list[Column]:
+    """The sum of a decimal(18,4) as two 64-bit sums of its ten-thousandths, the low 30 bits and the rest.
+
+    They take half the room of a wide decimal in each row of an aggregate, and have room for billions of the largest values.
+    """
+    units = (F.col(column) * 10_000).cast("bigint")
+    low = units.bitwiseAND(F.lit((1 << _LOW_BITS) - 1))
+    return [F.sum(F.shiftright(units, _LOW_BITS)).alias(f"{alias}_high"), F.sum(low).alias(f"{alias}_low")]
+
+
+def sum_of_parts(alias: str) -> Column:
+    """The exact sum that `part_sums` stand for, null if there was no value."""
+    high, low = (F.col(f"{alias}_{side}").cast("decimal(19,0)") for side in ("high", "low"))
+    return high * F.lit(Decimal(1 << _LOW_BITS).scaleb(-4)) + low * F.lit(Decimal(1).scaleb(-4))

@@ -12,12 +12,15 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions.calendar import as_date, count_bits, day_words, rolling
 from shelfwise.functions.codes import store_type
-from shelfwise.functions.numbers import ratio, zero_if_null
+from shelfwise.functions.numbers import part_sums, ratio, sum_of_parts, zero_if_null
 from shelfwise.keys import CENTRAL_DELIVERY, ITEM, PAIR, STORE
 from shelfwise.sources.scratch import settle
 
 MONEY = "decimal(18,4)"
 
+# What a source says of a store item, as bits of one number: every row of the stacked sources carries all columns.
+_MARKS = {"listed": 1, "aa": 2, "has_ordered": 4, "has_suggested": 8}
+
 
 Statuses = Sequence[str] | DataFrame
 
@@ -199,17 +202,25 @@ def asof_suggestion(suggestions: DataFrame, dates: DataFrame) -> DataFrame:
     return days.on(suggestions, "suggest").select(*PAIR, "date", "fill_qty")
 
 
+def _mark(name: str) -> Column:
+    return F.lit(_MARKS[name]).alias("marks")
+
+
+def _marked(name: str) -> Column:
+    return zero_if_null("marks").bitwiseAND(F.lit(_MARKS[name])) != 0
+
+
 def _measure(rows: DataFrame, column: str, alias: str) -> DataFrame:
     return rows.select(*PAIR, F.col(column).cast(MONEY).alias(alias))
 
 
 def _advised(rows: DataFrame, column: str, alias: str) -> DataFrame:
     """A quantity with a mark that there is one: an unknown quantity is not the same as none."""
-    return rows.select(*PAIR, F.col(column).cast(MONEY).alias(alias), F.lit(True).alias(f"has_{alias}"))
+    return rows.select(*PAIR, F.col(column).cast(MONEY).alias(alias), _mark(f"has_{alias}"))
 
 
 def _advised_quantity(alias: str) -> Column:
-    return F.when(F.col(f"has_{alias}"), F.col(alias)).otherwise(0)
+    return F.when(_marked(f"has_{alias}"), F.col(alias)).otherwise(0)
 
 
 def _cause_sources(
@@ -224,7 +235,7 @@ def _cause_sources(
 ) -> list[DataFrame]:
     central = delivery.filter(F.col("delivery_type") == CENTRAL_DELIVERY)
     return [
-        allowed(cm_sku, statuses).select(*PAIR, F.lit(True).alias("listed")),
+        allowed(cm_sku, statuses).select(*PAIR, _mark("listed")),
         _measure(inventory.filter(F.col("date") == as_date(as_of)), "quantity", "stock"),
         _advised(days.on(require_orders, "require"), "order_qty", "ordered"),
         _advised(days.on(suggestions, "suggest"), "fill_qty", "suggested"),
@@ -236,12 +247,27 @@ def _history_sources(
     sales: DataFrame, inventory: DataFrame, aa_sku: DataFrame, days: Days
 ) -> list[DataFrame]:
     return [
-        aa_sku.select(*PAIR, F.lit(True).alias("aa")),
+        aa_sku.select(*PAIR, _mark("aa")),
         _measure(days.on(inventory, "order_stock"), "quantity", "order_stock"),
         sales,
     ]
 
 
+def _ordered_methods(refunds: DataFrame) -> DataFrame:
+    """(method, method_rank): the different methods, with numbers that sort as they do.
+
+    Written, so the numbers stay as they are. The rows lie in sorted ranges, so the number of a row grows with its
+    method without one task that meets them all.
+    """
+    methods = refunds.select("method").dropna().distinct().orderBy("method")
+    return settle(methods.withColumn("method_rank", F.monotonically_increasing_id()), "refund_methods")
+
+
+def _returned(refunds: DataFrame, methods: DataFrame) -> DataFrame:
+    """Refunded store items with the number of the method; an unknown key is no item."""
+    return refunds.dropna(subset=PAIR).join(methods, "method").select(*PAIR, "method_rank")
+
+
 def _sold(cost: DataFrame, as_of) -> tuple[DataFrame, dict[str, Column]]:
     """The rows of the last 60 days, and how the sale days of an item are counted from them."""
     date = F.col("date")
@@ -254,7 +280,9 @@ def _sold(cost: DataFrame, as_of) -> tuple[DataFrame, dict[str, Column]]:
         F.when(last_week, F.col("sale_quantity")).cast(MONEY).alias("quantity_7"),
     )
     sale_date = F.col("sale_date")
-    return rows, {f"sale_days_{n}": count_bits(day_words(sale_date, sale_date.isNotNull(), as_of, n)) for n in (60, 28)}
+    [sold] = day_words(sale_date, sale_date.isNotNull(), as_of, 60)
+    last_28 = F.lit(((1 << 28) - 1) << 32)
+    return rows, {"sale_days_60": count_bits([sold]), "sale_days_28": count_bits([sold.bitwiseAND(last_28)])}
 
 
 def _sold_before(sale_history: DataFrame) -> tuple[DataFrame, dict[str, Column]]:
@@ -265,11 +293,10 @@ def _sold_before(sale_history: DataFrame) -> tuple[DataFrame, dict[str, Column]]
 
 def _causes() -> list[Column]:
     return [
-        F.max("listed").alias("listed"),
-        F.sum("stock").alias("stock_sum"),
-        F.max("stock").alias("stock"),
-        *[F.max(name).alias(name) for name in ("ordered", "has_ordered", "suggested", "has_suggested")],
-        F.sum("delivered").alias("delivered"),
+        F.bit_or("marks").alias("marks"),
+        *part_sums("stock", "stock_sum"),
+        *[F.max(name).alias(name) for name in ("stock", "ordered", "suggested")],
+        *part_sums("delivered", "delivered"),
     ]
 
 
@@ -285,12 +312,12 @@ def _per_item(sources: list[DataFrame], *aggregates: Column) -> DataFrame:
 
 def _listed(items: DataFrame, wanted: DataFrame | None) -> DataFrame:
     """Items of the assortment, of the wanted (tenant, store) rows only if there are any given."""
-    items = items.filter(F.col("listed"))
+    items = items.filter(_marked("listed"))
     return items if wanted is None else items.join(wanted.select(*STORE), STORE, "left_semi")
 
 
 def _is_empty() -> Column:
-    return zero_if_null("stock_sum") == 0
+    return zero_if_null(sum_of_parts("stock_sum")) == 0
 
 
 def stockout_summary(
@@ -320,7 +347,7 @@ def stockout_summary(
             F.count(F.lit(1)).alias("all_sku"),
             F.count_if(empty & (_advised_quantity("suggested") == 0)).alias("un_suggest"),
             F.count_if(empty & (_advised_quantity("ordered") == 0)).alias("un_order"),
-            F.count_if(empty & (zero_if_null("delivered") == 0)).alias("un_deliver"),
+            F.count_if(empty & (zero_if_null(sum_of_parts("delivered")) == 0)).alias("un_deliver"),
         )
     )
     lost_sku = F.col("lost_sku")
@@ -367,39 +394,42 @@ def stockout_detail(
 
     The sale days come from 60 days of `cost`, or from `sale_history`, which `presence_state.sale_history` gives
     for the same day. Where a lookup could meet several rows of an item, the largest value is taken, so the
-    result does not depend on file order (T13).
+    result does not depend on file order (T13). The largest method of a refund is found by its number, in the same
+    hash aggregate as the rest: that of a text would sort all refunds twice and join them by store item. Names and warehouse stock of an item,
+    the stock by its few days, come in one join by item, so the report is dealt and sorted once for both.
     """
     days = _report_days(dates)
     sources = _cause_sources(inventory, cm_sku, delivery, suggestions, require_orders, days, as_of, statuses)
     sales, sale_days = _sold(cost, as_of) if sale_history is None else _sold_before(sale_history)
-    sources += _history_sources(sales, inventory, aa_sku, days)
+    methods = _ordered_methods(refunds)
+    sources += [*_history_sources(sales, inventory, aa_sku, days), _returned(refunds, methods)]
     items = _per_item(
         sources,
         *_causes(),
-        F.max("aa").alias("aa"),
         F.max("order_stock").alias("order_stock"),
         *[count.alias(name) for name, count in sale_days.items()],
         F.max("sold_today").alias("sold_today"),
-        F.sum("sale_7").alias("sale_7"),
-        F.sum("quantity_7").alias("quantity_7"),
+        *part_sums("sale_7", "sale_7"),
+        *part_sums("quantity_7", "quantity_7"),
+        F.max("method_rank").alias("method_rank"),
     ).filter(_is_empty())
-    returned = refunds.groupBy(*PAIR).agg(F.max("method").alias("method"))
     named = goods.groupBy(*ITEM).agg(F.max(F.struct("show_code", "item_name")).alias("goods"))
     held = (
         days.within(warehouse, "require")
-        .groupBy(*ITEM, F.col("date").alias("require_date"))
-        .agg(F.max("stock_qty").alias("warehouse"))
+        .groupBy(*ITEM, "date")
+        .agg(F.max("stock_qty").alias("stock_qty"))
+        .groupBy(*ITEM)
+        .agg(F.map_from_entries(F.collect_list(F.struct("date", "stock_qty"))).alias("held"))
     )
 
-    def amount(column: str) -> Column:
+    def amount(column: str | Column) -> Column:
         return zero_if_null(column).cast("double")
 
     return (
         _listed(items, wanted_stores)
-        .join(returned, PAIR, "left")
+        .join(methods, "method_rank", "left")
         .join(dates, STORE, "left")
-        .join(named, ITEM, "left")
-        .join(held, [*ITEM, "require_date"], "left")
+        .join(named.join(held, ITEM, "full"), ITEM, "left")
         .select(
             "cmid",
             "foreign_store_id",
@@ -412,12 +442,12 @@ def stockout_detail(
             *sale_days,
             _advised_quantity("suggested").cast("double").alias("cm_suggest"),
             _advised_quantity("ordered").cast("double").alias("store_book"),
-            amount("delivered").alias("inv_delivery"),
-            (amount("sale_7") / 7).alias("avg_sale_7"),
-            (amount("quantity_7") / 7).alias("avg_quantity_7"),
-            F.when(F.col("aa"), "是").otherwise("否").alias("is_aa"),
+            amount(sum_of_parts("delivered")).alias("inv_delivery"),
+            (amount(sum_of_parts("sale_7")) / 7).alias("avg_sale_7"),
+            (amount(sum_of_parts("quantity_7")) / 7).alias("avg_quantity_7"),
+            F.when(_marked("aa"), "是").otherwise("否").alias("is_aa"),
             F.coalesce("method", F.lit("")).alias("cause"),
-            amount("warehouse").alias("warehouse_stock"),
+            amount(F.try_element_at("held", F.col("require_date"))).alias("warehouse_stock"),
             amount("sold_today").alias("avg_qty"),
         )
     )

@@ -1,9 +1,11 @@
 """Stock-out report, loads, weekly tables, trial stores, supervisors on small edge tables."""
 
 import datetime as dt
+from decimal import Decimal
 
 import pytest
 
+from shelfwise.functions import numbers
 from shelfwise.operators import actual_sale, assortment, dimensions, reports, stockout, supervisor, trial, weekly
 
 D = dt.date
@@ -100,6 +102,38 @@ def test_unknown_quantity_is_not_missing(spark):
     assert {r.foreign_item_id: (r.cm_suggest, r.store_book) for r in detail} == {"empty": (None, 0.0), "offset": (0.0, 0.0)}
 
 
+def test_detail_neither_sorts_refunds_nor_joins_by_item_twice(spark):
+    """The largest cause and the stock of the order day, without a sorted aggregate of texts or a second join by item."""
+    t = report_inputs(spark)
+    dates = stockout.reference_dates(t["delivery"], t["suggestions"], t["stores"])
+    method = f"{KEY}, method string"
+    t["refunds"] = table(
+        spark, method, (43, "a", "empty", "b"), (43, "a", "empty", "é"), (43, "a", "empty", None), (43, "a", "empty", "a"),
+        (43, "a", "offset", None), (43, "a", None, "z"), (43, "b", "empty", "B"), (43, "b", "other", "a"), (43, "b", "other", "Z"),
+    )
+    day, next_day = D(2024, 1, 27), D(2024, 1, 28)
+    t["warehouse"] = table(
+        spark, "cmid int, foreign_item_id string, date date, stock_qty bigint",
+        (43, "empty", day, 70), (43, "empty", day, 71), (43, "empty", day, None), (43, "empty", next_day, 99), (43, "offset", next_day, 5), (43, None, day, 8),
+    )
+    t["cm_sku"] = t["cm_sku"].union(table(spark, f"{KEY}, busgate string", (43, "a", None, "A")))
+    names = ["cost", *CAUSES, "aa_sku", "refunds", "warehouse", "goods"]
+    detail = stockout.stockout_detail(*[t[n] for n in names], dates, END, ["A"])
+    got = {(r.foreign_store_id, r.foreign_item_id): (r.cause, r.warehouse_stock) for r in detail.collect()}
+    assert got == {("a", "empty"): ("é", 71.0), ("a", "offset"): ("", 0.0), ("b", "empty"): ("B", 0.0), ("a", None): ("", 0.0)}
+    plan = detail._jdf.queryExecution().optimizedPlan().toString()
+    assert "max(method#" not in plan
+    joins = [line for line in plan.splitlines() if "Join LeftOuter" in line and "foreign_item_id" in line]
+    assert len(joins) == 1
+
+
+def test_sums_in_parts_are_exact(spark):
+    amounts = [Decimal("99999999999999.9999")] * 3 + [Decimal("-0.0001"), Decimal("-12345.6789"), None]
+    rows = spark.createDataFrame([(k % 2, a) for k, a in enumerate(amounts)] + [(2, None)], "k int, a decimal(18,4)")
+    got = rows.groupBy("k").agg(*numbers.part_sums("a", "a")).select("k", numbers.sum_of_parts("a").alias("a")).collect()
+    assert {r.k: r.a for r in got} == {0: 2 * amounts[0] + amounts[4], 1: amounts[0] + amounts[3], 2: None}
+
+
 def test_store_snapshot_falls_back_per_tenant(spark):
     days = [(43, "a", D(2024, 1, 30)), (43, "old", D(2024, 1, 29)), (85, "b", D(2024, 1, 29)), (34, "c", D(2024, 1, 28))]
     snapshots = table(spark, "cmid int, foreign_store_id string, date date", *days)
