@@ -12,10 +12,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions.calendar import count_bits, day_words, rolling
-from shelfwise.functions.numbers import zero_if_null
+from shelfwise.functions.numbers import money_parts, parts_times, sum_of_parts, zero_if_null
 from shelfwise.keys import DAY, PAIR
 
 MONEY = "decimal(18,4)"
+AMOUNTS = ("total_sale", "total_cost")
+_PARTS = [f"{name}_{side}" for name in AMOUNTS for side in ("high", "low")]
 PRESENCE_RULES = ("listed", "stock_or_sale")
 
 
@@ -46,30 +48,27 @@ def full_sku(cost: DataFrame, inventory: DataFrame) -> DataFrame:
 
 
 def _stacked(cost: DataFrame, inventory: DataFrame) -> DataFrame:
+    """Both facts below each other, amounts as `money_parts`."""
+    parts = {
+        f"{name}_{side}": part for name in AMOUNTS for side, part in money_parts(F.col(name).cast(MONEY)).items()
+    }
     sold = cost.select(
         *DAY,
         F.lit(True).alias("is_cost"),
         (zero_if_null("total_sale") > 0).alias("positive"),
-        F.col("total_sale").cast(MONEY).alias("total_sale"),
-        F.col("total_cost").cast(MONEY).alias("total_cost"),
+        *[part.alias(name) for name, part in parts.items()],
     )
     stocked = inventory.select(
         *DAY,
         F.lit(False).alias("is_cost"),
         (zero_if_null("quantity") > 0).alias("positive"),
-        F.lit(None).cast(MONEY).alias("total_sale"),
-        F.lit(None).cast(MONEY).alias("total_cost"),
+        *[F.lit(None).cast("bigint").alias(name) for name in parts],
     )
     return sold.unionByName(stocked)
 
 
-def day_level(cost: DataFrame, inventory: DataFrame) -> DataFrame:
-    """What the full join of a day would sum to, without joining.
-
-    Repeated rows of a day fan out in a join, so each side's totals are multiplied by the
-    other side's row count. Columns: day key, `cost_rows`, `stock_rows`, `listed_days`,
-    `stock_or_sale_days`, `total_sale`, `total_cost`.
-    """
+def _day_parts(cost: DataFrame, inventory: DataFrame) -> DataFrame:
+    """`day_level` with the amounts as parts."""
     is_cost, positive = F.col("is_cost"), F.col("positive")
     counted = (
         _stacked(cost, inventory)
@@ -79,8 +78,7 @@ def day_level(cost: DataFrame, inventory: DataFrame) -> DataFrame:
             F.count_if(is_cost & positive).alias("sold_rows"),
             F.count_if(~is_cost).alias("stock_rows"),
             F.count_if(~is_cost & positive).alias("stocked_rows"),
-            F.sum("total_sale").alias("sale"),
-            F.sum("total_cost").alias("outlay"),
+            *[F.sum(name).alias(name) for name in _PARTS],
         )
     )
     cost_rows, sold_rows = F.col("cost_rows"), F.col("sold_rows")
@@ -97,15 +95,23 @@ def day_level(cost: DataFrame, inventory: DataFrame) -> DataFrame:
         "stock_rows",
         listed.alias("listed_days"),
         stock_or_sale.alias("stock_or_sale_days"),
-        _times("sale", stock_rows).alias("total_sale"),
-        _times("outlay", stock_rows).alias("total_cost"),
+        *[part for name in AMOUNTS for part in parts_times(name, stock_rows)],
     )
 
 
-def _times(total: str, stock_rows: Column) -> Column:
-    """Total of a day once per stock row; only repeated rows pay for the wide product."""
-    amount = zero_if_null(total)
-    return F.when(stock_rows > 1, amount * stock_rows).otherwise(amount)
+def _with_amounts(df: DataFrame) -> DataFrame:
+    """The amounts that the parts stand for in place of the parts."""
+    return df.withColumns({name: sum_of_parts(name).cast("decimal(38,4)") for name in AMOUNTS}).drop(*_PARTS)
+
+
+def day_level(cost: DataFrame, inventory: DataFrame) -> DataFrame:
+    """What the full join of a day would sum to, without joining.
+
+    Repeated rows of a day fan out in a join, so each side's totals are multiplied by the
+    other side's row count. Columns: day key, `cost_rows`, `stock_rows`, `listed_days`,
+    `stock_or_sale_days`, `total_sale`, `total_cost`.
+    """
+    return _with_amounts(_day_parts(cost, inventory))
 
 
 def pair_activity(
@@ -124,18 +130,26 @@ def pair_activity(
     side has more rows than marked days, the query fails. Otherwise days are counted row
     by row first.
     """
+    return _with_amounts(pair_parts(cost, inventory, as_of, window_days, presence, unique_days))
+
+
+def pair_parts(
+    cost: DataFrame,
+    inventory: DataFrame,
+    as_of,
+    window_days: int = 28,
+    presence: str = "listed",
+    unique_days: bool = False,
+) -> DataFrame:
+    """`pair_activity` with the amounts as parts, which pass aggregates, sorts and joins as plain numbers."""
     if presence not in PRESENCE_RULES:
         raise ValueError(f"unknown presence rule {presence!r}")
     cost, inventory = in_window(cost, as_of, window_days), in_window(inventory, as_of, window_days)
     if not unique_days:
         return (
-            day_level(cost, inventory)
+            _day_parts(cost, inventory)
             .groupBy(*PAIR)
-            .agg(
-                F.sum(f"{presence}_days").alias("days"),
-                F.sum("total_sale").alias("total_sale"),
-                F.sum("total_cost").alias("total_cost"),
-            )
+            .agg(F.sum(f"{presence}_days").alias("days"), *[F.sum(name).alias(name) for name in _PARTS])
         )
     is_cost, positive = F.col("is_cost"), F.col("positive")
     marks = {"costed": is_cost, "held": ~is_cost}
@@ -148,8 +162,7 @@ def pair_activity(
             *[w.alias(f"{name}_{i}") for name, row in words.items() for i, w in enumerate(row)],
             F.count_if(is_cost).alias("cost_rows"),
             F.count_if(~is_cost).alias("stock_rows"),
-            zero_if_null(F.sum("total_sale")).alias("total_sale"),
-            zero_if_null(F.sum("total_cost")).alias("total_cost"),
+            *[zero_if_null(F.sum(name)).alias(name) for name in _PARTS],
         )
     )
     n_words = len(words["costed"])
@@ -157,9 +170,7 @@ def pair_activity(
         count_bits([F.col(f"held_{i}") for i in range(n_words)]) == F.col("stock_rows")
     )
     days = count_bits([_present_word(presence, i) for i in range(n_words)])
-    return marked.select(
-        *PAIR, proved_or_fail(proved, days, "unique_days: more than one row of a day key").alias("days"), "total_sale", "total_cost"
-    )
+    return marked.select(*PAIR, proved_or_fail(proved, days, "unique_days: more than one row of a day key").alias("days"), *_PARTS)
 
 
 def proved_or_fail(proved: Column, value: Column, message: str) -> Column:

@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions.calendar import as_date
-from shelfwise.functions.numbers import per_day
+from shelfwise.functions.numbers import double_of_parts, per_day
 from shelfwise.keys import HEADQUARTERS_STORE, ITEM, PAIR, STORE
-from shelfwise.operators.presence import pair_activity
+from shelfwise.operators.presence import pair_parts
 from shelfwise.operators.psd import goods_variants
 
 _KEYS = PAIR + ["item_name", "item_status", "show_code", "store_name", "store_status", "barcode", "alc_way"]
@@ -36,15 +36,22 @@ def product_info(
     all goods.
     """
     outside = F.col("foreign_store_id") != headquarters
-    activity = pair_activity(
+    activity = pair_parts(
         cost.filter(outside), inventory.filter(outside), as_of, window_days, presence, unique_days
     )
-    ways = delivery_ways.filter(outside).groupBy(*PAIR, "alc_way").agg(F.count(F.lit(1)).alias("way_copies"))
+    # The largest of a text is found by a sort aggregate, and the join below goes on with its order.
+    ways = (
+        delivery_ways.filter(outside)
+        .groupBy(*PAIR, F.col("alc_way").alias("way"))
+        .agg(F.count(F.lit(1)).alias("way_copies"), F.max("alc_way").alias("alc_way"))
+        .drop("way")
+    )
     named = stores.groupBy(*STORE, "store_name", "store_status").agg(F.count(F.lit(1)).alias("store_copies"))
+    # The narrow labels first; a sort begins with the key that tells most rows apart.
     labelled = (
         activity.join(ways, PAIR, "left")
-        .join(goods_variants(goods, "item_name", "item_status", "show_code", "barcode"), ITEM, "left")
-        .join(named, STORE, "left")
+        .join(named, STORE[::-1], "left")
+        .join(goods_variants(goods, "item_name", "item_status", "show_code", "barcode"), ITEM[::-1], "left")
     )
     if null_keys == "drop":
         labelled = labelled.dropna(subset=_KEYS)
@@ -52,7 +59,7 @@ def product_info(
     copies = F.coalesce("copies", one) * F.coalesce("way_copies", one) * F.coalesce("store_copies", one)
     return (
         labelled.withColumn("n_days", F.col("days") * copies)
-        .withColumn("sale", (F.col("total_sale") * copies).cast("double"))
+        .withColumn("sale", double_of_parts("total_sale", copies))
         .withColumn("psd", per_day(F.col("sale"), F.col("n_days")))
         .select(
             *STORE,
@@ -67,7 +74,7 @@ def product_info(
             F.col("n_days").cast("int").alias("days"),
             "psd",
             F.col("sale").alias("total_sale"),
-            (F.col("total_cost") * copies).cast("double").alias("total_cost"),
+            double_of_parts("total_cost", copies).alias("total_cost"),
             (F.col("sale") / window_days).alias("avg_sale"),
             "lastin_price",
             "sale_price",

@@ -164,6 +164,50 @@ def test_product_info_multiplies_repeated_labels(spark):
     assert {r.delivery_method: (r.days, r.total_sale, r.psd) for r in rows} == {"w": (12, 72.0, 6.0), "v": (6, 36.0, 6.0)}
 
 
+LARGEST = Decimal("99999999999999.9999")
+
+
+@pytest.mark.parametrize("amount", [LARGEST, -LARGEST, Decimal("-0.0001"), Decimal("107374.1824"), Decimal("112589990684.2624")])
+def test_amounts_are_exact(spark, amount):
+    """Three sales rows that meet five stock rows, next to a single one of the day before and a null amount."""
+    before = AS_OF - dt.timedelta(1)
+    cost = [(43, "a", "x", AS_OF, 1, amount, amount)] * 3 + [(43, "a", "x", before, 1, amount, None)]
+    stock = spark.createDataFrame([(43, "a", "x", AS_OF, 1)] * 5, STOCK)
+    found = presence.pair_activity(spark.createDataFrame(cost, COST), stock, AS_OF).first()
+    assert (found.total_sale, found.total_cost) == (16 * amount, 15 * amount)
+    found = presence.pair_activity(spark.createDataFrame(cost[2:], COST), stock.limit(1), AS_OF, unique_days=True).first()
+    assert (found.total_sale, found.total_cost) == (2 * amount, amount)
+    label = "cmid int, foreign_store_id string, "
+    info = product_info.product_info(
+        spark.createDataFrame(cost, COST),
+        stock,
+        spark.createDataFrame([], GOODS),
+        spark.createDataFrame([(43, "a", "A", "open")] * 2, label + "store_name string, store_status string"),
+        spark.createDataFrame([], label + "foreign_item_id string, alc_way string"),
+        AS_OF,
+        null_keys="keep",
+    ).first()
+    assert (info.total_sale, info.total_cost) == (float(32 * amount), float(30 * amount))
+
+
+def test_product_info_carries_numbers_and_narrow_labels(spark):
+    """Amounts are no wide decimals in aggregates, delivery ways are sorted once, and stores are joined before the wider goods."""
+    label = "cmid int, foreign_store_id string, "
+    tables = (COST, STOCK, GOODS, label + "store_name string, store_status string", label + "foreign_item_id string, alc_way string")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = product_info.product_info(*[spark.createDataFrame([], t).repartition(2) for t in tables], AS_OF, null_keys="keep")
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "sum(total_sale_high" in plan and "sum(total_sale#" not in plan
+    assert 0 < plan.index("SortMergeJoin [foreign_item_id") < plan.index("SortMergeJoin [foreign_store_id")
+    lines = plan.splitlines()
+    folded = next(k for k, line in enumerate(lines) if "max(alc_way" in line)
+    assert "+- SortAggregate" in lines[folded] and "Sort [" not in lines[folded - 1]
+
+
 COST_ROW = [(43, "a", "x", AS_OF, 1, Decimal(10), Decimal(1))]
 STOCK_ROW = [(43, "a", "x", AS_OF, 3)]
 
